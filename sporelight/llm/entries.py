@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from . import packing, urlfilter
+from . import decontaminate, ngramjoin, packing, urlfilter
 
 
 def queries() -> dict:
     return {
         "op2_packing": packing.query,
         "op3_url_filters": urlfilter.query,
+        "op4_decontamination": decontaminate.query,
+        "op5_ngram_jaccard": ngramjoin.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": urlfilter.ORACLE_SQL}
+    return {
+        "op3_url_filters": urlfilter.ORACLE_SQL,
+        "op4_decontamination": decontaminate.ORACLE_SQL,
+        "op5_ngram_jaccard": ngramjoin.ORACLE_SQL,
+    }
