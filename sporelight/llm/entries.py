@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngramjoin, packing, urlfilter
+from . import classlm, decontaminate, langid, ngramjoin, packing, urlfilter
 
 
 def queries() -> dict:
@@ -11,6 +11,8 @@ def queries() -> dict:
         "op3_url_filters": urlfilter.query,
         "op4_decontamination": decontaminate.query,
         "op5_ngram_jaccard": ngramjoin.query,
+        "op7_class_lm": classlm.query,
+        "op10_language_id": langid.query,
     }
 
 
