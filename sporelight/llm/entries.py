@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import classlm, decontaminate, langid, ngramjoin, packing, urlfilter
+from . import classlm, decontaminate, langid, ngramjoin, packing, quality, toxicity, urlfilter
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.query,
         "op2_packing": packing.query,
         "op3_url_filters": urlfilter.query,
         "op4_decontamination": decontaminate.query,
         "op5_ngram_jaccard": ngramjoin.query,
+        "op6_quality_rules": quality.query,
         "op7_class_lm": classlm.query,
         "op10_language_id": langid.query,
     }
