@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classlm, decontaminate, langid, ngramjoin, packing, quality, toxicity, urlfilter
+from . import classlm, decontaminate, langid, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter
 
 
 def queries() -> dict:
@@ -14,6 +14,8 @@ def queries() -> dict:
         "op5_ngram_jaccard": ngramjoin.query,
         "op6_quality_rules": quality.query,
         "op7_class_lm": classlm.query,
+        "op8_secret_scan": secrets.query,
+        "op9_line_dedup": linededup.query,
         "op10_language_id": langid.query,
     }
 
