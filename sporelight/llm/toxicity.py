@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 1. Over *all* labelled training documents, count in how many toxic and clean ones
-   each character n-gram (orders 3 to 7 after lower-casing, hashed to
+   each character n-gram (orders 3 to 6 after lower-casing, hashed to
    ``2**HASH_BITS`` buckets) occurs; sums are added up map-side.
 2. Features are the ``FEATURES`` buckets whose log-count ratio is most significant
    (|ratio| over its standard error at least ``SIGNIFICANCE``).
@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
+from .store import written
 
 HASH_BITS = 20
-ORDERS = (3, 4, 5, 6, 7)
-FEATURES = 20_000
+ORDERS = (3, 4, 5, 6)
+FEATURES = 12_000
 SIGNIFICANCE = 4.0
 LEAST_DOCUMENTS = 3
-SAMPLE = 8_000
+SAMPLE = 4_000
 RIDGE = 0.01
 THRESHOLD = 0.7
 _SIZE = 1 << HASH_BITS
@@ -60,44 +61,55 @@ def _characters(s: K.Slice) -> tuple[np.ndarray, np.ndarray]:
     return out, offsets
 
 
-def _present(s: K.Slice, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bucket) of the n-grams of a slice, of the wanted buckets only if given."""
-    x, offsets = _characters(s)
-    found = []
+def _buckets(x: np.ndarray):
+    """For each order: bucket of the n-gram that begins at each place (those over a row's end included)."""
     rolling = np.zeros(len(x), np.uint32)
-    row = np.repeat(np.arange(s.rows, dtype=np.int64), np.diff(offsets))
     for order in range(1, max(ORDERS) + 1):
         n = len(x) - order + 1
         if n <= 0:
-            break
-        rolling = rolling[:n] * np.uint32(0x01000193) + (x[order - 1 :] + np.uint32(1)) * np.uint32(0x9E3779B1)
+            return
+        rolling = rolling[:n] * np.uint32(0x01000193)
+        rolling += (x[order - 1 :] + np.uint32(1)) * np.uint32(0x9E3779B1)
         if order in ORDERS:
             h = rolling ^ np.uint32(order * 0x85EBCA6B & 0xFFFFFFFF)
             h ^= h >> np.uint32(16)
             h *= np.uint32(0x7FEB352D)
             h ^= h >> np.uint32(15)
-            bucket = (h & np.uint32(_SIZE - 1)).astype(np.int64)
-            inside = row[:n] == row[order - 1 :]
-            if wanted is not None:
-                inside &= wanted[bucket]
-            at = np.flatnonzero(inside)
-            found.append(row[at] << HASH_BITS | bucket[at])
+            yield order, (h & np.uint32(_SIZE - 1)).view(np.int32)
+
+
+def _present(s: K.Slice, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, bucket) of the n-grams of a slice that fall into wanted buckets."""
+    x, offsets = _characters(s)
+    found = []
+    for order, bucket in _buckets(x):
+        at = np.flatnonzero(wanted[bucket])
+        row = np.searchsorted(offsets, at, side="right") - 1
+        inside = at + order <= offsets[row + 1]
+        found.append(row[inside] << HASH_BITS | bucket[at[inside]].astype(np.int64))
     both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return both >> HASH_BITS, both & (_SIZE - 1)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, documents = np.zeros((2, _SIZE), np.int64), np.zeros(2, np.int64)
+    """Documents of each class by bucket; bucket -1 counts all of them."""
+    total, documents = np.zeros((2, _SIZE), np.int32), np.zeros(2, np.int64)
+    place = np.zeros(_SIZE, np.int32)
     for batch in batches:
         toxic = np.asarray(batch.column(0)).astype(np.int64)
         documents += np.bincount(toxic, minlength=2)
         for s in K.slices(batch.column(1)):
-            row, bucket = _present(s, None)
-            label = toxic[s.first + row]
-            for c in (0, 1):
-                total[c] += np.bincount(bucket[label == c], minlength=_SIZE)
+            x, offsets = _characters(s)
+            grams = list(_buckets(x))
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                own = np.concatenate([g[a : max(a, b - order + 1)] for order, g in grams]) if grams else np.zeros(0, np.int32)
+                # of equal buckets the last one's place stays, so each counts once
+                spots = np.arange(len(own), dtype=np.int32)
+                place[own] = spots
+                total[toxic[s.first + i]][own[place[own] == spots]] += 1
     at = np.flatnonzero(total.any(0))
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[0][at], documents[0])), pa.array(np.append(total[1][at], documents[1]))], names=["bucket", "clean", "toxic"])
+    counts = [pa.array(np.append(total[c][at].astype(np.int64), documents[c])) for c in (0, 1)]
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), *counts], names=["bucket", "clean", "toxic"])
 
 
 def _featured(shared):
@@ -120,7 +132,7 @@ class Model(NamedTuple):
 def fit(bucket: np.ndarray, offsets: np.ndarray, label: np.ndarray, ratio: np.ndarray, ridge: float = RIDGE, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on presence * ratio by accelerated gradient descent; rows by offsets, classes weighted alike."""
     value, column = ratio[bucket], bucket
-    n, rows = len(label), np.repeat(np.arange(len(label)), np.diff(offsets))
+    n, rows = len(label), np.repeat(np.arange(len(label), dtype=np.int32), np.diff(offsets))
     weight_row = np.where(label == 1, 0.5 / max(1, label.sum()), 0.5 / max(1, n - label.sum()))
     norm = np.bincount(rows, value * value, minlength=n)
     step = 4.0 / float((weight_row * (norm + 1.0)).sum())  # at most the inverse of the loss's curvature
@@ -142,36 +154,33 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("toxic"))
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = texts.join(known, "id")
-    counts = rows.select("toxic", "text").mapInArrow(_counted, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    table = counts.where((F.col("bucket") == -1) | (F.col("toxic") + F.col("clean") >= LEAST_DOCUMENTS)).toPandas()
-    whole = table[table["bucket"] == -1]
-    clean_n, toxic_n = int(whole["clean"].sum()), int(whole["toxic"].sum())
+    counts = written(rows.select("toxic", "text").mapInArrow(_counted, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-grams")
+    whole = counts.where("bucket = -1").first()
+    clean_n, toxic_n = (int(whole.clean), int(whole.toxic)) if whole else (0, 0)
     if not clean_n or not toxic_n:
         share = toxic_n / max(1, clean_n + toxic_n)
         return Model(np.zeros(_SIZE, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
-    table = table[table["bucket"] >= 0]
-    bucket = table["bucket"].to_numpy(np.int64)
-    p, q = table["toxic"].to_numpy() + 0.5, table["clean"].to_numpy() + 0.5
-    ratio = np.log(p / (toxic_n + 1.0)) - np.log(q / (clean_n + 1.0))
-    error = np.sqrt(1 / p - 1 / (toxic_n + 1.0) + 1 / q - 1 / (clean_n + 1.0) + 1e-12)
-    strength = np.abs(ratio) / error
-    pick = np.lexsort((bucket, -strength))
-    pick = pick[strength[pick] >= SIGNIFICANCE][:FEATURES]
-    ratios, wanted = np.zeros(_SIZE), np.zeros(_SIZE, bool)
-    ratios[bucket[pick]], wanted[bucket[pick]] = ratio[pick], True
+    p, q = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    ratio_ = F.log(p / (toxic_n + 1.0)) - F.log(q / (clean_n + 1.0))
+    error = F.sqrt(1 / p - 1 / (toxic_n + 1.0) + 1 / q - 1 / (clean_n + 1.0) + 1e-12)
+    table = counts.where((F.col("bucket") >= 0) & (F.col("toxic") + F.col("clean") >= LEAST_DOCUMENTS)).select("bucket", ratio_.alias("ratio"), (F.abs(ratio_) / error).alias("strength"))
+    table = table.where(F.col("strength") >= SIGNIFICANCE).orderBy(F.desc("strength"), "bucket").limit(FEATURES).toPandas()
+    pick, ratio = table["bucket"].to_numpy(np.int64), table["ratio"].to_numpy(np.float64)
+    wanted = np.zeros(_SIZE, bool)
+    wanted[pick] = True
     if not len(pick):
         return Model(np.zeros(_SIZE, np.float32), float(np.log(toxic_n / clean_n)))
     order = [F.xxhash64("id"), F.col("id")]
     sample = known.where("toxic = 1").orderBy(*order).limit(SAMPLE).union(known.where("toxic = 0").orderBy(*order).limit(SAMPLE))
     chosen = texts.join(F.broadcast(sample), "id").select("toxic", "text")  # the sample has at most 2 * SAMPLE rows
     fitted = chosen.mapInArrow(_featured(spark.sparkContext.broadcast(wanted)), "toxic int, buckets array<int>").toPandas()
-    lists = [np.asarray(b, np.int64) for b in fitted["buckets"]]
-    size = np.fromiter(map(len, lists), np.int64, len(lists))
-    dense = np.full(_SIZE, -1, np.int64)
-    dense[bucket[pick]] = np.arange(len(pick))
-    w, b = fit(dense[np.concatenate(lists)] if len(lists) else np.zeros(0, np.int64), np.concatenate([[0], np.cumsum(size)]), fitted["toxic"].to_numpy(np.int64), ratio[pick])
+    size = np.fromiter(map(len, fitted["buckets"]), np.int64, len(fitted))
+    dense = np.full(_SIZE, -1, np.int32)
+    dense[pick] = np.arange(len(pick))
+    flat = np.concatenate([np.zeros(0, np.int32), *fitted["buckets"]]).astype(np.int32)
+    w, b = fit(dense[flat], np.concatenate([[0], np.cumsum(size)]), fitted["toxic"].to_numpy(np.int64), ratio)
     weight = np.zeros(_SIZE, np.float32)
-    weight[bucket[pick]] = w * ratio[pick]
+    weight[pick] = w * ratio
     return Model(weight, float(b))
 
 
