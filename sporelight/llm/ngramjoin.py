@@ -12,12 +12,13 @@ Stages
 1. *Points* (narrow): set size, set hash, point and block signatures of each
    document, written once.  Equal sets are one node, named by the smallest id.
 2. *Blocks*: the R-tree's root level, cut so that no partner is lost.  Sets with
-   Jaccard >= t and sizes in one band differ in at most d shingles; of more than
-   d shingle groups at least one has the same content in both.  The content hash
-   of each group is a block key.  (Groups without shingles are keys only for sets
-   with so many of them that they might be all they share.)  As a key is the
-   whole content of a group, a passage that many documents share doesn't bring
-   unrelated documents together.
+   Jaccard >= t and sizes in one band differ in at most d shingles, so of more
+   than d shingle groups at most d differ.  Order a set's groups by size, the
+   largest first, and by number: before the first one that both sets have in
+   common stand at most d others, in either set.  The content hashes of the first
+   d + 1 groups are therefore block keys enough.  As a key is the whole content
+   of a large group, a passage that many documents share doesn't bring unrelated
+   documents together.
 3. *Stars*: each node of a block is compared with the block's smallest node;
    links found merge into components.  A block of near copies costs one pair for
    each node, not one for each two.
@@ -49,7 +50,7 @@ from . import kernel as K
 from .components import components
 from .store import written
 
-COORDINATES = 32
+COORDINATES = 128
 BAND = 1.5
 LEAF = 16  # entries of an R-tree node
 LEAF_BLOCK = 256
@@ -74,8 +75,9 @@ def differences(band: int, t: Fraction) -> int:
 
 
 def groups(band: int, t: Fraction) -> int:
+    """Shingle groups of a band; more than the differences, so that the smallest groups need no key."""
     d = differences(band, t)
-    return d + 3 + d // 16
+    return d + 3 + 3 * d // 5
 
 
 def shingle_sets(s: K.Slice, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,12 +125,14 @@ def block_keys(h: np.ndarray, t: Fraction) -> np.ndarray:
         group = ((h >> np.uint64(32)) * np.uint64(g)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         last = np.append(first[1:], n)
-        content = total[last] - total[first] + (last - first).astype(np.uint64)
+        size = last - first
+        best = np.lexsort((group[first], -size))[: differences(b, t) + 1]
+        content = total[last[best]] - total[first[best]] + size[best].astype(np.uint64)
         salt = np.uint64((b + 1) << 32)
-        out.append(K.mix(content ^ K.mix(group[first] + salt)))
-        empty = g - len(first)
-        if empty >= g - differences(b, t):
-            missing = np.setdiff1d(np.arange(g, dtype=np.uint64), group[first])
+        out.append(K.mix(content ^ K.mix(group[first[best]] + salt)))
+        lacking = differences(b, t) + 1 - len(best)
+        if lacking > 0:
+            missing = np.setdiff1d(np.arange(g, dtype=np.uint64), group[first])[:lacking]
             out.append(K.mix(K.mix(missing + salt)))
     return np.concatenate(out)
 
