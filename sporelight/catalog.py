@@ -1,11 +1,345 @@
-"""Registered queries of the engine's own operators and their DuckDB equivalents."""
+"""Registered queries of the engine's operators on the driver's tables, with the same query in DuckDB SQL.
+
+The tables aren't biological; each query derives a view of the shape its operator
+takes (hits from line items, contigs from passages, ...) by the same expressions
+on both sides.  All of them run over whole tables.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import sequence as S
+from .operators import alignments, contigs, hits, pileup, reads, taxonomy
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def line_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits: an order is a contig, a supplier a reference."""
+    li = table(spark, sf, "lineitem")
+    start = (F.col("l_linenumber") * 7 + F.col("l_partkey") % 50).cast("int")
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.lit("blastn").alias("analysis"), F.col("l_orderkey").cast("string").alias("contig_id"), F.col("l_quantity").cast("int").alias("contig_length"),
+        F.col("l_partkey").cast("string").alias("hit_id"), F.col("l_suppkey").cast("string").alias("reference_id"), F.lit(500).alias("hit_length"), F.lit("g").alias("genus"), F.lit("d").alias("description"),
+        F.col("l_quantity").cast("int").alias("alignment_length"), (F.lit(100.0) - F.col("l_linenumber")).alias("percent_identity"), F.col("l_discount").alias("evalue"), F.col("l_extendedprice").alias("bit_score"),
+        F.lit(1).alias("query_start"), F.col("l_quantity").cast("int").alias("query_end"), start.alias("hit_start"), (start + F.col("l_quantity").cast("int")).alias("hit_end"), (F.lit(100.0) - F.col("l_tax") * 100).alias("query_coverage"), F.lit("").alias("query_sequence"), F.lit("").alias("hit_sequence"),
+    )
+
+
+_HITS = """hits AS (SELECT l_orderkey * 8 + l_linenumber AS ord, CAST(l_orderkey AS VARCHAR) AS contig_id, CAST(l_quantity AS INT) AS contig_length, CAST(l_partkey AS VARCHAR) AS hit_id, CAST(l_suppkey AS VARCHAR) AS reference_id,
+  100.0::DOUBLE - l_linenumber AS percent_identity, l_discount AS evalue, l_extendedprice AS bit_score, 100.0::DOUBLE - l_tax * 100 AS query_coverage, CAST(l_linenumber * 7 + l_partkey % 50 AS INT) AS s, CAST(l_linenumber * 7 + l_partkey % 50 + CAST(l_quantity AS INT) AS INT) AS e,
+  CAST(l_quantity AS INT) AS alignment_length FROM lineitem)"""
+_ORDER = "evalue, bit_score DESC, query_coverage DESC, percent_identity DESC, alignment_length DESC, hit_id, ord"
+
+
+@query(f"WITH {_HITS} SELECT contig_id, hit_id, reference_id, evalue, bit_score, ord FROM hits QUALIFY row_number() OVER (PARTITION BY contig_id ORDER BY {_ORDER}) = 1")
+def best_hit_per_contig(spark, sf):
+    return hits.best_by_contig(line_hits(spark, sf)).select("contig_id", "hit_id", "reference_id", "evalue", "bit_score", "ord")
+
+
+@query(f"""WITH {_HITS}, r AS (SELECT reference_id, s, e, max(e) OVER (PARTITION BY reference_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hits)
+SELECT reference_id, CAST(sum(greatest(0, e - greatest(s - 1, coalesce(reach, s - 1)))) AS BIGINT) AS covered_bases FROM r GROUP BY reference_id""")
+def covered_bases_union(spark, sf):
+    low, high = hits.interval()
+    return hits.covered_by(line_hits(spark, sf).select("reference_id", low.alias("s"), high.alias("e")), "reference_id")
+
+
+_SUMMARY = f"""{_HITS}, best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY reference_id, contig_id ORDER BY {_ORDER}) = 1),
+b AS (SELECT reference_id, count(*) AS contig_count, sum(contig_length) AS total_contig_length, avg(percent_identity) AS identity, min(evalue) AS best_evalue, max(query_coverage) AS cov FROM best GROUP BY reference_id),
+r AS (SELECT reference_id, s, e, max(e) OVER (PARTITION BY reference_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hits),
+c AS (SELECT reference_id, sum(greatest(0, e - greatest(s - 1, coalesce(reach, s - 1)))) AS covered_bases FROM r GROUP BY reference_id)"""
+
+
+def _summary(spark, sf):
+    h = line_hits(spark, sf)
+    depth = h.groupBy("contig_id").agg(F.sum("contig_length").alias("total_depth"))
+    return hits.summarize(h, depth, 1_000_000, mode="union")
+
+
+@query(f"""WITH {_SUMMARY}, d AS (SELECT contig_id, sum(contig_length) AS total_depth FROM hits GROUP BY contig_id),
+t AS (SELECT reference_id, sum(total_depth) AS dd FROM best JOIN d USING (contig_id) GROUP BY reference_id)
+SELECT reference_id, CAST(contig_count AS BIGINT) AS contig_count, CAST(total_contig_length AS BIGINT) AS total_contig_length, CAST(covered_bases AS BIGINT) AS covered_bases, best_evalue,
+ (covered_bases / 500 > 0.1) AND ((dd / total_contig_length > 5.0) OR (dd * 1e6 / (total_contig_length * 1e6) > 5.0)) AS passes_coverage_depth
+FROM b JOIN c USING (reference_id) JOIN t USING (reference_id)""")
+def reference_summary(spark, sf):
+    return _summary(spark, sf).select("reference_id", "contig_count", "total_contig_length", "covered_bases", "best_evalue", "passes_coverage_depth")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")
+def allowed_groups_semi(spark, sf):
+    ids = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("contig_id"))
+    return hits.known(table(spark, sf, "orders").withColumnRenamed("o_orderkey", "seq_id"), ids)[0].select(F.col("seq_id").alias("o_orderkey"), "o_totalprice")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")
+def remaining_anti(spark, sf):
+    ids = table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("contig_id"))
+    return hits.known(table(spark, sf, "orders").withColumnRenamed("o_orderkey", "seq_id"), ids)[1].select(F.col("seq_id").alias("o_orderkey"), "o_totalprice")
+
+
+def _supplier_groups(spark, sf):
+    """Groups for pruning: suppliers with the parts (contigs) they deliver, as intervals."""
+    li = table(spark, sf, "lineitem").where("l_quantity > 48 AND l_linenumber <= 2").select("l_suppkey", (F.col("l_partkey") % 12).alias("p")).distinct()
+    sup = li.select(F.lit("blastn").alias("analysis"), F.concat(F.lit("s"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("group_id"), F.lit(400).alias("hit_length"), F.col("p").cast("string").alias("contig_id"), (F.col("p") * 10 + 1).cast("int").alias("s"), (F.col("p") * 10 + 8).cast("int").alias("e"))
+    summary = sup.groupBy("analysis", "group_id").agg(F.count("*").alias("contig_count"), F.sum(F.col("e") - F.col("s") + 1).alias("covered_bases")).withColumn("passes_coverage_depth", F.lit(True))
+    return summary, sup
+
+
+_GROUPS = """g AS (SELECT DISTINCT 's' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS id, l_partkey % 12 AS p FROM lineitem WHERE l_quantity > 48 AND l_linenumber <= 2),
+n AS (SELECT id, count(*) AS size FROM g GROUP BY id), r AS (SELECT id, size, row_number() OVER (ORDER BY size DESC, size * 8 DESC, id) AS rank FROM n),
+sh AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM g a JOIN g b ON a.p = b.p JOIN r x ON x.id = a.id JOIN r y ON y.id = b.id WHERE x.rank < y.rank GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_GROUPS} SELECT a, b FROM sh JOIN n ON n.id = b WHERE (size - shared) / size <= 0.25 AND (size - shared) * 8 / 400 <= 0.5 AND (size - shared) * 8 <= 100")
+def prune_edges(spark, sf):
+    return hits.redundancy_edges(*_supplier_groups(spark, sf)).select("a", "b")
+
+
+@query()
+def prune_kernel(spark, sf):
+    from .store import written
+
+    summary, sup = _supplier_groups(spark, sf)
+    return hits.kernel(summary, written(hits.redundancy_edges(summary, sup), "edges")).select("group_id")
+
+
+@query("SELECT min(doc_id) AS ord, text AS sequence FROM documents GROUP BY text")
+def dedup_first_wins(spark, sf):
+    return reads.drop_duplicates(table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("text").alias("sequence")))
+
+
+@query("SELECT doc_id AS ord, length(text) AS n FROM documents WHERE length(text) BETWEEN 300 AND 900 OR length(text) = 1000")
+def length_filter(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("text").alias("sequence"))
+    return reads.filter_lengths(docs, "300-900:1000").select("ord", F.length("sequence").cast("long").alias("n"))
+
+
+@query("SELECT lang AS contig_id, CAST(length(text) AS INT) AS read_length, count(*) AS n FROM documents GROUP BY 1, 2")
+def length_histogram(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("lang").alias("rname"), F.col("text").alias("seq"), F.lit("0").alias("flag"))
+    return reads.length_histogram(docs)
+
+
+@query("SELECT doc_id, md5(reverse(translate(text, 'ACGTacgt', 'TGCAtgca'))) AS rc FROM documents")
+def reverse_complement(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.md5(S.reverse_complement(F.col("text")).cast("binary")).alias("rc"))
+
+
+@query("""WITH r AS (SELECT item_id AS ord, text AS s FROM benchmark UNION ALL SELECT 1000000 + item_id, substr(text, 5, 40) FROM benchmark UNION ALL SELECT 2000000 + item_id, text FROM benchmark WHERE item_id % 3 = 0),
+u AS (SELECT ord, s, upper(s) AS u, reverse(translate(upper(s), 'ACGTacgt', 'TGCAtgca')) AS rc FROM r WHERE length(s) > 0)
+SELECT a.ord, a.s AS sequence FROM u a WHERE NOT EXISTS (SELECT 1 FROM u b WHERE (length(b.u) > length(a.u) OR (length(b.u) = length(a.u) AND b.ord < a.ord)) AND (contains(b.u, a.u) OR contains(b.u, a.rc)))""")
+def contained_contigs_anti(spark, sf):
+    b = table(spark, sf, "benchmark")
+    rows = b.select(F.col("item_id").alias("ord"), F.col("text").alias("sequence")).unionAll(b.select((F.col("item_id") + 1000000).alias("ord"), F.substring("text", 5, 40).alias("sequence"))).unionAll(b.where("item_id % 3 = 0").select((F.col("item_id") + 2000000).alias("ord"), F.col("text").alias("sequence")))
+    return contigs.drop_contained(rows)
+
+
+@query("SELECT substr(text, i, 8) AS kmer, count(*) AS n FROM (SELECT text, unnest(range(1, length(text) - 6)) AS i FROM benchmark) GROUP BY 1")
+def kmer_spectrum(spark, sf):
+    words = table(spark, sf, "benchmark").select(F.explode(S.kmers(F.col("text"), 8)).alias("w"))
+    return words.groupBy(F.col("w.kmer").alias("kmer")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events), r AS (SELECT user_id, day, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INT) AS run FROM d)
+SELECT user_id, CAST(min(day) AS VARCHAR) AS first, CAST(max(day) AS VARCHAR) AS last, count(*) AS n FROM r GROUP BY user_id, run""")
+def consensus_runs(spark, sf):
+    days = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day")).distinct()
+    run = F.date_sub("day", F.row_number().over(Window.partitionBy("user_id").orderBy("day")))
+    return days.withColumn("run", run).groupBy("user_id", "run").agg(F.min("day").cast("string").alias("first"), F.max("day").cast("string").alias("last"), F.count("*").alias("n")).drop("run")
+
+
+@query("""WITH c AS (SELECT length(text) AS len, count(*) AS c FROM documents GROUP BY 1), w AS (SELECT len, sum(len * c) OVER (ORDER BY len) AS cum, sum(len * c) OVER () AS total FROM c)
+SELECT CAST((SELECT count(*) FROM documents) AS DOUBLE) AS "numSeqs", CAST((SELECT max(length(text)) FROM documents) AS DOUBLE) AS "maxLen", CAST(min(len) AS DOUBLE) AS n50_asc FROM w WHERE cum * 2 >= total""")
+def ascending_n50(spark, sf):
+    return contigs.statistics(table(spark, sf, "documents").select(F.col("text").alias("sequence"))).select("numSeqs", "maxLen", "n50_asc")
+
+
+@query("SELECT user_id, CAST(count(*) FILTER (hour(ts) IN (21, 22)) AS DOUBLE) / nullif(count(*) FILTER (hour(ts) BETWEEN 12 AND 23), 0) AS ratio FROM events GROUP BY user_id")
+def sirna_ratio(spark, sf):
+    hour = F.hour("ts")
+    total = F.count_if(hour.between(12, 23))
+    return table(spark, sf, "events").groupBy("user_id").agg((F.count_if(hour.isin(21, 22)) / F.nullif(total, F.lit(0))).alias("ratio"))
+
+
+@query("SELECT CAST(l_suppkey AS VARCHAR) AS reference_id, string_agg(DISTINCT CAST(l_orderkey AS VARCHAR), ',' ORDER BY CAST(l_orderkey AS VARCHAR)) AS supporting_contigs FROM lineitem GROUP BY 1")
+def supporting_contigs_list(spark, sf):
+    return _summary(spark, sf).select("reference_id", F.array_join("supporting_contigs", ",").alias("supporting_contigs"))
+
+
+@query("""SELECT l_orderkey * 8 + l_linenumber AS ord, coalesce('N' || CAST(s_nationkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS reference_id, coalesce(n_name, '') AS genus
+FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 5 <> 0) s ON l_suppkey = s_suppkey LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 7 <> 0) n ON n_nationkey = s_nationkey""")
+def annotate_hits(spark, sf):
+    li = table(spark, sf, "lineitem")
+    text = lambda c: F.lit(None).cast(c)
+    raw = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.col("l_orderkey").cast("string").alias("qseqid"), F.lit(1).alias("qlen"), F.col("l_suppkey").cast("string").alias("sseqid"), F.lit(1).alias("slen"), F.lit(1).alias("length"), F.lit(1.0).alias("pident"), F.lit(0.0).alias("evalue"), F.lit(0.0).alias("bitscore"), *(F.lit(1).alias(c) for c in ("qstart", "qend", "sstart", "send")), F.lit(1.0).alias("qcovs"), text("string").alias("qseq"), text("string").alias("sseq"))
+    ids = table(spark, sf, "supplier").where("s_suppkey % 5 <> 0").select(F.col("s_suppkey").cast("string").alias("protein_id"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("reference_id"))
+    notes = table(spark, sf, "nation").where("n_nationkey % 7 <> 0").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("reference_id"), F.col("n_name").alias("genus"), F.lit("").alias("description"))
+    return hits.annotate(raw, notes, ids, hits.TRANSLATED).select("ord", "reference_id", "genus")
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN p_brand WHEN 2 THEN 'plain' || CAST(p_size AS VARCHAR) ELSE 'X' || CAST(p_size AS VARCHAR) END AS id FROM part")
+def normalize_id(spark, sf):
+    size = F.col("p_size").cast("string")
+    raw = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("gi|12|gb|"), "p_brand", F.lit("| some name"))).when(F.col("p_partkey") % 4 == 1, F.concat(F.lit("lcl|tr|Q1|ref|"), "p_brand", F.lit("|"))).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("plain"), size, F.lit("\tmore"))).otherwise(F.concat(F.lit("a|b|X"), size))
+    return table(spark, sf, "part").select("p_partkey", S.normalize_id(raw.cast("string")).alias("id"))
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_size AS n FROM part)
+SELECT k, 0 AS alt, '0' AS flag, 'r0' AS rname, CAST(n AS INT) AS pos, 'ACGTN' AS seq, CAST(0 AS INT) AS nm FROM p
+UNION ALL SELECT k, 1, '16', 'r1', CAST(n + 1 AS INT), 'NACGT', CAST(1 AS INT) FROM p UNION ALL SELECT k, 2, '0', 'r2', CAST(n + 2 AS INT), 'ACGTN', CAST(k % 3 AS INT) FROM p""")
+def xa_explode(spark, sf):
+    n = F.col("p_size")
+    text = lambda c: F.lit(c)
+    xa = F.concat(F.lit("r1,-"), (n + 1).cast("string"), F.lit(",5M,1;r2,+"), (n + 2).cast("string"), F.lit(",5M,"), (F.col("p_partkey") % 3).cast("string"), F.lit(";"))
+    sam = table(spark, sf, "part").select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("qname"), text("0").alias("flag"), text("r0").alias("rname"), n.cast("int").alias("pos"), text("60").alias("mapq"), text("5M").alias("cigar"), text("*").alias("rnext"), text("0").alias("pnext"), text("0").alias("tlen"), text("ACGTN").alias("seq"), text("IIIII").alias("qual"), F.lit(0).alias("nm"), xa.alias("xa"))
+    return alignments.expand_alternatives(sam).select(F.col("ord").alias("k"), "alt", "flag", "rname", "pos", "seq", "nm")
+
+
+@query("""WITH a AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey % 3 AS nm FROM lineitem WHERE l_suppkey % 4 <> 0), m AS (SELECT k, min(nm) AS least FROM a WHERE nm < 2 GROUP BY k)
+SELECT CAST(k AS VARCHAR) AS qname, k * 8 + n AS ord, CAST(nm AS INT) AS nm FROM a JOIN m USING (k) WHERE nm = least""")
+def best_nm(spark, sf):
+    li = table(spark, sf, "lineitem")
+    sam = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.col("l_orderkey").cast("string").alias("qname"), F.when(F.col("l_suppkey") % 4 == 0, "4").otherwise("0").alias("flag"), (F.col("l_partkey") % 3).cast("int").alias("nm"))
+    return alignments.best_alignments(sam, consecutive=False).select("qname", "ord", "nm")
+
+
+@query("""WITH d AS (SELECT l_partkey AS k, CAST(sum(l_linenumber) AS BIGINT) AS total, CAST(count(*) AS INT) AS covered FROM lineitem GROUP BY 1)
+SELECT CAST(p_partkey AS VARCHAR) AS contig_id, CAST(length(p_name) AS INT) AS contig_length, coalesce(covered, 0) AS covered_bases, coalesce(total, 0) AS total_depth,
+ coalesce(total, 0) / CAST(length(p_name) AS DOUBLE) AS mean_depth, coalesce(total, 0) * 1e6 / (length(p_name) * (SELECT CAST(count(*) AS DOUBLE) FROM lineitem)) AS normalized_depth FROM part LEFT JOIN d ON k = p_partkey""")
+def depth_norm(spark, sf):
+    li = table(spark, sf, "lineitem")
+    rows = li.select(F.col("l_partkey").cast("string").alias("ref_id"), F.col("l_orderkey").alias("pos"), F.col("l_linenumber").alias("depth"))
+    parts = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("seq_id"), F.col("p_name").alias("sequence"))
+    return pileup.contig_depths(rows, parts, li.count())
+
+
+@query("SELECT c_custkey, CAST(hamming(left(c_name || '                  ', 18), left('Customer#000000777' || '                  ', 18)) AS INT) AS d FROM customer")
+def hamming(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", S.hamming(F.rpad("c_name", 18, " "), F.lit("Customer#000000777")).alias("d"))
+
+
+@query("""WITH p AS (SELECT c_custkey, c_name AS q, 'Customer#000000777' AS h FROM customer), z AS (SELECT c_custkey, q, h, unnest(range(1, least(length(q), length(h)) + 1)) AS i FROM p),
+m AS (SELECT c_custkey, count(*) AS n, count(*) FILTER (upper(substr(q, i, 1)) = upper(substr(h, i, 1))) AS same FROM z GROUP BY 1)
+SELECT c_custkey, same || '/' || n || '(' || CAST(round_even(same * 100.0 / n, 0) AS INT) || '%)' AS identity FROM m""")
+def identity_text(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", S.identity_text(F.col("c_name"), F.lit("Customer#000000777")).alias("identity"))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_partkey % 5 AS a, p_partkey % 3 AS b, p_partkey % 4 AS c FROM part)
+SELECT p_partkey, (5 + CASE WHEN a = 0 AND b = 0 THEN 4 ELSE 0 END) || 'M' || CASE WHEN a > 0 THEN a || 'I' ELSE '' END || CASE WHEN b > 0 THEN b || 'D' ELSE '' END || CASE WHEN a = 0 AND b = 0 THEN '' ELSE '4M' END AS cigar FROM p""")
+def cigar(spark, sf):
+    a, b, c = ((F.col("p_partkey") % k).cast("int") for k in (5, 3, 4))
+    both = F.repeat(F.lit("-"), c)  # columns gapped on both sides don't count
+    q = F.concat(F.lit("ACGTA"), F.repeat(F.lit("G"), a), F.repeat(F.lit("-"), b), both, F.lit("TTTT"))
+    h = F.concat(F.lit("ACGAA"), F.repeat(F.lit("-"), a), F.repeat(F.lit("C"), b), both, F.lit("TTTT"))
+    return table(spark, sf, "part").select("p_partkey", S.cigar(q, h).alias("cigar"))
+
+
+@query("SELECT c_name AS seq_id, row_number() OVER (ORDER BY c_custkey) - 1 AS ord FROM customer UNION ALL SELECT s_name, (SELECT count(*) FROM customer) + row_number() OVER (ORDER BY s_suppkey) - 1 FROM supplier")
+def union_contigs(spark, sf):
+    shape = lambda t, k, n: table(spark, sf, t).select(F.col(k).alias("ord"), F.col(n).alias("header"), F.col(n).alias("seq_id"), F.lit("A").alias("sequence"))
+    return contigs.combine(shape("customer", "c_custkey", "c_name"), shape("supplier", "s_suppkey", "s_name")).select("seq_id", "ord")
+
+
+@query("""WITH RECURSIVE t AS (SELECT n_nationkey AS id, CASE WHEN n_nationkey = 0 THEN 0 ELSE (n_nationkey - 1) // 2 END AS parent, CASE WHEN n_nationkey IN (1, 2, 6) THEN 'genus' ELSE 'none' END AS rank FROM nation),
+walk AS (SELECT t.id, t.parent AS at FROM t UNION ALL SELECT w.id, t.parent FROM walk w JOIN t ON t.id = w.at WHERE t.rank <> 'genus' AND t.parent <> t.id)
+SELECT t.id AS tax_id, coalesce(max(g.id), -1) AS genus_id FROM t LEFT JOIN walk w ON w.id = t.id LEFT JOIN t g ON g.id = w.at AND g.rank = 'genus' GROUP BY t.id""")
+def genus_walk(spark, sf):
+    k = F.col("n_nationkey")
+    nodes = table(spark, sf, "nation").select(k.alias("tax_id"), F.when(k == 0, 0).otherwise(F.floor((k - 1) / 2)).cast("int").alias("parent"), F.when(k.isin(1, 2, 6), "genus").otherwise("none").alias("rank"))
+    return taxonomy.genus_of(nodes, nodes).na.fill(-1, ["genus_id"])
+
+
+@query("""WITH n AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS name FROM part UNION SELECT DISTINCT lower(split_part(p_name, ' ', 1) || ' ' || split_part(p_name, ' ', 2)) FROM part WHERE p_partkey % 2 = 0),
+w AS (SELECT p_partkey, unnest(range(1, len(string_split(lower(p_name), ' ')) + 1)) AS i, string_split(lower(p_name), ' ') AS words FROM part)
+SELECT p_partkey AS id, arg_max(name, i) AS name FROM w JOIN n ON n.name = array_to_string(words[1:i], ' ') GROUP BY 1""")
+def host_prefix_match(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    words = F.split(F.lower("p_name"), " ")
+    names = part.select(F.get(words, 0).alias("name")).union(part.where("p_partkey % 2 = 0").select(F.array_join(F.slice(words, 1, 2), " "))).distinct()
+    numbered = names.select("name", F.xxhash64("name").alias("tax_id"), F.lit(0).alias("ord"))
+    found = taxonomy.match_names(part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("host")), numbered)
+    return found.join(numbered, "tax_id").select("id", "name")
+
+
+@query("""WITH c AS (SELECT n_name AS genus, c_mktsegment AS division, count(*) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2),
+s AS (SELECT genus, division, n, n * 100 / sum(n) OVER (PARTITION BY genus) AS p FROM c)
+SELECT genus, division, n, CAST(floor(p) AS INT) AS percent FROM s QUALIFY row_number() OVER (PARTITION BY genus ORDER BY n DESC, division) = 1""")
+def division_vote(spark, sf):
+    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select(F.col("n_name").alias("genus"), F.col("c_mktsegment").alias("division"))
+    best = taxonomy.division_counts(rows)
+    totals = rows.groupBy("genus").agg(F.count("*").alias("all"))
+    return best.join(totals, "genus").select("genus", "division", "n", F.floor(F.col("n") * 100 / F.col("all")).cast("int").alias("percent"))
+
+
+@query("""WITH d AS (SELECT p_partkey AS id, p_brand AS category, string_split(lower(p_name), ' ') AS w FROM part), x AS (SELECT id, category, array_to_string(w[1:i], ' ') AS prefix, i FROM (SELECT id, category, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+v AS (SELECT prefix, category, count(*) AS n, min(id) AS seen FROM x WHERE id % 3 <> 0 GROUP BY 1, 2), t AS (SELECT prefix, category, n FROM v QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY n DESC, seen) = 1)
+SELECT id, arg_max(t.category, i) AS category FROM x JOIN t USING (prefix) WHERE id % 3 = 0 GROUP BY id""")
+def prefix_vote(spark, sf):
+    rows = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("ord"), F.col("p_brand").alias("category"), F.col("p_name").alias("description"))
+    return taxonomy.description_votes(rows.where("id % 3 = 0"), rows.where("id % 3 <> 0")).select("id", "category")
+
+
+@query("""WITH r AS (SELECT doc_id, upper(substr(replace(text, 'ß', 's'), 1, 60)) AS s FROM documents), h AS (SELECT doc_id, s, position('THE' IN s) - 1 AS p FROM r)
+SELECT doc_id, CASE WHEN p < 0 THEN length(s) ELSE p END AS pos3, CASE WHEN p = 0 THEN 'null' WHEN p < 0 THEN 'unmatch' ELSE 'match' END AS status3,
+ CASE WHEN p <= 0 THEN 'rejected' WHEN contains(substr(s, 1, p), 'N') THEN 'baseN' WHEN p < 15 THEN 'short' ELSE 'clean' END AS outcome FROM h""")
+def adapter_trim(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.substring(F.replace("text", F.lit("ß"), F.lit("s")), 1, 60).alias("sequence"))
+    return reads.trim(docs, adapter3="the", distance=0).select("doc_id", F.col("pos3").cast("long").alias("pos3"), "status3", "outcome")
+
+
+@query("""SELECT CAST(length(text) // 500 AS BIGINT) AS size, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'es') AS es, count(*) FILTER (lang = 'fr') AS fr FROM documents GROUP BY 1""")
+def length_by_sample_pivot(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("lang").alias("sample"), F.repeat(F.lit("A"), F.floor(F.length("text") / 500).cast("int")).alias("trimmed"), F.lit("clean").alias("outcome"))
+    return reads.size_table(docs, ["de", "en", "es", "fr"]).withColumn("size", F.col("size").cast("long"))
+
+
+@query(f"""WITH {_HITS}, b AS (SELECT reference_id AS contig_id, hit_id, min(evalue) AS e, max(bit_score) AS b FROM hits GROUP BY 1, 2),
+t AS (SELECT contig_id, hit_id FROM b QUALIFY row_number() OVER (PARTITION BY contig_id ORDER BY e, b DESC, hit_id) <= 25)
+SELECT h.reference_id AS contig_id, h.hit_id, h.ord FROM hits h JOIN t ON t.contig_id = h.reference_id AND t.hit_id = h.hit_id""")
+def topk_targets(spark, sf):
+    return hits.limit_targets(line_hits(spark, sf).withColumn("contig_id", F.col("reference_id")), 25).select("contig_id", "hit_id", "ord")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS reference_id, CAST(p_partkey AS VARCHAR) AS protein_id, p_name AS sequence
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderstatus = 'O'""")
+def protein_map(spark, sf):
+    links = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("reference_id"), F.col("l_partkey").cast("string").alias("protein_id"))
+    proteins = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("protein_id"), F.col("p_name").alias("sequence"))
+    return taxonomy.proteins_of(links, proteins, table(spark, sf, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").cast("string").alias("reference_id")))
+
+
+_RC = "reverse(translate(upper(sequence), 'ABCDGHMNRSTUVWXYabcdghmnrstuvwxy', 'TVGHCDKNYSAABWXRtvghcdknysaabwxr'))"
+
+
+@query(f"""WITH r AS (SELECT doc_id AS ord, text AS sequence FROM documents UNION ALL SELECT 10000000 + doc_id, reverse(translate(upper(text), 'ABCDGHMNRSTUVWXYabcdghmnrstuvwxy', 'TVGHCDKNYSAABWXRtvghcdknysaabwxr')) FROM documents),
+k AS (SELECT ord, least(upper(sequence), {_RC}) AS key FROM r WHERE length(sequence) BETWEEN 100 AND 40000) SELECT min(ord) AS ord FROM k GROUP BY key""")
+def canonical_dedup(spark, sf):
+    docs = table(spark, sf, "documents")
+    rows = docs.select(F.col("doc_id").alias("ord"), F.col("text").alias("sequence")).unionAll(docs.select((F.col("doc_id") + 10000000).alias("ord"), S.iupac_reverse_complement(F.upper("text")).alias("sequence")))
+    return taxonomy.drop_exact(rows).select("ord")
