@@ -1,24 +1,5 @@
-"""Intermediate tables in the folder that all machines share."""
+"""Intermediate tables of the corpus operators (see :mod:`sporelight.store`)."""
 
-from __future__ import annotations
+from ..store import shared_folder, written
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset (tests), a folder beside the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-intermediate"
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
-    """Write a frame as Parquet to the shared folder and read it back: lineage ends in files that survive executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/sporelight/{label}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+__all__ = ["shared_folder", "written"]
