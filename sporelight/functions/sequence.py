@@ -38,7 +38,7 @@ def normalize_id(raw: Column) -> Column:
     token = F.regexp_replace(first_token(raw), r"^lcl\|", "")
     parts = F.filter(F.split(token, r"\|"), lambda p: p != "")
     tagged = [F.get(parts, F.nullif(F.array_position(parts, t), F.lit(0)).cast("int")) for t in _TAGS]
-    return F.coalesce(*tagged, F.element_at(parts, -1), F.lit(""))
+    return F.coalesce(*tagged, F.try_element_at(parts, F.lit(-1)), F.lit(""))
 
 
 def hamming(a: Column, b: Column) -> Column:

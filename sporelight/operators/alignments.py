@@ -62,8 +62,8 @@ def with_place(df: DataFrame, key: str) -> DataFrame:
     for p, n in counts:
         firsts.append((p, total))
         total += n
-    table = df.sparkSession.createDataFrame(firsts or [(0, 0)], "p long, first long")
-    return spread.withColumn("p", part).join(F.broadcast(table), "p").withColumn("_place", F.col("first") + F.col("_m").bitwiseAND((1 << 33) - 1)).drop("p", "first", "_m")
+    table = df.sparkSession.createDataFrame(firsts or [(0, 0)], "_part long, _offset long")
+    return spread.withColumn("_part", part).join(F.broadcast(table), "_part").withColumn("_place", F.col("_offset") + F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_part", "_offset", "_m")
 
 
 def mapped_reads(best: DataFrame) -> int:
