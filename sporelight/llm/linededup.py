@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 2
 MIN_CHARS = 24
-_LETTERS = "etaonisr"
+_LETTERS = "etaonis"  # seven counts and the role of a row fit one long
+_MORE = ("etaonisr", "hdlcumgp", "bfvwyk,.")
 _LAST = (1 << 63) - 1
 
 
@@ -66,10 +67,10 @@ def probe_keys(line: Column, length: Column, t: int, least: int) -> Column:
     return F.array_compact(F.array(*keys))
 
 
-def letter_counts(line: Column) -> Column:
-    """Counts (modulo 256) of eight frequent letters in one long."""
+def letter_counts(line: Column, letters: str = _LETTERS) -> Column:
+    """Counts (modulo 256) of up to eight letters in one long."""
     out = F.lit(0).cast("long")
-    for i, c in enumerate(_LETTERS):
+    for i, c in enumerate(letters):
         n = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(255).cast("long"), 8 * i))
     return out
@@ -78,7 +79,7 @@ def letter_counts(line: Column) -> Column:
 def counts_apart(a: Column, b: Column) -> Column:
     """Sum of the differences of two letter counts."""
     total = F.lit(0)
-    for i in range(len(_LETTERS)):
+    for i in range(8):
         d = F.abs(F.shiftrightunsigned(a, 8 * i).bitwiseAND(255) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(255))
         total = total + F.least(d, F.lit(256) - d)
     return total
@@ -89,52 +90,50 @@ def edit_distance(a: Column, b: Column, t: int) -> Column:
 
     Bit k of a word is row j - t + k of column j, so the band slides with the
     column.  The distance is followed down the band's lowest diagonal to the last
-    row, then along that row."""
+    row, then along that row.  A column's matches come first, as an array of
+    words; the state is one long: column, distance, VN and VP."""
     width = 2 * t + 1
     mask = (1 << width) - 1
     m, n = F.size(a), F.size(b)
+    at_d, at_j = 2 * width, 2 * width + 8
 
-    def step(s: Column, j: Column) -> Column:
-        at = F.get(b, j - 1)
-        same = F.lit(0)
-        for k in range(width):
-            row = j - t + k
-            same = same + F.when((row >= 1) & (row <= m) & (F.get(a, row - 1) == at), F.lit(1 << k)).otherwise(F.lit(0))
-        return F.struct(same.alias("x"), s["vp"].alias("vp"), s["vn"].alias("vn"), s["d"].alias("d"), j.alias("j"))
+    def matches(c: Column, i: Column) -> Column:
+        return sum((F.when((i - t + k >= 0) & (F.get(a, i - t + k) == c), F.lit(1 << k)).otherwise(F.lit(0)) for k in range(width)), F.lit(0)).cast("long")
 
-    def flip(x: Column) -> Column:
-        return F.bitwise_not(x).bitwiseAND(mask)
-
-    def diagonals(s: Column) -> Column:
-        x, vp, vn = s["x"], s["vp"], s["vn"]
+    def column(s: Column, x: Column) -> Column:
+        vp, vn = s.bitwiseAND(mask), F.shiftright(s, width).bitwiseAND(mask)
         d0 = ((x.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(x).bitwiseOR(vn).bitwiseAND(mask)
-        return F.struct(d0.alias("d0"), vp.alias("vp"), vn.alias("vn"), s["d"].alias("d"), s["j"].alias("j"))
-
-    def across(s: Column) -> Column:
-        d0, vp, vn = s["d0"], s["vp"], s["vn"]
-        hp, hn = vn.bitwiseOR(flip(d0.bitwiseOR(vp))), d0.bitwiseAND(vp)
-        return F.struct(d0.alias("d0"), hp.alias("hp"), hn.alias("hn"), s["d"].alias("d"), s["j"].alias("j"))
 
-    def down(s: Column) -> Column:
-        d0, hp, hn, j = s["d0"], s["hp"], s["hn"], s["j"]
-        row = F.pow(F.lit(2), m - j + t).cast("int")  # bit of the last row once it is in the band
-        moved = F.when(j + t <= m, (d0.bitwiseAND(1 << (width - 1)) == 0).cast("int")).otherwise((hp.bitwiseAND(row) != 0).cast("int") - (hn.bitwiseAND(row) != 0).cast("int"))
-        half = F.shiftright(d0, 1)
-        return F.struct(hn.bitwiseOR(flip(half.bitwiseOR(hp))).alias("vp"), half.bitwiseAND(hp).alias("vn"), (s["d"] + moved).alias("d"))
+        def rest(d0: Column) -> Column:
+            hp, hn = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp)).bitwiseAND(mask)), d0.bitwiseAND(vp)
+            half = F.shiftright(d0, 1)
+            j = F.shiftright(s, at_j).cast("int")
+            row = m - j + t  # bit of the last row once it is in the band
+            bit = lambda w: F.call_function("shiftright", w, row).bitwiseAND(1)
+            moved = F.when(j + t <= m, F.lit(1).cast("long") - F.shiftright(d0, width - 1)).otherwise(bit(hp) - bit(hn))
+            new_vp, new_vn = hn.bitwiseOR(F.bitwise_not(half.bitwiseOR(hp)).bitwiseAND(mask)), half.bitwiseAND(hp)
+            d = F.least(F.shiftright(s, at_d).bitwiseAND(255) + moved, F.lit(250).cast("long"))  # far beyond t nothing matters
+            return F.shiftleft((j + 1).cast("long"), at_j) + F.shiftleft(d, at_d) + F.shiftleft(new_vn, width) + new_vp
 
-    # one-element transforms name each intermediate value, so none is computed twice
-    def column(s: Column, j: Column) -> Column:
-        once = F.array(step(s, j))
-        for f in (diagonals, across, down):
-            once = F.transform(once, f)
-        return F.get(once, 0)
+        return F.get(F.transform(F.array(d0), rest), 0)  # names d0, which is needed four times
 
-    start = F.struct(F.lit(mask & ~((1 << t) - 1)).alias("vp"), F.lit(0).alias("vn"), F.lit(t).alias("d"))
-    return F.aggregate(F.sequence(F.lit(1), n), start, column, lambda s: s["d"])
+    start = F.lit((1 << at_j) + (t << at_d) + (mask & ~((1 << t) - 1))).cast("long")
+    return F.aggregate(F.transform(b, matches), start, column, lambda s: F.shiftright(s, at_d).bitwiseAND(255).cast("int"))
 
 
 def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("k1"), F.xxhash64(text_col).alias("k2"), F.col(text_col).alias("text"))
+    """Key and row of each document.  The row is one opaque value, so that all uses share one exchange."""
+    row = F.array(F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns))))
+    return documents.select(*_key(id_col, text_col), row.alias("row")).repartition("k1", "k2")
+
+
+def _key(id_col: str, text_col: str) -> list[Column]:
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("k1"), F.xxhash64(F.col(f"`{text_col}`")).alias("k2")]
+
+
+def _field(documents: DataFrame, name: str) -> Column:
+    number = documents.columns.index(name)
+    return F.get(F.transform("row", lambda r: r[f"c{number}"]), 0)
 
 
 def _lines(text: Column) -> Column:
@@ -142,36 +141,44 @@ def _lines(text: Column) -> Column:
 
 
 def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The keyed documents (k1, k2, text) and, by document key, the numbers of the long lines that stay."""
+    """The keyed documents (k1, k2, row) and, by document key, the numbers of the long lines that stay."""
     t = threshold
     if min_chars <= 2 * t:
         raise ValueError("lines to compare must have more than twice as many characters as edits allowed")
-    docs = _keyed(documents, id_col, text_col).repartition("k1", "k2")
-    lines = _keyed(documents, id_col, text_col).where("text IS NOT NULL").select("k1", "k2", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    docs, text = _keyed(documents, id_col, text_col), _field(documents, text_col)
+    lines = documents.where(F.col(f"`{text_col}`").isNotNull()).select(*_key(id_col, text_col), F.posexplode(_lines(F.col(f"`{text_col}`"))).alias("pos", "line"))
     long = lines.where(F.length("line") >= min_chars)
     first = long.groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2"), F.length("line").alias("size")).agg(F.min(F.struct("k1", "k2", "pos")).alias("f"))
     first = first.select("id", "f.k1", "f.k2", "f.pos")
-    owned = first.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "id")).alias("own"))  # at most a document's lines
+    owned = first.groupBy("k1", "k2").agg(F.collect_list("pos").alias("own"))  # at most a document's lines
 
     def fetched(wanted: DataFrame, column: str) -> DataFrame:
-        got = docs.join(wanted, ["k1", "k2"]).select("k1", "k2", _lines(F.col("text")).alias("l"), F.explode(column).alias("w"))
-        return got.select("k1", "k2", "w.pos", "w.id", F.get("l", F.col("w.pos")).alias("line"))
-
-    nodes = fetched(owned, "own").withColumn("n", F.length("line")).withColumn("counts", letter_counts(F.col("line")))
-    index = nodes.select(F.explode(segment_keys(F.col("line"), F.col("n"), t)).alias("key"), "id", "counts")
-    probe = nodes.select(F.explode(probe_keys(F.col("line"), F.col("n"), t, min_chars)).alias("key"), F.col("id").alias("id_b"), F.col("counts").alias("counts_b"))
-    close = counts_apart(F.col("counts"), F.col("counts_b")) <= 2 * t
-    same = index.select("key", F.col("id").alias("id_b"), F.col("counts").alias("counts_b"))
-    pairs = index.join(same, (index["key"] == same["key"]) & (F.col("id") < F.col("id_b")) & close).select("id", "id_b")
-    pairs = pairs.union(index.join(probe, (index["key"] == probe["key"]) & (F.col("id") != F.col("id_b")) & close).select("id", "id_b")).distinct()
+        numbered = F.transform(_lines(text), lambda line, i: F.struct(i.alias("pos"), line.alias("line")))
+        got = docs.join(wanted, ["k1", "k2"]).select("k1", "k2", F.explode(F.filter(numbered, lambda x: F.array_contains(column, x["pos"]))).alias("w"))
+        return got.select("k1", "k2", "w.pos", "w.line")
+
+    # role 1: an own segment; role 0: a place to look for another line's segment
+    n = F.length("line")
+    keyed = lambda keys, role: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(role).alias("role")))
+    rows = fetched(owned, "own").select(F.xxhash64("line").alias("id"), letter_counts(F.col("line")).alias("counts"), F.explode(F.concat(keyed(segment_keys(F.col("line"), n, t), 1), keyed(probe_keys(F.col("line"), n, t, min_chars), 0))).alias("k"))
+    rows = rows.select("k.key", F.shiftleft("counts", 1).bitwiseOR(F.col("k.role").cast("long")).alias("counts"), "id").repartition("key")
+    other = rows.select(F.col("key").alias("key_b"), F.col("counts").alias("counts_b"), F.col("id").alias("id_b"))
+    role, role_b = F.col("counts").bitwiseAND(1), F.col("counts_b").bitwiseAND(1)
+    # a condition on both sides at once: filters on one would part the two uses of the exchange
+    roles = (role * 2 + role_b) >= F.when((role_b == 1) & (F.col("id") > F.col("id_b")), 4).otherwise(2)
+    close = counts_apart(F.shiftrightunsigned("counts", 1), F.shiftrightunsigned("counts_b", 1)) <= 2 * t
+    pairs = rows.join(other, (F.col("key") == F.col("key_b")) & (F.col("id") != F.col("id_b")) & roles & close).select("id", "id_b").distinct()
 
     # bring in the places, then the texts of just these lines
-    a, b = (first.select(F.col("id").alias(i), F.struct("k1", "k2", "pos", "id").alias(s)) for i, s in (("id", "a"), ("id_b", "b")))
+    a, b = (first.select(F.col("id").alias(i), F.struct("k1", "k2", "pos").alias(s)) for i, s in (("id", "a"), ("id_b", "b")))
     placed = pairs.join(a, "id").join(b, "id_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    asked = placed.select("a").union(placed.select("b")).distinct().select("a.k1", "a.k2", F.struct("a.pos", "a.id").alias("p")).groupBy("k1", "k2").agg(F.collect_list("p").alias("asked"))
-    text = fetched(asked, "asked").select(F.struct("k1", "k2", "pos", "id").alias("at"), F.split("line", "").alias("chars"))
-    texts = placed.join(text.select(F.col("at").alias("a"), F.col("chars").alias("ca")), "a").join(text.select(F.col("at").alias("b"), F.col("chars").alias("cb")), "b")
-    near = texts.where((F.abs(F.size("ca") - F.size("cb")) <= t) & (edit_distance(F.col("ca"), F.col("cb"), t) <= t)).select("b.k1", "b.k2", "b.pos").distinct()
+    asked = placed.select("a").union(placed.select(F.col("b").alias("a"))).distinct().select("a.k1", "a.k2", "a.pos").groupBy("k1", "k2").agg(F.collect_list("pos").alias("asked"))
+    found = fetched(asked, "asked").select(F.struct("k1", "k2", "pos").alias("at"), "line")
+    texts = placed.join(found.select(F.col("at").alias("a"), F.col("line").alias("la")), "a").join(found.select(F.col("at").alias("b"), F.col("line").alias("lb")), "b")
+    alike = F.abs(F.length("la") - F.length("lb")) <= t
+    for letters in _MORE:
+        alike = alike & (counts_apart(letter_counts(F.col("la"), letters), letter_counts(F.col("lb"), letters)) <= 2 * t)
+    near = texts.where(alike & (edit_distance(F.split("la", ""), F.split("lb", ""), t) <= t)).select("b.k1", "b.k2", "b.pos").distinct()
     stay = first.join(near, ["k1", "k2", "pos"], "left_anti").groupBy("k1", "k2").agg(F.collect_list("pos").alias("stay"))
     return docs, stay
 
@@ -185,22 +192,20 @@ def _rest(text: Column, stay: Column, min_chars: int) -> Column:
 
 def dedup(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text`` (what is left), ``n_lines`` and ``n_removed``."""
-    docs, stay = kept_lines(documents, threshold=threshold, min_chars=min_chars, id_col=id_col, text_col=text_col)
-    rest = docs.join(stay, ["k1", "k2"], "left").select(F.when(F.col("k1") < _LAST, F.col("k1")).alias("doc_id"), "text", _rest(F.col("text"), F.col("stay"), min_chars).alias("rest"))
-    n = F.coalesce(F.size(_lines(F.col("text"))), F.lit(0))
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(n)
-    kept = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("rest"))
+    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs, stay = kept_lines(source, threshold=threshold, min_chars=min_chars)
+    text = _field(source, "text")
+    rest = docs.join(stay, ["k1", "k2"], "left").select(_field(source, "doc_id").alias("doc_id"), F.size(_lines(text)).alias("n"), _rest(text, F.col("stay"), min_chars).alias("rest"))
+    known = F.col("rest").isNotNull()
+    n, kept = F.when(known, F.col("n")).otherwise(0), F.when(known, F.size("rest")).otherwise(0)
     return rest.select("doc_id", F.array_join("rest", "\n").alias("text"), n.cast("long").alias("n_lines"), (n - kept).cast("long").alias("n_removed"))
 
 
 def dedup_documents(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", with_size: str | None = None) -> DataFrame:
     """The documents with all their columns, ``text`` without the removed lines; the column ``with_size``, if any, gets the new length."""
-    _, stay = kept_lines(documents, threshold=threshold, min_chars=min_chars, id_col=id_col, text_col=text_col)
-    keys = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("__k1"), F.xxhash64(F.col(f"`{text_col}`")).alias("__k2")]
-    stay = stay.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("stay").alias("__stay"))
-    joined = documents.select("*", *keys).join(stay, ["__k1", "__k2"], "left")
-    text = F.array_join(_rest(F.col(f"`{text_col}`"), F.col("__stay"), min_chars), "\n")
-    out = joined.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in documents.columns))
+    docs, stay = kept_lines(documents, threshold=threshold, min_chars=min_chars, id_col=id_col, text_col=text_col)
+    text = F.array_join(_rest(_field(documents, text_col), F.col("stay"), min_chars), "\n")
+    out = docs.join(stay, ["k1", "k2"], "left").select(*((text if c == text_col else _field(documents, c)).alias(c) for c in documents.columns))
     return out.withColumn(with_size, F.length(F.col(f"`{text_col}`")).cast(documents.schema[with_size].dataType)) if with_size else out
 
 
