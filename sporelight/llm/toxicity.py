@@ -124,6 +124,25 @@ def _featured(shared):
     return run
 
 
+def _fitted(pick: np.ndarray, ratio: np.ndarray):
+    """One task over the sample: a row for each feature's weight, and the intercept at bucket -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = np.full(_SIZE, -1, np.int32)
+        dense[pick] = np.arange(len(pick), dtype=np.int32)
+        label, size, flat = [], [], []
+        for batch in batches:
+            label.append(np.asarray(batch.column(0)).astype(np.int64))
+            lists = batch.column(1)
+            size.append(np.diff(np.asarray(lists.offsets)))
+            flat.append(dense[np.asarray(lists.flatten())])
+        if label:
+            w, b = fit(np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(size))]), np.concatenate(label), ratio)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(pick, -1), pa.int32()), pa.array(np.append(w * ratio, b))], names=["bucket", "weight"])
+
+    return run
+
+
 class Model(NamedTuple):
     weight: np.ndarray  # float32 by bucket: coefficient times ratio, 0 for all that aren't features
     intercept: float
@@ -173,15 +192,12 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     order = [F.xxhash64("id"), F.col("id")]
     sample = known.where("toxic = 1").orderBy(*order).limit(SAMPLE).union(known.where("toxic = 0").orderBy(*order).limit(SAMPLE))
     chosen = texts.join(F.broadcast(sample), "id").select("toxic", "text")  # the sample has at most 2 * SAMPLE rows
-    fitted = chosen.mapInArrow(_featured(spark.sparkContext.broadcast(wanted)), "toxic int, buckets array<int>").toPandas()
-    size = np.fromiter(map(len, fitted["buckets"]), np.int64, len(fitted))
-    dense = np.full(_SIZE, -1, np.int32)
-    dense[pick] = np.arange(len(pick))
-    flat = np.concatenate([np.zeros(0, np.int32), *fitted["buckets"]]).astype(np.int32)
-    w, b = fit(dense[flat], np.concatenate([[0], np.cumsum(size)]), fitted["toxic"].to_numpy(np.int64), ratio)
+    features = chosen.mapInArrow(_featured(spark.sparkContext.broadcast(wanted)), "toxic int, buckets array<int>")
+    rows = features.repartition(1).mapInArrow(_fitted(pick, ratio), "bucket int, weight double").toPandas()  # the sample is bounded, and so is this task
     weight = np.zeros(_SIZE, np.float32)
-    weight[pick] = w * ratio
-    return Model(weight, float(b))
+    own = rows["bucket"].to_numpy() >= 0
+    weight[rows["bucket"].to_numpy()[own]] = rows["weight"].to_numpy()[own]
+    return Model(weight, float(rows["weight"].to_numpy()[~own].sum()))
 
 
 def score(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
