@@ -93,7 +93,7 @@ class Model:
     def word_scores(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Log-likelihood of each word in each language, up to a constant of the word."""
         out = np.zeros((len(start), len(self.languages)), np.float32)
-        if len(start) == 0:
+        if out.size == 0:
             return out
         for order in ORDERS:
             each = self.logp[_grams(x, order)]
