@@ -235,9 +235,10 @@ def test_base_scores_equal_a_plain_count(spark):
 
 def test_tail_tokens_get_the_same_scores(spark, monkeypatch):
     rng = random.Random(4)
-    df = docs(spark, [prose(rng, 30, vocabulary(rng, 40)) for _ in range(20)])
+    words = vocabulary(rng, 3000)
+    df = docs(spark, [prose(rng, 60, words) for _ in range(60)])
     whole = {r.doc_id: (r.base_score, r.score, r.n_known) for r in classlm.score(df, *classlm.learn(df)).collect()}
-    monkeypatch.setattr(classlm, "HEAD", 10)
+    monkeypatch.setattr(classlm, "HEAD", classlm.CLUSTERED + 1)
     some = {r.doc_id: (r.base_score, r.score, r.n_known) for r in classlm.score(df, *classlm.learn(df)).collect()}
     assert {k: pytest.approx(v) for k, v in whole.items()} == some
 
