@@ -22,3 +22,11 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a written frame that nothing will read any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
