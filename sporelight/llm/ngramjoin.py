@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .components import components
-from .store import written
+from .store import discard, written
 
 COORDINATES = 128
 BAND = 1.5
@@ -293,10 +293,12 @@ def link_components(documents: DataFrame, *, n: int = 3, threshold: Fraction = F
     nodes = members.where("doc_id = node AND n_shingles > 0").select("node").distinct()
     keyed = points.select(F.col("doc_id").alias("node"), "point", "keys").join(nodes, "node", "left_semi")
     # rows that share an id, and equal documents that share one with a node, may give a node several rows: all of them count
-    keys = keyed.select("node", F.explode("keys").alias("key"))
+    # one exchange serves both the aggregate and the join: every row is needed after it anyway
+    keys = keyed.select("node", F.explode("keys").alias("key")).repartition("key")
     shared = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("key", "hub")
     blocks = written(keys.join(shared, "key").distinct(), "blocks")
-    point = keyed.join(blocks.select("node").distinct(), "node", "left_semi").select("node", "point")
+    point = written(keyed.join(blocks.select("node").distinct(), "node", "left_semi").select("node", "point"), "node-points")
+    discard(points)  # all that is still needed of it is in members, blocks and point
     texts = source.withColumnRenamed("doc_id", "node").join(blocks.select("node").distinct(), "node", "left_semi")
 
     stars = blocks.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()

@@ -1,5 +1,5 @@
 """Intermediate tables of the corpus operators (see :mod:`sporelight.store`)."""
 
-from ..store import shared_folder, written
+from ..store import discard, shared_folder, written
 
-__all__ = ["shared_folder", "written"]
+__all__ = ["discard", "shared_folder", "written"]
