@@ -36,35 +36,34 @@ _MORE = ("etaonisr", "hdlcumgp", "bfvwyk,.")
 _LAST = (1 << 63) - 1
 
 
-def _cut(length: Column, i: int, t: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment i of t + 1; the last ones are longer by one."""
-    short = F.floor(length / (t + 1)).cast("int")
-    longer = length % (t + 1)
-    first_long = F.lit(t + 1) - longer
-    return short * i + F.greatest(F.lit(0), F.lit(i) - first_long), short + (F.lit(i) >= first_long).cast("int")
-
-
-def segment_keys(line: Column, length: Column, t: int) -> Column:
-    """Keys of the line's own segments."""
-    keys = []
-    for i in range(t + 1):
-        start, size = _cut(length, i, t)
-        keys.append(F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size)))
-    return F.array(*keys)
-
-
-def probe_keys(line: Column, length: Column, t: int, least: int) -> Column:
-    """Keys of segments of other lines, at most t shorter, that may stand in this one (without its own segments)."""
-    keys = []
+def _probes(t: int) -> list[tuple[int, int, int, int]]:
+    """(gap, segment, shift, role): role 1 is an own segment; role 0 a place where a segment of a line that is ``gap`` shorter may stand."""
+    out = []
     for gap in range(t + 1):
-        other = length - gap
         for i in range(t + 1):
-            start, size = _cut(other, i, t)
             for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1):
-                if gap or shift:
-                    fits = (other >= least) & (start + shift >= 0) & (start + shift + size <= length)
-                    keys.append(F.when(fits, F.xxhash64(other, F.lit(i), F.substring(line, start + shift + 1, size))))
-    return F.array_compact(F.array(*keys))
+                out.append((gap, i, shift, int(not gap and not shift)))
+    return out
+
+
+def line_keys(line: Column, length: Column, t: int, least: int) -> Column:
+    """Array of (key, role), the key null where a segment can't stand.
+
+    A line is cut into t + 1 segments, the last ones longer by one.  The list is
+    a literal that a higher-order function walks: written out, the expressions
+    would make a method too large to be compiled."""
+    specs = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("gap", "i", "shift", "role"), p, strict=True))) for p in _probes(t)))
+
+    def key(p: Column) -> Column:
+        other = length - p["gap"]
+        short = F.floor(other / (t + 1)).cast("int")
+        first_long = F.lit(t + 1) - other % (t + 1)
+        start = short * p["i"] + F.greatest(F.lit(0), p["i"] - first_long) + p["shift"]
+        size = short + (p["i"] >= first_long).cast("int")
+        fits = (other >= least) & (start >= 0) & (start + size <= length)
+        return F.struct(F.when(fits, F.xxhash64(other, p["i"], F.substring(line, start + 1, size))).alias("key"), p["role"].alias("role"))
+
+    return F.transform(specs, key)
 
 
 def letter_counts(line: Column, letters: str = _LETTERS) -> Column:
@@ -146,8 +145,9 @@ def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: i
     if min_chars <= 2 * t:
         raise ValueError("lines to compare must have more than twice as many characters as edits allowed")
     docs, text = _keyed(documents, id_col, text_col), _field(documents, text_col)
-    lines = documents.where(F.col(f"`{text_col}`").isNotNull()).select(*_key(id_col, text_col), F.posexplode(_lines(F.col(f"`{text_col}`"))).alias("pos", "line"))
-    long = lines.where(F.length("line") >= min_chars)
+    # what stands beside a generator is computed for each of its rows, so keys and arrays come before it
+    split = documents.where(F.col(f"`{text_col}`").isNotNull()).select(*_key(id_col, text_col), _lines(F.col(f"`{text_col}`")).alias("l"))
+    long = split.select("k1", "k2", F.posexplode_outer("l").alias("pos", "line")).where(F.length("line") >= min_chars)
     first = long.groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2"), F.length("line").alias("size")).agg(F.min(F.struct("k1", "k2", "pos")).alias("f"))
     first = first.select("id", "f.k1", "f.k2", "f.pos")
     owned = first.groupBy("k1", "k2").agg(F.collect_list("pos").alias("own"))  # at most a document's lines
@@ -157,11 +157,11 @@ def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: i
         got = docs.join(wanted, ["k1", "k2"]).select("k1", "k2", F.explode(F.filter(numbered, lambda x: F.array_contains(column, x["pos"]))).alias("w"))
         return got.select("k1", "k2", "w.pos", "w.line")
 
-    # role 1: an own segment; role 0: a place to look for another line's segment
-    n = F.length("line")
-    keyed = lambda keys, role: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(role).alias("role")))
-    rows = fetched(owned, "own").select(F.xxhash64("line").alias("id"), letter_counts(F.col("line")).alias("counts"), F.explode(F.concat(keyed(segment_keys(F.col("line"), n, t), 1), keyed(probe_keys(F.col("line"), n, t, min_chars), 0))).alias("k"))
-    rows = rows.select("k.key", F.shiftleft("counts", 1).bitwiseOR(F.col("k.role").cast("long")).alias("counts"), "id").repartition("key")
+    nodes = fetched(owned, "own").withColumn("n", F.length("line"))
+    nodes = nodes.select(F.xxhash64("line").alias("id"), F.shiftleft(letter_counts(F.col("line")), 1).alias("counts"), line_keys(F.col("line"), F.col("n"), t, min_chars).alias("keys"))
+    # (explode would also have the keys computed a second time, for a filter on their number)
+    rows = nodes.select("id", "counts", F.explode_outer("keys").alias("k")).where("k.key IS NOT NULL")
+    rows = rows.select("k.key", F.col("counts").bitwiseOR(F.col("k.role").cast("long")).alias("counts"), "id").repartition("key")
     other = rows.select(F.col("key").alias("key_b"), F.col("counts").alias("counts_b"), F.col("id").alias("id_b"))
     role, role_b = F.col("counts").bitwiseAND(1), F.col("counts_b").bitwiseAND(1)
     # a condition on both sides at once: filters on one would part the two uses of the exchange
