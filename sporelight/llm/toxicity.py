@@ -40,6 +40,7 @@ SAMPLE = 4_000
 RIDGE = 0.01
 THRESHOLD = 0.7
 _SIZE = 1 << HASH_BITS
+_CHUNK = 1 << 10  # buckets whose counts travel together
 
 
 def _characters(s: K.Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -92,13 +93,23 @@ def _present(s: K.Slice, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class by bucket; bucket -1 counts all of them."""
-    total, documents = np.zeros((2, _SIZE), np.int32), np.zeros(2, np.int64)
+    """Documents of each class by bucket, in chunks of buckets; chunk -1 counts all of them."""
+    total, documents, sent = np.zeros((2, _SIZE), np.uint16), np.zeros(2, np.int64), np.zeros(2, np.int64)
     place = np.zeros(_SIZE, np.int32)
+
+    def send() -> Iterator[pa.RecordBatch]:
+        whole = np.zeros((2, _CHUNK), np.uint16)
+        whole[:, 0] = documents - sent
+        sent[:] = documents
+        parts = total.reshape(2, -1, _CHUNK).transpose(1, 0, 2)
+        full = np.flatnonzero(parts.any(axis=(1, 2)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1), pa.int32()), pa.array([*(parts[i].tobytes() for i in full), whole.tobytes()], pa.binary())], names=["chunk", "data"])
+        total[:] = 0
+
     for batch in batches:
         toxic = np.asarray(batch.column(0)).astype(np.int64)
-        documents += np.bincount(toxic, minlength=2)
         for s in K.slices(batch.column(1)):
+            documents += np.bincount(toxic[s.first : s.first + s.rows], minlength=2)
             x, offsets = _characters(s)
             grams = list(_buckets(x))
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
@@ -107,9 +118,32 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spots = np.arange(len(own), dtype=np.int32)
                 place[own] = spots
                 total[toxic[s.first + i]][own[place[own] == spots]] += 1
-    at = np.flatnonzero(total.any(0))
-    counts = [pa.array(np.append(total[c][at].astype(np.int64), documents[c])) for c in (0, 1)]
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), *counts], names=["bucket", "clean", "toxic"])
+            if documents.sum() - sent.sum() > 50_000:  # with a batch more still what a chunk's counts can hold
+                yield from send()
+    yield from send()
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by bucket from chunks, which arrive sorted by their number; chunk -1 has the totals."""
+    key, total = None, np.zeros((2, _CHUNK), np.int64)
+
+    def done() -> pa.RecordBatch:
+        if key < 0:
+            bucket, counts = np.array([-1], np.int32), total[:, :1]
+        else:
+            at = np.flatnonzero(total.any(0))
+            bucket, counts = (key * _CHUNK + at).astype(np.int32), total[:, at]
+        return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(counts[0]), pa.array(counts[1])], names=["bucket", "clean", "toxic"])
+
+    for batch in batches:
+        for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if chunk != key:
+                if key is not None:
+                    yield done()
+                key, total = chunk, np.zeros((2, _CHUNK), np.int64)
+            total += np.frombuffer(data, np.uint16).reshape(2, _CHUNK)
+    if key is not None:
+        yield done()
 
 
 def _featured(shared):
@@ -172,8 +206,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     spark = documents.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("toxic"))
     texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(known, "id")
-    counts = written(rows.select("toxic", "text").mapInArrow(_counted, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-grams")
+    rows = texts.join(known.hint("merge"), "id")  # the same join at every size
+    chunks = rows.select("toxic", "text").mapInArrow(_counted, "chunk int, data binary")
+    counts = written(chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_summed, "bucket int, clean long, toxic long"), "toxic-grams")
     whole = counts.where("bucket = -1").first()
     clean_n, toxic_n = (int(whole.clean), int(whole.toxic)) if whole else (0, 0)
     if not clean_n or not toxic_n:
