@@ -173,12 +173,13 @@ def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: i
     a, b = (first.select(F.col("id").alias(i), F.struct("k1", "k2", "pos").alias(s)) for i, s in (("id", "a"), ("id_b", "b")))
     placed = pairs.join(a, "id").join(b, "id_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     asked = placed.select("a").union(placed.select(F.col("b").alias("a"))).distinct().select("a.k1", "a.k2", "a.pos").groupBy("k1", "k2").agg(F.collect_list("pos").alias("asked"))
-    found = fetched(asked, "asked").select(F.struct("k1", "k2", "pos").alias("at"), "line")
-    texts = placed.join(found.select(F.col("at").alias("a"), F.col("line").alias("la")), "a").join(found.select(F.col("at").alias("b"), F.col("line").alias("lb")), "b")
+    # the characters are split before the joins: split in the filter, they would be for every step of the distance
+    found = fetched(asked, "asked").select(F.struct("k1", "k2", "pos").alias("at"), "line", F.split("line", "").alias("chars"))
+    texts = placed.join(found.select(F.col("at").alias("a"), F.col("line").alias("la"), F.col("chars").alias("ca")), "a").join(found.select(F.col("at").alias("b"), F.col("line").alias("lb"), F.col("chars").alias("cb")), "b")
     alike = F.abs(F.length("la") - F.length("lb")) <= t
     for letters in _MORE:
         alike = alike & (counts_apart(letter_counts(F.col("la"), letters), letter_counts(F.col("lb"), letters)) <= 2 * t)
-    near = texts.where(alike & (edit_distance(F.split("la", ""), F.split("lb", ""), t) <= t)).select("b.k1", "b.k2", "b.pos").distinct()
+    near = texts.where(alike & (edit_distance(F.col("ca"), F.col("cb"), t) <= t)).select("b.k1", "b.k2", "b.pos").distinct()
     stay = first.join(near, ["k1", "k2", "pos"], "left_anti").groupBy("k1", "k2").agg(F.collect_list("pos").alias("stay"))
     return docs, stay
 
