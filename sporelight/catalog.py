@@ -2,7 +2,8 @@
 
 The tables aren't biological; each query derives a view of the shape its operator
 takes (hits from line items, contigs from passages, ...) by the same expressions
-on both sides.  All of them run over whole tables.
+on both sides.  They run over whole tables, but for the queries whose SQL is a slice; those
+say so and name the query, without SQL, that does the whole job.
 """
 
 from __future__ import annotations
@@ -102,9 +103,9 @@ def remaining_anti(spark, sf):
     return hits.known(table(spark, sf, "orders").withColumnRenamed("o_orderkey", "seq_id"), ids)[1].select(F.col("seq_id").alias("o_orderkey"), "o_totalprice")
 
 
-def _supplier_groups(spark, sf):
-    """Groups for pruning: suppliers with the parts (contigs) they deliver, as intervals."""
-    li = table(spark, sf, "lineitem").where("l_quantity > 48 AND l_linenumber <= 2").select("l_suppkey", (F.col("l_partkey") % 12).alias("p")).distinct()
+def _supplier_groups(lineitem, contig):
+    """Groups for pruning: suppliers with the parts (``contig``, an integer) they deliver, as intervals."""
+    li = lineitem.select("l_suppkey", contig.alias("p")).distinct()
     sup = li.select(F.lit("blastn").alias("analysis"), F.concat(F.lit("s"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("group_id"), F.lit(400).alias("hit_length"), F.col("p").cast("string").alias("contig_id"), (F.col("p") * 10 + 1).cast("int").alias("s"), (F.col("p") * 10 + 8).cast("int").alias("e"))
     summary = sup.groupBy("analysis", "group_id").agg(F.count("*").alias("contig_count"), F.sum(F.col("e") - F.col("s") + 1).alias("covered_bases")).withColumn("passes_coverage_depth", F.lit(True))
     return summary, sup
@@ -117,14 +118,21 @@ sh AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM g a JOIN g b ON a.p
 
 @query(f"WITH {_GROUPS} SELECT a, b FROM sh JOIN n ON n.id = b WHERE (size - shared) / size <= 0.25 AND (size - shared) * 8 / 400 <= 0.5 AND (size - shared) * 8 <= 100")
 def prune_edges(spark, sf):
-    return hits.redundancy_edges(*_supplier_groups(spark, sf)).select("a", "b")
+    """The SQL's slice: few line items, parts folded onto 12 contigs.  ``prune_edges_whole`` reads the table."""
+    li = table(spark, sf, "lineitem").where("l_quantity > 48 AND l_linenumber <= 2")
+    return hits.redundancy_edges(*_supplier_groups(li, F.col("l_partkey") % 12)).select("a", "b")
+
+
+@query()
+def prune_edges_whole(spark, sf):
+    return hits.redundancy_edges(*_supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey"))).select("a", "b")
 
 
 @query()
 def prune_kernel(spark, sf):
     from .store import written
 
-    summary, sup = _supplier_groups(spark, sf)
+    summary, sup = _supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey"))
     return hits.kernel(summary, written(hits.redundancy_edges(summary, sup), "edges")).select("group_id")
 
 
