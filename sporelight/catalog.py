@@ -317,10 +317,17 @@ def prefix_vote(spark, sf):
 SELECT doc_id, CASE WHEN p < 0 THEN length(s) ELSE p END AS pos3, CASE WHEN p = 0 THEN 'null' WHEN p < 0 THEN 'unmatch' ELSE 'match' END AS status3,
  CASE WHEN p <= 0 THEN 'rejected' WHEN contains(substr(s, 1, p), 'N') THEN 'baseN' WHEN p < 15 THEN 'short' ELSE 'clean' END AS outcome FROM h""")
 def adapter_trim(spark, sf):
+    """The SQL's slice: an exact adapter in the first 60 characters.  ``adapter_trim_whole`` reads whole texts."""
     docs = table(spark, sf, "documents").select("doc_id", F.substring(F.replace("text", F.lit("ß"), F.lit("s")), 1, 60).alias("sequence"))
     return reads.trim(docs, adapter3="the", distance=0).select("doc_id", F.col("pos3").cast("long").alias("pos3"), "status3", "outcome")
 
 
+@query()
+def adapter_trim_whole(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("sequence"))
+    return reads.trim(docs, adapter3="and the of the").select("doc_id", F.col("pos3").cast("long").alias("pos3"), "status3", "outcome")
+
+
 @query("""SELECT CAST(length(text) // 500 AS BIGINT) AS size, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'es') AS es, count(*) FILTER (lang = 'fr') AS fr FROM documents GROUP BY 1""")
 def length_by_sample_pivot(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("lang").alias("sample"), F.repeat(F.lit("A"), F.floor(F.length("text") / 500).cast("int")).alias("trimmed"), F.lit("clean").alias("outcome"))

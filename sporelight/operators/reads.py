@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,19 +46,26 @@ def length_map(histogram: DataFrame) -> DataFrame:
     return histogram.groupBy("contig_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("read_length", "n")))).alias("lengths"))
 
 
-def three_prime_position(sequence: Column, adapter: str, distance: int = 1, seed: int = 11) -> Column:
-    """Where the adapter's first bases stand (from 0): the first exact place, else the first with one mismatch, and so on; the read's length if nowhere."""
-    probe = adapter[:seed].upper()
-    n, k = F.length(sequence), len(probe)
-    at = F.when(n >= k, F.sequence(F.lit(0), n - k)).otherwise(F.array().cast("array<int>"))
-    bases = [F.lit(c) for c in probe]
+def _within(probe: str, distance: int) -> str:
+    """Regular expression of the strings of the probe's length that differ from it in at most ``distance`` places."""
+    if distance <= 0 or not probe:
+        return "".join(map(re.escape, probe))
+    if len(probe) <= distance:
+        return f".{{{len(probe)}}}"
+    return f"(?:{re.escape(probe[0])}{_within(probe[1:], distance)}|.{_within(probe[1:], distance - 1)})"
 
-    def mismatches(i: Column) -> Column:
-        return sum(((F.substring(sequence, i + 1 + j, 1) != b).cast("int") for j, b in enumerate(bases)), F.lit(0))
 
-    exact = F.instr(sequence, probe)
-    near = F.filter(F.transform(at, lambda i: F.struct(mismatches(i).alias("d"), i.alias("i"))), lambda x: x["d"] <= distance)
-    return F.when(exact > 0, exact - 1).when(F.size(near) > 0, F.array_min(near)["i"]).otherwise(n)
+def three_prime_position(sequence: Column, adapter: str, distance: int = 1, seed: int = 11) -> Column:
+    """Where the adapter's first bases stand (from 0): the first exact place, else the first with one mismatch, and so on; the read's length if nowhere.
+
+    A place is the length of what stands before the first match, in one pass over the read for each distance."""
+    probe = adapter[:seed].upper()
+    n, exact = F.length(sequence), F.instr(sequence, probe)
+    before = [F.length(F.get(F.split(sequence, f"(?s){_within(probe, d)}", 2), 0)) for d in range(1, distance + 1)]  # the read's length without a match
+    out = F.when(exact > 0, exact - 1)
+    for at in before[:-1]:
+        out = out.when(at < n, at)
+    return out.otherwise(before[-1] if before else n)
 
 
 def _five_prime(adapter: str, short: int = 5, long: int = 9):

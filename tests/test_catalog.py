@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from sporelight import catalog
+from sporelight.operators import reads
 
 
 def _table(spark, folder, name, rows, schema):
@@ -32,3 +35,39 @@ def test_pruning_reads_every_line_item(spark, tmp_path):
     assert 0 < len(edges) < 12
     assert {(r.a, r.b) for r in catalog.prune_edges_whole(spark, str(tmp_path)).collect()} == {(name(a), name(b)) for a, b in edges}
     assert sorted(r.group_id for r in catalog.prune_kernel(spark, str(tmp_path)).collect()) == sorted(map(name, kept))
+
+
+def test_trimming_reads_whole_texts(spark, tmp_path):
+    rng = random.Random(6)
+    probe = "AND THE OF "  # the adapter's first 11
+
+    def text():
+        s = "".join(rng.choice("acgtnß é😀\n") for _ in range(rng.randint(0, 150)))
+        for _ in range(rng.randint(0, 3)):
+            seed = list(probe)
+            for at in rng.sample(range(11), rng.randint(0, 3)):
+                seed[at] = rng.choice("x😀\n")
+            at = rng.randint(0, len(s))
+            s = s[:at] + "".join(seed).lower() + s[at:]
+        return s
+
+    texts = ["", "and the of ", "x" * 70 + "and the of the", "x" * 70 + "and thy of the", "😀" * 70 + "any the of ", None] + [text() for _ in range(200)]
+    _table(spark, tmp_path, "documents", list(enumerate(texts)), "doc_id long, text string")
+
+    def want(s):
+        up = "".join(c.upper() if c != "ß" else "SS" for c in s)
+        near = [(sum(a != b for a, b in zip(up[i : i + 11], probe)), i) for i in range(len(up) - 10)]
+        return min((x for x in near if x[0] <= 1), default=(0, len(up)))[1]
+
+    got = {r.doc_id: r for r in catalog.adapter_trim_whole(spark, str(tmp_path)).collect()}
+    assert [(i, got[i].pos3) for i, t in enumerate(texts) if t is not None] == [(i, want(t)) for i, t in enumerate(texts) if t is not None]
+    assert got[5].pos3 is None and [(got[i].status3, got[i].outcome) for i in (0, 1, 2, 3)] == [("null", "rejected"), ("null", "rejected"), ("match", "clean"), ("match", "clean")]
+
+
+def test_three_prime_position_at_any_distance(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("AC.") for _ in range(rng.randint(0, 14))) for _ in range(150)]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for probe, d in (("AC.CA", 0), ("AC.CA", 2), ("AC", 2), ("AC", 3)):
+        near = lambda t: min(((m, i) for i in range(len(t) - len(probe) + 1) if (m := sum(a != b for a, b in zip(t[i:], probe))) <= d), default=(0, len(t)))[1]  # noqa: B023, E731
+        assert [r.x for r in df.select(reads.three_prime_position(F.col("s"), probe, d).alias("x")).collect()] == [near(t) for t in texts]
