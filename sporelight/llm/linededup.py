@@ -3,7 +3,8 @@
 A line of at least ``MIN_CHARS`` characters is removed if it equals an earlier
 line, or if an earlier distinct line lies within ``THRESHOLD`` edits of it.
 Order is document id (null last), then the text's hash, then line number.
-Shorter lines are layout and always stay.
+``MIN_CHARS`` is the least length the segments allow; shorter lines (at most twice
+as many characters as edits allowed) always stay, exact copies included.
 
 1. Equal lines are one node, found by hash with map-side minima; text isn't moved.
 2. *Segments*: a line is cut into threshold + 1 even segments; of a line within
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 2
-MIN_CHARS = 24
+MIN_CHARS = 2 * THRESHOLD + 1
 _LETTERS = "etaonis"  # seven counts and the role of a row fit one long
 _MORE = ("etaonisr", "hdlcumgp", "bfvwyk,.")
 _LAST = (1 << 63) - 1

@@ -88,3 +88,13 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     got = sorted(((r.doc_id or 9, r.text) for r in L.dedup(df).collect()))
     assert got == [(1, line), (1, line), (2, ""), (9, "")]
     assert L.dedup(df.limit(0)).count() == 0
+
+
+def test_short_lines_are_compared_down_to_the_methods_bound(spark):
+    rng = random.Random(11)
+    base = ["Read more", "Subscribe now", "12345"] + ["".join(rng.choice("abcé ") for _ in range(rng.randint(4, 23))) for _ in range(12)]
+    documents = [(0, "Read more\nfirst text"), (1, "Read more\nSubscribe now\n1234"), (2, "Read more\nSubscribe now!\n1234\n12345"), (3, "Read more")]
+    documents += [(d, "\n".join(_edited(rng, rng.choice(base), rng.choice([0, 0, 1, 2, 3])) for _ in range(rng.randint(1, 4)))) for d in range(4, 50)]
+    got = {r.doc_id: r.text for r in L.dedup(spark.createDataFrame(documents, "doc_id long, text string")).collect()}
+    assert got == _brute(documents, 2, 5)
+    assert (got[1], got[2], got[3]) == ("Subscribe now\n1234", "1234\n12345", "")
