@@ -162,14 +162,32 @@ def reverse_complement(spark, sf):
 u AS (SELECT ord, s, upper(s) AS u, reverse(translate(upper(s), 'ACGTacgt', 'TGCAtgca')) AS rc FROM r WHERE length(s) > 0)
 SELECT a.ord, a.s AS sequence FROM u a WHERE NOT EXISTS (SELECT 1 FROM u b WHERE (length(b.u) > length(a.u) OR (length(b.u) = length(a.u) AND b.ord < a.ord)) AND (contains(b.u, a.u) OR contains(b.u, a.rc)))""")
 def contained_contigs_anti(spark, sf):
+    """The SQL's slice: benchmark passages only.  ``contained_contigs_documents`` looks for them in the documents."""
     b = table(spark, sf, "benchmark")
     rows = b.select(F.col("item_id").alias("ord"), F.col("text").alias("sequence")).unionAll(b.select((F.col("item_id") + 1000000).alias("ord"), F.substring("text", 5, 40).alias("sequence"))).unionAll(b.where("item_id % 3 = 0").select((F.col("item_id") + 2000000).alias("ord"), F.col("text").alias("sequence")))
     return contigs.drop_contained(rows)
 
 
+@query()
+def contained_contigs_documents(spark, sf):
+    """Documents and passages (numbered from -1 down) that no longer document or passage holds on either strand."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("text").alias("sequence"))
+    return contigs.drop_contained(docs.unionAll(table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("ord"), F.col("text").alias("sequence")))).select("ord")
+
+
 @query("SELECT substr(text, i, 8) AS kmer, count(*) AS n FROM (SELECT text, unnest(range(1, length(text) - 6)) AS i FROM benchmark) GROUP BY 1")
 def kmer_spectrum(spark, sf):
-    words = table(spark, sf, "benchmark").select(F.explode(S.kmers(F.col("text"), 8)).alias("w"))
+    """The SQL's slice: the benchmark table.  ``kmer_spectrum_documents`` counts in the documents."""
+    return _spectrum(table(spark, sf, "benchmark"))
+
+
+@query()
+def kmer_spectrum_documents(spark, sf):
+    return _spectrum(table(spark, sf, "documents"))
+
+
+def _spectrum(texts):
+    words = texts.select(F.explode(S.kmers(F.col("text"), 8)).alias("w"))
     return words.groupBy(F.col("w.kmer").alias("kmer")).agg(F.count("*").alias("n"))
 
 

@@ -48,10 +48,11 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def kmers(s: Column, k: int) -> Column:
-    """Substrings of length k with their start (from 1); none if the text is shorter."""
-    n = F.length(s) - k + 1
-    at = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(i.alias("start"), F.substring(s, i, k).alias("kmer")))
+    """Substrings of length k with their start (from 1); none if the text is shorter.
+
+    One pass of a regular expression: a substring for each start would read a long text once for each."""
+    words = F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))
+    return F.transform(words, lambda w, i: F.struct((i + 1).alias("start"), w.alias("kmer")))
 
 
 def columns_of(query: Column, hit: Column) -> Column:

@@ -1,5 +1,6 @@
 """Queries without SQL, on small tables against plain-Python models."""
 
+import collections
 import random
 
 from pyspark.sql import functions as F
@@ -71,3 +72,19 @@ def test_three_prime_position_at_any_distance(spark):
     for probe, d in (("AC.CA", 0), ("AC.CA", 2), ("AC", 2), ("AC", 3)):
         near = lambda t: min(((m, i) for i in range(len(t) - len(probe) + 1) if (m := sum(a != b for a, b in zip(t[i:], probe))) <= d), default=(0, len(t)))[1]  # noqa: B023, E731
         assert [r.x for r in df.select(reads.three_prime_position(F.col("s"), probe, d).alias("x")).collect()] == [near(t) for t in texts]
+
+
+def test_documents_are_counted_and_searched(spark, tmp_path):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("acgté😀\n ") for _ in range(rng.randint(0, 60))) for _ in range(40)] + ["", None]
+    texts += ["xx gattaca yy", "z" * 40 + "a passage of the benchmark" + "z" * 40]
+    items = ["a passage of the benchmark", "nowhere to be found", "gattaca"]
+    _table(spark, tmp_path, "documents", list(enumerate(texts)), "doc_id long, text string")
+    _table(spark, tmp_path, "benchmark", list(enumerate(items)), "item_id long, text string")
+    want = collections.Counter(t[i : i + 8] for t in texts if t for i in range(len(t) - 7))
+    assert {r.kmer: r.n for r in catalog.kmer_spectrum_documents(spark, str(tmp_path)).collect()} == want
+    rows = [(i, t.upper()) for i, t in enumerate(texts) if t] + [(-1 - i, t.upper()) for i, t in enumerate(items)]
+    turn = lambda s: s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    held = {i for i, s in rows if any((len(o) > len(s) or (len(o) == len(s) and j < i)) and (s in o or turn(s) in o) for j, o in rows)}
+    assert {-1, -3} <= held and -2 not in held
+    assert [r.ord for r in catalog.contained_contigs_documents(spark, str(tmp_path)).collect()] == sorted(i for i, _ in rows if i not in held)
