@@ -35,13 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from . import kernel as K
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 6 << 20
-_MATCHES = "array<struct<item_id:string,item_start:int,start:int,length:int>>"
+_MATCHES = ArrayType(StructType().add("item_id", "string").add("item_start", "integer").add("start", "integer").add("length", "integer"))
 _MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int32()), ("start", pa.int32()), ("length", pa.int32())]))
 
 
@@ -204,8 +205,8 @@ def _passes(frame: DataFrame, ix: Index | None, first: bool, last: bool) -> Data
                     out.pop("text")
                 yield pa.RecordBatch.from_pydict(out)
 
-    row = frame.schema["row"].dataType.simpleString()
-    return frame.mapInArrow(run, f"row {row}, {'' if last else 'text string, '}n_words long, matches {_MATCHES}")
+    schema = StructType([frame.schema["row"], *([] if last else [StructField("text", StringType())])])
+    return frame.mapInArrow(run, schema.add("n_words", "long").add("matches", _MATCHES))
 
 
 def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> Iterator[tuple[list, list, bool]]:

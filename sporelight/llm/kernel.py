@@ -18,12 +18,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+LONG_RUN = 256
 
-_R = np.uint64(0x9E3779B97F4A7C15 | 1)
-_RINV = np.uint64(pow(int(_R), -1, 1 << 64))
-_POWERS: dict[str, np.ndarray] = {}
+_BLOCK = np.uint64(0x9E3779B97F4A7C15)
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 #: word bytes of `[^\x20\x09-\x0D]+`
 SPACE_WORDS = np.ones(256, dtype=bool)
@@ -106,19 +107,6 @@ def runs(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.n
     return start, end, np.searchsorted(start, offsets)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get("r")
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for key, base in (("r", _R), ("i", _RINV)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[key] = np.cumprod(steps, dtype=np.uint64)
-        if size > 8 * SLICE_BYTES:  # a giant document's tables are not kept
-            return _POWERS.pop("r")[:n], _POWERS.pop("i")[:n]
-    return _POWERS["r"][:n], _POWERS["i"][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = x.astype(np.uint64, copy=True)
@@ -130,16 +118,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Where the state of a run begins, by its length.
+_SIZE_STATE = mix(np.arange(1, LONG_RUN + 3))
+
+
 def hash_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each run's bytes (equal bytes: equal hash, wherever they stand)."""
+    """64-bit hash of each run's bytes (equal bytes: equal hash, wherever they stand).
+
+    A run is taken in blocks of eight bytes, each multiplied into the state; the
+    n-th blocks of all runs go together.  Runs of more than ``LONG_RUN`` bytes,
+    few in a slice of bounded size, are hashed one by one."""
+    size = end - start
     if len(start) == 0:
         return np.zeros(0, np.uint64)
-    power, inverse = _powers(len(data) + 1)
-    prefix = np.empty(len(data) + 1, dtype=np.uint64)
-    prefix[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=prefix[1:])
-    value = (prefix[end] - prefix[start]) * inverse[start]
-    return mix(value ^ mix((end - start).astype(np.uint64)))
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    state = (_SIZE_STATE[np.minimum(size, LONG_RUN + 1)] ^ (words[start] & _FIRST_BYTES[np.minimum(size, 8)])) * _BLOCK
+    live, done = np.flatnonzero((size > 8) & (size <= LONG_RUN)), 8
+    while len(live):
+        now = state[live]
+        now ^= now >> np.uint64(32)
+        now ^= words[start[live] + done] & _FIRST_BYTES[np.minimum(size[live] - done, 8)]
+        now *= _BLOCK
+        state[live] = now
+        done += 8
+        live = live[size[live] > done]
+    for i in np.flatnonzero(size > LONG_RUN).tolist():
+        state[i] ^= np.uint64(xxhash.xxh3_64_intdigest(np.ascontiguousarray(data[start[i] : end[i]])))
+    return mix(state)
 
 
 def window_hash(word: np.ndarray, k: int) -> np.ndarray:
@@ -175,10 +182,3 @@ def whole_windows(row_offsets: np.ndarray, k: int, total: int) -> np.ndarray:
             bad = row_offsets[1:-1] - cut
             ok[bad[(bad >= 0) & (bad < n)]] = False
     return ok
-
-
-def crc_mod(column: pa.Array, m: int) -> np.ndarray:
-    """crc32 of the decimal text of each id, modulo m; a null id counts as remainder -1."""
-    import zlib
-
-    return np.array([-1 if v is None else zlib.crc32(str(v).encode()) % m for v in column.to_pylist()], dtype=np.int64)
