@@ -43,7 +43,7 @@ from . import kernel as K
 CAPACITY = 4096
 END_ID = 2
 MAX_WASTE = 1 / 64
-VOCABULARY_LIMIT = 1_500_000
+VOCABULARY_LIMIT = 300_000
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 

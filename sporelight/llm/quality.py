@@ -8,10 +8,19 @@ Viterbi decoding gives the best labelling, and the share of non-space characters
 in content lines decides: a document is kept if it isn't failed by the base
 rules and its content share is at least ``MIN_CONTENT``.
 
-The field is trained by its exact conditional likelihood (forward-backward) on
-at most ``SAMPLE`` labelled documents of each quality, those with the least hash
-of the id; a document's quality labels its lines, as there is no line-level
-truth.  Without both qualities among the labels, every line is content.
+There is no line-level truth, only each document's quality, so the field is
+learned by expectation-maximisation with the quality as a constraint on the
+document's lines as a whole (a bag).  At first each line is scored alone, by the
+log-odds of its features between documents of quality 1 and 0.  Then, ``ROUNDS``
+times: Viterbi labels the lines such that the content share of a document of
+quality 1 is at least ``MIN_CONTENT`` and that of quality 0 below it, by the
+least of a few biases that reaches this; the field is fitted to these labels by
+its exact conditional likelihood (forward-backward).  So the lines of a document
+may differ, and label transitions are learned from where they do.
+
+Training takes at most ``SAMPLE`` labelled documents of each quality, those with
+the least hash of the id, in the order of that hash.  Without both qualities
+among the labels, every line is content.
 
 Base rules (whole texts): ``n_words`` words of anything but ASCII white space,
 ``word_chars`` code points in words, ``n_symbols`` characters of ``#*$%&|<>``,
@@ -34,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import kernel as K
 
@@ -41,7 +51,9 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 MIN_CONTENT = 0.5
 SAMPLE = 3000
-TRAIN_LINES = 200_000
+ROUNDS = 4
+BIASES = (0.0, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
+SLICE_BYTES = 1 << 19
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _ANY = np.ones(256, dtype=bool)
 
@@ -62,7 +74,7 @@ def _bin(x: np.ndarray, edges: tuple) -> np.ndarray:
 
 
 def _count(flags: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(flags) + 1, np.int64)
+    out = np.zeros(len(flags) + 1, np.int32 if len(flags) < 1 << 31 else np.int64)
     np.cumsum(flags, out=out[1:])
     return out
 
@@ -182,36 +194,38 @@ def viterbi(score: np.ndarray, offsets: np.ndarray, move: np.ndarray) -> np.ndar
     return label
 
 
-def _expected(score: np.ndarray, offsets: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _expected(score: np.ndarray, offsets: np.ndarray, move: np.ndarray, steps: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Label probabilities of each line, and expected label pairs summed over all rows (forward-backward)."""
-    forward, backward, steps = np.zeros(score.shape), np.zeros(score.shape), list(_steps(offsets))
-    lse = lambda x, axis: np.logaddexp.reduce(x, axis=axis)
+    forward, backward, steps = np.zeros(score.shape), np.zeros(score.shape), steps or list(_steps(offsets))
+    add = np.logaddexp
     for j, (_, line) in enumerate(steps):
-        forward[line] = score[line] + (lse(forward[line - 1][:, :, None] + move[None], 1) if j else 0)
+        forward[line] = score[line]
+        if j:
+            before = forward[line - 1][:, :, None] + move[None]
+            forward[line] += add(before[:, 0], before[:, 1])
     for _, line in reversed(steps[1:]):
-        backward[line - 1] = lse(move[None] + (score[line] + backward[line])[:, None, :], 2)
+        after = move[None] + (score[line] + backward[line])[:, None, :]
+        backward[line - 1] = add(after[:, :, 0], after[:, :, 1])
     both = forward + backward
-    norm = lse(both, 1)
-    pairs = np.zeros((2, 2))
-    for _, line in steps[1:]:
-        p = forward[line - 1][:, :, None] + move[None] + (score[line] + backward[line])[:, None, :] - norm[line][:, None, None]
-        pairs += np.exp(p).sum(0)
+    norm = add(both[:, 0], both[:, 1])
+    inner = np.concatenate([line for _, line in steps[1:]]) if len(steps) > 1 else np.zeros(0, np.int64)
+    pairs = np.exp(forward[inner - 1][:, :, None] + move[None] + (score[inner] + backward[inner])[:, None, :] - norm[inner][:, None, None]).sum(0)
     return np.exp(both - norm[:, None]), pairs
 
 
-def train(feature: np.ndarray, offsets: np.ndarray, label: np.ndarray, rounds: int = 60, ridge: float = 1e-3) -> Field:
+def train(feature: np.ndarray, offsets: np.ndarray, label: np.ndarray, rounds: int = 60, ridge: float = 1e-3, start: Field | None = None) -> Field:
     """Maximum conditional likelihood by RPROP ascent; lines by offsets, one label for each line."""
-    weight, move = np.zeros((FEATURES, 2)), np.zeros((2, 2))
+    weight, move = (start.weight.copy(), start.move.copy()) if start else (np.zeros((FEATURES, 2)), np.zeros((2, 2)))
     n = max(1, len(label))
     inner = np.ones(len(label), bool)
     inner[offsets[:-1][np.diff(offsets) > 0]] = False
     at = np.flatnonzero(inner)
     truth = np.zeros((2, 2))
     np.add.at(truth, (label[at - 1], label[at]), 1)
-    hard = np.eye(2)[label]
+    hard, steps = np.eye(2)[label], list(_steps(offsets))
     step, before = np.full(FEATURES * 2 + 4, 0.1), np.zeros(FEATURES * 2 + 4)
     for _ in range(rounds):
-        p, pairs = _expected(weight[feature].sum(1), offsets, move)
+        p, pairs = _expected(weight[feature].sum(1), offsets, move, steps)
         gap = hard - p
         g = np.stack([np.bincount(feature.ravel(), np.repeat(gap[:, c], feature.shape[1]), minlength=FEATURES) for c in (0, 1)], axis=1)
         g = np.concatenate([(g / n - ridge * weight).ravel(), ((truth - pairs) / n - ridge * move).ravel()])
@@ -224,50 +238,95 @@ def train(feature: np.ndarray, offsets: np.ndarray, label: np.ndarray, rounds: i
     return Field(weight, move)
 
 
+def content_share(label: np.ndarray, chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Share of each row's characters that stand in content lines."""
+    return K.sums_by_doc(chars * label, offsets) / np.maximum(K.sums_by_doc(chars, offsets), 1)
+
+
+def constrained(score: np.ndarray, offsets: np.ndarray, move: np.ndarray, chars: np.ndarray, quality: np.ndarray) -> np.ndarray:
+    """Viterbi labels that agree with each row's quality, by the least bias towards it that does (or the largest)."""
+    label = np.zeros(len(score), np.int8)
+    size, open_ = np.diff(offsets), np.arange(len(quality))
+    for bias in BIASES:
+        at = np.concatenate([[0], np.cumsum(size[open_])])
+        lines = np.repeat(offsets[:-1][open_] - at[:-1], size[open_]) + np.arange(at[-1])
+        pushed = score[lines].copy()
+        pushed[:, 1] += np.repeat(np.where(quality[open_] == 1, bias, -bias), size[open_])
+        found = viterbi(pushed, at, move)
+        label[lines] = found
+        agree = (content_share(found, chars[lines], at) >= MIN_CONTENT) == (quality[open_] == 1)
+        open_ = open_[~agree]
+        if len(open_) == 0:
+            break
+    return label
+
+
+def train_bags(feature: np.ndarray, offsets: np.ndarray, chars: np.ndarray, quality: np.ndarray, rounds: int = ROUNDS) -> Field:
+    """Learn from documents whose quality is known, but not that of their lines."""
+    owner = np.repeat(quality, np.diff(offsets))
+    seen = np.stack([np.bincount(feature[owner == c].ravel(), minlength=FEATURES) for c in (0, 1)], axis=1) + 1.0
+    odds = np.log(seen / np.array([max(1, (owner == c).sum()) for c in (0, 1)]))
+    field = Field(odds, np.zeros((2, 2)))
+    for i in range(rounds):
+        label = constrained(field.weight[feature].sum(1), offsets, field.move, chars, quality)
+        field = train(feature, offsets, label.astype(np.int64), 40 if i == 0 else 20, start=None if i == 0 else field)
+    return field
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for s in K.slices(batch.column(1)):
+        for s in K.slices(batch.column(2), SLICE_BYTES):
             _, lines = describe(s)
-            flat = lines.feature.astype(np.uint8)
-            packed = [flat[a:b].tobytes() for a, b in zip(lines.offsets[:-1], lines.offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, s.rows), pa.array(packed, pa.binary())], names=["quality", "lines"])
+            flat, chars = lines.feature.astype(np.uint8), lines.chars.astype("<i4")
+            cut = list(zip(lines.offsets[:-1].tolist(), lines.offsets[1:].tolist(), strict=True))
+            packed = [pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (flat, chars)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(s.first, s.rows) for i in (0, 1)), *packed], names=["h", "quality", "lines", "chars"])
 
 
 def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Field:
     """Train on a bounded sample of the labelled documents."""
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(F.col(label_col)).cast("int").alias("quality"))
+    ids, quality = F.col(f"`{id_col}`"), F.col(f"`{label_col}`")
+    known = labels.where(quality.isin(0, 1) & ids.isNotNull()).groupBy(ids.alias("id")).agg(F.min(quality).cast("int").alias("quality"))
     order = [F.xxhash64("id"), F.col("id")]
     sample = known.where("quality = 1").orderBy(*order).limit(SAMPLE).union(known.where("quality = 0").orderBy(*order).limit(SAMPLE))
-    texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(sample), "id").select("quality", "text").mapInArrow(_described, "quality int, lines binary").toPandas()  # at most 2 * SAMPLE rows
-    rows = rows.iloc[np.lexsort((rows["lines"].map(hash), rows["quality"]))] if len(rows) else rows
+    texts = documents.select(ids.alias("id"), F.col(f"`{text_col}`").alias("text"))
+    chosen = texts.join(F.broadcast(sample), "id").select(F.xxhash64("id").alias("h"), "quality", "text")  # the sample has at most 2 * SAMPLE rows
+    rows = chosen.mapInArrow(_described, "h long, quality int, lines binary, chars binary").toPandas()
+    rows = rows.sort_values(["h", "lines"], kind="stable").groupby("h", sort=False).head(1)  # of rows that share an id, one
     if rows["quality"].nunique() < 2:
         return Field(np.zeros((FEATURES, 2)), np.zeros((2, 2)))
     parts = [np.frombuffer(b, np.uint8).reshape(-1, len(BINS)).astype(np.int64) for b in rows["lines"]]
     size = np.fromiter(map(len, parts), np.int64, len(parts))
-    return train(np.concatenate(parts), np.concatenate([[0], np.cumsum(size)]), np.repeat(rows["quality"].to_numpy(np.int64), size))
+    chars = np.concatenate([np.frombuffer(b, "<i4") for b in rows["chars"]]).astype(np.int64)
+    return train_bags(np.concatenate(parts), np.concatenate([[0], np.cumsum(size)]), chars, rows["quality"].to_numpy(np.int64))
 
 
-_FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
+_FIGURES = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"), ("n_repeat_words", "long"), ("base_failed", "boolean"), ("content_share", "double"), ("kept", "boolean")]
 
 
 def judge(documents: DataFrame, field: Field, *, text_col: str = "text", min_content: float = MIN_CONTENT) -> DataFrame:
     """``row`` (all columns of the document) and its figures up to ``kept``."""
     shared = documents.sparkSession.sparkContext.broadcast(field)
-    frame = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), F.col(text_col).alias("text"))
+    # the text travels inside the row alone; its columns are numbered there, so that any name will do
+    place = documents.columns.index(text_col)
+    frame = documents.select(F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns))).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for batch in batches:
-            for s in K.slices(batch.column(1)):
+            rows = batch.column(0)
+            for s in K.slices(rows.field(place), SLICE_BYTES):
                 base, lines = describe(s)
-                label = viterbi(f.weight[lines.feature].sum(1), lines.offsets, f.move)
-                content, total = K.sums_by_doc(lines.chars * label, lines.offsets), K.sums_by_doc(lines.chars, lines.offsets)
+                share = content_share(viterbi(f.weight[lines.feature].sum(1), lines.offsets, f.move), lines.chars, lines.offsets)
                 failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > REPEAT_PERCENT * base[:, 0])
-                share = content / np.maximum(total, 1)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, s.rows), *(pa.array(base[:, i], pa.int64()) for i in range(5)), pa.array(failed), pa.array(share), pa.array(~failed & (share >= min_content))], names=["row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "content_share", "kept"])
+                yield pa.RecordBatch.from_arrays([rows.slice(s.first, s.rows), *(pa.array(base[:, i], pa.int64()) for i in range(5)), pa.array(failed), pa.array(share), pa.array(~failed & (share >= min_content))], names=["row", *(name for name, _ in _FIGURES)])
 
-    return frame.mapInArrow(run, f"row {frame.schema['row'].dataType.simpleString()}, {_FIGURES}")
+    schema = StructType([frame.schema["row"]])
+    for name, kind in _FIGURES:
+        schema.add(name, kind)
+    out = frame.mapInArrow(run, schema)
+    named = F.struct(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(documents.columns)))
+    return out.select(named.alias("row"), *(name for name, _ in _FIGURES))
 
 
 def keep(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
@@ -278,6 +337,5 @@ def keep(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     field = learn(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    ids = documents.select("doc_id", "text")
-    out = judge(ids.select("doc_id", "text"), field)
+    out = judge(documents, field)
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
