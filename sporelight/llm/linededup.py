@@ -7,17 +7,27 @@ Order is document id (null last), then the text's hash, then line number.
 as many characters as edits allowed) always stay, exact copies included.
 
 1. Equal lines are one node, found by hash with map-side minima; text isn't moved.
+   Nodes are numbered in that order by a range sort and written.
 2. *Segments*: a line is cut into threshold + 1 even segments; of a line within
    the threshold at least one segment is unchanged.  Keys are (length, segment
    number, segment hash).  A line also probes the segments of lines that are up
    to ``THRESHOLD`` shorter, at just the starts where an alignment could put them.
-3. Segment and probe keys meet in a join whose condition compares letter counts:
-   an edit changes them by two in sum at most.  So lines that merely share a
-   common stretch aren't emitted as pairs.
-4. Pairs are verified with a banded bit-parallel edit distance: one machine word
+   A key row is the key, the line's number and its role; rows whose key no other
+   line has are left out where they meet, the others form *blocks* and are written.
+3. *Earliest first*: each line of a block is compared with the block's earliest
+   line.  One earlier line within the threshold is all it takes, so of a block of
+   near copies next to nothing is left after as many comparisons as it has lines.
+4. *Rest*: lines that are still open meet the other lines of their blocks.
+5. Before pairs are compared, their letter counts are: an edit changes them by
+   two in sum at most.  The counts (modulo 4, in Gray code) of 31 letters fit one
+   long, and the set bits of two such longs' difference are a lower bound.
+6. Pairs are verified with a banded bit-parallel edit distance: one machine word
    holds the band of the column's vertical differences, a step handles a column.
 
-Document text crosses the network once (by document key, for all uses).
+Each step's result is a written table, so a lost executor costs a step's share
+of one step.  Document text crosses the network by document key, once for the
+keys, once for the lines of blocks and once for the result; each time its shuffle
+files are deleted when the step has been written.
 
 Edge cases: a null text stays null, an empty one empty; line feeds alone separate
 lines; rows equal in id and text are one document and keep the same lines;
@@ -27,13 +37,15 @@ no rows; other columns are carried along unchanged by :func:`dedup_documents`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import discard, written
+
 THRESHOLD = 2
 MIN_CHARS = 2 * THRESHOLD + 1
-_LETTERS = "etaonis"  # seven counts and the role of a row fit one long
-_MORE = ("etaonisr", "hdlcumgp", "bfvwyk,.")
+#: 31 letters: what a line's Gray-coded counts are taken of.
+_LETTERS = " etaonisrhdlcumgpbfvwykjxqz,.éS"
 _LAST = (1 << 63) - 1
 
 
@@ -47,44 +59,33 @@ def _probes(t: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def line_keys(line: Column, length: Column, t: int, least: int) -> Column:
-    """Array of (key, role), the key null where a segment can't stand.
+def line_keys(lines: DataFrame, t: int, least: int) -> DataFrame:
+    """``key, node`` for each segment and probe of the lines (``nid``, ``line``, ``n`` characters); node is twice the number, plus one for an own segment.
 
-    A line is cut into t + 1 segments, the last ones longer by one.  The list is
-    a literal that a higher-order function walks: written out, the expressions
-    would make a method too large to be compiled."""
+    A line is cut into t + 1 segments, the last ones longer by one.  The probes
+    are a literal list that each line is spread over; key and place are then
+    plain expressions of a compiled stage."""
     specs = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("gap", "i", "shift", "role"), p, strict=True))) for p in _probes(t)))
-
-    def key(p: Column) -> Column:
-        other = length - p["gap"]
-        short = F.floor(other / (t + 1)).cast("int")
-        first_long = F.lit(t + 1) - other % (t + 1)
-        start = short * p["i"] + F.greatest(F.lit(0), p["i"] - first_long) + p["shift"]
-        size = short + (p["i"] >= first_long).cast("int")
-        fits = (other >= least) & (start >= 0) & (start + size <= length)
-        return F.struct(F.when(fits, F.xxhash64(other, p["i"], F.substring(line, start + 1, size))).alias("key"), p["role"].alias("role"))
-
-    return F.transform(specs, key)
-
-
-def letter_counts(line: Column, letters: str = _LETTERS) -> Column:
-    """Counts (modulo 256) of up to eight letters in one long."""
+    spread = lines.select("nid", "line", "n", F.explode(specs).alias("p")).select("nid", "line", "n", "p.*")
+    other = F.col("n") - F.col("gap")
+    short = F.expr(f"(n - gap) div {t + 1}").cast("int")
+    first_long = F.lit(t + 1) - other % (t + 1)
+    start = short * F.col("i") + F.greatest(F.lit(0), F.col("i") - first_long) + F.col("shift")
+    size = short + (F.col("i") >= first_long).cast("int")
+    spread = spread.where((other >= least) & (start >= 0) & (start + size <= F.col("n")))
+    return spread.select(F.xxhash64(other, "i", F.substring("line", start + 1, size)).alias("key"), (F.shiftleft("nid", 1) + F.col("role")).alias("node"))
+
+
+def letter_counts(line: Column) -> Column:
+    """Counts (modulo 4) of 31 letters in Gray code, two bits each: the distance of two counts is at least that of the bits."""
     out = F.lit(0).cast("long")
-    for i, c in enumerate(letters):
-        n = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(255).cast("long"), 8 * i))
+    for i, c in enumerate(_LETTERS):
+        gone = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        n = F.shiftright(gone, len(c.encode()) - 1).bitwiseAND(3)  # letters of one or two bytes
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseXOR(F.shiftright(n, 1)).cast("long"), 2 * i))
     return out
 
 
-def counts_apart(a: Column, b: Column) -> Column:
-    """Sum of the differences of two letter counts."""
-    total = F.lit(0)
-    for i in range(8):
-        d = F.abs(F.shiftrightunsigned(a, 8 * i).bitwiseAND(255) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(255))
-        total = total + F.least(d, F.lit(256) - d)
-    return total
-
-
 def edit_distance(a: Column, b: Column, t: int) -> Column:
     """Distance of two strings (arrays of characters) of more than t characters each, lengths at most t apart; larger than t if it isn't within t.
 
@@ -122,9 +123,9 @@ def edit_distance(a: Column, b: Column, t: int) -> Column:
 
 
 def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Key and row of each document.  The row is one opaque value, so that all uses share one exchange."""
+    """Key and row of each document."""
     row = F.array(F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns))))
-    return documents.select(*_key(id_col, text_col), row.alias("row")).repartition("k1", "k2")
+    return documents.select(*_key(id_col, text_col), row.alias("row"))
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
@@ -140,63 +141,89 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The keyed documents (k1, k2, row) and, by document key, the numbers of the long lines that stay."""
-    t = threshold
-    if min_chars <= 2 * t:
-        raise ValueError("lines to compare must have more than twice as many characters as edits allowed")
-    docs, text = _keyed(documents, id_col, text_col), _field(documents, text_col)
+def _fetched(documents: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``nid, line`` of the wanted places (k1, k2, pos, nid)."""
+    places = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "nid")).alias("places"))  # at most a document's lines
+    texts = documents.where(F.col(f"`{text_col}`").isNotNull()).select(*_key(id_col, text_col), F.col(f"`{text_col}`").alias("text"))
+    # the lines get a name, or the text would be split for each of the places
+    picked = F.transform(F.array(_lines(F.col("text"))), lambda lines: F.transform("places", lambda p: F.struct(p["nid"].alias("nid"), F.get(lines, p["pos"]).alias("line"))))
+    return texts.join(places, ["k1", "k2"]).select(F.explode(F.get(picked, 0)).alias("w")).select("w.nid", "w.line")
+
+
+def nodes(documents: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """``nid, k1, k2, pos``: the distinct long lines at their first places, numbered in order."""
     # what stands beside a generator is computed for each of its rows, so keys and arrays come before it
     split = documents.where(F.col(f"`{text_col}`").isNotNull()).select(*_key(id_col, text_col), _lines(F.col(f"`{text_col}`")).alias("l"))
     long = split.select("k1", "k2", F.posexplode_outer("l").alias("pos", "line")).where(F.length("line") >= min_chars)
     first = long.groupBy(F.xxhash64("line").alias("id"), F.hash("line").alias("id2"), F.length("line").alias("size")).agg(F.min(F.struct("k1", "k2", "pos")).alias("f"))
-    first = first.select("id", "f.k1", "f.k2", "f.pos")
-    owned = first.groupBy("k1", "k2").agg(F.collect_list("pos").alias("own"))  # at most a document's lines
-
-    def fetched(wanted: DataFrame, column: str) -> DataFrame:
-        numbered = F.transform(_lines(text), lambda line, i: F.struct(i.alias("pos"), line.alias("line")))
-        got = docs.join(wanted, ["k1", "k2"]).select("k1", "k2", F.explode(F.filter(numbered, lambda x: F.array_contains(column, x["pos"]))).alias("w"))
-        return got.select("k1", "k2", "w.pos", "w.line")
-
-    nodes = fetched(owned, "own").withColumn("n", F.length("line"))
-    nodes = nodes.select(F.xxhash64("line").alias("id"), F.shiftleft(letter_counts(F.col("line")), 1).alias("counts"), line_keys(F.col("line"), F.col("n"), t, min_chars).alias("keys"))
-    # (explode would also have the keys computed a second time, for a filter on their number)
-    rows = nodes.select("id", "counts", F.explode_outer("keys").alias("k")).where("k.key IS NOT NULL")
-    rows = rows.select("k.key", F.col("counts").bitwiseOR(F.col("k.role").cast("long")).alias("counts"), "id").repartition("key")
-    other = rows.select(F.col("key").alias("key_b"), F.col("counts").alias("counts_b"), F.col("id").alias("id_b"))
-    role, role_b = F.col("counts").bitwiseAND(1), F.col("counts_b").bitwiseAND(1)
-    # a condition on both sides at once: filters on one would part the two uses of the exchange
-    roles = (role * 2 + role_b) >= F.when((role_b == 1) & (F.col("id") > F.col("id_b")), 4).otherwise(2)
-    close = counts_apart(F.shiftrightunsigned("counts", 1), F.shiftrightunsigned("counts_b", 1)) <= 2 * t
-    pairs = rows.join(other, (F.col("key") == F.col("key_b")) & (F.col("id") != F.col("id_b")) & roles & close).select("id", "id_b").distinct()
-
-    # bring in the places, then the texts of just these lines
-    a, b = (first.select(F.col("id").alias(i), F.struct("k1", "k2", "pos").alias(s)) for i, s in (("id", "a"), ("id_b", "b")))
-    placed = pairs.join(a, "id").join(b, "id_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    asked = placed.select("a").union(placed.select(F.col("b").alias("a"))).distinct().select("a.k1", "a.k2", "a.pos").groupBy("k1", "k2").agg(F.collect_list("pos").alias("asked"))
+    first = written(first.select("f.k1", "f.k2", "f.pos"), "first-lines")  # the range sort reads it twice
+    numbered = first.repartitionByRange("k1", "k2", "pos").sortWithinPartitions("k1", "k2", "pos").select(F.monotonically_increasing_id().alias("nid"), "k1", "k2", "pos")
+    out = written(numbered, "lines")
+    discard(first)
+    return out
+
+
+def blocks(lines: DataFrame, t: int, min_chars: int) -> DataFrame:
+    """``key, nid, role`` of all keys that several lines have, one of them as an own segment."""
+    rows = line_keys(lines.select("nid", "line", F.length("line").alias("n")), t, min_chars)
+    block = Window.partitionBy("key")
+    met = rows.select("key", "node", F.count("*").over(block).alias("n"), F.max(F.col("node").bitwiseAND(1)).over(block).alias("own"))
+    return met.where("n > 1 AND own = 1").select("key", F.shiftright("node", 1).alias("nid"), F.col("node").bitwiseAND(1).alias("role")).distinct()  # rows equal in id and text give equal rows
+
+
+def _near(pairs: DataFrame, texts: DataFrame, t: int) -> DataFrame:
+    """``nid`` of the later lines (b) of pairs (a, b) within the threshold."""
+    counts = texts.select("nid", "n", "counts")
+    ends = [counts.select(*(F.col(c).alias(f"{c}_{e}") for c in counts.columns)) for e in "ab"]
+    likely = pairs.join(ends[0], F.col("a") == F.col("nid_a")).join(ends[1], F.col("b") == F.col("nid_b"))
+    likely = likely.where((F.abs(F.col("n_a") - F.col("n_b")) <= t) & (F.bit_count(F.col("counts_a").bitwiseXOR(F.col("counts_b"))) <= 2 * t)).select("a", "b")
     # the characters are split before the joins: split in the filter, they would be for every step of the distance
-    found = fetched(asked, "asked").select(F.struct("k1", "k2", "pos").alias("at"), "line", F.split("line", "").alias("chars"))
-    texts = placed.join(found.select(F.col("at").alias("a"), F.col("line").alias("la"), F.col("chars").alias("ca")), "a").join(found.select(F.col("at").alias("b"), F.col("line").alias("lb"), F.col("chars").alias("cb")), "b")
-    alike = F.abs(F.length("la") - F.length("lb")) <= t
-    for letters in _MORE:
-        alike = alike & (counts_apart(letter_counts(F.col("la"), letters), letter_counts(F.col("lb"), letters)) <= 2 * t)
-    near = texts.where(alike & (edit_distance(F.col("ca"), F.col("cb"), t) <= t)).select("b.k1", "b.k2", "b.pos").distinct()
-    stay = first.join(near, ["k1", "k2", "pos"], "left_anti").groupBy("k1", "k2").agg(F.collect_list("pos").alias("stay"))
-    return docs, stay
+    chars = texts.select("nid", F.split("line", "").alias("chars"))
+    both = likely.join(chars.select(F.col("nid").alias("a"), F.col("chars").alias("ca")), "a").join(chars.select(F.col("nid").alias("b"), F.col("chars").alias("cb")), "b")
+    return both.where(edit_distance(F.col("ca"), F.col("cb"), t) <= t).select(F.col("b").alias("nid")).distinct()
+
+
+def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``k1, k2, stay``: by document key, the numbers of the long lines that stay."""
+    t = threshold
+    if min_chars <= 2 * t:
+        raise ValueError("lines to compare must have more than twice as many characters as edits allowed")
+    lines = nodes(documents, min_chars, id_col, text_col)
+    block = written(blocks(_fetched(documents, lines, id_col, text_col), t, min_chars), "line-blocks")
+    asked = lines.join(block.select("nid").distinct(), "nid")
+    texts = written(_fetched(documents, asked, id_col, text_col).select("nid", "line", F.length("line").alias("n"), letter_counts(F.col("line")).alias("counts")).dropDuplicates(["nid"]), "block-lines")
+
+    hubs = written(block.groupBy("key").agg(F.min(F.struct("nid", "role")).alias("hub")).select("key", F.col("hub.nid").alias("hub"), F.col("hub.role").alias("hub_role")), "block-hubs")
+    star = block.join(hubs, "key").where("nid > hub AND role + hub_role > 0").select(F.col("hub").alias("a"), F.col("nid").alias("b")).distinct()
+    near = written(_near(star, texts, t), "near-first")
+    rest = block.join(near, "nid", "left_anti").join(texts.select("nid", "n", "counts"), "nid")
+    open_ = rest.join(hubs, "key").where("nid > hub").select("key", F.col("nid").alias("b"), F.col("role").alias("role_b"), F.col("counts").alias("counts_b"), "hub")
+    others = block.join(texts.select("nid", "counts"), "nid").select("key", F.col("nid").alias("a"), F.col("role").alias("role_a"), F.col("counts").alias("counts_a"))
+    close = F.bit_count(F.col("counts_a").bitwiseXOR(F.col("counts_b"))) <= 2 * t
+    met = (F.col("a") < F.col("b")) & (F.col("a") > F.col("hub")) & (F.col("role_a") + F.col("role_b") > 0) & close
+    pairs = open_.withColumnRenamed("key", "key_b").join(others, (F.col("key") == F.col("key_b")) & met).select("a", "b").distinct()
+    late = written(_near(pairs, texts, t), "near-rest")
+    discard(block, hubs, texts)
+    stay = lines.join(near.union(late), "nid", "left_anti").groupBy("k1", "k2").agg(F.collect_list("pos").alias("stay"))
+    return stay
 
 
 def _rest(text: Column, stay: Column, min_chars: int) -> Column:
     """The lines that stay, in order, as an array."""
     held = F.coalesce(stay, F.array().cast("array<int>"))
-    numbered = F.transform(_lines(text), lambda line, i: F.struct(i.alias("i"), line.alias("line")))
-    return F.transform(F.filter(numbered, lambda x: (F.length(x["line"]) < min_chars) | F.array_contains(held, x["i"])), lambda x: x["line"])
+
+    def rest(lines: Column) -> Column:
+        short = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.length(F.get(lines, i)) < min_chars)
+        return F.transform(F.sort_array(F.concat(held, short)), lambda i: F.get(lines, i))
+
+    return F.get(F.transform(F.array(_lines(text)), rest), 0)
 
 
 def dedup(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text`` (what is left), ``n_lines`` and ``n_removed``."""
-    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    docs, stay = kept_lines(source, threshold=threshold, min_chars=min_chars)
-    text = _field(source, "text")
+    source = documents.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    stay = kept_lines(source, threshold=threshold, min_chars=min_chars)
+    docs, text = _keyed(source, "doc_id", "text"), _field(source, "text")
     rest = docs.join(stay, ["k1", "k2"], "left").select(_field(source, "doc_id").alias("doc_id"), F.size(_lines(text)).alias("n"), _rest(text, F.col("stay"), min_chars).alias("rest"))
     known = F.col("rest").isNotNull()
     n, kept = F.when(known, F.col("n")).otherwise(0), F.when(known, F.size("rest")).otherwise(0)
@@ -205,7 +232,8 @@ def dedup(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int =
 
 def dedup_documents(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", with_size: str | None = None) -> DataFrame:
     """The documents with all their columns, ``text`` without the removed lines; the column ``with_size``, if any, gets the new length."""
-    docs, stay = kept_lines(documents, threshold=threshold, min_chars=min_chars, id_col=id_col, text_col=text_col)
+    stay = kept_lines(documents, threshold=threshold, min_chars=min_chars, id_col=id_col, text_col=text_col)
+    docs = _keyed(documents, id_col, text_col)
     text = F.array_join(_rest(_field(documents, text_col), F.col("stay"), min_chars), "\n")
     out = docs.join(stay, ["k1", "k2"], "left").select(*((text if c == text_col else _field(documents, c)).alias(c) for c in documents.columns))
     return out.withColumn(with_size, F.length(F.col(f"`{text_col}`")).cast(documents.schema[with_size].dataType)) if with_size else out
