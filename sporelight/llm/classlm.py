@@ -1,21 +1,36 @@
 """Brown class-based n-gram scoring.
 
 Words are grouped into classes by the exchange algorithm: a word moves to the
-class that raises the class-bigram mutual information most, until no word moves
-or ``SWEEPS`` is reached.  A text's probability is the product over its tokens
-of class transition times word emission, both with additive smoothing; the
-document's start and end are one end token.
+class that raises the class-bigram mutual information most, until no word moves.
+A text's probability is the product over its tokens of class transition times
+word emission, both with additive smoothing; the document's start and end are one
+end token, which is a class by itself.
 
-What is gathered covers all training documents:
+Every word gets a class:
+
+* the ``CLUSTERED`` most frequent ones by the exchange itself, all other words
+  being one fixed context and the end another;
+* of the rest, those above a count threshold (the least that leaves at most
+  ``ASSIGNED`` of them) by exchange against the classes so found: each goes where
+  its neighbours' classes raise the mutual information most, in Spark, from sums
+  of its contexts;
+* words beyond that, and unseen ones, to the class that holds most tokens with
+  their last three bytes.
+
+What is gathered covers all training documents and grows with them:
 
 1. counts of every distinct token (map-side sums, one shuffle, a written table);
-2. bigram counts over the ``CLUSTERED`` most frequent words, all others falling
-   into a few shape classes; as every token has such a number, class transitions
-   and class totals are sums of this table;
+   thresholds come from a histogram of the counts, a row for each sixteenth of a
+   power of two, so nothing is sorted or limited;
+2. bigrams among the clustered words, then contexts of the assigned ones by class,
+   then transitions between the classes of all tokens: sums of tables whose size
+   the parameters bound;
 3. scoring, narrow: the ``HEAD`` most frequent tokens' counts are broadcast (a
    fixed number of rows), tokens beyond them become (document, token) rows that
    meet the count table in a join and are added up again by document.
 
+A class's words and one unseen word share its probability: emissions add up to 1.
+
 Rules of the words and of the base score are in :func:`score`.
 
 Edge cases: null and empty texts consist of the end token alone; rows with a
@@ -39,42 +54,46 @@ from .store import written
 
 CLASSES = 48
 CLUSTERED = 1000
+ASSIGNED = 1 << 18
 HEAD = 1 << 18
-SWEEPS = 6
 TRANSITION_SMOOTHING = 0.5
 EMISSION_SMOOTHING = 0.1
-SHAPES = 4
 END = np.uint64(0x5EED0E0D)
-_FLUSH = 1 << 22  # tokens that a worker sums up at once
+ENDINGS = 1 << 16
+_FLUSH = 1 << 20  # tokens that a worker sums up at once
 
 
-def _tokens(s: K.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and shape of each token, an end after each row's words, and offsets by row."""
+def _tokens(s: K.Slice, *, endings: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Hash of each token, an end after each row's words; offsets by row; and the bucket of each token's last bytes."""
     data = K.fold(s.data)
     start, end, offsets = K.runs(data, s.offsets, K.SPACE_WORDS)
-    word = K.hash_runs(data, start, end)
-    last, first = data[end - 1] if len(end) else data[:0], data[start] if len(start) else data[:0]
-    shape = np.where(last >= 0x80, 1, np.where((last >= 0x61) & (last <= 0x7A), np.where(first >= 0x80, 2, 0), 3))
-    rows = np.arange(s.rows)
-    out = np.full(len(word) + s.rows, END, np.uint64)
-    kind = np.zeros(len(out), np.int64)
-    at = np.arange(len(word)) + K.doc_of(offsets)
-    out[at], kind[at] = word, shape
-    return out, kind, offsets + np.append(rows, s.rows)
+    out = np.full(len(start) + s.rows, END, np.uint64)
+    at = np.arange(len(start)) + K.doc_of(offsets)
+    out[at] = K.hash_runs(data, start, end)
+    tail = None
+    if endings:
+        tail = np.zeros(len(out), np.int32)
+        last = np.zeros(len(start), np.uint64)
+        for back in (1, 2, 3):
+            inside = end - back >= start
+            last = last << np.uint64(8) | np.where(inside, data[np.maximum(end - back, 0)], 0).astype(np.uint64) if len(start) else last
+        tail[at] = (K.mix(last) & np.uint64(ENDINGS - 1)).astype(np.int32)
+    return out, offsets + np.arange(s.rows + 1), tail
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[np.ndarray] = []
+    held: list[tuple] = []
     size = 0
 
     def flush() -> pa.RecordBatch:
-        value, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "c"])
+        token, tail = (np.concatenate(x) for x in zip(*held, strict=True))
+        value, first, n = np.unique(token, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(tail[first], pa.int32()), pa.array(n.astype(np.int64))], names=["h", "e", "c"])
 
     for batch in batches:
         for s in K.slices(batch.column(0)):
-            token, _, _ = _tokens(s)
-            held.append(token)
+            token, _, tail = _tokens(s, endings=True)
+            held.append((token, tail))
             size += len(token)
             if size > _FLUSH:
                 yield flush()
@@ -83,55 +102,100 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-class Vocabulary(NamedTuple):
-    known: np.ndarray  # sorted hashes of the frequent words
-    number: np.ndarray  # their numbers by frequency
+class Lookup(NamedTuple):
+    known: np.ndarray  # sorted hashes
+    value: np.ndarray
 
-    def numbers(self, token: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        """0 .. CLUSTERED-1 for frequent words, then the shape classes, then the end."""
-        out = CLUSTERED + shape
-        if len(self.known):
-            spot = np.minimum(np.searchsorted(self.known, token), len(self.known) - 1)
-            out = np.where(self.known[spot] == token, self.number[spot], out)
-        return np.where(token == END, CLUSTERED + SHAPES, out)
+    def of(self, token: np.ndarray, default) -> np.ndarray:
+        if not len(self.known):
+            return np.broadcast_to(np.asarray(default, self.value.dtype), token.shape).copy()
+        spot = np.minimum(np.searchsorted(self.known, token), len(self.known) - 1)
+        return np.where(self.known[spot] == token, self.value[spot], default)
 
+    @staticmethod
+    def build(hashes: np.ndarray, value: np.ndarray) -> Lookup:
+        order = np.argsort(hashes)
+        return Lookup(hashes[order], value[order])
 
-SYMBOLS = CLUSTERED + SHAPES + 1
 
+def _summed(shared, cells: int, cells_of):
+    """Counts of the cells that ``cells_of`` finds in a slice, summed by worker."""
 
-def _bigrams(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary.value
-        total = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+        total = np.zeros(cells, np.int64)
         for batch in batches:
             for s in K.slices(batch.column(0)):
-                token, shape, _ = _tokens(s)
-                now = v.numbers(token, shape)
-                if len(now):
-                    before = np.concatenate([[SYMBOLS - 1], now[:-1]])  # each row follows an end
-                    total += np.bincount(before * SYMBOLS + now, minlength=len(total))
+                if s.rows:
+                    total += np.bincount(cells_of(s, shared.value), minlength=cells)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["cell", "n"])
 
     return run
 
 
+def _table(texts: DataFrame, shared, side: int, cells_of) -> np.ndarray:
+    sums = texts.mapInArrow(_summed(shared, side * side, cells_of), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(side * side, np.int64)
+    out[sums["cell"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    return out.reshape(side, side)
+
+
+def _pairs(now: np.ndarray, side: int, end: int) -> np.ndarray:
+    return np.concatenate([[end], now[:-1]]) * side + now  # each row follows an end
+
+
+def _word_pairs(s: K.Slice, clustered: Lookup) -> np.ndarray:
+    """Bigrams of clustered words; then the end, then all others."""
+    n = len(clustered.known)
+    token = _tokens(s)[0]
+    return _pairs(np.where(token == END, n, clustered.of(token, n + 1)), n + 2, n)
+
+
+def _class_pairs(s: K.Slice, classes: Classes) -> np.ndarray:
+    token, _, tail = _tokens(s, endings=True)
+    return _pairs(classes.of(token, tail), classes.end + 1, classes.end)
+
+
+def _contexts(shared):
+    """(number of an assigned word, side and class of its neighbour, times)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, numbered, end = shared.value
+        width = end + 2  # classes, the end, and words without a class so far
+        for batch in batches:
+            for s in K.slices(batch.column(0)):
+                token = _tokens(s)[0]
+                own, number = np.where(token == END, end, label.of(token, end + 1)), numbered.of(token, -1)
+                before = np.concatenate([[end], own[:-1]])
+                after = np.append(own[1:], end)
+                mine = np.flatnonzero(number >= 0)
+                cells = np.concatenate([number[mine] * 2 * width + before[mine], number[mine] * 2 * width + width + after[mine]])
+                cell, n = np.unique(cells, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell // (2 * width), pa.int32()), pa.array(cell % (2 * width), pa.int32()), pa.array(n.astype(np.int64))], names=["number", "cell", "n"])
+
+    return run
+
+
 def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(n: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
-    """Class of each word from a square table of bigram counts among words of descending frequency."""
-    words = len(n)
+def exchange(n: np.ndarray, classes: int, fixed: int = 0) -> np.ndarray:
+    """Class of each word from a square table of bigram counts among words of descending frequency.
+
+    The last ``fixed`` rows and columns are contexts that stay classes by themselves.
+    Each move raises the mutual information, so the sweeps come to an end."""
+    words, all_ = len(n) - fixed, classes + fixed
     n = n.astype(np.float64)
-    label = np.arange(words) % classes
+    label = np.concatenate([np.arange(words) % classes, np.arange(classes, all_)])
     uni_l, uni_r = n.sum(1), n.sum(0)
-    member = np.zeros((words, classes))
-    member[np.arange(words), label] = 1
+    member = np.zeros((len(n), all_))
+    member[np.arange(len(n)), label] = 1
     table = member.T @ n @ member
     left, right = member.T @ uni_l, member.T @ uni_r
-    for _ in range(sweeps):
-        moved = 0
+    moved = True
+    while moved:
+        moved = False
         for w in range(words):
             a, own = label[w], n[w, w]
             r, l = n[w] @ member, n[:, w] @ member
@@ -149,59 +213,118 @@ def exchange(n: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
             diagonal = np.diagonal(table)
             gain = row.sum(1) - np.diagonal(row) + col.sum(0) - np.diagonal(col) + _f(diagonal + r + l + own) - np.diagonal(base)
             gain -= _f(left + uni_l[w]) - _f(left) + _f(right + uni_r[w]) - _f(right)
-            b = int(gain.argmax()) if gain.max() > gain[a] + 1e-9 else a
-            moved += b != a
+            gain = gain[:classes]
+            b = int(gain.argmax()) if gain.max() > gain[a] + 1e-6 * max(1.0, abs(gain[a])) else a
+            moved |= b != a
             label[w], member[w, b] = b, 1
             table[b] += r
             table[:, b] += l
             table[b, b] += own
             left[b] += uni_l[w]
             right[b] += uni_r[w]
-        if not moved:
-            break
-    return label
+    return label[:words]
+
+
+def _assigned(shared):
+    """Best class of each word by what its contexts add to the mutual information of the classes found so far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        width, classes = len(table), len(table) - 2
+        left, right = table.sum(1)[:classes], table.sum(0)[:classes]
+        after, before = table[:classes], table.T[:classes]  # by class and neighbour
+        sides = np.concatenate([before, after], axis=1)
+        base = _f(sides)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                cells = part.column(1)
+                offsets = np.asarray(cells.offsets).astype(np.int64)
+                flat = cells.flatten()
+                cell, n = np.asarray(flat.field(0)).astype(np.int64), np.asarray(flat.field(1)).astype(np.float64)
+                offsets = offsets - offsets[0]
+                gain = _f(sides[:, cell] + n) - base[:, cell]
+                gain = np.add.reduceat(gain, offsets[:-1], axis=1)  # every word has a context
+                times = np.add.reduceat(n * (cell >= width), offsets[:-1])
+                gain -= _f(left[:, None] + times) - _f(left)[:, None] + _f(right[:, None] + times) - _f(right)[:, None]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(gain.argmax(0).astype(np.int32))], names=["number", "class"])
+
+    return run
+
+
+class Classes(NamedTuple):
+    label: Lookup  # classes of the clustered and assigned words
+    ending: np.ndarray  # class by bucket of the last bytes, for all others
+    end: int  # class of the end, the last one
+
+    def of(self, token: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        return np.where(token == END, self.end, self.label.of(token, self.ending[tail])).astype(np.int64)
 
 
 class Model(NamedTuple):
-    vocabulary: Vocabulary
-    label: np.ndarray  # class of each symbol
+    classes: Classes
     transition: np.ndarray  # log10 probabilities by class
     emission: np.ndarray  # log10 denominator of each class
-    head: np.ndarray  # sorted hashes of the broadcast tokens
-    head_count: np.ndarray
+    head: Lookup  # counts of the broadcast tokens
     tokens: int
     distinct: int
     smoothing: float
 
 
-def learn(training: DataFrame, *, text_col: str = "text") -> tuple[Model, DataFrame]:
-    """The model, and the table of all token counts (h, c)."""
-    spark = training.sparkSession
-    texts = training.select(F.col(text_col).alias("text"))
-    counts = written(texts.mapInArrow(_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
+def _most_frequent(counts: DataFrame, limit: int) -> int:
+    """Least count that at most ``limit`` tokens reach."""
+    size = F.floor(F.log2(F.col("c")) * 16)
+    rows = counts.groupBy(size.alias("bin")).agg(F.min("c").alias("least"), F.count("*").alias("n")).collect()  # at most 16 rows a power of two
+    least, seen = None, 0
+    for r in sorted(rows, key=lambda r: -r.bin):
+        seen += r.n
+        if seen > limit:
+            break
+        least = r.least
+    return least if least is not None else max((r.least for r in rows), default=0) * 2 + 1
+
+
+def learn(training: DataFrame, *, text_col: str = "text", classes: int = CLASSES, clustered: int = CLUSTERED, assigned: int = ASSIGNED) -> tuple[Model, DataFrame]:
+    """The model, and the table of all token counts (h, e, c)."""
+    share = training.sparkSession.sparkContext.broadcast
+    texts = training.select(F.col(f"`{text_col}`").alias("text"))
+    counts = written(texts.mapInArrow(_counts, "h long, e int, c long").groupBy("h").agg(F.max("e").alias("e"), F.sum("c").alias("c")), "counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("c"), "h").limit(HEAD).toPandas()
-    hashes, c = head["h"].to_numpy(np.int64).view(np.uint64), head["c"].to_numpy(np.int64)
-    frequent = hashes[hashes != END][:CLUSTERED]
-    order = np.argsort(frequent)
-    vocabulary = Vocabulary(frequent[order], order)
-    cells = texts.mapInArrow(_bigrams(spark.sparkContext.broadcast(vocabulary)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-    n[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
-    n = n.reshape(SYMBOLS, SYMBOLS)
-    own = CLASSES + SHAPES + 1  # shapes and the end are classes by themselves
-    label = np.concatenate([exchange(n[:CLUSTERED, :CLUSTERED], CLASSES), np.arange(CLASSES, own)])
-    member = np.zeros((SYMBOLS, own))
-    member[np.arange(SYMBOLS), label] = 1
-    between, size = member.T @ n @ member, member.T @ n.sum(0)
-    transition = np.log10((between + TRANSITION_SMOOTHING) / (between.sum(1, keepdims=True) + TRANSITION_SMOOTHING * own))
-    # words beyond the clustered ones are spread over the shape classes; each class also keeps room for one unseen word
-    kinds = np.bincount(label[: len(frequent)], minlength=own).astype(np.float64)
-    kinds[CLASSES : CLASSES + SHAPES] = max(0, int(totals.v) - len(frequent) - 1)
-    kinds[-1] = 1
-    emission = np.log10(size + EMISSION_SMOOTHING * (kinds + 1))
-    by = np.argsort(hashes)
-    return Model(vocabulary, label, transition, emission, hashes[by], c[by], int(totals.n), int(totals.v), EMISSION_SMOOTHING), counts
+    least, least_head = _most_frequent(counts, assigned), _most_frequent(counts, HEAD)
+    frame = counts.where(F.col("c") >= min(least, least_head)).toPandas()  # at most the larger bound
+    hashes, c, e = frame["h"].to_numpy(np.int64).view(np.uint64), frame["c"].to_numpy(np.int64), frame["e"].to_numpy(np.int64)
+    head = Lookup.build(hashes[c >= least_head], c[c >= least_head])
+
+    words = (c >= least) & (hashes != END)
+    hashes, c, e = hashes[words], c[words], e[words]
+    order = np.lexsort((hashes, -c))
+    hashes, c, e = hashes[order], c[order], e[order]
+    k = min(clustered, len(hashes))
+    n = _table(texts, share(Lookup.build(hashes[:k], np.arange(k))), k + 2, _word_pairs)
+    label = np.zeros(len(hashes), np.int64)
+    label[:k] = exchange(n, classes, 2)
+    if len(hashes) > k:
+        member = np.zeros((k + 2, classes + 2))
+        member[np.arange(k + 2), np.append(label[:k], [classes, classes + 1])] = 1
+        numbered = Lookup.build(hashes[k:], np.arange(k, len(hashes)))
+        both = share((Lookup.build(hashes[:k], label[:k]), numbered, classes))
+        sums = texts.mapInArrow(_contexts(both), "number int, cell int, n long").groupBy("number", "cell").agg(F.sum("n").alias("n"))
+        cells = sums.groupBy("number").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # at most a cell for each side and class
+        found = cells.mapInArrow(_assigned(share(member.T @ n @ member)), "number int, class int").toPandas()  # at most ``assigned`` rows
+        label[found["number"].to_numpy(np.int64)] = found["class"].to_numpy(np.int64)
+
+    by_ending = np.bincount(e * classes + label, c, minlength=ENDINGS * classes).reshape(ENDINGS, classes)
+    ending = np.where(by_ending.any(1), by_ending.argmax(1), by_ending.sum(0).argmax()).astype(np.uint8)
+    all_ = Classes(Lookup.build(hashes, label.astype(np.uint8)), ending, classes)
+    between = _table(texts, share(all_), classes + 1, _class_pairs)
+    transition = np.log10((between + TRANSITION_SMOOTHING) / (between.sum(1, keepdims=True) + TRANSITION_SMOOTHING * (classes + 1)))
+    # distinct words of each class; a class also keeps room for one unseen word
+    kinds = np.bincount(label, minlength=classes + 1).astype(np.float64)
+    kinds[classes] = totals.n > 0
+    rest = counts.where((F.col("c") < least) & (F.col("h") != F.lit(int(END)))).groupBy("e").agg(F.count("*").alias("n")).toPandas()  # at most ENDINGS rows
+    kinds += np.bincount(ending[rest["e"].to_numpy(np.int64)], rest["n"].to_numpy(np.float64), minlength=classes + 1)
+    emission = np.log10(between.sum(0) + EMISSION_SMOOTHING * (kinds + 1))
+    return Model(all_, transition, emission, head, int(totals.n), int(totals.v), EMISSION_SMOOTHING), counts
 
 
 _SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, own double, h array<long>, m array<int>"
@@ -214,14 +337,11 @@ def _scored(shared, base_smoothing: float):
         m, row = shared.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             for s in K.slices(batch.column(1)):
-                token, shape, offsets = _tokens(s)
-                cls = m.label[m.vocabulary.numbers(token, shape)]
-                before = np.concatenate([[m.label[-1]], cls[:-1]])
-                count = np.full(len(token), -1, np.int64)
-                if len(m.head):
-                    spot = np.minimum(np.searchsorted(m.head, token), len(m.head) - 1)
-                    count = np.where(m.head[spot] == token, m.head_count[spot], -1)
-                tail = count < 0 if m.distinct > len(m.head) else np.zeros(len(token), bool)
+                token, offsets, ending = _tokens(s, endings=True)
+                cls = m.classes.of(token, ending)
+                before = np.concatenate([[m.classes.end], cls[:-1]])
+                count = m.head.of(token, -1)
+                tail = count < 0 if m.distinct > len(m.head.known) else np.zeros(len(token), bool)
                 count = np.where(count < 0, 0, count)
                 own = m.transition[before, cls] - m.emission[cls] + np.where(tail, 0.0, np.log10(count + m.smoothing))
                 base = np.where(tail, 0.0, np.log10(count + base_smoothing)) - np.log10(m.tokens + base_smoothing * (m.distinct + 1))
