@@ -11,21 +11,27 @@ Stages
 ------
 1. *Points* (narrow): set size, set hash, point and block signatures of each
    document, written once.  Equal sets are one node, named by the smallest id.
-2. *Blocks*: the R-tree's root level, cut so that no partner is lost.  Sets with
-   Jaccard >= t and sizes in one band differ in at most d shingles, so of more
-   than d shingle groups at most d differ.  Order a set's groups by size, the
-   largest first, and by number: before the first one that both sets have in
-   common stand at most d others, in either set.  The content hashes of the first
-   d + 1 groups are therefore block keys enough.  As a key is the whole content
+2. *Blocks*: the tree's root level, cut so that no partner is lost.  (Upper corners
+   alone can't serve as that level: in 128 dimensions the corner of a few unrelated
+   documents already dominates every other document, so each would be routed
+   everywhere.)  Sets with Jaccard >= t and sizes in one band differ in at most d
+   shingles, so of more than d shingle groups at most d differ.  Order a set's
+   groups by size, the largest first, and by number: before the first one that both
+   sets have in common stand at most d others, in either set.  The content hashes of
+   the first d + 1 groups are therefore block keys enough; a set has keys for every
+   band that a smaller partner's size may lie in.  As a key is the whole content
    of a large group, a passage that many documents share doesn't bring unrelated
-   documents together.
-3. *Stars*: each node of a block is compared with the block's smallest node;
-   links found merge into components.  A block of near copies costs one pair for
-   each node, not one for each two.
-4. *Rest*: in blocks that still hold several components (equal blocks once), all
-   nodes of different components are searched through R-trees.  Blocks of more
-   than ``LEAF_BLOCK`` nodes are dealt out as pairs of parts, so no task holds an
-   unbounded block.  Survivors are verified; final components follow.
+   documents together.  Blocks of the same nodes are one.
+3. *First partners*: each block is bulk-loaded into R-trees, and each node asks for
+   the entry of smallest id that its bound allows.  Blocks of more than ``PART``
+   nodes are dealt out in parts, each with the block's first part beside it: work
+   grows with the nodes of a block, a block of near copies included.  These pairs
+   are verified, links merge into components.
+4. *Rest*: in blocks that still hold several components, all nodes of different
+   components are searched through R-trees, each part with every other.  Survivors
+   are verified; final components follow.
+
+Pairs are verified on their whole sets of 64-bit shingle hashes.
 
 Nothing is capped: a pair is skipped only if its bound rules it out or its ends
 are already in one component.
@@ -53,7 +59,7 @@ from .store import discard, written
 COORDINATES = 128
 BAND = 1.5
 LEAF = 16  # entries of an R-tree node
-LEAF_BLOCK = 256
+PART = 256
 _POINTS = "doc_id long, n_shingles long, h1 long, h2 long, point binary, keys array<long>"
 
 
@@ -114,10 +120,9 @@ def block_keys(h: np.ndarray, t: Fraction) -> np.ndarray:
     n = len(h)
     if n == 0:
         return np.zeros(0, np.uint64)
-    band = int(np.searchsorted(_EDGES, n, side="right")) - 1
-    bands = [band]
-    if band and t * n <= int(_EDGES[band]) - 1:  # may be the larger partner of a set one band below
-        bands.append(band - 1)
+    least = -(-n * t.numerator // t.denominator)  # size of the smallest partner
+    low, high = (int(x) - 1 for x in np.searchsorted(_EDGES, [least, n], side="right"))
+    bands = range(high, low - 1, -1)
     total = np.concatenate([[np.uint64(0)], np.cumsum(K.mix(h))])
     out = []
     for b in bands:
@@ -203,19 +208,6 @@ class RTree:
         return query, self.order[node]
 
 
-def _bounded(t: Fraction):
-    """Keeps the pairs whose points can reach the threshold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, COORDINATES).astype(np.int64) for i in (2, 3))
-                ok = np.minimum(a, b).sum(1) >= need(a.sum(1), b.sum(1), t)
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
-
-    return run
-
-
 def _verified(n: int, t: Fraction):
     """Keeps the pairs whose shingle sets reach the threshold."""
 
@@ -239,38 +231,56 @@ def _verified(n: int, t: Fraction):
     return run
 
 
-def _searched(t: Fraction):
-    """R-tree search in each block part; rows arrive sorted by (block, part), a group may span batches."""
+def _first_partners(rows: list, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """For each node the one of smallest id, smaller than its own, that the tree finds."""
+    node = np.array([r[0] for r in rows])
+    point = np.frombuffer(b"".join(r[1] for r in rows), np.uint32).reshape(-1, COORDINATES)
+    q, e = RTree(point).search(point, t)
+    q, e = node[q], node[e]
+    q, e = q[e < q], e[e < q]
+    order = np.lexsort((e, q))
+    q, e = q[order], e[order]
+    first = np.append(True, q[1:] != q[:-1])[: len(q)]
+    return e[first], q[first]
+
+
+def _across(rows: list, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of different components that the tree finds between two parts, or within one."""
+    node, side, component = (np.array([r[i] for r in rows]) for i in (0, 2, 3))
+    point = np.frombuffer(b"".join(r[1] for r in rows), np.uint32).reshape(-1, COORDINATES)
+    left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    q, e = RTree(point[right]).search(point[left], t)
+    q, e = left[q], right[e]
+    keep = component[q] != component[e]
+    q, e = node[q[keep]], node[e[keep]]
+    return np.minimum(q, e), np.maximum(q, e)
 
-    def pairs(rows: list) -> tuple[list, list]:
-        node, component = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-        point = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, COORDINATES)
-        side = np.array([r[3] for r in rows])
-        lone = len(np.unique(side)) == 1
-        left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
-        q, e = RTree(point[right]).search(point[left], t)
-        q, e = left[q], right[e]
-        keep = component[q] != component[e]
-        if lone:
-            keep &= node[q] < node[e]
-        q, e = q[keep], e[keep]
-        return np.minimum(node[q], node[e]).tolist(), np.maximum(node[q], node[e]).tolist()
+
+def _searched(t: Fraction, search):
+    """``search`` of the rows of each block part; they arrive sorted by (block, p, q), a part may span batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
+        found, held = [], 0
 
         def emit() -> pa.RecordBatch:
-            a, b = pairs(rows)
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
             for block, p, q, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (block, p, q) != key:
                     if len(rows) > 1:
-                        yield emit()
+                        found.append(search(rows, t))
+                        held += len(found[-1][0])
+                        if held > 1 << 16:
+                            yield emit()
+                            found, held = [], 0
                     key, rows = (block, p, q), []
                 rows.append(rest)
         if len(rows) > 1:
+            found.append(search(rows, t))
+        if found:
             yield emit()
 
     return run
@@ -285,56 +295,69 @@ def _links(pairs: DataFrame, texts: DataFrame, n: int, t: Fraction) -> DataFrame
 def link_components(documents: DataFrame, *, n: int = 3, threshold: Fraction = Fraction(9, 10), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: the smallest id reachable by links of Jaccard >= threshold."""
     t = Fraction(threshold)
-    source = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = documents.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     points = written(source.mapInArrow(_points(n, t), _POINTS), "points")
-    sets = points.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("node"))
+    # written, so that the join's exchanges serve nothing else and Spark may split a large group of exact copies
+    sets = written(points.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("node")), "sets")
     members = points.select("doc_id", "n_shingles", "h1", "h2").join(sets, ["n_shingles", "h1", "h2"], "left")
     members = written(members.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).alias("node")), "members")
     nodes = members.where("doc_id = node AND n_shingles > 0").select("node").distinct()
-    keyed = points.select(F.col("doc_id").alias("node"), "point", "keys").join(nodes, "node", "left_semi")
     # rows that share an id, and equal documents that share one with a node, may give a node several rows: all of them count
-    # one exchange serves both the aggregate and the join: every row is needed after it anyway
-    keys = keyed.select("node", F.explode("keys").alias("key")).repartition("key")
-    shared = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("key", "hub")
-    blocks = written(keys.join(shared, "key").distinct(), "blocks")
+    keyed = points.select(F.col("doc_id").alias("node"), "point", "keys").join(nodes, "node", "left_semi")
+    keys, block = keyed.select("node", F.explode("keys").alias("key")), Window.partitionBy("key")
+    met = keys.select("key", "node", F.min("node").over(block).alias("low"), F.max("node").over(block).alias("high"))
+    blocks = written(met.where("low < high").select("key", "node").distinct(), "blocks")
     point = written(keyed.join(blocks.select("node").distinct(), "node", "left_semi").select("node", "point"), "node-points")
-    discard(points)  # all that is still needed of it is in members, blocks and point
+    discard(points, sets)  # all that is still needed of them is in members, blocks and point
     texts = source.withColumnRenamed("doc_id", "node").join(blocks.select("node").distinct(), "node", "left_semi")
 
-    stars = blocks.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    pa_, pb = (point.select(F.col("node").alias(k), F.col("point").alias(f"p{k}")) for k in "ab")
-    stars = written(stars.join(pb, "b").join(pa_, "a").select("a", "b", "pa", "pb").mapInArrow(_bounded(t), "a long, b long").distinct(), "stars")
-    links = written(_links(stars, texts, n, t).distinct(), "links")
-    found = components(links)
+    def described(state: DataFrame, *more) -> DataFrame:
+        """Size and signature of each block's nodes."""
+        return state.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("x"), *more)
+
+    def alone(sums: DataFrame) -> DataFrame:
+        """``key, parts``: of blocks with the same nodes one is enough."""
+        return sums.groupBy("size", "s", "x").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
 
-    # blocks that still hold several components; of blocks with the same nodes one is enough
-    label = F.coalesce("component", "node").alias("component")
-    state = blocks.select("key", "node").join(found, "node", "left").select("key", "node", label)
-    mixed = state.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("x")).where("c < d")
-    mixed = mixed.groupBy("size", "s", "x").agg(F.min("key").alias("key")).select("key", "size")
-    parts = F.ceil(F.col("size") / LEAF_BLOCK).cast("int")
     part = F.pmod(F.xxhash64("node", F.lit(11)), F.col("parts")).cast("int")
-    rest = state.join(mixed, "key").withColumn("parts", parts).withColumn("part", part)
+
+    def survivors(rows: DataFrame, search, *more: str) -> DataFrame:
+        """Pairs (a, b) that the trees of each (key, p, q) give."""
+        spread = rows.join(point, "node").select("key", "p", "q", "node", "point", *more).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+        return spread.mapInArrow(_searched(t, search), "a long, b long").distinct()
+
+    dealt = blocks.join(alone(described(blocks)), "key").withColumn("part", part)
+    # every part has the first part beside it
+    beside = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
+    first = written(survivors(dealt.select("key", F.lit(0).alias("p"), F.explode(beside).alias("q"), "node"), _first_partners), "first-partners")
+    links = written(_links(first, texts, n, t).distinct(), "links")
+    found = components(links)
+
+    state = blocks.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = described(state, F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
+    rest = state.join(alone(mixed), "key").withColumn("part", part)
     # a part meets itself and every other part once: (p, q) with p <= q
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rest = rest.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "node", "component", "part").join(point, "node")
-    rest = rest.select("key", "p", "q", "node", "component", "point", F.col("part").alias("side"))
-    spread = rest.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    survivors = spread.mapInArrow(_searched(t), "a long, b long").distinct()
-    tried = survivors.join(stars, ["a", "b"], "left_anti")
+    rest = rest.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "node", F.col("part").alias("side"), "component")
+    tried = survivors(rest, _across, "side", "component").join(first, ["a", "b"], "left_anti")
     late = written(_links(tried, texts, n, t).distinct(), "late-links")
-    final = components(links.union(late))
+    final = written(components(links.union(late)), "components")
+    discard(blocks, point, first, links, late)
     return members.join(final, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
 
 
 def keep_one(documents: DataFrame, *, n: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", **options) -> DataFrame:
     """The documents, with all their columns, without those linked with one of smaller id (repeated rows: one stays)."""
     parts = link_components(documents, n=n, threshold=threshold, id_col=id_col, **options)
-    kept = parts.where("component_id = doc_id OR doc_id IS NULL").select("doc_id").distinct()
-    out = documents.join(kept.withColumnRenamed("doc_id", "__kept"), F.col(f"`{id_col}`").eqNullSafe(F.col("__kept")), "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)))
-    named = out.where(F.col(id_col).isNotNull()).withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
-    return named.unionByName(out.where(F.col(id_col).isNull()))
+    free = "_kept"
+    while free.lower() in {c.lower() for c in documents.columns}:
+        free += "_"
+    kept = parts.where("component_id = doc_id OR doc_id IS NULL").select(F.col("doc_id").alias(free)).distinct()
+    own = F.col(f"`{id_col}`")
+    out = documents.join(kept, own.cast("long").eqNullSafe(F.col(free)), "left_semi")
+    order = Window.partitionBy(own).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)))
+    named = out.where(own.isNotNull()).withColumn(free, F.row_number().over(order)).where(F.col(free) == 1).drop(free)
+    return named.unionByName(out.where(own.isNull()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
