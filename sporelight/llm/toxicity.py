@@ -3,8 +3,11 @@
 1. Over *all* labelled training documents, count in how many toxic and clean ones
    each character n-gram (orders 3 to 6 after lower-casing, hashed to
    ``2**HASH_BITS`` buckets) occurs; sums are added up map-side.
-2. Features are the ``FEATURES`` buckets whose log-count ratio is most significant
-   (|ratio| over its standard error at least ``SIGNIFICANCE``).
+2. A bucket qualifies if its log-count ratio is significant (|ratio| over its
+   standard error at least ``SIGNIFICANCE``).  Features are the ``FEATURES`` of them
+   that say most about a document's class (mutual information of presence and
+   class, in nats a document): a size of the model, ranked by a measure that
+   doesn't grow with the number of rows, so that it selects alike at every size.
 3. A logistic model is fitted to presence * ratio of those features on at most
    ``SAMPLE`` documents of each class, those with the least hash of the id.
 4. Scoring is narrow and takes whole texts, slice by slice.
@@ -25,7 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
@@ -35,7 +38,6 @@ HASH_BITS = 20
 ORDERS = (3, 4, 5, 6)
 FEATURES = 12_000
 SIGNIFICANCE = 4.0
-LEAST_DOCUMENTS = 3
 SAMPLE = 4_000
 RIDGE = 0.01
 THRESHOLD = 0.7
@@ -92,6 +94,14 @@ def _present(s: K.Slice, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both >> HASH_BITS, both & (_SIZE - 1)
 
 
+def _bounded(slices: Iterator[K.Slice], rows: int = 1 << 15) -> Iterator[K.Slice]:
+    """The slices, cut to at most so many rows."""
+    for s in slices:
+        for at in range(0, s.rows, rows):
+            cut = s.offsets[at : at + rows + 1]
+            yield K.Slice(s.first + at, s.data[cut[0] : cut[-1]], cut - cut[0], s.null[at : at + rows])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each class by bucket, in chunks of buckets; chunk -1 counts all of them."""
     total, documents, sent = np.zeros((2, _SIZE), np.uint16), np.zeros(2, np.int64), np.zeros(2, np.int64)
@@ -108,7 +118,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         toxic = np.asarray(batch.column(0)).astype(np.int64)
-        for s in K.slices(batch.column(1)):
+        for s in _bounded(K.slices(batch.column(1))):
+            if documents.sum() - sent.sum() + s.rows > 65_535:  # no count may go beyond 16 bits
+                yield from send()
             documents += np.bincount(toxic[s.first : s.first + s.rows], minlength=2)
             x, offsets = _characters(s)
             grams = list(_buckets(x))
@@ -118,8 +130,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spots = np.arange(len(own), dtype=np.int32)
                 place[own] = spots
                 total[toxic[s.first + i]][own[place[own] == spots]] += 1
-            if documents.sum() - sent.sum() > 50_000:  # with a batch more still what a chunk's counts can hold
-                yield from send()
     yield from send()
 
 
@@ -201,11 +211,23 @@ def fit(bucket: np.ndarray, offsets: np.ndarray, label: np.ndarray, ratio: np.nd
     return w, b
 
 
+def _information(toxic_n: int, clean_n: int) -> Column:
+    """Mutual information of a bucket's presence in a document and the document's class."""
+    n = float(toxic_n + clean_n)
+    present = F.col("toxic") + F.col("clean")
+
+    def cell(both: Column, margin: Column, class_n: int) -> Column:
+        return F.when(both > 0, both / n * F.log(both * n / (margin * class_n))).otherwise(0.0)
+
+    absent = n - present
+    return cell(F.col("toxic"), present, toxic_n) + cell(F.col("clean"), present, clean_n) + cell(toxic_n - F.col("toxic"), absent, toxic_n) + cell(clean_n - F.col("clean"), absent, clean_n)
+
+
 def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from the labelled documents among these rows."""
     spark = documents.sparkSession
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("toxic"))
-    texts = documents.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    known = labels.where(F.col(f"`{label_col}`").isin(0, 1) & F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("id")).agg(F.max(F.col(f"`{label_col}`")).cast("int").alias("toxic"))
+    texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = texts.join(known.hint("merge"), "id")  # the same join at every size
     chunks = rows.select("toxic", "text").mapInArrow(_counted, "chunk int, data binary")
     counts = written(chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_summed, "bucket int, clean long, toxic long"), "toxic-grams")
@@ -217,8 +239,8 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", te
     p, q = F.col("toxic") + 0.5, F.col("clean") + 0.5
     ratio_ = F.log(p / (toxic_n + 1.0)) - F.log(q / (clean_n + 1.0))
     error = F.sqrt(1 / p - 1 / (toxic_n + 1.0) + 1 / q - 1 / (clean_n + 1.0) + 1e-12)
-    table = counts.where((F.col("bucket") >= 0) & (F.col("toxic") + F.col("clean") >= LEAST_DOCUMENTS)).select("bucket", ratio_.alias("ratio"), (F.abs(ratio_) / error).alias("strength"))
-    table = table.where(F.col("strength") >= SIGNIFICANCE).orderBy(F.desc("strength"), "bucket").limit(FEATURES).toPandas()
+    table = counts.where("bucket >= 0").select("bucket", ratio_.alias("ratio"), (F.abs(ratio_) / error).alias("strength"), _information(toxic_n, clean_n).alias("information"))
+    table = table.where(F.col("strength") >= SIGNIFICANCE).orderBy(F.desc("information"), "bucket").limit(FEATURES).toPandas()
     pick, ratio = table["bucket"].to_numpy(np.int64), table["ratio"].to_numpy(np.float64)
     wanted = np.zeros(_SIZE, bool)
     wanted[pick] = True
@@ -249,7 +271,7 @@ def score(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_co
                 p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.first, s.rows), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return documents.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
