@@ -28,11 +28,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VERDICTS = "page_id long, host string, path string, rule string, verdict string"
-_SCHEMA = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("rule", pa.string()), ("verdict", pa.string())])
 BLOCK = 4096
 
 
@@ -95,7 +94,7 @@ class Automaton:
         state = 0
 
         def put(table: np.ndarray, bytes_: Sequence[int] | slice, bit: int) -> None:
-            table[bytes_, bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
+            table[bytes_ if isinstance(bytes_, slice) else list(bytes_), bit // 64] |= np.uint64(1) << np.uint64(bit % 64)
 
         for g, items in enumerate(positions):
             self.start[state // 64] |= np.uint64(1) << np.uint64(state % 64)
@@ -104,9 +103,13 @@ class Automaton:
                     put(self.loop, slice(None), state)
                 elif kind == "segment":
                     put(self.loop, [c for c in range(256) if c != 0x2F], state)
+                elif kind == "one":  # a character's first byte, then those that continue it
+                    state += 1
+                    put(self.move, [c for c in range(256) if c & 0xC0 != 0x80], state)
+                    put(self.loop, range(0x80, 0xC0), state)
                 else:
                     state += 1
-                    put(self.move, slice(None) if kind == "one" else [value[0]], state)
+                    put(self.move, [value[0]], state)
             self.accept[g] = state
             state += 1
 
@@ -133,17 +136,11 @@ class Automaton:
         return out
 
 
-def split_url(url: str | None) -> tuple[str, str]:
-    if url is None or "://" not in url:
-        return "", ""
-    rest = url.split("://", 1)[1]
-    end = min((i for i in (rest.find(c) for c in "/?#") if i >= 0), default=len(rest))
-    host, tail = rest[:end], rest[end:]
-    stop = min((i for i in (tail.find(c) for c in "?#") if i >= 0), default=len(tail))
-    return host.translate(_LOWER), tail[:stop]
-
-
-_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+def host_and_path(url: Column) -> tuple[Column, Column]:
+    """Host (lower-case) and path of a URL; both empty for null or without ``://``."""
+    pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    part = lambda i: F.coalesce(F.regexp_extract(url, pattern, i), F.lit(""))
+    return F.translate(part(1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), part(2)
 
 
 def filter_urls(pages: DataFrame, *, rules: Sequence[Rule] = RULES, block_globs: Sequence[str] = GLOBS, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -157,15 +154,16 @@ def filter_urls(pages: DataFrame, *, rules: Sequence[Rule] = RULES, block_globs:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)
-                split = [split_url(u) for u in part.column(1).to_pylist()]
-                fits = automaton.match([f".{h}{p}".encode() for h, p in split])
+                fits = automaton.match(part.column(3).to_pylist())
                 ruled, n = fits[:, : len(rules)], len(rules)
-                best = np.where(ruled.any(1), ruled.argmax(1), n) if n else np.zeros(len(split), np.int64)
+                best = np.where(ruled.any(1), ruled.argmax(1), n) if n else np.zeros(part.num_rows, np.int64)
                 verdict = verdicts[best]
                 verdict[(best == n) & fits[:, n:].any(1)] = "block"
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([h for h, _ in split], pa.string()), pa.array([p for _, p in split], pa.string()), pa.array(names[best], pa.string()), pa.array(verdict, pa.string())], schema=_SCHEMA)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(names[best], pa.string()), pa.array(verdict, pa.string())], names=["page_id", "host", "path", "rule", "verdict"])
 
-    return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url")).mapInArrow(run, VERDICTS)
+    host, path = host_and_path(F.col(f"`{url_col}`"))
+    split = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
+    return split.select("page_id", "host", "path", F.concat(F.lit("."), "host", "path").cast("binary").alias("text")).mapInArrow(run, VERDICTS)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
