@@ -8,14 +8,15 @@ Weak parts mean nothing alone: ``ident`` (an account or client name, or an AKIA
 run too short for ``access``), ``secret`` (a long token mixing digits and
 letters, or a named value too short for ``assign``) and ``endpoint`` (an IPv4
 address or URL).  They are linked by an interval join within scopes: two parts
-of a document co-occur if their starts are at most ``SCOPE`` characters apart.
+of a document co-occur if at most ``SCOPE`` characters lie between them.
 A ``secret`` is reported where an identifier co-occurs, an ``ident`` where a
 secret does, an ``endpoint`` where both do; base findings count as parts too.
 
-The interval join is binned by ``SCOPE``: for each document, role and bin only
-the first and last start are needed to tell whether something lies within reach
-of a part in this or a neighbouring bin, so each part meets at most three rows
-for each role and no group of pairs arises.
+The interval join is binned by ``SCOPE``: a part counts in every bin it reaches
+into.  For each document, role and bin only the least start and the greatest end
+are needed to tell whether something lies within reach of a part in this or a
+neighbouring bin, so each part meets at most one row for each role in the bins it
+touches and their neighbours, and no group of pairs arises.
 
 Match positions are sums of lengths: ``split`` gives what lies between the
 matches that ``regexp_extract_all`` lists.  Positions are code points.
@@ -44,6 +45,7 @@ IDENT = r"""(?i:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']
 TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}"
 ENDPOINT = r"(?:https?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?)|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{1,5})?(?![0-9])"
 
+_CHUNK = 256
 _EMPTY = "array<struct<start:int,end:int,size:int>>"
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -53,7 +55,6 @@ def _matches(df: DataFrame, name: str, pattern: str, group: int = 0) -> DataFram
     df = df.withColumn("_m", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
     sizes = F.regexp_extract_all("text", F.lit(pattern), F.lit(group)) if group else F.col("_m")
     steps = F.arrays_zip(F.transform(F.split("text", pattern, -1), lambda x: F.length(x)).alias("gap"), F.transform("_m", lambda x: F.length(x)).alias("own"), F.transform(sizes, lambda x: F.length(x)).alias("size"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_EMPTY).alias("out"))
 
     def step(a: Column, x: Column) -> Column:
         begin = a["at"] + x["gap"]
@@ -61,7 +62,14 @@ def _matches(df: DataFrame, name: str, pattern: str, group: int = 0) -> DataFram
         more = F.when(x["own"].isNotNull(), F.array(F.struct(begin.alias("start"), end.alias("end"), x["size"].alias("size")))).otherwise(F.array().cast(_EMPTY))
         return F.struct(end.alias("at"), F.concat(a["out"], more).alias("out"))
 
-    found = F.aggregate(steps, start, step, lambda a: a["out"])
+    def located(steps: Column) -> Column:
+        # an array grows by copying, so long lists of matches are taken in chunks
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _CHUNK).cast("int")), lambda i: F.slice(steps, i * _CHUNK + 1, F.lit(_CHUNK)))
+        sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["gap"] + F.coalesce(x["own"], F.lit(0))))
+        begun = F.aggregate(sizes, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(chunks, begun, lambda c, at: F.aggregate(c, F.struct(at.alias("at"), F.array().cast(_EMPTY).alias("out")), step, lambda a: a["out"])))
+
+    found = F.get(F.transform(F.array(steps), located), 0)  # names the steps
     return df.withColumn(name, F.when(F.size("_m") > 0, found).otherwise(F.array().cast(_EMPTY))).drop("_m")
 
 
@@ -97,11 +105,11 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``k1, k2, linked``: the weak parts with their complement in scope."""
     has = lambda *kinds: F.exists(F.concat("base", "weak"), lambda s: s["kind"].isin(*(KINDS.index(k) for k in kinds)))
     likely = found.where((F.size("weak") > 0) & has("access", "ident") & has("assign", "hex", "secret")).select("k1", "k2", F.explode(F.concat("base", "weak")).alias("s")).select("k1", "k2", "s.start", "s.kind", "s.end").distinct()
-    bin_ = F.floor(F.col("start") / scope)
+    bins = lambda more: F.explode(F.sequence(F.floor(F.col("start") / scope) - more, F.floor((F.col("end") - 1) / scope) + more)).alias("bin")
     role = F.when(F.col("kind").isin(KINDS.index("access"), KINDS.index("ident")), "i").when(F.col("kind") != KINDS.index("endpoint"), "s")
-    reach = likely.where(role.isNotNull()).groupBy("k1", "k2", role.alias("role"), bin_.alias("bin")).agg(F.min("start").alias("low"), F.max("start").alias("high"))
-    near = likely.where(F.col("kind") >= KINDS.index("ident")).withColumn("bin", F.explode(F.array(bin_ - 1, bin_, bin_ + 1)))
-    near = near.join(reach, ["k1", "k2", "bin"]).where((F.abs(F.col("start") - F.col("low")) <= scope) | (F.abs(F.col("start") - F.col("high")) <= scope))
+    reach = likely.where(role.isNotNull()).select("k1", "k2", role.alias("role"), "start", "end", bins(0)).groupBy("k1", "k2", "role", "bin").agg(F.min("start").alias("low"), F.max("end").alias("high"))
+    near = likely.where(F.col("kind") >= KINDS.index("ident")).select("*", bins(1))
+    near = near.join(reach, ["k1", "k2", "bin"]).where((F.col("low") - F.col("end") <= scope) & (F.col("start") - F.col("high") <= scope))
     roles = near.groupBy("k1", "k2", "start", "kind", "end").agg(F.max((F.col("role") == "i").cast("int")).alias("i"), F.max((F.col("role") == "s").cast("int")).alias("s"))
     kept = roles.where(((F.col("kind") == KINDS.index("secret")) & (F.col("i") == 1)) | ((F.col("kind") == KINDS.index("ident")) & (F.col("s") == 1)) | ((F.col("kind") == KINDS.index("endpoint")) & (F.col("i") == 1) & (F.col("s") == 1)))
     return kept.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "kind", "end")).alias("linked"))
