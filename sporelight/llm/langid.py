@@ -1,10 +1,10 @@
 """Language identification as inference of a language mixture.
 
-Each language has a smoothed model of hashed byte n-grams (orders 1 to 4, word
-boundaries included) learned from the labelled training documents.  A document
+Each language has a smoothed model of hashed byte n-grams (orders 1 to 4, inside a word
+with its boundaries) learned from the labelled training documents.  A document
 is a mixture: each of its words was written in one of its languages, with
 likelihood given by the word's n-grams.  Expectation-maximisation estimates the
-proportions; starting from all languages, the one with the least share is taken
+proportions until they change by less than ``TOLERANCE``; starting from all languages, the one with the least share is taken
 away step by step, and the set with the largest penalised likelihood (a BIC
 term for each language) is the document's.  The prediction is its largest
 member, the score that member's share.
@@ -34,7 +34,7 @@ from . import kernel as K
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SMOOTHING = 0.2
-ROUNDS = 8
+TOLERANCE = 1e-4  # change of a share at which a document's estimate has converged
 PENALTY = 3.0
 
 _LETTERS = np.zeros(256, dtype=bool)
@@ -54,8 +54,13 @@ def _padded(s: K.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return out, place, place + size + 2, offsets
 
 
+def _places(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Place of each byte in its word; words follow each other."""
+    return np.arange(int((end - start).sum())) - np.repeat(start - start[0], end - start)
+
+
 def _grams(x: np.ndarray, order: int) -> np.ndarray:
-    """Bucket of the n-gram that ends at each byte."""
+    """Bucket of the n-gram that ends at each byte; it lies in one word where the byte's place there is at least order - 1."""
     h = np.full(len(x), np.uint32(order * 0x9E3779B1 & 0xFFFFFFFF))
     for back in range(order):
         h *= np.uint32(0x85EBCA6B)
@@ -70,17 +75,18 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for s in K.slices(batch.column(1)):
-            x, _, end, offsets = _padded(s)
+            x, start, end, offsets = _padded(s)
             if len(x) == 0:
                 continue
             edge = np.concatenate([[0], end])[offsets]  # byte range of each row
             own = np.array(langs[s.first : s.first + s.rows])
-            row = np.repeat(np.arange(s.rows), np.diff(edge))
+            row, place = np.repeat(np.arange(s.rows), np.diff(edge)), _places(start, end)
+            grams = [(order, _grams(x, order)) for order in ORDERS]
             for lang in set(own.tolist()):
                 mine = (own == lang)[row]
                 sums = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                for order in ORDERS:
-                    sums += np.bincount(_grams(x, order)[mine], minlength=BUCKETS)
+                for order, gram in grams:
+                    sums += np.bincount(gram[mine & (place >= order - 1)], minlength=BUCKETS)
     for lang, sums in total.items():
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(sums[at])], names=["lang", "bucket", "n"])
@@ -91,15 +97,19 @@ class Model:
         self.languages, self.logp = languages, logp  # BUCKETS x languages
 
     def word_scores(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Log-likelihood of each word in each language, up to a constant of the word."""
-        out = np.zeros((len(start), len(self.languages)), np.float32)
-        if out.size == 0:
-            return out
+        """Log-likelihood of each word in each language, up to a constant of the word.  Each distinct word is scored once."""
+        if len(start) == 0 or not self.languages:
+            return np.zeros((len(start), len(self.languages)), np.float32)
+        data = x.astype(np.uint8)
+        _, first, which = np.unique(K.hash_runs(data, start, end), return_index=True, return_inverse=True)
+        size = (end - start)[first]
+        place = np.cumsum(size) - size
+        own = x[np.repeat(start[first] - place, size) + np.arange(size.sum())]
+        out, at = np.zeros((len(first), len(self.languages)), np.float32), _places(place, place + size)
         for order in ORDERS:
-            each = self.logp[_grams(x, order)]
-            out += np.add.reduceat(each, start, axis=0)
+            out += np.add.reduceat(np.where((at >= order - 1)[:, None], self.logp[_grams(own, order)], 0), place, axis=0)
         out /= len(ORDERS)
-        return out - out.max(axis=1, keepdims=True)
+        return (out - out.max(axis=1, keepdims=True))[which.reshape(-1)]
 
 
 def learn(documents: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -114,6 +124,23 @@ def learn(documents: DataFrame, *, text_col: str = "text", lang_col: str = "lang
     return Model(languages, np.log(p).astype(np.float32))
 
 
+def _converge(like: np.ndarray, share: np.ndarray, starts: np.ndarray, count: np.ndarray) -> None:
+    """Expectation-maximisation of each row's proportions, in place, until none of a row's changes by ``TOLERANCE``; rows that have converged drop out."""
+    live, owner = np.arange(len(share)), np.repeat(np.arange(len(share)), count)
+    while True:
+        joint = like * share[live][owner]
+        joint /= joint.sum(1, keepdims=True)
+        new = np.add.reduceat(joint, starts, axis=0) / count[:, None]
+        going = np.abs(new - share[live]).max(1) > TOLERANCE
+        share[live] = new
+        if not going.any():
+            return
+        if going.mean() < 0.7:
+            kept = going[owner]
+            like, count, live = like[kept], count[going], live[going]
+            starts, owner = np.cumsum(count) - count, np.repeat(np.arange(len(live)), count)
+
+
 def mixtures(score: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Proportions of the selected languages for each row (zero elsewhere), rows without words all zero; and the penalised likelihoods."""
     rows, k = len(offsets) - 1, score.shape[1]
@@ -129,16 +156,14 @@ def mixtures(score: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     share = np.full((len(full), k), 1.0 / k)
     active = np.ones((len(full), k), bool)
     top, top_value = share.copy(), np.full(len(full), -np.inf)
+    starts = first - first[0]
     for left in range(k, 0, -1):
         share = np.where(active, share, 0.0)
         share /= share.sum(1, keepdims=True)
-        for _ in range(ROUNDS if left > 1 else 1):
-            joint = like * share[owner]
-            total = joint.sum(1)
-            joint /= total[:, None]
-            if left > 1:
-                share = np.add.reduceat(joint, first - first[0] if first[0] else first, axis=0) / count[:, None]
-        log = np.add.reduceat(np.log(total), first - first[0] if first[0] else first)
+        if left > 1:
+            _converge(like, share, starts, count)
+        total = (like * share[owner]).sum(1)
+        log = np.add.reduceat(np.log(total), starts)
         now = log - PENALTY * left * np.log(count + 1.0)
         better = now > top_value
         top[better], top_value[better] = share[better], now[better]
