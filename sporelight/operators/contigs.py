@@ -26,35 +26,40 @@ def drop_contained(records: DataFrame, k: int = 16) -> DataFrame:
     """Records that aren't, on either strand, part of a longer record (or of an equally long earlier one); empty ones go.
 
     Containment is transitive, so comparing with all longer records equals
-    comparing with kept ones.  Equal sequences meet by equality.  A contained
-    record's first k-mer occurs in its container: candidates come from that
-    equi-join; for records shorter than k the k-mer is the whole record, one
+    comparing with kept ones.  Equal sequences meet by equality.  All k-mers of a
+    contained record occur in its container, either strand's counting as one: the
+    record asks for the one of least hash, which common passages rarely supply.
+    That equi-join moves numbers only; texts are fetched for the candidates it
+    leaves.  Records shorter than k are asked for by all their letters, in one
     join for each such length."""
     rows = records.where(F.length("sequence") > 0).withColumn("u", F.upper("sequence")).withColumn("rc", reverse_complement(F.col("u"))).withColumn("n", F.length("u"))
-    key = F.least("u", "rc")
-    first = rows.groupBy(key.alias("key")).agg(F.min("ord").alias("ord"))
+    first = rows.groupBy(F.least("u", "rc").alias("key")).agg(F.min("ord").alias("ord"))
     rows = rows.join(first.select("ord"), "ord", "left_semi")
     sizes = sorted(r.k for r in rows.select(F.least("n", F.lit(k)).alias("k")).distinct().collect())  # at most k lengths
-    gone = None
+    pairs = None
     for size in sizes:
-        small = rows.where(F.least("n", F.lit(k)) == size).select("ord", "u", "rc", "n", F.explode(F.array(F.substring("u", 1, size), F.substring("rc", 1, size))).alias("kmer")).distinct()
-        big = rows.select(F.col("ord").alias("ord_b"), F.col("u").alias("u_b"), F.col("n").alias("n_b"), F.explode(F.array_distinct(F.transform(kmers(F.col("u"), size), lambda w: w["kmer"]))).alias("kmer"))
-        inside = F.col("u_b").contains(F.col("u")) | F.col("u_b").contains(F.col("rc"))
-        hit = small.join(big, "kmer").where((F.col("n_b") > F.col("n")) & inside).select("ord")
-        gone = hit if gone is None else gone.union(hit)
-    return (rows if gone is None else rows.join(gone.distinct(), "ord", "left_anti")).select(*records.columns).orderBy("ord")
+        words = F.transform(kmers(F.col("u"), size), lambda w: F.least(w["kmer"], reverse_complement(w["kmer"])))
+        asked = F.array_min(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w"))))["w"]
+        small = rows.where(F.least("n", F.lit(k)) == size).select("ord", "n", asked.alias("kmer"))
+        big = rows.where(F.col("n") > size).select(F.col("ord").alias("ord_b"), F.col("n").alias("n_b"), F.explode(F.array_distinct(words)).alias("kmer"))
+        met = small.join(big, "kmer").where(F.col("n_b") > F.col("n")).select("ord", "ord_b")
+        pairs = met if pairs is None else pairs.union(met)
+    if pairs is None:
+        return rows.select(*records.columns)
+    inside = F.col("u_b").contains(F.col("u")) | F.col("u_b").contains(F.col("rc"))
+    texts = pairs.join(rows.select(F.col("ord").alias("ord_b"), F.col("u").alias("u_b")), "ord_b").join(rows.select("ord", "u", "rc"), "ord")
+    return rows.join(texts.where(inside).select("ord").distinct(), "ord", "left_anti").select(*records.columns).orderBy("ord")
 
 
 def statistics(records: DataFrame) -> DataFrame:
-    """One row: numSeqs, numBases, numOK (ACGT), numNs, minLen, avgLen, maxLen, n50_asc (cumulated from the shortest)."""
-    n = F.length("sequence")
-    by_length = records.groupBy(n.alias("len")).agg(F.count("*").alias("c"))  # a row for each length
+    """One row of numbers over the records that aren't empty: numSeqs, numBases, numOK (all but N), numNs, minLen, avgLen, maxLen, n50_asc (cumulated from the shortest); 0 where there are none."""
+    rows = records.select("sequence", F.length("sequence").alias("len")).where("len > 0")
+    by_length = rows.groupBy("len").agg(F.count("*").alias("c"))  # a row for each length
     window = Window.orderBy("len").rowsBetween(Window.unboundedPreceding, 0)
     reached = by_length.withColumn("cum", F.sum(F.col("len") * F.col("c")).over(window)).withColumn("all", F.sum(F.col("len") * F.col("c")).over(Window.partitionBy()))
     half = reached.where(F.col("cum") * 2 >= F.col("all")).agg(F.min("len").cast("double").alias("n50_asc"))
-    ok = F.length(F.regexp_replace("sequence", "[^ACGTacgt]", ""))
-    unknown = F.length(F.regexp_replace("sequence", "[^Nn]", ""))
-    sums = records.agg(F.count("*").cast("double").alias("numSeqs"), F.sum(n).cast("double").alias("numBases"), F.sum(ok).cast("double").alias("numOK"), F.sum(unknown).cast("double").alias("numNs"), F.min(n).cast("double").alias("minLen"), F.avg(n).alias("avgLen"), F.max(n).cast("double").alias("maxLen"))
+    unknown = F.col("len") - F.length(F.translate("sequence", "Nn", ""))
+    sums = rows.agg(F.count("*").cast("double").alias("numSeqs"), F.sum("len").cast("double").alias("numBases"), F.sum(F.col("len") - unknown).cast("double").alias("numOK"), F.sum(unknown).cast("double").alias("numNs"), F.min("len").cast("double").alias("minLen"), F.avg("len").alias("avgLen"), F.max("len").cast("double").alias("maxLen"))
     return sums.crossJoin(half).na.fill(0.0)  # one row by one row
 
 
@@ -64,35 +69,70 @@ def kmer_counts(reads: DataFrame, k: int) -> DataFrame:
     return words.groupBy(F.least("kmer", reverse_complement(F.col("kmer"))).alias("kmer")).agg(F.count("*").alias("n"))
 
 
+def _ancestors(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``x, p, d, done``: the first node of each node's chain and the distance to it; not done are the nodes of cycles.
+
+    Each round some chain's nodes get done, so the number of open ones falls until only cycles are left."""
+    into = links.withColumnRenamed("x", "p").withColumnRenamed("y", "x")
+    first = nodes.join(links.select(F.col("y").alias("x")), "x", "left_anti").select(F.col("x").alias("p"), F.lit(True).alias("head"))
+    state = nodes.join(into, "x", "left").select("x", F.coalesce("p", "x").alias("p"), F.when(F.col("p").isNotNull(), 1).otherwise(0).cast("long").alias("d"))
+    state = written(state.join(first, "p", "left").select("x", "p", "d", F.coalesce("head", F.lit(False)).alias("done")), "graph-state")
+    open_, before = state.where("NOT done").count(), None
+    while open_ and open_ != before:
+        up = state.select(F.col("x").alias("p"), F.col("p").alias("pp"), F.col("d").alias("dd"), F.col("done").alias("up"))
+        jumped = state.where("NOT done").join(up, "p").select("x", F.col("pp").alias("p"), (F.col("d") + F.col("dd")).alias("d"), F.col("up").alias("done"))
+        state = written(state.where("done").unionByName(jumped), "graph-state")
+        open_, before = state.where("NOT done").count(), open_
+    return state
+
+
+def _least_of_cycles(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``x, m``: the least node, either strand's, of the cycle that each node is on, by doubling the stretch looked at."""
+    into = links.withColumnRenamed("x", "p").withColumnRenamed("y", "x")
+    state, mark = written(nodes.join(into, "x").select("x", "p", F.least("x", "p", reverse_complement(F.col("x")), reverse_complement(F.col("p"))).alias("m")), "graph-cycles"), None
+    while True:
+        now = state.agg(F.sum(F.xxhash64("x", "m").cast("decimal(20,0)"))).first()[0]
+        if now == mark:
+            return state.select("x", "m")
+        mark = now
+        up = state.select(F.col("x").alias("p"), F.col("p").alias("pp"), F.col("m").alias("mm"))
+        state = written(state.join(up, "p").select("x", F.col("pp").alias("p"), F.least("m", "mm").alias("m")), "graph-cycles")
+
+
+def _opened(least: DataFrame, links: DataFrame) -> DataFrame:
+    """The links of cycles, each cycle opened before its least node, or behind that node's reverse complement: both strands give one sequence."""
+    own = least.where("x = m").select("m").distinct().withColumn("own", F.lit(True))
+    known = links.join(least.withColumnRenamed("x", "y"), "y").join(own, "m", "left")
+    return known.where((F.col("y") != F.col("m")) & (F.col("own").isNotNull() | (F.col("x") != reverse_complement(F.col("m"))))).select("x", "y")
+
+
+def assemble_many(reads: DataFrame, sizes: list[int], long_reads: bool = False, min_coverage: int = 2, min_length: int = 30) -> DataFrame:
+    """Contigs of several k-mer sizes together, without those that another one holds; long (mRNA) reads take the largest size only."""
+    chosen = [max(31, *sizes)] if long_reads else sizes
+    parts = [assemble(written(kmer_counts(reads, k), f"kmers-{k}"), k, min_coverage, min_length) for k in chosen]
+    return drop_contained(combine(*parts))
+
+
 def assemble(counts: DataFrame, k: int, min_coverage: int = 2, min_length: int = 30) -> DataFrame:
     """Unitigs of the de Bruijn graph of k-mers seen at least ``min_coverage`` times: ``ord, header, seq_id, sequence``.
 
     Both strands are nodes.  A link joins a k-mer to the only one that can follow
     it, if it is also the only one before that.  Chains are gathered by pointer
-    jumping: each round doubles the distance to the known ancestor."""
+    jumping: each round doubles the distance to the known ancestor.  A cycle that
+    nothing leads into, such as a circular genome, begins at its least k-mer."""
     nodes = counts.where(F.col("n") >= min_coverage).select(F.explode(F.array_distinct(F.array("kmer", reverse_complement(F.col("kmer"))))).alias("x"))
     nodes = written(nodes, "graph-nodes")
     left = nodes.select("x", F.substring("x", 2, k - 1).alias("o"))
     right = nodes.select(F.col("x").alias("y"), F.substring("x", 1, k - 1).alias("o"))
     alone = lambda df, c: df.groupBy("o").agg(F.count("*").alias("m"), F.min(c).alias(c)).where("m = 1").drop("m")
     links = written(alone(left, "x").join(alone(right, "y"), "o").where("x <> y").select("x", "y"), "graph-links")
-    # state: each node's ancestor p and its distance d; heads are their own
-    state = nodes.join(links.withColumnRenamed("x", "p").withColumnRenamed("y", "x"), "x", "left").select("x", F.coalesce("p", "x").alias("p"), F.when(F.col("p").isNotNull(), 1).otherwise(0).cast("long").alias("d"))
-    state, before = written(state, "graph-state"), None
-    while True:
-        open_ = state.agg(F.sum("d")).first()[0] or 0
-        if open_ == before:
-            break
-        before = open_
-        up = state.select(F.col("x").alias("p"), F.col("p").alias("pp"), F.col("d").alias("dd"))
-        jumped = state.join(up, "p").select("x", F.col("pp").alias("p"), (F.col("d") + F.col("dd")).alias("d"))
-        # on a cycle distances would grow for ever: there the least node seen ends the jump
-        state = written(jumped.withColumn("d", F.when(F.col("p") == F.col("x"), 0).otherwise(F.col("d"))), "graph-state")
-        if before > 1 << 60:
-            break
-    heads = state.join(links.select(F.col("y").alias("p")), "p", "left_anti")  # chains that begin somewhere; whole cycles are left out
+    chained = _ancestors(nodes, links)
+    # what never ends are whole cycles
+    round_ = chained.where("NOT done").select("x")
+    if not round_.isEmpty():
+        chained = chained.where("done").unionByName(_ancestors(round_, written(_opened(_least_of_cycles(round_, links), links), "graph-links")))
     order = F.array_sort(F.collect_list(F.struct("d", "x")))
-    chains = heads.groupBy("p").agg(order.alias("c")).select(F.concat(F.col("p"), F.array_join(F.transform(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), lambda s: F.substring(s["x"], -1, 1)), "")).alias("sequence"))
+    chains = chained.groupBy("p").agg(order.alias("c")).select(F.concat(F.col("p"), F.array_join(F.transform(F.slice("c", 2, F.greatest(F.size("c") - 1, F.lit(0))), lambda s: F.substring(s["x"], -1, 1)), "")).alias("sequence"))
     unique = chains.select(F.least("sequence", reverse_complement(F.col("sequence"))).alias("sequence")).distinct().where(F.length("sequence") >= min_length)
     placed = with_place(unique.withColumn("_at", F.struct(-F.length("sequence"), "sequence")), "_at")
     name = F.concat(F.lit("NODE_"), (F.col("_place") + 1).cast("string"))

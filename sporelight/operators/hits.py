@@ -46,9 +46,13 @@ def hit_order() -> list[Column]:
 
 
 def best_by(hits: DataFrame, *keys: str) -> DataFrame:
-    """The best hit for each key."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*hit_order()))
-    return hits.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    """The best hit for each key: a least struct, so that each task sends one row a key and no group is sorted.
+
+    Hits must not be null in the columns of :func:`hit_order`; ``ord`` is one for each hit (a number or a struct)."""
+    rank = F.struct(F.col("evalue"), -F.col("bit_score"), -F.col("query_coverage"), -F.col("percent_identity"), -F.col("alignment_length"), "hit_id", "ord")
+    rest = [c for c in hits.columns if c not in keys]
+    best = hits.groupBy(*keys).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in rest)), rank).alias("_best"))
+    return best.select(*keys, "_best.*").select(*(F.col(f"`{c}`") for c in hits.columns))
 
 
 def best_by_contig(hits: DataFrame) -> DataFrame:
@@ -92,6 +96,14 @@ def covered_by(intervals: DataFrame, *keys: str, start: str = "s", end: str = "e
     return intervals.withColumn("_new", fresh).groupBy(*keys).agg(F.sum("_new").cast("long").alias("covered_bases"))
 
 
+def covered_in_order(intervals: DataFrame, at: str, mode: str, *keys: str) -> DataFrame:
+    """``covered_bases`` of each key's intervals (s, e) by ``mode``, taken in the order of the column ``at``."""
+    if mode == "union":
+        return covered_by(intervals.select(*keys, "s", "e"), *keys)
+    spans = F.transform(F.array_sort(F.collect_list(F.struct(at, "s", "e"))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    return intervals.groupBy(*keys).agg(spans.alias("_spans")).select(*keys, covered(F.col("_spans"), mode).alias("covered_bases"))
+
+
 def summarize(hits: DataFrame, depths: DataFrame, library_size: int, coverage: float = 0.1, depth: float = 5.0, normalized: float = 5.0, mode: str = "reference") -> DataFrame:
     """One row for each reference group of (filtered) hits.
 
@@ -100,18 +112,15 @@ def summarize(hits: DataFrame, depths: DataFrame, library_size: int, coverage: f
     rows = hits.withColumn("group_id", group_id())
     best = best_by(rows, *GROUP, "contig_id").join(depths.select("contig_id", "total_depth"), "contig_id", "left")
     by_best = best.groupBy(*GROUP).agg(F.count("*").alias("contig_count"), F.array_sort(F.collect_set("contig_id")).alias("supporting_contigs"), F.sum(F.col("contig_length").cast("long")).alias("total_contig_length"), F.sum(F.coalesce("total_depth", F.lit(0))).alias("_depth"), F.avg("percent_identity").alias("_identity"), F.min("evalue").alias("best_evalue"), F.max("query_coverage").alias("_coverage"))
-    if mode == "union":
-        by_hit = covered_by(rows.select(*GROUP, low.alias("s"), high.alias("e")), *GROUP)
-    else:
-        spans = F.transform(F.array_sort(F.collect_list(F.struct("ord", low.alias("s"), high.alias("e")))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-        by_hit = rows.groupBy(*GROUP).agg(spans.alias("_spans")).withColumn("covered_bases", covered(F.col("_spans"), mode)).drop("_spans")
+    by_hit = covered_in_order(rows.select(*GROUP, "ord", low.alias("s"), high.alias("e")), "ord", mode, *GROUP)
     same = [F.col(f"b.{g}").eqNullSafe(F.col(f"h.{g}")) for g in GROUP]
     joined = by_best.alias("b").join(by_hit.alias("h"), same).select("b.*", "h.covered_bases")
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    rounded = lambda c, n: F.bround(c, n)  # noqa: E731  half to even
     joined = joined.withColumn("_cov", ratio(F.col("covered_bases"), F.col("hit_length"))).withColumn("_mean", ratio(F.col("_depth"), F.col("total_contig_length")))
     joined = joined.withColumn("_norm", ratio(F.col("_depth") * F.lit(1e6), F.col("total_contig_length") * F.lit(float(library_size))))
     passes = (F.col("_cov") > coverage) & ((F.col("_mean") > depth) | (F.col("_norm") > normalized))
-    return joined.select(*GROUP, "contig_count", "supporting_contigs", "total_contig_length", "covered_bases", F.round("_cov", 6).alias("reference_coverage"), F.round("_mean", 6).alias("reference_depth"), F.round("_norm", 6).alias("normalized_depth"), F.round("_identity", 2).alias("mean_percent_identity"), "best_evalue", F.round("_coverage", 2).alias("max_query_coverage"), passes.alias("passes_coverage_depth"))
+    return joined.select(*GROUP, "contig_count", "supporting_contigs", "total_contig_length", "covered_bases", rounded("_cov", 6).alias("reference_coverage"), rounded("_mean", 6).alias("reference_depth"), rounded("_norm", 6).alias("normalized_depth"), rounded("_identity", 2).alias("mean_percent_identity"), "best_evalue", rounded("_coverage", 2).alias("max_query_coverage"), passes.alias("passes_coverage_depth"))
 
 
 def support(hits: DataFrame) -> DataFrame:
@@ -121,12 +130,16 @@ def support(hits: DataFrame) -> DataFrame:
     return best_by(rows, "analysis", "group_id", "contig_id").select("analysis", "group_id", "hit_length", "contig_id", low.alias("s"), high.alias("e"))
 
 
-def redundancy_edges(summary: DataFrame, supports: DataFrame, ratio: float = 0.25, cover: float = 0.5, length: int = 100) -> DataFrame:
+def redundancy_edges(summary: DataFrame, supports: DataFrame, ratio: float = 0.25, cover: float = 0.5, length: int = 100, mode: str = "union") -> DataFrame:
     """``analysis, a, b``: group a (earlier in order) makes b redundant if a is kept.
 
-    b's contigs beyond a's are few, and cover little of b.  Candidate pairs share
-    a contig, or b's own contigs are few enough by themselves to need none shared
-    (ratio >= 1); groups that share nothing have ratio 1 and no edge."""
+    b's contigs beyond a's are few (at most ``ratio``) and cover little of b:
+    their intervals, in order of their contigs, add up by ``mode`` (see
+    :func:`covered`; ``union`` collects no list).  With a ratio below 1 only pairs
+    that share a contig can meet it, so pairs come from that equi-join.  From 1 on
+    (no use of it is known) a group that covers little by all its contigs is redundant
+    beside any kept one that shares none: in union mode the first group in order,
+    which is always kept, gets these edges, else each earlier group does."""
     order = Window.partitionBy("analysis").orderBy(F.desc("contig_count"), F.desc("covered_bases"), "group_id")
     ranked = summary.where("passes_coverage_depth").select("analysis", "group_id", F.row_number().over(order).alias("rank"))
     mine = supports.join(ranked, ["analysis", "group_id"])
@@ -139,9 +152,22 @@ def redundancy_edges(summary: DataFrame, supports: DataFrame, ratio: float = 0.2
     theirs = mine.select("analysis", F.col("group_id").alias("a"), "contig_id")
     own = few.join(mine.select("analysis", F.col("group_id").alias("b"), "contig_id", "s", "e"), ["analysis", "b"])
     unique = own.join(theirs, ["analysis", "a", "contig_id"], "left_anti")
-    cells = covered_by(unique.select("analysis", "a", "b", "s", "e"), "analysis", "a", "b")
-    joined = few.join(cells, ["analysis", "a", "b"], "left").withColumn("own", F.coalesce("covered_bases", F.lit(0)))
-    return joined.where((F.when(F.col("hit_length") > 0, F.col("own") / F.col("hit_length")).otherwise(0.0) <= cover) & (F.col("own") <= length)).select("analysis", "a", "b")
+
+    def little(groups: DataFrame, intervals: DataFrame, *keys: str) -> DataFrame:
+        cells = covered_in_order(intervals, "contig_id", mode, *keys)
+        joined = groups.join(cells, list(keys), "left").withColumn("own", F.coalesce("covered_bases", F.lit(0)))
+        return joined.where((F.when(F.col("hit_length") > 0, F.col("own") / F.col("hit_length")).otherwise(0.0) <= cover) & (F.col("own") <= length))
+
+    edges = little(few, unique, "analysis", "a", "b").select("analysis", "a", "b")
+    if ratio >= 1:
+        whole = little(size.select("analysis", F.col("group_id").alias("b"), "rank", "hit_length"), mine.select("analysis", F.col("group_id").alias("b"), "contig_id", "s", "e"), "analysis", "b")
+        before = ranked.select("analysis", F.col("group_id").alias("a"), F.col("rank").alias("rank_a"))
+        if mode == "union":  # a part covers no more than the whole, so any kept group will do
+            more = whole.where("rank > 1").join(before.where("rank_a = 1"), "analysis")
+        else:  # an ordered sum may shrink as intervals are added: only groups that share nothing leave the whole
+            more = whole.join(before, "analysis").where("rank_a < rank").join(shared, ["analysis", "a", "b"], "left_anti")
+        edges = edges.union(more.select("analysis", "a", "b")).distinct()
+    return edges
 
 
 def kernel(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -180,6 +206,13 @@ def known(contigs: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
     return contigs.join(ids, "seq_id", "left_semi"), contigs.join(ids, "seq_id", "left_anti")
 
 
+def references_of(references: DataFrame, kept: DataFrame) -> DataFrame:
+    """Reference records (seq_id) whose normalized id is a kept group."""
+    from ..functions.sequence import normalize_id
+
+    return references.join(kept.select(F.col("group_id").alias("_group")).distinct(), normalize_id(F.col("seq_id")) == F.col("_group"), "left_semi")
+
+
 def identity_stats(hits: DataFrame) -> DataFrame:
     return hits.withColumn("group_id", group_id()).groupBy("group_id").agg(F.avg("percent_identity").alias("mean_identity"), F.max("percent_identity").alias("max_identity"), F.min("percent_identity").alias("min_identity"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import identity_text, midline, slug, wrapped
-from ..sources.writers import html_document, html_table
+from ..sources.writers import Markup, html_document, html_table
 from .hits import group_id, identity_stats, interval
 
 LINE_WIDTH = 95
@@ -27,6 +27,11 @@ def accession_link(analysis: Column, group: Column, reference: Column) -> Column
     return F.concat(F.lit("https://www.ncbi.nlm.nih.gov/"), F.when(nucleotide, "nuccore/").otherwise("protein/"), F.when(nucleotide, reference).otherwise(group))
 
 
+def slug_text(text: str) -> str:
+    """The anchor text of :func:`slug` for one value."""
+    return "".join(c if c.isalnum() else "-" for c in text).strip("-") or "item"
+
+
 def strand() -> Column:
     return F.when(F.col("hit_end") >= F.col("hit_start"), "+").otherwise("-")
 
@@ -50,6 +55,33 @@ def strand_counts(hits: DataFrame) -> DataFrame:
     return hits.groupBy(group_id().alias("group_id")).agg(F.count_if(strand() == "+").alias("forward"), F.count_if(strand() == "-").alias("backward"))
 
 
+def coverage_strip(length: int, blocks: list) -> str:
+    """Blocks of :func:`coverage_blocks` on one line, with the number of hits by strand."""
+    if length <= 0 or not blocks:
+        return "-"
+    forward = sum(b.hit_end >= b.hit_start for b in blocks)
+    return f"<div class='strip' title='{len(blocks)} contigs; +:{forward} -:{len(blocks) - forward}'>{_bars(blocks)}</div>"
+
+
+def coverage_map(length: int, blocks: list) -> str:
+    """The same blocks below an axis from 1 to the reference's length."""
+    if length <= 0 or not blocks:
+        return "<p>No coverage map for this reference.</p>"
+    return f"<div class='axis'><span>1</span><span>{length}</span></div><div class='strip'>{_bars(blocks)}</div>"
+
+
+def _bars(blocks: list) -> str:
+    return "".join(f"<i class='{'forward' if b.hit_end >= b.hit_start else 'backward'}' style='left:{b.left_percent:.2f}%;width:{b.width_percent:.2f}%'></i>" for b in blocks)
+
+
+def alignment_index(hits: DataFrame) -> DataFrame:
+    """One row for each contig of each group, in order of place: number of alignments, their numbers, reference span, identity range, first anchor."""
+    low, high = interval()
+    rows = alignment_order(hits).groupBy("group_id", "contig_id").agg(F.count("*").alias("n"), F.min("number").alias("first_number"), F.max("number").alias("last_number"), F.min(low).alias("start"), F.max(high).alias("end"), F.min("percent_identity").alias("identity_min"), F.max("percent_identity").alias("identity_max"), F.min_by("anchor", "number").alias("anchor"))
+    place = F.row_number().over(Window.partitionBy("group_id").orderBy("start", "end", "contig_id"))
+    return rows.withColumn("row_id", F.concat(F.lit("alignment-index-row-"), place.cast("string")))
+
+
 def tracks(hits: DataFrame, width: int = 900) -> DataFrame:
     """One track for each contig of each group, by start, end and name: count, strand or ``mixed``, identity range, pixels."""
     low, high = interval()
@@ -105,34 +137,76 @@ def link_best(best: DataFrame, targets_: DataFrame) -> DataFrame:
     return best.withColumn("group_id", group_id()).join(targets_, ["analysis", "group_id"], "left")
 
 
-_SUMMARY = ["reference_id", "group_id", "hit_length", "genus", "description", "contig_count", "covered_bases", "reference_coverage", "reference_depth", "normalized_depth", "identity", "identity_max", "identity_min"]
-_GROUPS = [("Reference", 5), ("Support", 3), ("Depth", 2), ("Identity", 3)]
-
-
-def reference_page(analysis: str, summary: DataFrame, final_hits: DataFrame) -> str:
-    rows = [r.asDict() for r in summary_rows(analysis, summary, final_hits).collect()]  # report-sized
-    return html_document(f"{analysis} references", html_table(rows, _SUMMARY, _GROUPS))
+# Columns of the reference page, their titles and the groups above them.
+_SUMMARY = ["reference", "reference_id", "hit_length", "coverage", "map", "contig_count", "reference_depth", "normalized_depth", "identity", "identity_max", "identity_min", "genus", "description"]
+_TITLES = ["Reference", "Reference ID", "Length", "Coverage", "Map", "#Contig", "Depth", "Depth (Norm)", "%Identity", "%Iden Max", "%Iden Min", "Genus", "Description"]
+_GROUPS = [("Reference", 2), ("Coverage", 6), ("Identity", 3), ("Annotation", 2)]
+_HELP = {"Coverage": "covered bases and their share of the reference", "Map": "places of the group's contigs on the reference", "Depth (Norm)": "depth for a million reads of the sample"}
+
+
+def reference_page(analysis: str, summary: DataFrame, final_hits: DataFrame, references: str | None = None) -> str:
+    """Kept references of one analysis with their coverage strips; ``references`` names the file of their sequences."""
+    kept = summary_rows(analysis, summary, final_hits).collect()  # report-sized
+    groups = [r.group_id for r in kept]
+    own = coverage_blocks(final_hits.where(F.col("analysis") == analysis).withColumn("group_id", group_id())).where(F.col("group_id").isin(groups))
+    blocks: dict[str, list] = {}
+    for b in own.select("group_id", "hit_start", "hit_end", "left_percent", "width_percent").orderBy("group_id", "left_percent").collect():
+        blocks.setdefault(b.group_id, []).append(b)
+    rows = []
+    for r in kept:
+        row = r.asDict()
+        row["reference"] = Markup(f"<a href='{html.escape(r.link)}'>{html.escape(r.group_id)}</a>")
+        row["coverage"] = f"{r.covered_bases} ({100 * r.reference_coverage:.1f}%)"
+        row["map"] = Markup(coverage_strip(r.hit_length, blocks.get(r.group_id, [])))
+        for c in ("reference_depth", "normalized_depth", "identity", "identity_max", "identity_min"):
+            row[c] = f"{row[c]:.2f}"
+        rows.append(row)
+    note = f"<p><a href='{html.escape(references)}'>sequences</a></p>" if references else ""
+    table = html_table(rows, _SUMMARY, _GROUPS, titles=_TITLES, help_=_HELP, ids=[r.row_id for r in kept]) if rows else "<p>No reference passed.</p>"
+    return html_document(f"{analysis} references", note + table)
 
 
 def detail_page(analysis: str, group: str, hits: DataFrame) -> str:
-    """One reference: tracks as SVG, then its alignments."""
+    """One reference: coverage map, tracks as SVG, index of its contigs, then its alignments."""
     own = hits.where((F.col("analysis") == analysis) & (group_id() == group))
     rows = tracks(own).orderBy("track").collect()
     length = rows[0].hit_length if rows else 1
     bars = "".join(f"<rect x='{r.x:.1f}' y='{14 * r.track}' width='{r.pixels:.1f}' height='10'><title>{html.escape(r.contig_id)} {r.n} {r.strand} {r.identity_min:.2f}-{r.identity_max:.2f}</title></rect>" for r in rows)
     marks = "".join(f"<text x='{900 * t / max(length, 1):.1f}' y='10'>{t}</text>" for t in ticks(length))
-    index = alignment_order(own).withColumn("identity", identity_text(F.col("query_sequence"), F.col("hit_sequence"))).join(alignment_text(own), ["contig_id", "hit_id", "ord"]).orderBy("number").collect()
-    blocks = "".join(f"<h3 id='{r.anchor}'>{html.escape(r.contig_id)} {r.identity}</h3><p>" + (f"<a href='#{r.previous}'>previous</a> " if r.previous else "") + (f"<a href='#{r.next}'>next</a>" if r.next else "") + f"</p><pre>{html.escape(r.text)}</pre>" for r in index)
-    return html_document(f"{group}", f"<svg width='920' height='{14 * (len(rows) + 2)}'>{marks}{bars}</svg>{blocks}")
-
-
-def undetermined_page(rows: DataFrame, matched: bool) -> str:
-    """Unexplained contigs with (``matched``) or without a raw hit; small-RNA columns only where counted."""
-    some = rows.where(F.col("hit_id").isNotNull() if matched else F.col("hit_id").isNull())
-    hidden = {"sequence", "query_sequence", "hit_sequence", "ord"}
-    columns = [c for c in some.columns if c not in hidden and (matched or c not in ("analysis", "hit_id", "reference_id", "genus", "description", "evalue"))]
-    found = [r.asDict() for r in some.select(*columns).collect()]
-    table = html_table(found, columns)
-    if "candidate" in columns:
-        table += "<h2>Small-RNA candidates</h2>" + html_table([r for r in found if r["candidate"]], ["seq_id", "contig_length", "sirna_ratio"])
-    return html_document("Undetermined contigs", table)
+    places = coverage_map(length, coverage_blocks(own).orderBy("left_percent").collect())
+    listed = alignment_index(own).orderBy("start", "end", "contig_id").collect()
+    contents = [{"contig": Markup(f"<a href='#{r.anchor}'><code>{html.escape(r.contig_id)}</code></a>"), "n": r.n, "order": str(r.first_number) if r.n == 1 else f"{r.first_number}-{r.last_number}", "span": f"{r.start}-{r.end}", "identity": f"{r.identity_min:.2f}-{r.identity_max:.2f}%" if r.identity_min != r.identity_max else f"{r.identity_min:.2f}%"} for r in listed]
+    index = html_table(contents, ["contig", "n", "order", "span", "identity"], ids=[r.row_id for r in listed])
+    found = alignment_order(own).withColumn("identity", identity_text(F.col("query_sequence"), F.col("hit_sequence"))).join(alignment_text(own), ["contig_id", "hit_id", "ord"]).orderBy("number").collect()
+    blocks = "".join(f"<h3 id='{r.anchor}'>{html.escape(r.contig_id)} {r.identity}</h3><p>" + (f"<a href='#{r.previous}'>previous</a> " if r.previous else "") + (f"<a href='#{r.next}'>next</a>" if r.next else "") + f"</p><pre>{html.escape(r.text)}</pre>" for r in found)
+    return html_document(f"{group}", f"{places}<svg width='920' height='{14 * (len(rows) + 2)}'>{marks}{bars}</svg>{index}{blocks}")
+
+
+_RECORD = ["contig", "contig_length", "covered_bases", "contig_coverage"]
+_DEPTH = ["mean_depth", "normalized_depth"]
+_MATCH = ["target", "hit_id", "genus", "description", "percent_identity", "evalue"]
+
+
+def undetermined_page(rows: DataFrame, matched: bool, targets_: DataFrame | None = None, candidate_ratio: float | None = None) -> str:
+    """Unexplained contigs, all of them or (``matched``) those with a raw hit; small-RNA columns only where counted.
+
+    A contig's cell links its row on the page; a best hit whose group was kept links that group's row (``targets_``)."""
+    some = rows.where(F.col("hit_id").isNotNull()) if matched else rows
+    if targets_ is not None:
+        some = link_best(some, targets_)
+    some = some.withColumn("row_id", F.concat(F.lit(f"undetermined-{'hit' if matched else 'all'}-row-"), slug(F.col("seq_id"))))
+    found = [r.asDict() for r in some.orderBy(F.desc("normalized_depth"), F.desc("contig_length"), "seq_id").collect()]  # report-sized
+    small = "candidate" in rows.columns
+    for r in found:
+        r["contig"] = Markup(f"<a href='#{r['row_id']}'><code>{html.escape(r['seq_id'])}</code></a>")
+        for c in ("contig_coverage", "mean_depth", "normalized_depth"):
+            r[c] = f"{r[c]:.2f}"
+        if r.get("target"):
+            r["target"] = Markup(f"<a href='{html.escape(r['target'])}'>{html.escape(r['group_id'])}</a>")
+        if small:
+            r["sirna_ratio"] = "" if r["sirna_ratio"] is None else f"{100 * r['sirna_ratio']:.2f}"
+    profile = [f"n{n}" for n in range(18, 34)] + ["sirna_ratio", "candidate"] if small else []
+    columns = [*_RECORD, *profile, *_DEPTH, *([c for c in _MATCH if c != "target" or targets_ is not None] if matched else [])]
+    table = html_table(found, columns, ids=[r["row_id"] for r in found], classes=["candidate" if r.get("candidate") else "" for r in found])
+    note = f"<p>Candidates: a share of 21 and 22 nt of at least {100 * candidate_ratio:.2f}%.</p>" if small and candidate_ratio is not None else ""
+    return html_document("Undetermined contigs", f"<p>{len(found)} contigs</p>{note}{table}")

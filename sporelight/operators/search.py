@@ -65,57 +65,75 @@ def _protein_table() -> np.ndarray:
     return table
 
 
+_CELLS = 1 << 23  # traceback cells held at once
+
+
+def local_alignments(queries: list[str], subjects: list[str], protein: bool, band: int, diagonals: list[int]) -> list[tuple | None]:
+    """Best local alignment (linear gaps) of each pair within a band around its diagonal (subject start less query start).
+
+    Gives score, query and subject ranges (from 0, ends exclusive) and both gapped
+    texts, or None.  Pairs of like length advance together, a query position a step."""
+    out: list[tuple | None] = [None] * len(queries)
+    order = sorted(range(len(queries)), key=lambda p: -len(queries[p]))
+    at = 0
+    while at < len(order):
+        size = max(1, _CELLS // (max(1, len(queries[order[at]])) * (2 * band + 1)))
+        chosen = order[at : at + size]
+        for p, found in zip(chosen, _banded([queries[p] for p in chosen], [subjects[p] for p in chosen], protein, band, [diagonals[p] for p in chosen]), strict=True):
+            out[p] = found
+        at += size
+    return out
+
+
 def local_alignment(query: str, subject: str, protein: bool, band: int, diagonal: int) -> tuple | None:
-    """Best local alignment (linear gaps) within a band around a diagonal (subject start less query start).
-
-    Gives score, query and subject ranges (from 0, ends exclusive) and both gapped texts."""
-    gap = 5 if protein else 3
-    table = _protein_table() if protein else None
-    n, width = len(query), 2 * band + 1
-    score, trace = np.zeros(width + 2, np.int32), np.zeros((n, width), np.int8)
-    s = np.frombuffer(subject.encode("latin-1", "replace"), np.uint8)
-    best, where = 0, None
-    for i in range(n):
-        first = i + diagonal - band
-        at = first + np.arange(width)
-        inside = (at >= 0) & (at < len(s))
-        if not inside.any():
-            score[:] = 0
-            continue
-        code = s[np.clip(at, 0, max(len(s) - 1, 0))] & 127
-        own = ord(query[i]) & 127
+    return local_alignments([query], [subject], protein, band, [diagonal])[0]
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = [t.encode("latin-1", "replace") for t in texts]
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    return np.frombuffer(b"".join(raw) + b"\0", np.uint8) & 127, np.cumsum(size) - size, size
+
+
+def _banded(queries: list[str], subjects: list[str], protein: bool, band: int, diagonals: list[int]) -> list[tuple | None]:
+    gap, table, width = (5, _protein_table(), 2 * band + 1) if protein else (3, None, 2 * band + 1)
+    (q, q_at, n), (s, s_at, m) = _codes(queries), _codes(subjects)
+    diagonal, pairs, slot = np.array(diagonals, np.int64), len(queries), np.arange(2 * band + 1)
+    score = np.zeros((pairs, width + 1), np.int32)
+    trace = np.zeros((int(n.max(initial=0)), pairs, width), np.int8)
+    best, row, column = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
+    for i in range(len(trace)):
+        live = int(np.searchsorted(-n, -i, side="left"))  # longest first
+        at = (i + diagonal[:live] - band)[:, None] + slot
+        inside = (at >= 0) & (at < m[:live, None])
+        code = s[np.minimum(s_at[:live, None] + np.clip(at, 0, np.maximum(m[:live, None] - 1, 0)), len(s) - 1)]
+        own = q[q_at[:live] + i][:, None]
         pair = table[own, code] if protein else np.where(code == own, 1, -2)
         # same diagonal stays in its slot; a query gap comes from the slot to the right of the row above
-        along, above = score[1:-1] + pair, np.append(score[2:-1], 0) - gap
+        along, above = score[:live, :width] + pair, score[:live, 1:] - gap
         new = np.maximum(0, np.maximum(along, above))
-        trace[i] = np.where(new == 0, 0, np.where(new == along, 1, 2))
-        for j in range(1, width):
-            if new[j - 1] - gap > new[j]:
-                new[j], trace[i, j] = new[j - 1] - gap, 3
-        new[~inside] = 0
-        trace[i, ~inside] = 0
-        score[1:-1] = new
-        if new.max() > best:
-            best, where = int(new.max()), (i, int(new.argmax()))
-    if where is None:
-        return None
-    i, j = where
-    q_end, s_end, q, h = i + 1, i + diagonal - band + j + 1, [], []
-    while i >= 0 and trace[i, j]:
-        at = i + diagonal - band + j
+        step = np.where(new == 0, 0, np.where(new == along, 1, 2))
+        reached = np.maximum.accumulate(new + gap * slot, axis=1) - gap * slot  # subject gaps, any number of slots
+        step = np.where(reached > new, 3, step)
+        new = np.where(inside, reached, 0)
+        trace[i, :live] = np.where(inside, step, 0)
+        score[:live, :width] = new
+        top = new.argmax(1)
+        value = new[np.arange(live), top]
+        better = np.flatnonzero(value > best[:live])
+        best[better], row[better], column[better] = value[better], i, top[better]
+    return [_traced(trace[:, p], queries[p], subjects[p], int(best[p]), int(row[p]), int(column[p]), int(diagonal[p]) - band) if best[p] else None for p in range(pairs)]
+
+
+def _traced(trace: np.ndarray, query: str, subject: str, score: int, i: int, j: int, shift: int) -> tuple:
+    q_end, s_end, q, h = i + 1, i + shift + j + 1, [], []
+    while i >= 0 and 0 <= j < trace.shape[1] and trace[i, j]:
         move = trace[i, j]
         q.append("-" if move == 3 else query[i])
-        h.append("-" if move == 2 else subject[at])
-        if move == 1:
-            i -= 1
-        elif move == 2:
-            i, j = i - 1, j + 1
-        else:
-            j -= 1
-        if j < 0 or j >= trace.shape[1]:
-            break
+        h.append("-" if move == 2 else subject[i + shift + j])
+        i, j = (i - 1, j + (move == 2)) if move < 3 else (i, j - 1)
     q_text, h_text = "".join(reversed(q)), "".join(reversed(h))
-    return best, q_end - sum(c != "-" for c in q_text), q_end, s_end - sum(c != "-" for c in h_text), s_end, q_text, h_text
+    return score, q_end - sum(c != "-" for c in q_text), q_end, s_end - sum(c != "-" for c in h_text), s_end, q_text, h_text
 
 
 _OUT = "qseqid string, qlen int, sseqid string, slen int, length int, pident double, evalue double, bitscore double, qstart int, qend int, sstart int, send int, qcovs double, qseq string, sseq string"
@@ -127,8 +145,9 @@ def _extended(protein: bool, letters: float, max_evalue: float, band: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for q_id, q_len, s_id, query, subject, frame, diagonal in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = local_alignment(query, subject, protein, band, diagonal)
+            columns = [c.to_pylist() for c in batch.columns]
+            aligned = local_alignments(columns[3], columns[4], protein, band, columns[6])
+            for q_id, q_len, s_id, query, subject, frame, _, found in zip(*columns, aligned, strict=True):
                 if found is None:
                     continue
                 score, a, b, c, d, q_text, h_text = found
@@ -156,8 +175,9 @@ def search(contigs: DataFrame, references: DataFrame, translated: bool = False,
     """Tabular search rows (see ``schemas.SEARCH``) of contigs against nucleotide references, or proteins when ``translated``.
 
     Seeds are shared words; each (query frame, subject, band of diagonals) is
-    extended once.  References' words are aggregated by word before the join only
-    through Spark's own skew handling: no frequent word is dropped."""
+    extended once, for proteins if it has two seeds or more (one word of three
+    letters is met by chance everywhere).  A frequent word's join is split by
+    Spark's own skew handling; no word is dropped."""
     k = word or (PROTEIN_WORD if translated else NUCLEOTIDE_WORD)
     refs = references.select("seq_id", F.upper("sequence").alias("subject"))
     letters = float(refs.agg(F.coalesce(F.sum(F.length("subject")), F.lit(0))).first()[0])

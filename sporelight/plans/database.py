@@ -14,13 +14,72 @@ MANIFEST = "manifest.json"
 VARIABLE = "SPORELIGHT_DATABASE"
 
 
+# Files that mark a folder without a manifest as a database, and those it must hold besides.
+MARKERS = ("vrl_genbank.info.gz", "vrl_idmapping.gz")
+REFERENCES = ("vrl_plant", "vrl_plant_prot")
+
+
+def _conda() -> str | None:
+    prefix = os.environ.get("CONDA_PREFIX")
+    return str(Path(prefix) / "share/sporelight/database") if prefix else None
+
+
+def user_folder() -> Path:
+    return Path.home() / ".local/share/sporelight/database"
+
+
 def candidates(given: str | None = None) -> list[Path]:
-    """Folders in the order they are tried: the one given, the environment's, the working folder's, the user's."""
-    named = [given, os.environ.get(VARIABLE), "database", str(Path.home() / ".local/share/sporelight/database")]
+    """Folders in the order they are tried: the one given, the environment's, the working folder's, conda's, the user's."""
+    named = [given, os.environ.get(VARIABLE), "database", _conda(), str(user_folder())]
     return [Path(p) for p in named if p]
 
 
-def resolve(given: str | None = None, markers: tuple[str, ...] = ()) -> tuple[Path, str]:
+def install_target(given: str | None = None) -> Path:
+    """Where a database is installed: the place given, conda's if there is one, else the user's."""
+    return Path(given or _conda() or user_folder())
+
+
+def reference_path(folder: Path, name: str) -> Path:
+    """A reference by path or by name below the database; it must exist."""
+    for place in (Path(name), folder / name):
+        if place.exists():
+            return place.resolve()
+    raise FileNotFoundError(f"no reference {name} in {folder}")
+
+
+def problems(folder: Path) -> dict[str, list[str]]:
+    """What is wrong with a database, by section; empty if nothing is."""
+    if not folder.is_dir():
+        return {"database": [f"missing directory: {folder}"]}
+    if (folder / MANIFEST).is_file():
+        try:
+            files = read_manifest(str(folder / MANIFEST)).get("files")
+        except ValueError as e:
+            return {"manifest": [str(e)]}
+        if not isinstance(files, list):
+            return {"manifest": [f"no list of files: {folder / MANIFEST}"]}
+        missing = [f for f in files if not (folder / f).is_file()]
+    else:
+        missing = [f for f in (*MARKERS, *REFERENCES) if not (folder / f).exists()]
+    return {"files": missing} if missing else {}
+
+
+def download(url: str, target: Path, sha256: str | None = None, sha256_url: str | None = None) -> Path:
+    """Fetch an archive (and its checksum) by any address the machine reaches, and install it."""
+    import tempfile
+    import urllib.request
+
+    with tempfile.TemporaryDirectory() as folder:  # on the machine of the command line, never on a cluster's
+        archive = str(Path(folder) / "database.tar.gz")
+        urllib.request.urlretrieve(url, archive)
+        if sha256_url:
+            urllib.request.urlretrieve(sha256_url, archive + ".sha256")
+        elif sha256:
+            Path(archive + ".sha256").write_text(sha256 + "\n", encoding="utf-8")
+        return install(archive, target)
+
+
+def resolve(given: str | None = None, markers: tuple[str, ...] = MARKERS) -> tuple[Path, str]:
     """First candidate that is a database, and its kind (``manifest`` or ``legacy``)."""
     for folder in candidates(given):
         if kind := kind_of(folder, markers):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import odd_sizes
@@ -13,7 +13,11 @@ from ..sources import readers
 from ..store import written
 from .identify import Cutoffs, identify
 
-STAGES = ("prepare", "align", "aligned_contigs", "host_subtraction", "assembly", "combine", "identify")
+STAGES = ("prepare_sample", "align_to_virus_reference", "generate_aligned_contigs", "host_subtraction", "de_novo_assembly", "combine_contigs", "remove_redundant_contigs", "identify_virus")
+#: How contigs are assembled: several k-mer sizes together, or one, found by a grid of sizes and coverages.
+ASSEMBLERS = ("spades", "velvet")
+TARGETS = 25  # subjects for each contig in a search
+ALTERNATIVES = 10_000  # alignments for each read
 
 
 @dataclass(frozen=True)
@@ -23,6 +27,7 @@ class Config:
     reference: str = "vrl_plant"
     read_lengths: str | None = None
     deduplicate: bool = False
+    assembler: str = "spades"
     kmer_span: str = "9-23"
     host_distance: int = 5
     word_size: int = 11
@@ -32,10 +37,17 @@ class Config:
     cutoffs: Cutoffs = field(default_factory=Cutoffs)
     stop_after: str | None = None
 
+    def __post_init__(self):
+        if self.stop_after is not None and self.stop_after not in STAGES:
+            raise ValueError(f"no stage {self.stop_after}; stages: {', '.join(STAGES)}")
+        if self.assembler not in ASSEMBLERS:
+            raise ValueError(f"no assembler {self.assembler}; assemblers: {', '.join(ASSEMBLERS)}")
 
-def plan(config: Config, sample: str, data_type: str, n_reads: int) -> dict:
+
+def plan(config: Config, sample: str, data_type: str, n_reads: int, host: bool = True) -> dict:
     """The sample's plan as plain values."""
-    return {"sample": sample, "data_type": data_type, "reads": n_reads, "stages": list(STAGES), "translated_evalue": effective_evalue(config, data_type), **asdict(config)}
+    stages = [s for s in STAGES if host or s != "host_subtraction"]
+    return {**asdict(config), "sample": sample, "data_type": data_type, "reads": n_reads, "stages": stages, "translated_evalue": effective_evalue(config, data_type)}
 
 
 def effective_evalue(config: Config, data_type: str) -> float:
@@ -44,63 +56,80 @@ def effective_evalue(config: Config, data_type: str) -> float:
     return 1e-5 if data_type == "mRNA" else 1e-2
 
 
+def prepare(spark: SparkSession, path: str, config: Config) -> tuple[DataFrame, str]:
+    """Reads of wanted lengths, and the sample's data type."""
+    raw = readers.read_reads(spark, path)
+    kind = reads.data_type(raw)
+    if not config.read_lengths:
+        return written(raw, "reads"), kind
+    ready = written(reads.filter_lengths(raw, config.read_lengths), "reads")
+    if ready.isEmpty():
+        raise ValueError(f"no reads of length {config.read_lengths} in {path}")
+    return ready, kind
+
+
 def run(spark: SparkSession, reads_path: str, references: DataFrame, annotation: DataFrame, proteins: DataFrame | None = None, id_map: DataFrame | None = None, host: DataFrame | None = None, config: Config | None = None) -> dict:
-    """Results by stage name."""
+    """Results by stage name; ``data_type`` and ``library_size`` beside them."""
     config = config or Config()
-    if config.stop_after is not None and config.stop_after not in STAGES:
-        raise ValueError(f"no stage {config.stop_after}; stages: {', '.join(STAGES)}")
     out: dict = {}
 
     def done(stage: str, value) -> bool:
         out[stage] = value
         return config.stop_after == stage
 
-    raw = readers.read_reads(spark, reads_path)
-    kind = reads.data_type(raw)
-    ready = reads.filter_lengths(raw, config.read_lengths) if config.read_lengths else raw
-    ready = written(reads.drop_duplicates(ready) if config.deduplicate else ready, "reads")
-    if done("prepare", ready):
+    ready, kind = prepare(spark, reads_path, config)
+    out["data_type"], out["library_size"] = kind, ready.count()
+    if done("prepare_sample", ready):
         return out
-    aligned = written(alignments.align(ready, references, 1), "alignments")
-    best = aligned.withColumn("_m", F.min("nm").over(_by_read())).where("nm = _m").drop("_m")
-    if done("align", best):
+    aligned = written(alignments.cap_alternatives(alignments.align(ready, references, 1), ALTERNATIVES), "alignments")
+    best = aligned.withColumn("_m", F.min("nm").over(Window.partitionBy("qname"))).where("nm = _m").drop("_m")
+    if done("align_to_virus_reference", best):
         return out
-    depth = pileup.depth_by_position(best)
     lengths = references.select(F.col("seq_id").alias("ref_id"), F.length("sequence").alias("length"))
-    columns = clean_columns(depth, references)
+    columns = clean_columns(pileup.depth_by_position(best), references)
     consensus = pileup.contigs(pileup.filter_coverage(columns, lengths), lengths) if not columns.isEmpty() else None
-    if done("aligned_contigs", consensus):
+    if done("generate_aligned_contigs", consensus):
         return out
-    distance = config.host_distance if kind == "mRNA" else 1
-    rest, _ = alignments.subtract_host(ready, host, distance)
+    rest, mapped = alignments.subtract_host(ready, host, config.host_distance if kind == "mRNA" else 1)
+    out["host_reads"] = mapped
     if done("host_subtraction", rest):
         return out
-    assembled = contigs.assemble_best(rest, odd_sizes(config.kmer_span), long_reads=kind == "mRNA")
-    if done("assembly", assembled):
+    assembled = assemble(rest, config, kind)
+    if done("de_novo_assembly", assembled):
         return out
-    both = written(contigs.drop_contained(contigs.combine(consensus, assembled)), "contigs")
-    if done("combine", both):
+    both = written(contigs.combine(consensus, assembled), "contigs")
+    if done("combine_contigs", both):
         return out
-    own = written(pileup.depth_by_position(alignments.align(ready, both, 1)).withColumnRenamed("rname", "ref_id"), "contig-depth")
-    n = raw.count()
-    depths = pileup.contig_depths(own, both, n)
-    found = written(search.search(both, references, False, config.evalue, word=config.word_size).withColumn("ord", F.monotonically_increasing_id()), "search")
-    nucleotide = hits.annotate(found, annotation, None, hits.NUCLEOTIDE)
+    unique = written(contigs.drop_contained(both), "contigs")
+    if done("remove_redundant_contigs", unique):
+        return out
+    own = written(alignments.cap_alternatives(alignments.align(ready, unique, 1), ALTERNATIVES), "contig-alignments")
+    depths = pileup.contig_depths(pileup.depth_by_position(own).withColumnRenamed("rname", "ref_id"), unique, out["library_size"])
+    profile = reads.length_histogram(own) if kind == "sRNA" else None
+
+    def hits_of(records: DataFrame, subjects: DataFrame, analysis: str, evalue: float, **more) -> DataFrame:
+        rows = search.search(records, subjects, analysis == hits.TRANSLATED, evalue, **more)
+        rows = written(rows.withColumn("ord", F.monotonically_increasing_id()), "search")
+        return hits.limit_targets(hits.annotate(rows, annotation, id_map, analysis), TARGETS)
+
+    nucleotide = hits_of(unique, references, hits.NUCLEOTIDE, config.evalue, word=config.word_size)
 
     def translated(remaining: DataFrame) -> DataFrame:
         if proteins is None:
             return nucleotide.limit(0)
-        rows = search.search(remaining, proteins, True, effective_evalue(config, kind)).withColumn("ord", F.monotonically_increasing_id())
-        return hits.annotate(written(rows, "search"), annotation, id_map, hits.TRANSLATED)
+        return hits_of(remaining, proteins, hits.TRANSLATED, effective_evalue(config, kind))
 
-    done("identify", identify(both, nucleotide, translated, depths, n, config.cutoffs))
+    done("identify_virus", identify(unique, nucleotide, translated, depths, out["library_size"], config.cutoffs, profile))
+    out["depths"] = depths
     return out
 
 
-def _by_read():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("qname")
+def assemble(rows: DataFrame, config: Config, kind: str) -> DataFrame:
+    """Contigs by the chosen assembler; duplicates are removed for the grid's input alone."""
+    sizes, long = odd_sizes(config.kmer_span), kind == "mRNA"
+    if config.assembler == "spades":
+        return contigs.assemble_many(rows, sizes, long_reads=long)
+    return contigs.assemble_best(reads.drop_duplicates(rows) if config.deduplicate else rows, sizes, long_reads=long)
 
 
 def clean_columns(depth: DataFrame, references: DataFrame) -> DataFrame:

@@ -1,8 +1,7 @@
 """Text sources as DataFrames with a place number (``ord``) that follows the file.
 
-Line numbers come from one extra count by partition: a text scan's partitions
-are deterministic, so a line's number is its partition's offset plus its place
-there.  gzip is opened by suffix.  Files that must be read as a whole (several
+Line numbers come from a written scan and one count by partition: a line's number
+is its partition's offset plus its place there.  gzip is opened by suffix.  Files that must be read as a whole (several
 lines to a record) stay distributed: records are cut from numbered lines.
 """
 
@@ -15,13 +14,20 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.sequence import first_token, normalize_id
+from ..store import written
 
 _PLACE = (1 << 33) - 1
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``ord`` (from 0) and ``line`` of a text file."""
+def numbered_lines(spark: SparkSession, path: str, errors: str = "replace") -> DataFrame:
+    """``ord`` (from 0) and ``line`` of a text file; with ``errors="strict"`` bytes that are no UTF-8 are an error.
+
+    The scan is written once, with its partitions' numbers in it, so that counting and numbering see the same partitions."""
     raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("m"), F.col("value").alias("line"))
+    if errors == "strict":
+        bad = F.raise_error(F.lit(f"no UTF-8 text: {path}")).cast("string")
+        raw = raw.withColumn("line", F.when(F.is_valid_utf8("line"), F.col("line")).otherwise(bad))
+    raw = written(raw, "text-lines")
     part = F.shiftright("m", 33)
     counts = sorted((r.p, r.n) for r in raw.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())  # a row for each partition
     offset, offsets = 0, []
@@ -89,11 +95,20 @@ def read_pileup(spark: SparkSession, path: str, least: int = 6) -> DataFrame:
 
 
 def read_search(spark: SparkSession, path: str, analysis: str) -> DataFrame:
-    """Tabular search output with ``ord``; the two last (sequence) columns may be missing. ``analysis`` names it in errors."""
-    rows = _fields(spark, path, 14)
-    number = lambda i, t: F.when(_f(i).rlike(r"^\s*[-+0-9.eE]+\s*$"), F.trim(_f(i)).cast(t)).otherwise(F.raise_error(F.concat(F.lit(f"{analysis}: no number: "), _f(i))).cast(t))
+    """Tabular search output with ``ord``; the two last (sequence) columns may be missing. ``analysis`` names it in errors.
+
+    A missing or empty file has no rows; a row of fewer than thirteen fields is an error."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "ord long, " + schemas.SEARCH)
+    rows = _fields(spark, path, 1).where(F.col("line") != "")
+    number = lambda i, t: F.when(_f(i).rlike(r"^\s*[-+0-9.eE]+\s*$"), F.trim(_f(i)).cast(t)).otherwise(F.raise_error(F.concat(F.lit(f"{analysis}: no number: "), F.coalesce(_f(i), F.lit("(missing)")))).cast(t))
     names = schemas.SEARCH.split(", ")
-    return rows.select("ord", *((_f(i) if n.split()[1] == "string" else number(i, n.split()[1])).alias(n.split()[0]) for i, n in enumerate(names[:13])), _f(13).alias("qseq"), F.when(F.size("f") > 14, _f(14)).alias("sseq"))
+    return rows.select("ord", *((_f(i) if n.split()[1] == "string" else number(i, n.split()[1])).alias(n.split()[0]) for i, n in enumerate(names[:13])), _f(13).alias("qseq"), _f(14).alias("sseq"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def read_annotation(spark: SparkSession, path: str) -> DataFrame:

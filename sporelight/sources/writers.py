@@ -8,7 +8,7 @@ import json
 import tarfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -40,8 +40,9 @@ def write_hits(hits: DataFrame, path: str) -> None:
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
+    """Rows by analysis, group, reference, length, genus and description."""
     rows = summary.withColumn("supporting_contigs", F.array_join("supporting_contigs", ","))
-    rows.select(*schemas.SUMMARY_COLUMNS).orderBy("analysis", "group_id").write.mode("overwrite").csv(path, sep="\t", header=True)
+    rows.select(*schemas.SUMMARY_COLUMNS).orderBy("analysis", "group_id", "reference_id", "hit_length", "genus", "description").write.mode("overwrite").csv(path, sep="\t", header=True)
 
 
 def write_depths(depths: DataFrame, path: str) -> None:
@@ -59,6 +60,15 @@ def alignment_table(hits: DataFrame, records: DataFrame) -> DataFrame:
     return rows.select("contig_id", F.coalesce("contig_sequence", F.lit("")).alias("contig_sequence"), "contig_length", "hit_id", "hit_length", "genus", "description", "query_start", "query_end", "hit_start", "hit_end", F.round("percent_identity", 2).alias("identity"), general_6g("evalue").alias("evalue"), F.when(F.col("hit_start") > F.col("hit_end"), -1).otherwise(1).alias("strand"))
 
 
+def write_alignment_table(hits: DataFrame, records: DataFrame, path: str) -> None:
+    alignment_table(hits, records).write.mode("overwrite").csv(path, sep="\t", header=True)
+
+
+def by(column: str) -> Window:
+    """Order of report-sized rows."""
+    return Window.orderBy(column)
+
+
 def sam_query(query: Column, minus: Column) -> Column:
     plain = F.replace(query, F.lit("-"), F.lit(""))
     return F.when(minus, reverse_complement(plain)).otherwise(plain)
@@ -81,16 +91,45 @@ def write_divisions(parts: DataFrame, path: str) -> None:
     parts.select("division", F.concat(F.lit(">"), "id", F.lit("\n"), "sequence").alias("value")).write.mode("overwrite").partitionBy("division").text(path)
 
 
+class Markup(str):
+    """Text that is HTML already."""
+
+
+_STYLE = (
+    "body{font-family:sans-serif;margin:2em}table{border-collapse:collapse}td,th{border:1px solid #ccc;padding:2px 6px;text-align:left}"
+    ".strip{position:relative;height:12px;min-width:160px;background:#eee}.strip i{position:absolute;height:12px}.forward{background:#36c}.backward{background:#e80}"
+    ".axis{display:flex;justify-content:space-between}.candidate{background:#dfd}"
+    ".identity-high{color:#088}.identity-good{color:#36c}.identity-fair{color:#e80}.identity-low{color:#c22}"
+)
+
+
 def html_document(title: str, body: str) -> str:
-    return f"<!doctype html>\n<html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>\n{body}\n</body></html>\n"
+    return f"<!doctype html>\n<html><head><meta charset='utf-8'><title>{html.escape(title)}</title><style>{_STYLE}</style></head><body><h1>{html.escape(title)}</h1>\n{body}\n</body></html>\n"
 
 
-def html_table(rows: list[dict], columns: list[str], groups: list[tuple[str, int]] | None = None) -> str:
-    """Table of report-sized rows; ``groups`` gives a first header row (title, columns spanned)."""
+def html_table(rows: list[dict], columns: list[str], groups: list[tuple[str, int]] | None = None, titles: list[str] | None = None, help_: dict[str, str] | None = None, ids: list[str] | None = None, classes: list[str] | None = None) -> str:
+    """Table of report-sized rows; ``groups`` gives a first header row (title, columns spanned), ``help_`` tooltips by title, ``ids`` and ``classes`` one value a row."""
+    cell = lambda v: v if isinstance(v, Markup) else html.escape("" if v is None else str(v))
     top = "<tr>" + "".join(f"<th colspan='{n}'>{html.escape(t)}</th>" for t, n in groups) + "</tr>" if groups else ""
-    head = "<tr>" + "".join(f"<th title='{html.escape(c)}'>{html.escape(c)}</th>" for c in columns) + "</tr>"
-    cells = "".join("<tr>" + "".join(f"<td>{html.escape('' if r.get(c) is None else str(r[c]))}</td>" for c in columns) + "</tr>\n" for r in rows)
-    return f"<table>{top}{head}\n{cells}</table>"
+    head = "<tr>" + "".join(f"<th title='{html.escape((help_ or {}).get(t, t))}'>{html.escape(t)}</th>" for t in titles or columns) + "</tr>"
+    mark = lambda name, values, i: f" {name}='{html.escape(values[i])}'" if values and values[i] else ""
+    body = "".join(f"<tr{mark('id', ids, i)}{mark('class', classes, i)}>" + "".join(f"<td>{cell(r.get(c))}</td>" for c in columns) + "</tr>\n" for i, r in enumerate(rows))
+    return f"<table>{top}{head}\n{body}</table>"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A report-sized text as one file, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def write_lines(rows: DataFrame, path: str) -> None:
+    """The column ``value`` as lines."""
+    rows.select("value").write.mode("overwrite").text(path)
 
 
 def write_json(path: str, value: dict) -> None:
