@@ -2,17 +2,17 @@
 
 The tables aren't biological; each query derives a view of the shape its operator
 takes (hits from line items, contigs from passages, ...) by the same expressions
-on both sides.  They run over whole tables, but for the queries whose SQL is a slice; those
-say so and name the query, without SQL, that does the whole job.
+on both sides.  They run over whole tables and whole texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import sequence as S
-from .operators import alignments, contigs, hits, pileup, reads, taxonomy
+from .operators import alignments, contigs, hits, pileup, reads, report, taxonomy
+from .sources import writers
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -72,14 +72,16 @@ def covered_bases_union(spark, sf):
 
 _SUMMARY = f"""{_HITS}, best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY reference_id, contig_id ORDER BY {_ORDER}) = 1),
 b AS (SELECT reference_id, count(*) AS contig_count, sum(contig_length) AS total_contig_length, avg(percent_identity) AS identity, min(evalue) AS best_evalue, max(query_coverage) AS cov FROM best GROUP BY reference_id),
-r AS (SELECT reference_id, s, e, max(e) OVER (PARTITION BY reference_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hits),
-c AS (SELECT reference_id, sum(greatest(0, e - greatest(s - 1, coalesce(reach, s - 1)))) AS covered_bases FROM r GROUP BY reference_id)"""
+r AS (SELECT reference_id, s, e, row_number() OVER (PARTITION BY reference_id ORDER BY ord, s, e) AS i, max(e) OVER (PARTITION BY reference_id ORDER BY ord, s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hits),
+k AS (SELECT reference_id, s, e, i, count(*) FILTER (reach IS NULL OR s > reach + 1) OVER (PARTITION BY reference_id ORDER BY i) AS block FROM r),
+blocks AS (SELECT reference_id, block, arg_min(s, i) AS s, max(e) AS e FROM k GROUP BY 1, 2),
+c AS (SELECT reference_id, sum(e - s + 1) AS covered_bases FROM blocks GROUP BY reference_id)"""
 
 
 def _summary(spark, sf):
     h = line_hits(spark, sf)
     depth = h.groupBy("contig_id").agg(F.sum("contig_length").alias("total_depth"))
-    return hits.summarize(h, depth, 1_000_000, mode="union")
+    return hits.summarize(h, depth, 1_000_000)
 
 
 @query(f"""WITH {_SUMMARY}, d AS (SELECT contig_id, sum(contig_length) AS total_depth FROM hits GROUP BY contig_id),
@@ -111,25 +113,38 @@ def _supplier_groups(lineitem, contig):
     return summary, sup
 
 
-_GROUPS = """g AS (SELECT DISTINCT 's' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS id, l_partkey % 12 AS p FROM lineitem WHERE l_quantity > 48 AND l_linenumber <= 2),
+_GROUPS = """g AS (SELECT DISTINCT 's' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS id, l_partkey AS p FROM lineitem),
 n AS (SELECT id, count(*) AS size FROM g GROUP BY id), r AS (SELECT id, size, row_number() OVER (ORDER BY size DESC, size * 8 DESC, id) AS rank FROM n),
-sh AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM g a JOIN g b ON a.p = b.p JOIN r x ON x.id = a.id JOIN r y ON y.id = b.id WHERE x.rank < y.rank GROUP BY 1, 2)"""
+sh AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM g a JOIN g b ON a.p = b.p JOIN r x ON x.id = a.id JOIN r y ON y.id = b.id WHERE x.rank < y.rank GROUP BY 1, 2),
+edges AS (SELECT a, b FROM sh JOIN n ON n.id = b WHERE (size - shared) / size <= 0.79 AND (size - shared) * 8 / 400 <= 10 AND (size - shared) * 8 <= 3000)"""
+_PRUNING = {"ratio": 0.79, "cover": 10.0, "length": 3000}
 
 
-@query(f"WITH {_GROUPS} SELECT a, b FROM sh JOIN n ON n.id = b WHERE (size - shared) / size <= 0.25 AND (size - shared) * 8 / 400 <= 0.5 AND (size - shared) * 8 <= 100")
+@query(f"WITH {_GROUPS} SELECT a, b FROM edges")
 def prune_edges(spark, sf):
-    """The SQL's slice: few line items, parts folded onto 12 contigs.  ``prune_edges_whole`` reads the table."""
-    li = table(spark, sf, "lineitem").where("l_quantity > 48 AND l_linenumber <= 2")
-    return hits.redundancy_edges(*_supplier_groups(li, F.col("l_partkey") % 12)).select("a", "b")
+    return hits.redundancy_edges(*_supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey")), **_PRUNING).select("a", "b")
 
 
 @query()
 def prune_edges_whole(spark, sf):
-    return hits.redundancy_edges(*_supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey"))).select("a", "b")
+    """The same groups under the operator's own bounds, intervals in order of the contigs."""
+    return hits.redundancy_edges(*_supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey")), mode="reference").select("a", "b")
+
+
+@query(f"""WITH RECURSIVE {_GROUPS}, before AS (SELECT b, list(a) AS a FROM edges GROUP BY b), f AS (SELECT rank, id, coalesce(a, []) AS a FROM r LEFT JOIN before ON b = id),
+walk AS (SELECT 0::BIGINT AS rank, []::VARCHAR[] AS kept UNION ALL SELECT f.rank, CASE WHEN list_has_any(kept, f.a) THEN kept ELSE list_append(kept, f.id) END FROM walk JOIN f ON f.rank = walk.rank + 1)
+SELECT unnest(kept) AS group_id FROM (SELECT kept FROM walk ORDER BY rank DESC LIMIT 1)""")
+def prune_kernel_wide(spark, sf):
+    """Groups kept of those of ``prune_edges``."""
+    from .store import written
+
+    summary, sup = _supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey"))
+    return hits.kernel(summary, written(hits.redundancy_edges(summary, sup, **_PRUNING), "edges")).select("group_id")
 
 
 @query()
 def prune_kernel(spark, sf):
+    """Groups kept under the operator's own bounds."""
     from .store import written
 
     summary, sup = _supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey"))
@@ -158,58 +173,79 @@ def reverse_complement(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(S.reverse_complement(F.col("text")).cast("binary")).alias("rc"))
 
 
-@query("""WITH r AS (SELECT item_id AS ord, text AS s FROM benchmark UNION ALL SELECT 1000000 + item_id, substr(text, 5, 40) FROM benchmark UNION ALL SELECT 2000000 + item_id, text FROM benchmark WHERE item_id % 3 = 0),
+@query("""WITH r AS (SELECT doc_id AS ord, text AS s FROM documents UNION ALL SELECT -1 - item_id, text FROM benchmark),
 u AS (SELECT ord, s, upper(s) AS u, reverse(translate(upper(s), 'ACGTacgt', 'TGCAtgca')) AS rc FROM r WHERE length(s) > 0)
-SELECT a.ord, a.s AS sequence FROM u a WHERE NOT EXISTS (SELECT 1 FROM u b WHERE (length(b.u) > length(a.u) OR (length(b.u) = length(a.u) AND b.ord < a.ord)) AND (contains(b.u, a.u) OR contains(b.u, a.rc)))""")
+SELECT a.ord FROM u a WHERE NOT EXISTS (SELECT 1 FROM u b WHERE (length(b.u) > length(a.u) OR (length(b.u) = length(a.u) AND b.ord < a.ord)) AND (contains(b.u, a.u) OR contains(b.u, a.rc)))""")
 def contained_contigs_anti(spark, sf):
-    """The SQL's slice: benchmark passages only.  ``contained_contigs_documents`` looks for them in the documents."""
-    b = table(spark, sf, "benchmark")
-    rows = b.select(F.col("item_id").alias("ord"), F.col("text").alias("sequence")).unionAll(b.select((F.col("item_id") + 1000000).alias("ord"), F.substring("text", 5, 40).alias("sequence"))).unionAll(b.where("item_id % 3 = 0").select((F.col("item_id") + 2000000).alias("ord"), F.col("text").alias("sequence")))
-    return contigs.drop_contained(rows)
-
-
-@query()
-def contained_contigs_documents(spark, sf):
     """Documents and passages (numbered from -1 down) that no longer document or passage holds on either strand."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("text").alias("sequence"))
     return contigs.drop_contained(docs.unionAll(table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("ord"), F.col("text").alias("sequence")))).select("ord")
 
 
-@query("SELECT substr(text, i, 8) AS kmer, count(*) AS n FROM (SELECT text, unnest(range(1, length(text) - 6)) AS i FROM benchmark) GROUP BY 1")
-def kmer_spectrum(spark, sf):
-    """The SQL's slice: the benchmark table.  ``kmer_spectrum_documents`` counts in the documents."""
-    return _spectrum(table(spark, sf, "benchmark"))
+@query()
+def contained_contigs_documents(spark, sf):
+    return contained_contigs_anti(spark, sf)
 
 
 @query()
 def kmer_spectrum_documents(spark, sf):
-    return _spectrum(table(spark, sf, "documents"))
+    """Words of eight in the documents as they stand, each strand by itself."""
+    words = table(spark, sf, "documents").select(F.explode(S.kmers(F.col("text"), 8)).alias("w"))
+    return words.groupBy(F.col("w.kmer").alias("kmer")).agg(F.count("*").alias("n"))
 
 
-def _spectrum(texts):
-    words = texts.select(F.explode(S.kmers(F.col("text"), 8)).alias("w"))
-    return words.groupBy(F.col("w.kmer").alias("kmer")).agg(F.count("*").alias("n"))
+@query("""WITH c AS (SELECT string_split(translate(upper(text), 'ß', 's'), '') AS c FROM documents), k AS (SELECT array_to_string(c[i : i + 2], '') AS k FROM c, unnest(range(1, len(c) - 1)) AS r(i))
+SELECT least(k, reverse(translate(k, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM k WHERE regexp_full_match(k, '[ACGT]{3}') GROUP BY 1""")
+def kmer_spectrum(spark, sf):
+    """Words of three over ACGT in the documents, both strands as one."""
+    return contigs.kmer_counts(table(spark, sf, "documents").select(F.col("text").alias("sequence")), 3)
 
 
-@query("""WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events), r AS (SELECT user_id, day, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INT) AS run FROM d)
-SELECT user_id, CAST(min(day) AS VARCHAR) AS first, CAST(max(day) AS VARCHAR) AS last, count(*) AS n FROM r GROUP BY user_id, run""")
-def consensus_runs(spark, sf):
-    days = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day")).distinct()
-    run = F.date_sub("day", F.row_number().over(Window.partitionBy("user_id").orderBy("day")))
-    return days.withColumn("run", run).groupBy("user_id", "run").agg(F.min("day").cast("string").alias("first"), F.max("day").cast("string").alias("last"), F.count("*").alias("n")).drop("run")
+_COLUMNS = "SELECT doc_id, unnest(range(1, length(text) + 1)) AS pos FROM documents"
 
 
-@query("""WITH c AS (SELECT length(text) AS len, count(*) AS c FROM documents GROUP BY 1), w AS (SELECT len, sum(len * c) OVER (ORDER BY len) AS cum, sum(len * c) OVER () AS total FROM c)
-SELECT CAST((SELECT count(*) FROM documents) AS DOUBLE) AS "numSeqs", CAST((SELECT max(length(text)) FROM documents) AS DOUBLE) AS "maxLen", CAST(min(len) AS DOUBLE) AS n50_asc FROM w WHERE cum * 2 >= total""")
+@query(f"""WITH p AS (SELECT doc_id, pos FROM ({_COLUMNS}) WHERE pos % 97 <> 0 AND (pos // 97) % 3 <> 1), g AS (SELECT doc_id, pos // 97 AS run, max(pos) AS last, count(*) AS n, string_agg(substr('ACGT', CAST(pos % 4 + 1 AS INT), 1), '' ORDER BY pos) AS sequence FROM p GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (ORDER BY doc_id, run) - 1 AS ord FROM g WHERE n > 40)
+SELECT ord, 'ALIGNED' || (ord + 1) || ' ' || doc_id || ' ' || last AS header, 'ALIGNED' || (ord + 1) AS seq_id, sequence FROM k""")
+def consensus_runs(spark, sf):
+    """Contigs of a pileup in which a document is a reference, every 97th position and every third stretch between them are missing."""
+    docs = table(spark, sf, "documents").where(F.length("text") > 0)
+    rows = docs.select("doc_id", F.explode(F.sequence(F.lit(1), F.length("text"))).alias("pos")).where("pos % 97 <> 0 AND (pos div 97) % 3 <> 1")
+    base = F.substring(F.lit("ACGT"), F.col("pos") % 4 + 1, F.lit(1))
+    columns = rows.select((F.col("doc_id") * (1 << 24) + F.col("pos")).alias("ord"), F.col("doc_id").cast("string").alias("ref_id"), "pos", base.alias("ref_base"), F.lit(2).alias("depth"), F.lit(".,").alias("bases"), F.lit("II").alias("quals"))
+    return pileup.contigs(columns, docs.select(F.col("doc_id").cast("string").alias("ref_id"), F.length("text").alias("length")))
+
+
+@query(f"""WITH p AS (SELECT doc_id, pos FROM ({_COLUMNS}) WHERE pos % 3 = 0 OR doc_id % 2 = 0 AND pos % 4 = 0), n AS (SELECT doc_id, count(*) AS n FROM p GROUP BY 1)
+SELECT p.doc_id * 16777216 + pos AS ord FROM p JOIN n USING (doc_id) JOIN documents USING (doc_id) WHERE n > length(text) * 0.34""")
+def covered_references(spark, sf):
+    docs = table(spark, sf, "documents").where(F.length("text") > 0)
+    rows = docs.select("doc_id", F.explode(F.sequence(F.lit(1), F.length("text"))).alias("pos")).where("pos % 3 = 0 OR doc_id % 2 = 0 AND pos % 4 = 0")
+    columns = rows.select((F.col("doc_id") * (1 << 24) + F.col("pos")).alias("ord"), F.col("doc_id").cast("string").alias("ref_id"), "pos")
+    return pileup.filter_coverage(columns, docs.select(F.col("doc_id").cast("string").alias("ref_id"), F.length("text").alias("length")), 0.34).select("ord")
+
+
+@query("""WITH d AS (SELECT length(text) AS len, length(regexp_replace(text, '[^Nn]', '', 'g')) AS un FROM documents WHERE length(text) > 0), c AS (SELECT len, count(*) AS c FROM d GROUP BY 1),
+w AS (SELECT len, sum(len * c) OVER (ORDER BY len) AS cum, sum(len * c) OVER () AS total FROM c), h AS (SELECT CAST(min(len) AS DOUBLE) AS n50_asc FROM w WHERE cum * 2 >= total)
+SELECT CAST(count(*) AS DOUBLE) AS "numSeqs", CAST(sum(len) AS DOUBLE) AS "numBases", CAST(sum(len - un) AS DOUBLE) AS "numOK", CAST(sum(un) AS DOUBLE) AS "numNs", CAST(min(len) AS DOUBLE) AS "minLen", sum(len) / count(*) AS "avgLen", CAST(max(len) AS DOUBLE) AS "maxLen", any_value(n50_asc) AS n50_asc FROM d, h""")
 def ascending_n50(spark, sf):
-    return contigs.statistics(table(spark, sf, "documents").select(F.col("text").alias("sequence"))).select("numSeqs", "maxLen", "n50_asc")
+    return contigs.statistics(table(spark, sf, "documents").select(F.col("text").alias("sequence")))
 
 
-@query("SELECT user_id, CAST(count(*) FILTER (hour(ts) IN (21, 22)) AS DOUBLE) / nullif(count(*) FILTER (hour(ts) BETWEEN 12 AND 23), 0) AS ratio FROM events GROUP BY user_id")
+@query(f"""WITH {_HITS}, d AS (SELECT l_partkey AS k, sum(l_linenumber) AS total, count(*) FILTER (l_linenumber > 0) AS covered FROM lineitem GROUP BY 1),
+q AS (SELECT l_partkey AS k, count(*) FILTER (l_quantity = 21) AS n21, count(*) FILTER (l_quantity = 22) AS n22, count(*) AS n FROM lineitem WHERE l_quantity BETWEEN 18 AND 33 GROUP BY 1),
+b AS (SELECT hit_id, reference_id, evalue FROM hits QUALIFY row_number() OVER (PARTITION BY hit_id ORDER BY evalue, bit_score DESC, query_coverage DESC, percent_identity DESC, alignment_length DESC, hit_id, ord) = 1)
+SELECT CAST(p_partkey AS VARCHAR) AS seq_id, CAST(length(p_name) AS INT) AS contig_length, CAST(coalesce(total, 0) AS BIGINT) AS total_depth, CAST(coalesce(n21, 0) AS BIGINT) AS n21, CAST(coalesce(n22, 0) AS BIGINT) AS n22,
+ (n21 + n22) / n AS sirna_ratio, coalesce((n21 + n22) / n >= 0.2, false) AS candidate, reference_id, evalue
+FROM part LEFT JOIN d ON d.k = p_partkey LEFT JOIN q ON q.k = p_partkey LEFT JOIN b ON b.hit_id = CAST(p_partkey AS VARCHAR)""")
 def sirna_ratio(spark, sf):
-    hour = F.hour("ts")
-    total = F.count_if(hour.between(12, 23))
-    return table(spark, sf, "events").groupBy("user_id").agg((F.count_if(hour.isin(21, 22)) / F.nullif(total, F.lit(0))).alias("ratio"))
+    """Parts as contigs that stayed undetermined: depth, small-RNA profile (quantities as read lengths), best raw hit."""
+    li = table(spark, sf, "lineitem")
+    records = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("seq_id"), F.col("p_name").alias("sequence"))
+    depths = pileup.contig_depths(li.select(F.col("l_partkey").cast("string").alias("ref_id"), F.col("l_orderkey").alias("pos"), F.col("l_linenumber").alias("depth")), records, 1000)
+    lengths = li.groupBy(F.col("l_partkey").cast("string").alias("contig_id"), F.col("l_quantity").cast("int").alias("read_length")).agg(F.count("*").alias("n"))
+    best = hits.best_by_contig(line_hits(spark, sf).withColumn("contig_id", F.col("hit_id")))
+    return hits.undetermined(records, depths, best, lengths, 0.2).select("seq_id", "contig_length", "total_depth", "n21", "n22", "sirna_ratio", "candidate", "reference_id", "evalue")
 
 
 @query("SELECT CAST(l_suppkey AS VARCHAR) AS reference_id, string_agg(DISTINCT CAST(l_orderkey AS VARCHAR), ',' ORDER BY CAST(l_orderkey AS VARCHAR)) AS supporting_contigs FROM lineitem GROUP BY 1")
@@ -246,12 +282,13 @@ def xa_explode(spark, sf):
     return alignments.expand_alternatives(sam).select(F.col("ord").alias("k"), "alt", "flag", "rname", "pos", "seq", "nm")
 
 
-@query("""WITH a AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey % 3 AS nm FROM lineitem WHERE l_suppkey % 4 <> 0), m AS (SELECT k, min(nm) AS least FROM a WHERE nm < 2 GROUP BY k)
-SELECT CAST(k AS VARCHAR) AS qname, k * 8 + n AS ord, CAST(nm AS INT) AS nm FROM a JOIN m USING (k) WHERE nm = least""")
+@query("""WITH a AS (SELECT o_orderkey AS ord, (o_orderkey // 4) % 50 AS k, o_custkey % 3 AS nm FROM orders WHERE o_custkey % 4 <> 0),
+r AS (SELECT *, row_number() OVER (ORDER BY ord) - row_number() OVER (PARTITION BY k ORDER BY ord) AS run FROM a), m AS (SELECT *, min(nm) FILTER (nm < 2) OVER (PARTITION BY k, run) AS least FROM r)
+SELECT CAST(k AS VARCHAR) AS qname, ord, CAST(nm AS INT) AS nm FROM m WHERE nm = least""")
 def best_nm(spark, sf):
-    li = table(spark, sf, "lineitem")
-    sam = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.col("l_orderkey").cast("string").alias("qname"), F.when(F.col("l_suppkey") % 4 == 0, "4").otherwise("0").alias("flag"), (F.col("l_partkey") % 3).cast("int").alias("nm"))
-    return alignments.best_alignments(sam, consecutive=False).select("qname", "ord", "nm")
+    """Best alignments over consecutive records of a read."""
+    sam = table(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), F.expr("(o_orderkey div 4) % 50").cast("string").alias("qname"), F.when(F.col("o_custkey") % 4 == 0, "4").otherwise("0").alias("flag"), (F.col("o_custkey") % 3).cast("int").alias("nm"))
+    return alignments.best_alignments(sam).select("qname", "ord", "nm")
 
 
 @query("""WITH d AS (SELECT l_partkey AS k, CAST(sum(l_linenumber) AS BIGINT) AS total, CAST(count(*) AS INT) AS covered FROM lineitem GROUP BY 1)
@@ -331,13 +368,28 @@ def prefix_vote(spark, sf):
     return taxonomy.description_votes(rows.where("id % 3 = 0"), rows.where("id % 3 <> 0")).select("id", "category")
 
 
-@query("""WITH r AS (SELECT doc_id, upper(substr(replace(text, 'ß', 's'), 1, 60)) AS s FROM documents), h AS (SELECT doc_id, s, position('THE' IN s) - 1 AS p FROM r)
-SELECT doc_id, CASE WHEN p < 0 THEN length(s) ELSE p END AS pos3, CASE WHEN p = 0 THEN 'null' WHEN p < 0 THEN 'unmatch' ELSE 'match' END AS status3,
- CASE WHEN p <= 0 THEN 'rejected' WHEN contains(substr(s, 1, p), 'N') THEN 'baseN' WHEN p < 15 THEN 'short' ELSE 'clean' END AS outcome FROM h""")
+_PROBE = "AND THE OF "
+_TRIMMED = f"""r AS (SELECT doc_id, lang, upper(replace(text, 'ß', 's')) AS s FROM documents), e AS (SELECT doc_id, lang, s, position('{_PROBE}' IN s) AS p, length(string_split_regex(s, '(?s){"|".join(_PROBE[:i] + "." + _PROBE[i + 1 :] for i in range(11))}')[1]) AS q FROM r),
+h AS (SELECT doc_id, lang, s, CASE WHEN p > 0 THEN p - 1 ELSE q END AS p FROM e),
+t AS (SELECT doc_id, lang, p AS pos3, CASE WHEN p = 0 THEN 'null' WHEN p = length(s) THEN 'unmatch' ELSE 'match' END AS status3,
+ CASE WHEN p = 0 OR p = length(s) THEN 'rejected' WHEN contains(substr(s, 1, p), 'N') THEN 'baseN' WHEN p < 15 THEN 'short' ELSE 'clean' END AS outcome FROM h)"""
+
+
+def _trimmed(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("sample"), F.replace("text", F.lit("ß"), F.lit("s")).alias("sequence"))
+    return reads.trim(docs, adapter3="and the of the")
+
+
+@query(f"WITH {_TRIMMED} SELECT doc_id, CAST(pos3 AS BIGINT) AS pos3, status3, outcome FROM t")
 def adapter_trim(spark, sf):
-    """The SQL's slice: an exact adapter in the first 60 characters.  ``adapter_trim_whole`` reads whole texts."""
-    docs = table(spark, sf, "documents").select("doc_id", F.substring(F.replace("text", F.lit("ß"), F.lit("s")), 1, 60).alias("sequence"))
-    return reads.trim(docs, adapter3="the", distance=0).select("doc_id", F.col("pos3").cast("long").alias("pos3"), "status3", "outcome")
+    """Whole texts by the seed of an adapter, one mismatch allowed."""
+    return _trimmed(spark, sf).select("doc_id", F.col("pos3").cast("long").alias("pos3"), "status3", "outcome")
+
+
+@query(f"""WITH {_TRIMMED} SELECT lang AS sample, count(*) AS total, count(*) FILTER (status3 = 'unmatch') AS unmatch3, count(*) FILTER (status3 = 'null') AS null3, count(*) FILTER (status3 = 'match') AS match3,
+ count(*) FILTER (outcome = 'baseN') AS base_n, count(*) FILTER (outcome = 'short') AS short, count(*) FILTER (outcome = 'clean') AS cleaned FROM t GROUP BY 1""")
+def trim_report(spark, sf):
+    return reads.trim_report(_trimmed(spark, sf))
 
 
 @query()
@@ -376,3 +428,125 @@ def canonical_dedup(spark, sf):
     docs = table(spark, sf, "documents")
     rows = docs.select(F.col("doc_id").alias("ord"), F.col("text").alias("sequence")).unionAll(docs.select((F.col("doc_id") + 10000000).alias("ord"), S.iupac_reverse_complement(F.upper("text")).alias("sequence")))
     return taxonomy.drop_exact(rows).select("ord")
+
+
+# hits: thresholds, support, flags, report frames
+
+
+@query(f"WITH {_HITS} SELECT ord FROM hits WHERE percent_identity >= 96 AND query_coverage >= 95")
+def hit_thresholds(spark, sf):
+    return hits.passing(line_hits(spark, sf), 96.0, 95.0).select("ord")
+
+
+@query(f"WITH {_HITS} SELECT reference_id AS group_id, contig_id, s, e FROM hits QUALIFY row_number() OVER (PARTITION BY reference_id, contig_id ORDER BY {_ORDER}) = 1")
+def group_support(spark, sf):
+    return hits.support(line_hits(spark, sf)).select("group_id", "contig_id", "s", "e")
+
+
+@query(f"WITH {_HITS} SELECT reference_id AS group_id, sum(percent_identity) / count(*) AS mean_identity, max(percent_identity) AS max_identity, min(percent_identity) AS min_identity FROM hits GROUP BY 1")
+def identity_stats(spark, sf):
+    return hits.identity_stats(line_hits(spark, sf))
+
+
+@query(f"WITH {_HITS} SELECT contig_id, hit_id, ord FROM hits WHERE percent_identity >= 96 AND query_coverage >= 95 AND reference_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 3 = 0) QUALIFY row_number() OVER (PARTITION BY contig_id ORDER BY {_ORDER}) = 1")
+def final_hits(spark, sf):
+    allowed = table(spark, sf, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").cast("string").alias("group_id"))
+    return hits.best_final(line_hits(spark, sf), 96.0, 95.0, allowed).select("contig_id", "hit_id", "ord")
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS group_id, s_suppkey % 2 = 0 AS passes_redundancy, s_suppkey % 2 = 0 AND s_acctbal > 0 AS passes_filters FROM supplier")
+def summary_flags(spark, sf):
+    summary = table(spark, sf, "supplier").select(F.lit("blastn").alias("analysis"), F.col("s_suppkey").cast("string").alias("group_id"), (F.col("s_acctbal") > 0).alias("passes_coverage_depth"))
+    kept = table(spark, sf, "supplier").where("s_suppkey % 2 = 0").select(F.lit("blastn").alias("analysis"), F.col("s_suppkey").cast("string").alias("group_id"))
+    return hits.flag(summary, kept).select("group_id", "passes_redundancy", "passes_filters")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)")
+def references_kept(spark, sf):
+    """Records whose id, once normalised, is a kept group."""
+    records = table(spark, sf, "part").select(F.concat(F.lit("gi|7|ref|"), F.col("p_partkey").cast("string"), F.lit("| x")).alias("seq_id"), F.col("p_partkey").cast("string").alias("id"))
+    return hits.references_of(records, table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_partkey").cast("string").alias("group_id"))).select("id")
+
+
+@query(f"""WITH {_HITS} SELECT ord, (s - 1) / 500 * 100 AS left_percent, greatest((e - s + 1) / 500 * 100, 0.35::DOUBLE) AS width_percent,
+ CASE WHEN percent_identity >= 97 THEN 'identity-high' WHEN percent_identity >= 90 THEN 'identity-good' WHEN percent_identity >= 75 THEN 'identity-fair' ELSE 'identity-low' END AS color, CASE WHEN ord % 2 = 0 THEN '+' ELSE '-' END AS strand,
+ 'https://www.ncbi.nlm.nih.gov/nuccore/' || reference_id AS link FROM hits""")
+def hit_geometry(spark, sf):
+    turned = _turned(spark, sf)
+    return report.coverage_blocks(turned).select("ord", "left_percent", "width_percent", "color", report.strand().alias("strand"), report.accession_link(F.col("analysis"), hits.group_id(), F.col("reference_id")).alias("link"))
+
+
+def _turned(spark, sf):
+    """Hits of which every other one lies backwards on its reference."""
+    odd = F.col("ord") % 2 == 1
+    return line_hits(spark, sf).withColumns({"hit_start": F.when(odd, F.col("hit_end")).otherwise(F.col("hit_start")), "hit_end": F.when(odd, F.col("hit_start")).otherwise(F.col("hit_end"))})
+
+
+@query(f"""WITH {_HITS}, t AS (SELECT reference_id AS group_id, contig_id, count(*) AS n, min(s) AS first, min(e) AS first_end, max(e) AS last, CASE WHEN count(DISTINCT ord % 2) > 1 THEN 'mixed' WHEN min(ord % 2) = 0 THEN '+' ELSE '-' END AS strand, min(percent_identity) AS identity_min, max(percent_identity) AS identity_max FROM hits GROUP BY 1, 2)
+SELECT group_id, contig_id, n, first, last, strand, identity_min, identity_max, CAST(row_number() OVER (PARTITION BY group_id ORDER BY first, first_end, contig_id) AS INT) AS track, greatest((last - first + 1) * (900.0::DOUBLE / 500), 3.0::DOUBLE) AS pixels FROM t""")
+def reference_tracks(spark, sf):
+    return report.tracks(_turned(spark, sf)).select("group_id", "contig_id", "n", "first", "last", "strand", "identity_min", "identity_max", "track", "pixels")
+
+
+@query(f"WITH {_HITS} SELECT reference_id AS group_id, count(*) FILTER (ord % 2 = 0) AS forward, count(*) FILTER (ord % 2 = 1) AS backward FROM hits GROUP BY 1")
+def strand_counts(spark, sf):
+    return report.strand_counts(_turned(spark, sf))
+
+
+_PLACED = "SELECT reference_id AS group_id, contig_id, s, e, ord, percent_identity, CAST(row_number() OVER (PARTITION BY reference_id ORDER BY s, e, contig_id, ord) AS INT) AS number FROM hits"
+
+
+@query(f"""WITH {_HITS}, p AS ({_PLACED}), a AS (SELECT *, 'alignment-' || group_id || '-' || number AS anchor FROM p)
+SELECT ord, number, anchor, lag(anchor) OVER (PARTITION BY group_id ORDER BY number) AS previous, lead(anchor) OVER (PARTITION BY group_id ORDER BY number) AS next FROM a""")
+def alignment_order(spark, sf):
+    return report.alignment_order(line_hits(spark, sf)).select("ord", "number", "anchor", "previous", "next")
+
+
+@query(f"""WITH {_HITS}, p AS ({_PLACED}) SELECT group_id, contig_id, count(*) AS n, min(number) AS first_number, max(number) AS last_number, min(s) AS start, max(e) AS "end", 'alignment-' || group_id || '-' || min(number) AS anchor,
+ 'alignment-index-row-' || row_number() OVER (PARTITION BY group_id ORDER BY min(s), max(e), contig_id) AS row_id FROM p GROUP BY group_id, contig_id""")
+def alignment_index(spark, sf):
+    return report.alignment_index(line_hits(spark, sf)).select("group_id", "contig_id", "n", "first_number", "last_number", "start", "end", "anchor", "row_id")
+
+
+@query(f"""WITH {_HITS} SELECT ord_contig AS contig_id, contig_sequence, hit_id, identity, strand FROM (
+ SELECT contig_id AS ord_contig, coalesce('A' || o_orderstatus, '') AS contig_sequence, hit_id, round(percent_identity, 2) AS identity, CASE WHEN ord % 2 = 1 THEN -1 ELSE 1 END AS strand FROM hits LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 5 <> 0) ON CAST(o_orderkey AS VARCHAR) = contig_id)""")
+def alignment_table(spark, sf):
+    records = table(spark, sf, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").cast("string").alias("seq_id"), F.concat(F.lit("A"), "o_orderstatus").alias("sequence"))
+    return writers.alignment_table(_turned(spark, sf), records).select("contig_id", "contig_sequence", "hit_id", "identity", "strand")
+
+
+# alignments and reads
+
+
+@query("""SELECT CAST(l_orderkey AS VARCHAR) AS qname, CAST(l_suppkey AS VARCHAR) AS rname, CAST(l_partkey AS INT) AS pos, CAST(l_partkey % 3 AS INT) AS nm FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey % 3, CAST(l_suppkey AS VARCHAR), l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN '0' ELSE '16' END) <= 2""")
+def capped_alternatives(spark, sf):
+    li = table(spark, sf, "lineitem")
+    rows = li.select(F.col("l_orderkey").cast("string").alias("qname"), F.when(F.col("l_linenumber") % 2 == 0, "0").otherwise("16").alias("flag"), F.col("l_suppkey").cast("string").alias("rname"), F.col("l_partkey").cast("int").alias("pos"), (F.col("l_partkey") % 3).cast("int").alias("nm"))
+    return alignments.cap_alternatives(rows, 2).select("qname", "rname", "pos", "nm")
+
+
+@query("SELECT o_orderkey AS ord, o_orderpriority AS header, o_orderstatus AS sequence FROM orders WHERE o_orderkey % 3 = 1")
+def unmapped_reads(spark, sf):
+    flag = F.when(F.col("o_orderkey") % 3 == 1, "4").when(F.col("o_orderkey") % 3 == 2, "20").otherwise("0")
+    return alignments.unmapped_reads(table(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), F.col("o_orderpriority").alias("qname"), F.col("o_orderstatus").alias("seq"), flag.alias("flag")))
+
+
+@query("SELECT lang AS contig_id, string_agg(len || '=' || n, ',' ORDER BY len) AS lengths FROM (SELECT lang, length(text) AS len, count(*) AS n FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
+def length_map(spark, sf):
+    docs = table(spark, sf, "documents").where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").alias("rname"), F.col("text").alias("seq"), F.lit("0").alias("flag"))
+    entries = F.transform(F.map_entries("lengths"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string")))
+    return reads.length_map(reads.length_histogram(docs)).select("contig_id", F.array_join(entries, ",").alias("lengths"))
+
+
+# texts
+
+
+@query("""WITH p AS (SELECT p_partkey, p_name, p_type, p_name || '<' || p_brand || '>&"' AS raw FROM part)
+SELECT p_partkey, coalesce(nullif(regexp_replace(regexp_replace(raw, '[^a-zA-Z0-9]', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'item') AS slug, replace(replace(replace(replace(raw, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped,
+ substr(p_name, 1, 7) || '/' || substr(p_name, 8, 7) || CASE WHEN length(p_name) > 14 THEN '/' || substr(p_name, 15, 7) ELSE '' END AS wrapped,
+ array_to_string([CASE WHEN substr(p_name, i, 1) = substr(p_type, i, 1) THEN '|' ELSE '.' END for i in range(1, least(length(p_name), length(p_type)) + 1)], '') AS midline FROM p WHERE length(p_name) BETWEEN 8 AND 21""")
+def text_functions(spark, sf):
+    raw = F.concat("p_name", F.lit("<"), "p_brand", F.lit('>&"'))
+    part = table(spark, sf, "part").where(F.length("p_name").between(8, 21))
+    return part.select("p_partkey", S.slug(raw).alias("slug"), S.html_escape(raw).alias("escaped"), F.array_join(S.wrapped(F.col("p_name"), 7), "/").alias("wrapped"), S.midline(F.col("p_name"), F.col("p_type")).alias("midline"))
