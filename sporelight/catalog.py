@@ -550,3 +550,22 @@ def text_functions(spark, sf):
     raw = F.concat("p_name", F.lit("<"), "p_brand", F.lit('>&"'))
     part = table(spark, sf, "part").where(F.length("p_name").between(8, 21))
     return part.select("p_partkey", S.slug(raw).alias("slug"), S.html_escape(raw).alias("escaped"), F.array_join(S.wrapped(F.col("p_name"), 7), "/").alias("wrapped"), S.midline(F.col("p_name"), F.col("p_type")).alias("midline"))
+
+
+# taxonomy
+
+
+@query("SELECT p_partkey FROM part WHERE NOT contains(p_name, 'green') AND NOT contains(p_name, 'a.b') AND NOT contains(p_name, 'blue')")
+def sources_excluded(spark, sf):
+    """Records by keywords of their source, taken literally."""
+    return taxonomy.without_sources(table(spark, sf, "part").withColumn("source", F.col("p_name")), ("green", "a.b", "blue")).select("p_partkey")
+
+
+@query("SELECT n_name AS division, CAST(c_custkey AS VARCHAR) AS id, c_name AS sequence FROM customer, nation WHERE n_nationkey IN (c_nationkey, (c_nationkey + 7) % 25)")
+def refined_divisions(spark, sf):
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("name"))
+    customer = table(spark, sf, "customer")
+    links = customer.select(F.col("c_custkey").cast("string").alias("id"), F.explode(F.array("c_nationkey", (F.col("c_nationkey") + 7) % 25)).alias("n_nationkey"))
+    classes = links.join(nation, "n_nationkey").groupBy("id").agg(F.collect_list("name").alias("divisions"))
+    records = customer.select(F.col("c_custkey").alias("ord"), F.col("c_custkey").cast("string").alias("seq_id"), F.col("c_name").alias("sequence"))
+    return taxonomy.refine(classes, records.unionAll(records.select(F.col("ord") + 1, "seq_id", F.lit("later"))), nation)

@@ -152,3 +152,22 @@ def patch(table: DataFrame, additions: DataFrame, key: str) -> tuple[DataFrame,
 def by_division(info: DataFrame, sequences: DataFrame) -> DataFrame:
     """``division, id, sequence``: a row for each division of each record (write with partitionBy('division'))."""
     return info.select("id", F.explode("divisions").alias("division")).join(sequences.select(F.col("seq_id").alias("id"), "sequence"), "id").select("division", "id", "sequence")
+
+
+def without_sources(genbank: DataFrame, keywords: tuple[str, ...] = ("SARS",)) -> DataFrame:
+    """Records whose source names none of the keywords (as they stand, anywhere in it); records without a source stay."""
+    named = F.lit(False)
+    for word in keywords:
+        named = named | F.coalesce(F.col("source").contains(F.lit(word)), F.lit(False))
+    return genbank.where(~named)
+
+
+def refine(classification: DataFrame, sequences: DataFrame, divisions: DataFrame) -> DataFrame:
+    """``division, id, sequence`` after a classification was corrected: each record anew in each of its divisions.
+
+    Of sequences with one id the first (least ord) counts; a division that isn't among ``divisions`` (name) is an error, and so is a record without a sequence."""
+    first = sequences.groupBy(F.col("seq_id").alias("id")).agg(F.min_by("sequence", "ord").alias("sequence"))
+    rows = classification.select("id", F.explode("divisions").alias("division"))
+    known = rows.join(divisions.select(F.col("name").alias("division"), F.lit(True).alias("_ok")).distinct(), "division", "left").join(first, "id", "left")
+    checked = F.when(F.col("_ok").isNull(), F.raise_error(F.concat(F.lit("no division: "), "division")).cast("string")).when(F.col("sequence").isNull(), F.raise_error(F.concat(F.lit("no sequence of "), "id")).cast("string")).otherwise(F.col("sequence"))
+    return known.select("division", "id", checked.alias("sequence"))
