@@ -194,7 +194,7 @@ def kmer_spectrum_documents(spark, sf):
     return words.groupBy(F.col("w.kmer").alias("kmer")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH c AS (SELECT string_split(translate(upper(text), 'ß', 's'), '') AS c FROM documents), k AS (SELECT array_to_string(c[i : i + 2], '') AS k FROM c, unnest(range(1, len(c) - 1)) AS r(i))
+@query("""WITH t AS (SELECT upper(text) AS t FROM documents), k AS (SELECT unnest(regexp_extract_all(substr(t, o), '(?s).{3}')) AS k FROM t, (VALUES (1), (2), (3)) AS v(o))
 SELECT least(k, reverse(translate(k, 'ACGT', 'TGCA'))) AS kmer, count(*) AS n FROM k WHERE regexp_full_match(k, '[ACGT]{3}') GROUP BY 1""")
 def kmer_spectrum(spark, sf):
     """Words of three over ACGT in the documents, both strands as one."""

@@ -65,7 +65,8 @@ def statistics(records: DataFrame) -> DataFrame:
 
 def kmer_counts(reads: DataFrame, k: int) -> DataFrame:
     """``kmer, n`` over both strands (a k-mer and its reverse complement are one, named by the lesser)."""
-    words = reads.select(F.explode(kmers(F.upper("sequence"), k)).alias("w")).select(F.col("w.kmer").alias("kmer")).where(~F.col("kmer").rlike("[^ACGT]"))
+    runs = reads.select(F.explode(F.regexp_extract_all(F.upper("sequence"), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("run"))
+    words = runs.select(F.explode(kmers(F.col("run"), k)).alias("w")).select(F.col("w.kmer").alias("kmer"))
     return words.groupBy(F.least("kmer", reverse_complement(F.col("kmer"))).alias("kmer")).agg(F.count("*").alias("n"))
 
 
