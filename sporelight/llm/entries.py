@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, classlm, decontaminate, langid, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter
+from . import base, classlm, decontaminate, importance, langid, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_secret_scan": secrets.query,
         "op9_line_dedup": linededup.query,
         "op10_language_id": langid.query,
+        "op13_importance_resampling": importance.query,
         "quality_base": base.quality_base,
         "class_lm_base": base.class_lm_base,
         "secret_base": base.secret_base,
@@ -28,6 +29,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filters": urlfilter.ORACLE_SQL,
         "op4_decontamination": decontaminate.ORACLE_SQL,
         "op5_ngram_jaccard": ngramjoin.ORACLE_SQL,
+        "op13_importance_resampling": importance.ORACLE_SQL,
         "quality_base": base.QUALITY_SQL,
         "class_lm_base": base.CLASS_LM_SQL,
         "secret_base": base.SECRET_SQL,

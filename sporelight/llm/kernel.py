@@ -13,6 +13,7 @@ decided byte by byte.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -182,3 +183,41 @@ def whole_windows(row_offsets: np.ndarray, k: int, total: int) -> np.ndarray:
             bad = row_offsets[1:-1] - cut
             ok[bad[(bad >= 0) & (bad < n)]] = False
     return ok
+
+
+def _crc_table() -> np.ndarray:
+    x = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        x = np.where(x & 1, x >> np.uint32(1) ^ np.uint32(0xEDB88320), x >> np.uint32(1))
+    return x.astype(np.uint32)
+
+
+_CRC = _crc_table()
+
+
+def crc_begin(n: int) -> np.ndarray:
+    """States of n CRC-32 sums of nothing yet."""
+    return np.full(n, 0xFFFFFFFF, np.uint32)
+
+
+def crc_byte(state: np.ndarray, byte: int | np.ndarray) -> np.ndarray:
+    """Each sum goes on with one byte."""
+    return _CRC[(state ^ byte) & np.uint32(255)] ^ (state >> np.uint32(8))
+
+
+def crc_more(state: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Each sum goes on with the bytes of its run; runs of more than ``LONG_RUN`` bytes are taken one by one."""
+    state, size, done = state.copy(), end - start, 0
+    live = np.flatnonzero((size > 0) & (size <= LONG_RUN))
+    while len(live):
+        state[live] = crc_byte(state[live], data[start[live] + done])
+        done += 1
+        live = live[size[live] > done]
+    for i in np.flatnonzero(size > LONG_RUN).tolist():
+        state[i] = zlib.crc32(data[start[i] : end[i]].tobytes(), int(state[i]) ^ 0xFFFFFFFF) ^ 0xFFFFFFFF
+    return state
+
+
+def crc_end(state: np.ndarray) -> np.ndarray:
+    """The CRC-32 values, unsigned."""
+    return state ^ np.uint32(0xFFFFFFFF)
