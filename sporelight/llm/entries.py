@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, classlm, decontaminate, importance, langid, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter
+from . import base, bestfit, classlm, decontaminate, importance, langid, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_secret_scan": secrets.query,
         "op9_line_dedup": linededup.query,
         "op10_language_id": langid.query,
+        "op12_best_fit_packing": bestfit.query,
         "op13_importance_resampling": importance.query,
         "quality_base": base.quality_base,
         "class_lm_base": base.class_lm_base,

@@ -221,3 +221,47 @@ def crc_more(state: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.nda
 def crc_end(state: np.ndarray) -> np.ndarray:
     """The CRC-32 values, unsigned."""
     return state ^ np.uint32(0xFFFFFFFF)
+
+
+class Grown:
+    """An array that grows at its end; eight spare bytes follow it."""
+
+    def __init__(self, kind: type):
+        self._all, self._n = np.zeros(1024, kind), 0
+
+    def __len__(self) -> int:
+        return self._n
+
+    def extend(self, more: np.ndarray) -> None:
+        need = self._n + len(more) + 8
+        if need > len(self._all):
+            self._all = np.concatenate([self._all[: self._n], np.zeros(need + len(self._all) - self._n, self._all.dtype)])
+        self._all[self._n : self._n + len(more)] = more
+        self._n += len(more)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self._all[: self._n]
+
+
+def _strided(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on (zeros beyond the end), as numbers."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def same_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether each run's bytes equal those of ``other`` from ``at`` on, ``length`` of them."""
+    size = end - start
+    same = size == length
+    a, b, done = _strided(data), _strided(other), 0
+    live = np.flatnonzero(same & (size > 0) & (size <= LONG_RUN))
+    while len(live):
+        equal = ((a[start[live] + done] ^ b[at[live] + done]) & _FIRST_BYTES[np.minimum(size[live] - done, 8)]) == 0
+        same[live[~equal]] = False
+        done += 8
+        live = live[equal & (size[live] > done)]
+    for i in np.flatnonzero(same & (size > LONG_RUN)).tolist():
+        same[i] = np.array_equal(data[start[i] : end[i]], other[at[i] : at[i] + size[i]])
+    return same
