@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, bestfit, classlm, decontaminate, importance, langid, linededup, ngramjoin, packing, quality, secrets, toxicity, urlfilter
+from . import base, bestfit, classlm, decontaminate, importance, langid, linededup, ngramjoin, packing, prefixtrie, quality, secrets, toxicity, urlfilter
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_secret_scan": secrets.query,
         "op9_line_dedup": linededup.query,
         "op10_language_id": langid.query,
+        "op11_prefix_trie": prefixtrie.query,
         "op12_best_fit_packing": bestfit.query,
         "op13_importance_resampling": importance.query,
         "quality_base": base.quality_base,
@@ -30,6 +31,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_url_filters": urlfilter.ORACLE_SQL,
         "op4_decontamination": decontaminate.ORACLE_SQL,
         "op5_ngram_jaccard": ngramjoin.ORACLE_SQL,
+        "op11_prefix_trie": prefixtrie.ORACLE_SQL,
         "op13_importance_resampling": importance.ORACLE_SQL,
         "quality_base": base.QUALITY_SQL,
         "class_lm_base": base.CLASS_LM_SQL,
