@@ -20,7 +20,7 @@ import numpy as np
 
 from . import kernel as K
 
-VOCABULARY_LIMIT = 300_000
+VOCABULARY_LIMIT = 1_500_000
 VOCABULARY_BYTES = 64 << 20
 BLOCK = 1 << 20
 
@@ -116,7 +116,10 @@ class Vocabulary:
         """All token ids of some texts' bytes, and their offsets by text."""
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        edge = np.unique(np.concatenate([cuts(data, marks=b"<|" not in data.tobytes()), offsets[offsets < len(data)]]))
+        cut = np.zeros(len(data), bool)
+        cut[cuts(data, marks=b"<|" not in data.tobytes())] = True
+        cut[offsets[offsets < len(data)]] = True
+        edge = np.flatnonzero(cut)
         entry = self.entries(data, edge, np.append(edge[1:], len(data)))
         size = self.size.values[entry]
         total = np.concatenate([[0], np.cumsum(size)])
