@@ -7,11 +7,11 @@ on both sides.  They run over whole tables and whole texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import sequence as S
-from .operators import alignments, contigs, hits, pileup, reads, report, taxonomy
+from .operators import alignments, contigs, hits, pileup, reads, refindex, report, taxonomy
 from .sources import writers
 
 QUERIES: dict = {}
@@ -569,3 +569,45 @@ def refined_divisions(spark, sf):
     classes = links.join(nation, "n_nationkey").groupBy("id").agg(F.collect_list("name").alias("divisions"))
     records = customer.select(F.col("c_custkey").alias("ord"), F.col("c_custkey").cast("string").alias("seq_id"), F.col("c_name").alias("sequence"))
     return taxonomy.refine(classes, records.unionAll(records.select(F.col("ord") + 1, "seq_id", F.lit("later"))), nation)
+
+
+# ---- reference index: a text's letters as bases, by their place in the alphabet
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_AS_BASES = "".join("ACGT"["abcdefghijklmnopqrstuvwxyz".index(c.lower()) % 4] for c in _LETTERS)
+
+
+def bases(text: Column) -> Column:
+    return F.regexp_replace(F.translate(text, _LETTERS, _AS_BASES), "[^ACGT]", "")
+
+
+def _bases_sql(table: str, key: str) -> str:
+    return f"SELECT CAST({key} AS VARCHAR) AS seq_id, regexp_replace(translate(text, '{_LETTERS}', '{_AS_BASES}'), '[^ACGT]', '', 'g') AS b FROM {table}"
+
+
+def _minimizers_sql(rows: str, k: int, window: int) -> str:
+    """Minimizers of ``seq_id, b``: the least key of each window of k-mers, the leftmost of equals."""
+    digits = " + ".join(f"(instr('ACGT', substr(b, i + {j}, 1)) - 1) * {4 ** (k - j)}" for j in range(1, k + 1))
+    return f"""SELECT DISTINCT seq_id, x.key AS key, x.i AS at FROM (
+  SELECT seq_id, i, n, min(struct_pack(key := key, i := i)) OVER (PARTITION BY seq_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS x
+  FROM (SELECT seq_id, i, length(b) - {k} AS n, CAST((({digits})::HUGEINT * {refindex._MIX}) % {1 << 62} AS BIGINT) AS key FROM (SELECT seq_id, b, unnest(range(0, length(b) - {k - 1})) AS i FROM ({rows}))))
+WHERE i + {window - 1} <= n OR i = 0"""
+
+
+@query(f"""WITH m AS ({_minimizers_sql(_bases_sql("documents", "doc_id"), 8, 10)})
+SELECT key, count(*) AS n_places, count(DISTINCT seq_id) AS n_documents, min(at) AS first, max(at) AS last FROM m GROUP BY key""")
+def minimizer_index(spark, sf):
+    """Minimizers (words of eight in windows of ten) of the documents as references, cut into tiles."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("seq_id"), bases(F.col("text")).alias("sequence"))
+    index = refindex.build(docs, [(8, 10)], tile=1024, reach=128)
+    return index.places.groupBy("key").agg(F.count("*").alias("n_places"), F.count_distinct("seq_id").alias("n_documents"), F.min("at").alias("first"), F.max("at").alias("last"))
+
+
+@query(f"""WITH m AS ({_minimizers_sql(_bases_sql("documents", "doc_id"), 15, 10)}), r AS ({_minimizers_sql(_bases_sql("benchmark", "item_id"), 15, 10)})
+SELECT r.seq_id AS item_id, m.seq_id AS doc_id, count(*) AS n_seeds, count(DISTINCT m.at - r.at) AS n_diagonals, min(m.at - r.at) AS first FROM r JOIN m USING (key) GROUP BY 1, 2""")
+def seed_hits(spark, sf):
+    """Passages as reads against the documents as references: seeds and diagonals of each pair."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("seq_id"), bases(F.col("text")).alias("sequence"))
+    items = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("item_id"), bases(F.col("text")).alias("oriented")).where(F.length("oriented") >= 15)
+    found = refindex.seed_hits(refindex.read_seeds(items, [(15, 10)], 0), refindex.build(docs, [(15, 10)]))
+    diagonal = F.col("at") - F.col("place")
+    return found.groupBy("item_id", F.col("seq_id").alias("doc_id")).agg(F.count("*").alias("n_seeds"), F.count_distinct(diagonal).alias("n_diagonals"), F.min(diagonal).alias("first"))

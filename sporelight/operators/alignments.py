@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import alternative_alignments, kmers, reverse_complement
+from ..functions.sequence import alternative_alignments, reverse_complement
+from . import refindex
+from .extension import Penalty, extender
 
 KEPT_FLAGS = 0x6E9  # fixed value: flag bits an alternative alignment takes over from its record
 
@@ -81,45 +83,43 @@ def cap_alternatives(alignments: DataFrame, n: int) -> DataFrame:
     return alignments.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def align(reads: DataFrame, references: DataFrame, distance: int = 1, salt: int = 16) -> DataFrame:
-    """Alignments with at most ``distance`` edits: ``qname, flag, rname, pos, cigar, seq, nm``.
-
-    A read is cut into distance + 1 parts, one of which an alignment leaves
-    unchanged.  Parts meet reference k-mers of their length in an equi-join
-    (salted on the reference side's start, as repeats make some k-mers hot);
-    the window is verified with a thresholded edit distance."""
-    parts = distance + 1
-    both = reads.select(F.coalesce(F.get(F.split("header", r"\s+"), 0), F.lit("")).alias("qname"), F.upper("sequence").alias("seq")).where(F.length("seq") >= parts)
-    both = both.withColumn("strand", F.explode(F.array(F.lit(0), F.lit(16)))).withColumn("oriented", F.when(F.col("strand") == 16, reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
-    n = F.length("oriented")
-    pieces = F.array(*(F.struct(F.floor(n * i / parts).cast("int").alias("start"), (F.floor(n * (i + 1) / parts) - F.floor(n * i / parts)).cast("int").alias("size")) for i in range(parts)))
-    seeds = both.withColumn("p", F.explode(pieces)).withColumn("kmer", F.substring(F.col("oriented"), F.col("p.start") + 1, F.col("p.size"))).withColumn("k", F.col("p.size"))
-    sizes = sorted(r.k for r in seeds.select("k").distinct().collect())  # lengths of read parts: a handful
-    refs = references.select("seq_id", F.upper("sequence").alias("ref"))
-    words = None
-    for k in sizes:
-        more = refs.select("seq_id", F.lit(k).alias("k"), F.explode(kmers(F.col("ref"), k)).alias("w"))
-        words = more if words is None else words.unionByName(more)
-    if words is None:
-        words = refs.select("seq_id", F.lit(0).alias("k"), F.explode(kmers(F.col("ref"), 1)).alias("w")).limit(0)
-    words = words.select("seq_id", "k", F.col("w.kmer").alias("kmer"), F.col("w.start").alias("at"), F.pmod(F.col("w.start"), F.lit(salt)).alias("salt"))
-    salted = seeds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    places = salted.join(words, ["k", "kmer", "salt"]).select("qname", "strand", "oriented", "seq_id", (F.col("at") - F.col("p.start")).alias("begin")).distinct()
-    shifts = F.sequence(F.lit(-distance), F.lit(distance))
-    checked = places.join(refs, "seq_id").withColumn("size", F.length("oriented"))
-    tries = F.array_compact(F.flatten(F.transform(shifts, lambda b: F.transform(shifts, lambda e: F.when((F.col("begin") + b >= 1) & (F.col("size") + e >= 1) & (F.col("begin") + b + F.col("size") + e - 1 <= F.length("ref")), F.struct(F.levenshtein(F.col("oriented"), F.substring(F.col("ref"), F.col("begin") + b, F.col("size") + e), distance).alias("nm"), F.abs(e).alias("gap"), (F.col("begin") + b).alias("pos"), (F.col("size") + e).alias("span")))))))
-    good = F.array_sort(F.filter(tries, lambda x: x["nm"] >= 0))
-    found = checked.withColumn("best", F.get(good, 0)).where("best IS NOT NULL")
-    rows = found.groupBy("qname", "strand", "seq_id", F.col("best.pos").alias("pos")).agg(F.min(F.struct("best.nm", "best.gap", "best.span", "size", "oriented")).alias("x"))
-    gap = F.col("x.span") - F.col("x.size")
-    text = F.when(gap == 0, F.concat(F.col("x.size").cast("string"), F.lit("M"))).when(gap > 0, F.concat((F.col("x.size") - 1).cast("string"), F.lit("M"), gap.cast("string"), F.lit("D1M"))).otherwise(F.concat((F.col("x.span") - 1).cast("string"), F.lit("M"), (-gap).cast("string"), F.lit("I1M")))
-    return rows.select("qname", F.col("strand").cast("string").alias("flag"), F.col("seq_id").alias("rname"), "pos", text.alias("cigar"), F.col("x.oriented").alias("seq"), F.col("x.nm").alias("nm"))
-
-
-def subtract_host(reads: DataFrame, host: DataFrame | None, distance: int = 1) -> tuple[DataFrame, DataFrame]:
+def align(reads: DataFrame, references: DataFrame | None, distance: int = 1, penalty: Penalty | None = None, index: refindex.Index | None = None) -> DataFrame:
+    """Alignments of whole reads within a penalty: ``qname, flag, rname, pos, cigar, seq, nm, score``.
+
+    ``penalty`` defaults to ``distance`` differences of one each.  Seeds of each read and
+    its reverse complement meet the index (:mod:`.refindex`; of ``references`` where none
+    is given), each diagonal found is extended in its tile alone, and every alignment
+    within the limit lies on a diagonal some seed finds.  A read so short that the limit
+    could leave none of its bases unchanged isn't aligned."""
+    penalty = penalty or Penalty(limit=distance)
+    text = F.upper("sequence")
+    named = reads.select(F.coalesce(F.get(F.split("header", r"\s+"), 0), F.lit("")).alias("qname"), text.alias("seq")).where(F.length("seq") > penalty.edits)
+    if index is None:
+        lengths = [r.n for r in named.select(F.length("seq").alias("n")).distinct().collect()]  # at most as many as a read has bases
+        schemes = refindex.schemes_for(lengths, penalty.edits)
+        reach = max([refindex.REACH, *(n + 2 * penalty.gap for n in lengths)])
+        index = refindex.build(references, schemes, reach=reach)
+    elif (longest := named.agg(F.max(F.length("seq"))).first()[0] or 0) + 2 * penalty.gap > index.reach:
+        raise ValueError(f"a read of {longest} bases is longer than the index reaches ({index.reach})")
+    both = named.withColumn("strand", F.explode(F.array(F.lit(0), F.lit(16))))
+    both = both.select("qname", "strand", F.when(F.col("strand") == 16, reverse_complement(F.col("seq"))).otherwise(F.col("seq")).alias("oriented"))
+    hits = refindex.seed_hits(refindex.read_seeds(both, index.schemes, penalty.edits), index)
+    diagonals = hits.select("qname", "strand", "seq_id", "oriented", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
+    tile = F.floor(F.greatest(F.col("diagonal") - penalty.gap, F.lit(0)) / index.tile)
+    windows = diagonals.withColumn("tile", tile).join(index.tiles, ["seq_id", "tile"]).select("qname", "strand", "seq_id", "oriented", "text", "begin", "diagonal")
+    found = windows.mapInArrow(extender(penalty, 3), "qname string, strand int, seq_id string, oriented string, pos int, cigar string, nm int, score int")
+    best = found.groupBy("qname", "strand", "seq_id", "pos").agg(F.min(F.struct("score", "nm", "cigar", "oriented")).alias("x"))
+    return best.select("qname", F.col("strand").cast("string").alias("flag"), F.col("seq_id").alias("rname"), "pos", "x.cigar", F.col("x.oriented").alias("seq"), "x.nm", "x.score")
+
+
+#: Host subtraction of longer reads: a mismatch, an unknown base and each base of a gap cost one.
+HOST_PENALTY = Penalty(limit=5, mismatch=1, gap_open=0, gap_extend=1, other=1)
+
+
+def subtract_host(reads: DataFrame, host: DataFrame | None, distance: int = 1, penalty: Penalty | None = None, index: refindex.Index | None = None) -> tuple[DataFrame, DataFrame]:
     """Reads that don't align to the host, and those that do; without a host nothing aligns."""
-    if host is None:
+    if host is None and index is None:
         return reads, reads.limit(0)
     named = reads.withColumn("_name", F.coalesce(F.get(F.split("header", r"\s+"), 0), F.lit("")))
-    names = align(reads, host, distance).select(F.col("qname").alias("_name")).distinct()
+    names = align(reads, host, distance, penalty, index).select(F.col("qname").alias("_name")).distinct()
     return named.join(names, "_name", "left_anti").drop("_name"), named.join(names, "_name", "left_semi").drop("_name")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -90,7 +90,7 @@ def run(spark: SparkSession, reads_path: str, references: DataFrame, annotation:
     consensus = pileup.contigs(pileup.filter_coverage(columns, lengths), lengths) if not columns.isEmpty() else None
     if done("generate_aligned_contigs", consensus):
         return out
-    rest, mapped = alignments.subtract_host(ready, host, config.host_distance if kind == "mRNA" else 1)
+    rest, mapped = alignments.subtract_host(ready, host, penalty=replace(alignments.HOST_PENALTY, limit=config.host_distance) if kind == "mRNA" else None)
     out["host_reads"] = mapped
     if done("host_subtraction", rest):
         return out
