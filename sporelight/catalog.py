@@ -586,15 +586,15 @@ def _bases_sql(table: str, key: str) -> str:
 
 def _minimizers_sql(rows: str, k: int, window: int) -> str:
     """Minimizers of ``seq_id, b``: the least key of each window of k-mers, the leftmost of equals."""
-    digits = " + ".join(f"(instr('ACGT', substr(b, i + {j}, 1)) - 1) * {4 ** (k - j)}" for j in range(1, k + 1))
-    return f"""SELECT DISTINCT seq_id, x.key AS key, x.i AS at FROM (
-  SELECT seq_id, i, n, min(struct_pack(key := key, i := i)) OVER (PARTITION BY seq_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS x
-  FROM (SELECT seq_id, i, length(b) - {k} AS n, CAST((({digits})::HUGEINT * {refindex._MIX}) % {1 << 62} AS BIGINT) AS key FROM (SELECT seq_id, b, unnest(range(0, length(b) - {k - 1})) AS i FROM ({rows}))))
+    digits = " + ".join(f"(instr('ACGT', substr(w, {j}, 1)) - 1) * {4 ** (k - j)}" for j in range(1, k + 1))
+    return f"""SELECT DISTINCT seq_id, CAST(x // 4294967296 AS BIGINT) AS key, CAST(x % 4294967296 AS BIGINT) AS pos FROM (
+  SELECT seq_id, i, n, min(key::HUGEINT * 4294967296 + i) OVER (PARTITION BY seq_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS x
+  FROM (SELECT seq_id, i, n, CAST((({digits})::HUGEINT * {refindex._MIX}) % {1 << 62} AS BIGINT) AS key FROM (SELECT seq_id, i, length(b) - {k} AS n, substr(b, i + 1, {k}) AS w FROM (SELECT seq_id, b, unnest(range(0, length(b) - {k - 1})) AS i FROM ({rows})))))
 WHERE i + {window - 1} <= n OR i = 0"""
 
 
 @query(f"""WITH m AS ({_minimizers_sql(_bases_sql("documents", "doc_id"), 8, 10)})
-SELECT key, count(*) AS n_places, count(DISTINCT seq_id) AS n_documents, min(at) AS first, max(at) AS last FROM m GROUP BY key""")
+SELECT key, count(*) AS n_places, count(DISTINCT seq_id) AS n_documents, min(pos) AS first, max(pos) AS last FROM m GROUP BY key""")
 def minimizer_index(spark, sf):
     """Minimizers (words of eight in windows of ten) of the documents as references, cut into tiles."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("seq_id"), bases(F.col("text")).alias("sequence"))
@@ -603,7 +603,7 @@ def minimizer_index(spark, sf):
 
 
 @query(f"""WITH m AS ({_minimizers_sql(_bases_sql("documents", "doc_id"), 15, 10)}), r AS ({_minimizers_sql(_bases_sql("benchmark", "item_id"), 15, 10)})
-SELECT r.seq_id AS item_id, m.seq_id AS doc_id, count(*) AS n_seeds, count(DISTINCT m.at - r.at) AS n_diagonals, min(m.at - r.at) AS first FROM r JOIN m USING (key) GROUP BY 1, 2""")
+SELECT r.seq_id AS item_id, m.seq_id AS doc_id, count(*) AS n_seeds, count(DISTINCT m.pos - r.pos) AS n_diagonals, min(m.pos - r.pos) AS first FROM r JOIN m USING (key) GROUP BY 1, 2""")
 def seed_hits(spark, sf):
     """Passages as reads against the documents as references: seeds and diagonals of each pair."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("seq_id"), bases(F.col("text")).alias("sequence"))
