@@ -7,6 +7,8 @@ on both sides.  They run over whole tables and whole texts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -611,3 +613,48 @@ def seed_hits(spark, sf):
     found = refindex.seed_hits(refindex.read_seeds(items, [(15, 10)], 0), refindex.build(docs, [(15, 10)]))
     diagonal = F.col("at") - F.col("place")
     return found.groupBy("item_id", F.col("seq_id").alias("doc_id")).agg(F.count("*").alias("n_seeds"), F.count_distinct(diagonal).alias("n_diagonals"), F.min(diagonal).alias("first"))
+
+
+# ---- structured pileup: a line item is a read of its supplier, its bases the digits of a checksum
+_CIGARS = ("30M", "10M2I18M", "12M3D18M", "4S20M1I5M", "8M1D8M2I12M")
+
+
+def _cells(cigar: str) -> list[tuple[int, int, int, str]]:
+    """Offsets on reference and read, length and kind of every aligned or deleted position and of every insertion."""
+    out, r, q = [], 0, 0
+    for n, op in re.findall(r"(\d+)([MIDS])", cigar):
+        n = int(n)
+        if op == "I":
+            out.append((r - 1, q, n, "I"))
+        elif op in "MD":
+            out += [(r + i, q + i if op == "M" else q, 1, op) for i in range(n)]
+        r, q = r + n * (op in "MD"), q + n * (op in "MIS")
+    return out
+
+
+_CELLS = ", ".join(f"({i}, {r}, {q}, {n}, '{op}', {max(c[0] for c in _cells(cigar) if c[3] != 'I')})" for i, cigar in enumerate(_CIGARS) for r, q, n, op in _cells(cigar))
+_READS = """reads AS (SELECT CAST(l_suppkey AS VARCHAR) AS rname, 1 + CAST(l_quantity AS INT) % 3 AS pos, (l_partkey + l_linenumber) % 5 AS kind, l_orderkey || '-' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS qname,
+  translate(md5(l_orderkey || '-' || l_linenumber), '0123456789abcdef', 'AACGTTACGGTAATCN') AS seq FROM lineitem)"""
+
+
+@query(f"""WITH {_READS}, cells(kind, r, q, n, op, tail) AS (VALUES {_CELLS}),
+c AS (SELECT rname, pos AS start, qname, pos + r AS pos, op, r, tail, substr(seq, q + 1, n) AS b FROM reads JOIN cells USING (kind)),
+v AS (SELECT rname, pos, count(*) AS depth, count(*) FILTER (op = 'M' AND b = 'A') AS a, count(*) FILTER (op = 'M' AND b = 'C') AS c, count(*) FILTER (op = 'M' AND b = 'G') AS g, count(*) FILTER (op = 'M' AND b = 'T') AS t,
+  count(*) FILTER (op = 'M' AND b = 'N') AS n, count(*) FILTER (op = 'D') AS gone, count(*) FILTER (r = 0) AS starts, count(*) FILTER (r = tail) AS ends FROM c WHERE op <> 'I' GROUP BY 1, 2),
+i AS (SELECT rname, pos, b, count(*) AS k, min(struct_pack(start := start, qname := qname)) AS first FROM c WHERE op = 'I' GROUP BY 1, 2, 3),
+u AS (SELECT rname, pos, sum(k) AS inserted, arg_min(b, struct_pack(k := -k, first := first)) AS usual FROM i GROUP BY 1, 2),
+w AS (SELECT *, substr('ACGT', CAST(pos % 4 + 1 AS INT), 1) AS ref, greatest(a, c, g, t) AS top, coalesce(inserted, 0) AS more, depth + 0.00001::DOUBLE AS total FROM v LEFT JOIN u USING (rname, pos)),
+x AS (SELECT *, CASE WHEN total - n > 0 THEN top / (total - n) ELSE 0 END AS best, CASE WHEN total - starts - ends > 0 THEN gone / (total - starts - ends) ELSE 0 END AS lost, CASE WHEN total - ends > 0 THEN more / (total - ends) ELSE 0 END AS gained FROM w)
+SELECT rname AS ref_id, CAST(pos AS INT) AS pos, ref AS ref_base, CAST(depth AS INT) AS depth, CASE WHEN gained >= greatest(best, lost) THEN ref || coalesce(usual, '') WHEN lost > best THEN '' WHEN top = 0 THEN ref
+  WHEN a = top THEN 'A' WHEN c = top THEN 'C' WHEN g = top THEN 'G' ELSE 'T' END AS base FROM x""")
+def structured_pileup(spark, sf):
+    """Consensus of every position of the suppliers: votes, deletions and insertions of reads with five kinds of gaps."""
+    li = table(spark, sf, "lineitem")
+    name = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    kind = ((F.col("l_partkey") + F.col("l_linenumber")) % 5).cast("int")
+    rows = li.select(
+        F.concat_ws("-", "l_orderkey", F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("qname"), F.lit("0").alias("flag"), F.col("l_suppkey").cast("string").alias("rname"), (1 + F.col("l_quantity").cast("int") % 3).alias("pos"),
+        F.element_at(F.array(*map(F.lit, _CIGARS)), kind + 1).alias("cigar"), F.translate(F.md5(name.cast("binary")), "0123456789abcdef", "AACGTTACGGTAATCN").alias("seq"),
+    )
+    references = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("seq_id"), F.lit("CGTA" * 16).alias("sequence"))
+    return pileup.structured(rows, references)

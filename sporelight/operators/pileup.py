@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from . import refindex
 from .alignments import with_place
 
 
@@ -24,51 +21,49 @@ def filter_coverage(pileup: DataFrame, lengths: DataFrame, share: float = 0.3) -
     return rows.join(lengths, "ref_id", "left").where(F.col("_n") > F.coalesce("length", F.lit(0)) * share).select(*pileup.columns)
 
 
-def consensus(ref: str, depth: int, column: str) -> str:
-    """Consensus of one pileup column: a base, a base and an insertion, or nothing (a deletion).
+def mark_counts(rows: DataFrame, marks: str = "bases") -> tuple[DataFrame, dict[str, Column]]:
+    """Rows with the counts of a pileup column's text, by built-in expressions, and the counts' columns by name.
 
     Marks: ``^x`` read start and its quality, ``$`` read end, ``+n..``/``-n..``
     indels, ``*`` deleted base, ``.``/``,`` match.  An indel's scan goes on n
     characters after its first digit, so the last bases of one of ten or more are
     read again as bases (kept for equal results)."""
-    ref, marks = ref.upper(), column.upper()
-    inserted: list[str] = []
-    seen: Counter = Counter()
-    i, n = 0, len(marks)
-    while i < n:
-        c = marks[i]
-        seen[c] += 1
-        if c == "^":
-            i += 1
-        elif c in "+-":
-            digits = i + 1
-            while digits < n and marks[digits].isdigit():
-                digits += 1
-            size = int(marks[i + 1 : digits])
-            if c == "+":
-                inserted.append(marks[digits : digits + size])
-            i += 1 + size
-        i += 1
-    total = depth + 0.00001
-    votes = {b: seen[b] for b in "ACGT"}
-    votes[ref] = seen["."] + seen[","]
-    winner = max("ACGT", key=lambda b: votes[b])  # the first of equals
-    top = votes[winner]
-    base = winner if top > 0 else ref
-    share = lambda k, d: k / d if d > 0 else 0
-    best = share(top, total - seen["N"])
-    if (gone := share(seen["*"], total - seen["^"] - seen["$"])) > best:
-        base, best = "", gone
-    if share(len(inserted), total - seen["$"]) >= best:
-        usual = max(Counter(inserted).items(), key=lambda x: x[1])[0] if inserted else ""
-        base = ref + usual
-    return base
-
-
-@F.pandas_udf(T.StringType())
-def consensus_base(ref: pd.Series, depth: pd.Series, column: pd.Series) -> pd.Series:
-    """Arrow form of :func:`consensus`; null columns give null."""
-    return pd.Series([None if r is None or c is None else consensus(r, int(d), c) for r, d, c in zip(ref, depth, column, strict=True)], dtype=object)
+    rows = rows.withColumn("_marks", F.upper(marks))
+    rows = rows.withColumn("_rest", F.when(F.instr("_marks", "^") > 0, F.regexp_replace("_marks", r"(?s)\^.?", "")).otherwise(F.col("_marks")))
+    token = r"(?s)([+-])(\d+)([^+-]*)"
+    sign, digits, after = (F.regexp_extract_all("_rest", F.lit(token), F.lit(i)) for i in (1, 2, 3))
+    found = F.transform(F.arrays_zip(sign.alias("s"), digits.alias("d"), after.alias("t")), lambda x: F.struct(x["s"].alias("s"), x["d"].cast("int").alias("n"), F.length(x["d"]).alias("digits"), x["t"].alias("t")))
+    rows = rows.withColumn("_indels", F.when(F.col("_rest").rlike("[+-]"), found).otherwise(F.array().cast("array<struct<s:string,n:int,digits:int,t:string>>")))
+    again = F.transform("_indels", lambda x: F.substring(x["t"], F.greatest(x["n"] - x["digits"] + 2, F.lit(1)), F.length(x["t"])))
+    plain = F.concat(F.regexp_extract("_rest", r"(?s)^[^+-]*", 0), F.array_join(again, ""))
+    inserted = F.transform(F.filter("_indels", lambda x: x["s"] == "+"), lambda x: F.substring(x["t"], 1, x["n"]))
+    none = F.size("_indels") == 0
+    rows = rows.withColumns({"_plain": F.when(none, F.col("_rest")).otherwise(plain), "_texts": F.when(none, F.array().cast("array<string>")).otherwise(inserted)})
+    seen = lambda c: F.length("_plain") - F.length(F.replace("_plain", F.lit(c)))
+    often = F.transform(F.array_distinct("_texts"), lambda x: F.struct(F.size(F.filter("_texts", lambda y: y == x)).alias("n"), x.alias("x")))
+    first = F.aggregate(often, F.struct(F.lit(0).alias("n"), F.lit("").alias("x")), lambda a, x: F.when(x["n"] > a["n"], x).otherwise(a), lambda a: a["x"])
+    starts = F.length("_marks") - F.length("_rest") - F.when(F.instr("_marks", "^") > 0, F.regexp_count("_marks", F.lit(r"(?s)\^."))).otherwise(0)
+    values = {b.lower(): seen(b) for b in "ACGTN"} | {"same": seen(".") + seen(","), "deleted": seen("*"), "ends": seen("$"), "starts": starts, "inserted": F.size("_texts"), "usual": F.when(F.size("_texts") > 0, first).otherwise("")}
+    rows = rows.withColumns({f"_{k}": v for k, v in values.items()}).drop("_rest", "_indels", "_plain", "_texts")
+    return rows, {k: F.col(f"_{k}") for k in values}
+
+
+def consensus_base(ref: Column, depth: Column, counts: dict[str, Column]) -> Column:
+    """Consensus of one position: a base, a base and an insertion, or nothing (a deletion).
+
+    ``counts``: ``a c g t n`` (where a base equals the reference, its number may be given as ``same``
+    instead), ``deleted starts ends inserted`` and the ``usual`` insertion."""
+    ref = F.upper(ref)
+    total = depth + F.lit(0.00001)
+    same = counts.get("same")
+    votes = {b: counts[b.lower()] if same is None else F.when(ref == b, same).otherwise(counts[b.lower()]) for b in "ACGT"}
+    top = F.greatest(*votes.values())
+    winner = F.coalesce(*(F.when(v == top, F.lit(b)) for b, v in votes.items()))  # the first of equals
+    share = lambda k, d: F.when(d > 0, k / d).otherwise(F.lit(0.0))
+    best = share(top, total - counts["n"])
+    gone = share(counts["deleted"], total - counts["starts"] - counts["ends"])
+    base = F.when(gone > best, F.lit("")).when(top > 0, winner).otherwise(ref)
+    return F.when(share(counts["inserted"], total - counts["ends"]) >= F.greatest(gone, best), F.concat(ref, F.coalesce(counts["usual"], F.lit("")))).otherwise(base)
 
 
 def contigs(pileup: DataFrame, lengths: DataFrame, min_length: int = 40, min_depth: float = 0.0, prefix: str = "ALIGNED") -> DataFrame:
@@ -79,7 +74,8 @@ def contigs(pileup: DataFrame, lengths: DataFrame, min_length: int = 40, min_dep
     others' must reach it; the header names the run's last position."""
     first = pileup.agg(F.min("ord")).first()[0]
     rows = pileup.join(lengths, "ref_id", "left").where((F.col("ord") == F.lit(first)) | (F.col("pos") <= F.coalesce("length", F.lit(0))))
-    rows = with_place(rows.select("ord", "ref_id", "pos", "depth", consensus_base("ref_base", "depth", "bases").alias("base")), "ord")
+    rows, counts = mark_counts(rows)
+    rows = with_place(rows.select("ord", "ref_id", "pos", "depth", consensus_base(F.col("ref_base"), F.col("depth"), counts).alias("base")), "ord")
     # along a run of one reference, position and place grow alike
     rows = rows.withColumn("_run", F.col("_place") - F.col("pos"))
     rows = rows.withColumn("_own", F.col("_place") - F.row_number().over(Window.partitionBy("ref_id", "_run").orderBy("_place")))
@@ -91,27 +87,91 @@ def contigs(pileup: DataFrame, lengths: DataFrame, min_length: int = 40, min_dep
     return named.select(F.col("_place").alias("ord"), F.concat_ws(" ", "seq_id", "ref_id", F.col("last").cast("string")).alias("header"), "seq_id", "sequence")
 
 
-def columns_of(alignments: DataFrame) -> DataFrame:
-    """``rname, pos, base`` for each aligned or deleted ('*') position of each alignment (CIGAR M, =, X, D, N, I, S, H)."""
+def _operations(alignments: DataFrame) -> DataFrame:
+    """``rname, pos, seq, qname, flag, b``: each aligned, deleted or inserted stretch with its offsets on reference and read; ``b.reach``: reference bases of the whole alignment."""
     ops = F.regexp_extract_all("cigar", F.lit(r"(\d+[MIDNSHP=X])"), 1)
     parsed = F.transform(ops, lambda o: F.struct(F.regexp_extract(o, r"\d+", 0).cast("int").alias("n"), F.substring(o, -1, 1).alias("op")))
-    start = F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), F.array().cast("array<struct<r:int,q:int,n:int,op:string>>").alias("out"))
+    kind = "array<struct<r:int,q:int,n:int,op:string>>"
+    start = F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), F.array().cast(kind).alias("out"))
 
     def step(a, x):
         reads, moves = x["op"].isin("M", "=", "X", "I", "S"), x["op"].isin("M", "=", "X", "D", "N")
-        more = F.when(x["op"].isin("M", "=", "X", "D"), F.array(F.struct(a["r"].alias("r"), a["q"].alias("q"), x["n"].alias("n"), x["op"].alias("op")))).otherwise(F.array().cast("array<struct<r:int,q:int,n:int,op:string>>"))
+        more = F.when(x["op"].isin("M", "=", "X", "D", "I"), F.array(F.struct(a["r"].alias("r"), a["q"].alias("q"), x["n"].alias("n"), x["op"].alias("op")))).otherwise(F.array().cast(kind))
         return F.struct((a["r"] + F.when(moves, x["n"]).otherwise(0)).alias("r"), (a["q"] + F.when(reads, x["n"]).otherwise(0)).alias("q"), F.concat(a["out"], more).alias("out"))
 
-    blocks = alignments.select("rname", "pos", "seq", F.explode(F.aggregate(parsed, start, step, lambda a: a["out"])).alias("b"))
-    cells = blocks.select("rname", "pos", "seq", "b", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("i"))
+    whole = F.aggregate(parsed, start, step, lambda a: F.struct(a["r"].alias("reach"), a["out"].alias("out")))
+    named = [F.col(c) if c in alignments.columns else F.lit("").alias(c) for c in ("qname", "flag")]
+    return alignments.select("rname", "pos", "seq", *named, whole.alias("w")).select("rname", "pos", "seq", "qname", "flag", F.col("w.reach").alias("reach"), F.explode("w.out").alias("b"))
+
+
+def columns_of(alignments: DataFrame) -> DataFrame:
+    """``rname, pos, base, starts, ends`` for each aligned or deleted ('*') position of each alignment (CIGAR M, =, X, D, N, I, S, H)."""
+    cells = _operations(alignments).where("b.op <> 'I'").select("*", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("i"))
     base = F.when(F.col("b.op") == "D", "*").otherwise(F.upper(F.substring(F.col("seq"), F.col("b.q") + F.col("i") + 1, 1)))
-    return cells.select("rname", (F.col("pos") + F.col("b.r") + F.col("i")).alias("pos"), base.alias("base"))
+    at = F.col("b.r") + F.col("i")
+    return cells.select("rname", (F.col("pos") + at).alias("pos"), base.alias("base"), (at == 0).alias("starts"), (at == F.col("reach") - 1).alias("ends"))
+
+
+def insertions_of(alignments: DataFrame) -> DataFrame:
+    """``rname, pos, bases, first`` of each insertion, at the position before it; ``first`` orders the alignments (those before any position have none)."""
+    found = _operations(alignments).where("b.op = 'I' AND b.r > 0")
+    bases = F.upper(F.substring(F.col("seq"), F.col("b.q") + 1, F.col("b.n")))
+    return found.select("rname", (F.col("pos") + F.col("b.r") - 1).alias("pos"), bases.alias("bases"), F.struct("pos", "qname", "flag").alias("first"))
 
 
 def depth_by_position(alignments: DataFrame) -> DataFrame:
-    """``rname, pos, depth`` with counts of A, C, G, T and deletions; sums combine map-side, so deep references don't skew."""
+    """``rname, pos, depth`` with counts of A, C, G, T, N, deletions, read starts and ends; sums combine map-side, so deep references don't skew."""
     is_ = lambda b: F.count_if(F.col("base") == b)
-    return columns_of(alignments).groupBy("rname", "pos").agg(F.count("*").alias("depth"), is_("A").alias("a"), is_("C").alias("c"), is_("G").alias("g"), is_("T").alias("t"), is_("*").alias("deleted"))
+    return columns_of(alignments).groupBy("rname", "pos").agg(F.count("*").alias("depth"), *(is_(b).alias(b.lower()) for b in "ACGTN"), is_("*").alias("deleted"), F.count_if("starts").alias("starts"), F.count_if("ends").alias("ends"))
+
+
+def insertions_by_position(alignments: DataFrame) -> DataFrame:
+    """``rname, pos, inserted, usual``: insertions after a position and the most frequent one, of equals that of the first alignment.
+
+    Equal insertions are added up before those of a position meet."""
+    each = insertions_of(alignments).groupBy("rname", "pos", "bases").agg(F.count("*").alias("n"), F.min("first").alias("first"))
+    return each.groupBy("rname", "pos").agg(F.sum("n").alias("inserted"), F.min(F.struct((-F.col("n")).alias("n"), "first", "bases")).alias("x")).select("rname", "pos", "inserted", F.col("x.bases").alias("usual"))
+
+
+def structured(alignments: DataFrame, references: DataFrame, tile: int = refindex.TILE) -> DataFrame:
+    """``ref_id, pos, ref_base, depth, base``: typed counts of every covered position and their consensus, without any text of marks.
+
+    A position's reference base comes from its tile, so no position carries a reference."""
+    counts = depth_by_position(alignments).join(insertions_by_position(alignments), ["rname", "pos"], "left")
+    tiled = refindex.tiles(references, tile, 0, 0).withColumnRenamed("seq_id", "rname")
+    rows = counts.withColumn("tile", F.floor((F.col("pos") - 1) / tile)).join(tiled, ["rname", "tile"])
+    ref = F.substring(F.col("text"), (F.col("pos") - F.col("begin")).cast("int"), F.lit(1))
+    unknown = F.when(ref == "N", F.lit(0)).otherwise(F.col("n"))  # N beside N is a match
+    votes = {c: F.col(c) for c in ("a", "c", "g", "t", "deleted", "starts", "ends", "usual")} | {"n": unknown, "inserted": F.coalesce("inserted", F.lit(0))}
+    return rows.where(ref != "").select(F.col("rname").alias("ref_id"), "pos", ref.alias("ref_base"), F.col("depth").cast("int").alias("depth"), consensus_base(ref, F.col("depth"), votes).alias("base"))
+
+
+def covered(positions: DataFrame, lengths: DataFrame, share: float = 0.3) -> DataFrame:
+    """Positions of references with more covered positions than ``share`` of their length."""
+    enough = positions.groupBy("ref_id").agg(F.count("*").alias("_n")).join(lengths, "ref_id", "left").where(F.col("_n") > F.coalesce("length", F.lit(0)) * share)
+    return positions.join(enough.select("ref_id"), "ref_id", "left_semi")
+
+
+def contigs_of(positions: DataFrame, min_length: int = 40, min_depth: float = 0.0, prefix: str = "ALIGNED", block: int = 1 << 16) -> DataFrame:
+    """Consensus contigs of stretches of neighbouring positions: ``ord, header, seq_id, sequence`` as :func:`contigs` gives them, in order of reference and position.
+
+    Stretches are found inside blocks of positions and joined where they touch, so a long reference isn't one task's."""
+    blocked = positions.withColumn("_block", F.floor(F.col("pos") / block))
+    row = F.row_number().over(Window.partitionBy("ref_id", "_block").orderBy("pos"))
+    parts = blocked.withColumn("_run", F.col("pos") - row).groupBy("ref_id", "_block", "_run").agg(
+        F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n"), F.sum("depth").alias("total"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "base"))), lambda x: x["base"]), "").alias("text")
+    )
+    along = Window.partitionBy("ref_id").orderBy("first")
+    begins = F.coalesce((F.col("first") != F.lag("last").over(along) + 1).cast("int"), F.lit(1))
+    joined = parts.withColumn("_begins", begins).withColumn("_stretch", F.sum("_begins").over(along))
+    runs = joined.groupBy("ref_id", "_stretch").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.sum("total").alias("total"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "text"))), lambda x: x["text"]), "").alias("sequence"))
+    runs = runs.withColumn("_at", F.struct("ref_id", "first"))
+    end = runs.agg(F.max("_at")).first()[0]
+    mean = F.col("total") / F.col("n")
+    final = (F.col("ref_id") == F.lit(end["ref_id"])) & (F.col("first") == F.lit(end["first"])) if end else F.lit(False)
+    good = runs.where((F.col("n") > min_length) & F.when(final, mean > min_depth).otherwise(mean >= min_depth))
+    named = with_place(good, "_at").withColumn("seq_id", F.concat(F.lit(prefix), (F.col("_place") + 1).cast("string")))
+    return named.select(F.col("_place").alias("ord"), F.concat_ws(" ", "seq_id", "ref_id", F.col("last").cast("string")).alias("header"), "seq_id", "sequence")
 
 
 def contig_depths(positions: DataFrame, contigs_: DataFrame, library_size: int) -> DataFrame:

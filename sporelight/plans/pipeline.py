@@ -86,8 +86,8 @@ def run(spark: SparkSession, reads_path: str, references: DataFrame, annotation:
     if done("align_to_virus_reference", best):
         return out
     lengths = references.select(F.col("seq_id").alias("ref_id"), F.length("sequence").alias("length"))
-    columns = clean_columns(pileup.depth_by_position(best), references)
-    consensus = pileup.contigs(pileup.filter_coverage(columns, lengths), lengths) if not columns.isEmpty() else None
+    positions = written(pileup.covered(pileup.structured(best, references), lengths), "positions")
+    consensus = pileup.contigs_of(positions)
     if done("generate_aligned_contigs", consensus):
         return out
     rest, mapped = alignments.subtract_host(ready, host, penalty=replace(alignments.HOST_PENALTY, limit=config.host_distance) if kind == "mRNA" else None)
@@ -109,7 +109,8 @@ def run(spark: SparkSession, reads_path: str, references: DataFrame, annotation:
 
     def hits_of(records: DataFrame, subjects: DataFrame, analysis: str, evalue: float, **more) -> DataFrame:
         rows = search.search(records, subjects, analysis == hits.TRANSLATED, evalue, **more)
-        rows = written(rows.withColumn("ord", F.monotonically_increasing_id()), "search")
+        order = F.struct("qseqid", "evalue", (-F.col("bitscore")).alias("score"), "sseqid", "qstart", "qend", "sstart", "send")
+        rows = alignments.with_place(rows.withColumn("_order", order), "_order").withColumnRenamed("_place", "ord").drop("_order")
         return hits.limit_targets(hits.annotate(rows, annotation, id_map, analysis), TARGETS)
 
     nucleotide = hits_of(unique, references, hits.NUCLEOTIDE, config.evalue, word=config.word_size)
@@ -130,11 +131,3 @@ def assemble(rows: DataFrame, config: Config, kind: str) -> DataFrame:
     if config.assembler == "spades":
         return contigs.assemble_many(rows, sizes, long_reads=long)
     return contigs.assemble_best(reads.drop_duplicates(rows) if config.deduplicate else rows, sizes, long_reads=long)
-
-
-def clean_columns(depth: DataFrame, references: DataFrame) -> DataFrame:
-    """Pileup rows (``schemas.PILEUP``) from base counts by position, in order of reference and position."""
-    rows = depth.join(references.select(F.col("seq_id").alias("rname"), F.upper("sequence").alias("_ref")), "rname").withColumn("ref_base", F.substring(F.col("_ref"), F.col("pos"), 1))
-    marks = F.concat(*(F.repeat(F.when(F.col("ref_base") == b, ".").otherwise(b), F.col(b.lower()).cast("int")) for b in "ACGT"), F.repeat(F.lit("*"), F.col("deleted").cast("int")))
-    named = rows.select(F.struct("rname", "pos").alias("_at"), F.col("rname").alias("ref_id"), "pos", "ref_base", F.col("depth").cast("int").alias("depth"), marks.alias("bases"), F.lit("").alias("quals"))
-    return alignments.with_place(named, "_at").select(F.col("_place").alias("ord"), "ref_id", "pos", "ref_base", "depth", "bases", "quals")

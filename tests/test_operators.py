@@ -1,6 +1,8 @@
 """Operators on small literal cases, several against plain-Python models."""
 
 import random
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import Row
@@ -84,9 +86,128 @@ def test_pileup(spark):
     assert [(r.header, r.sequence) for r in pileup.contigs(gap, lengths, 2).orderBy("ord").collect()] == [("ALIGNED1 ref1 3", "CCC"), ("ALIGNED2 ref1 8", "CCCC")]
 
 
+def _consensus(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, ref string, depth int, marks string")
+    df, counts = pileup.mark_counts(df, "marks")
+    base = pileup.consensus_base(F.col("ref"), F.col("depth"), counts)
+    return [r.base for r in df.select("i", base.alias("base")).orderBy("i").collect()]
+
+
 @pytest.mark.parametrize("ref,depth,marks,want", [("A", 3, "...", "A"), ("A", 3, "CC.", "C"), ("A", 2, "C.", "A"), ("A", 2, "**", ""), ("A", 2, ".+2GG.+2GG", "AGG"), ("a", 0, "", "A"), ("N", 2, "..", "N"), ("G", 3, "^I.$TT", "T"), ("A", 4, "....-2CC", "A")])
-def test_consensus(ref, depth, marks, want):
-    assert pileup.consensus(ref, depth, marks) == want
+def test_consensus(spark, ref, depth, marks, want):
+    assert _consensus(spark, [(ref, depth, marks)]) == [want]
+
+
+def _vote(ref, depth, seen, inserted):
+    """The consensus rule on plain counts."""
+    total = depth + 0.00001
+    top = max(seen[b] for b in "ACGT")
+    winner = next(b for b in "ACGT" if seen[b] == top)
+    share = lambda k, d: k / d if d > 0 else 0
+    base, best = (winner if top > 0 else ref), share(top, total - seen["N"])
+    gone = share(seen["*"], total - seen["^"] - seen["$"])
+    if gone > best:
+        base, best = "", gone
+    if share(len(inserted), total - seen["$"]) >= best:
+        usual = max(inserted, key=lambda x: (inserted.count(x), -inserted.index(x))) if inserted else ""
+        base = ref + usual
+    return base
+
+
+def test_marks_against_a_scan(spark):
+    rng = random.Random(11)
+    rows, want = [], []
+    for _ in range(600):
+        ref, depth, marks, seen, inserted = rng.choice("ACGTN"), rng.randint(0, 8), "", Counter(), []
+        for _ in range(depth):
+            kind = rng.random()
+            token = "*" if kind < 0.25 else rng.choice(".,") if kind < 0.5 else rng.choice([b for b in "ACGTNacgtn" if b.upper() != ref])
+            seen[ref if token in ".," else token.upper()] += token not in ".," or ref != "N"
+            if rng.random() < 0.2:
+                marks += "^" + rng.choice("I+-^$*.A")
+                seen["^"] += 1
+            marks += token
+            if rng.random() < 0.35:
+                size = rng.choice([1, 1, 2, 9, 10, 12])
+                text = rng.choice("ACG") * size
+                sign = rng.choice("++-")
+                marks += f"{sign}{size}{text}"
+                if sign == "+":
+                    inserted.append(text)
+                if size > 9:  # the last base of a long indel is read again
+                    seen[text[-1]] += text[-1] != ref
+            if rng.random() < 0.2:
+                marks += "$"
+                seen["$"] += 1
+        rows.append((ref, depth, marks))
+        want.append(_vote(ref, depth, seen, inserted))
+    assert _consensus(spark, rows) == want
+
+
+def _aligned(name, pos, cigar, seq, ref):
+    """Plain counts of one alignment: {pos: [marks]} and insertions."""
+    marks, inserted, r, q = [], [], pos, 0
+    for n, op in ((int(n), op) for n, op in re.findall(r"(\d+)([MIDS])", cigar)):
+        if op == "M":
+            marks += [(r + i, seq[q + i]) for i in range(n)]
+        if op == "D":
+            marks += [(r + i, "*") for i in range(n)]
+        if op == "I" and r > pos:
+            inserted.append((r - 1, seq[q : q + n]))
+        r, q = r + n * (op in "MD"), q + n * (op in "MIS")
+    return marks, inserted, pos, r - 1
+
+
+def test_structured_pileup_votes_on_insertions_and_deletions(spark):
+    rng = random.Random(12)
+    refs = {"a": "".join(rng.choice("ACGTN") for _ in range(150)), "b": "".join(rng.choice("ACGT") for _ in range(60))}
+    rows = []
+    for i in range(220):
+        name = rng.choice("ab")
+        pos = rng.randint(1, len(refs[name]) - 12)
+        cigar = rng.choice(["10M", "3S7M", "4M2I6M", "4M1I6M", "5M2D5M", "5M2D5M", "2I9M", "8M2I", "1M1I1M1D8M"])
+        pos = pos // 12 * 12 + 1 if rng.random() < 0.7 else pos
+        read = sum(int(n) for n in re.findall(r"(\d+)[MIS]", cigar))
+        rows.append((f"q{i:03}", "0", name, pos, cigar, "".join(rng.choice("ACGTN" if rng.random() < 0.3 else "GT") for _ in range(read))))
+    want = {}
+    seen, inserted, depth = defaultdict(Counter), defaultdict(list), Counter()
+    for q, _, name, pos, cigar, seq in sorted(rows, key=lambda x: (x[3], x[0])):
+        marks, more, first, last = _aligned(q, pos, cigar, seq, refs[name])
+        for at, m in marks:
+            depth[name, at] += 1
+            seen[name, at][m] += not (m == "N" and refs[name][at - 1 : at] == "N")
+        for at, x in more:
+            inserted[name, at].append(x)
+        seen[name, first]["^"] += 1
+        seen[name, last]["$"] += 1
+    for (name, at), n in depth.items():
+        if at <= len(refs[name]):
+            ref = refs[name][at - 1]
+            want[name, at] = (n, ref, _vote(ref, n, seen[name, at], inserted[name, at]))
+    df = spark.createDataFrame(rows, "qname string, flag string, rname string, pos int, cigar string, seq string").repartition(3)
+    out = pileup.structured(df, spark.createDataFrame(list(refs.items()), "seq_id string, sequence string"), tile=16)
+    got = {(r.ref_id, r.pos): (r.depth, r.ref_base, r.base) for r in out.collect()}
+    assert got == want
+    assert any(b == "" for _, _, b in got.values()) and any(len(b) > 1 for _, _, b in got.values())
+    # contigs: the same by blocks of eight positions and in one stretch each
+    for block in (8, 1 << 16):
+        found = pileup.contigs_of(out, min_length=5, block=block).orderBy("ord").collect()
+        texts, at = [], None
+        for name, pos in sorted(got):
+            if at != (name, pos - 1):
+                texts.append([name, 0, ""])
+            at = (name, pos)
+            texts[-1] = [name, texts[-1][1] + 1, texts[-1][2] + got[name, pos][2]]
+        assert [r.sequence for r in found] == [t for _, n, t in texts if n > 5]
+
+
+def test_an_insertion_in_every_read_is_in_the_contig(spark):
+    rng = random.Random(13)
+    ref = "".join(rng.choice("ACGT") for _ in range(60))
+    reads_ = spark.createDataFrame([(f"q{i}", "0", "r", 1, "30M2I30M", ref[:30] + "GG" + ref[30:]) for i in range(5)], "qname string, flag string, rname string, pos int, cigar string, seq string")
+    out = pileup.contigs_of(pileup.structured(reads_, spark.createDataFrame([("r", ref)], "seq_id string, sequence string")))
+    assert [r.sequence for r in out.collect()] == [ref[:30] + "GG" + ref[30:]]
+    assert pileup.contigs_of(pileup.structured(reads_.limit(0), spark.createDataFrame([("r", ref)], "seq_id string, sequence string"))).count() == 0
 
 
 def test_cigar_columns(spark):
