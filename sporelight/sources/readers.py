@@ -1,7 +1,7 @@
 """Text sources as DataFrames with a place number (``ord``) that follows the file.
 
-Line numbers come from a written scan and one count by partition: a line's number
-is its partition's offset plus its place there.  gzip is opened by suffix.  Files that must be read as a whole (several
+Line numbers come from a written scan and one count by split: a line's number is the
+lines of the files and splits before its own, plus its place there.  gzip is opened by suffix.  Files that must be read as a whole (several
 lines to a record) stay distributed: records are cut from numbered lines.
 """
 
@@ -9,40 +9,42 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.sequence import first_token, normalize_id
 from ..store import written
 
-_PLACE = (1 << 33) - 1
+
+def _placed(raw: DataFrame) -> DataFrame:
+    """``ord, file, n, value`` of a text scan: the place among all rows, files in order of their names, and the place in the file.
+
+    A split's rows follow each other; splits are put in order by file and offset, whichever partitions they were read in.
+    The scan is written once, with its numbers in it, so that counting and numbering see the same rows."""
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("m"), "value")
+    raw = written(raw, "text-lines")
+    splits = raw.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("rows"))
+    earlier = lambda w: F.coalesce(F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = splits.groupBy("file").agg(F.sum("rows").alias("rows"))
+    files = files.select("file", earlier(Window.orderBy("file")).alias("files_before"))  # a row for each file
+    splits = splits.select("file", "block", "first", earlier(Window.partitionBy("file").orderBy("block")).alias("before")).join(files, "file")
+    n = F.col("m") - F.col("first") + F.col("before")
+    return raw.join(splits, ["file", "block"]).select((n + F.col("files_before")).alias("ord"), "file", n.alias("n"), "value")
 
 
 def numbered_lines(spark: SparkSession, path: str, errors: str = "replace") -> DataFrame:
-    """``ord`` (from 0) and ``line`` of a text file; with ``errors="strict"`` bytes that are no UTF-8 are an error.
+    """``ord`` (from 0), ``line``, ``file`` and the line's number ``n`` in it; a folder's files come in order of their names.
 
-    The scan is written once, with its partitions' numbers in it, so that counting and numbering see the same partitions."""
-    raw = spark.read.text(path).select(F.monotonically_increasing_id().alias("m"), F.col("value").alias("line"))
+    With ``errors="strict"`` bytes that are no UTF-8 are an error."""
+    raw = spark.read.text(path)
     if errors == "strict":
         bad = F.raise_error(F.lit(f"no UTF-8 text: {path}")).cast("string")
-        raw = raw.withColumn("line", F.when(F.is_valid_utf8("line"), F.col("line")).otherwise(bad))
-    raw = written(raw, "text-lines")
-    part = F.shiftright("m", 33)
-    counts = sorted((r.p, r.n) for r in raw.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())  # a row for each partition
-    offset, offsets = 0, []
-    for p, n in counts:
-        offsets.append((p, offset))
-        offset += n
-    if len(offsets) < 2:
-        return raw.select(F.col("m").bitwiseAND(_PLACE).alias("ord"), "line")
-    table = spark.createDataFrame(offsets, "p long, first long")
-    return raw.withColumn("p", part).join(F.broadcast(table), "p").select((F.col("first") + F.col("m").bitwiseAND(_PLACE)).alias("ord"), "line")
+        raw = raw.withColumn("value", F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(bad))
+    return _placed(raw).select("ord", F.col("value").alias("line"), "file", "n")
 
 
-def file_type(spark: SparkSession, path: str) -> str:
-    first = spark.read.text(path).first()
-    line = first.value if first else ""
+def _kind(line: str, path: str) -> str:
     if line.startswith(">"):
         return "fasta"
     if line.startswith("@"):
@@ -50,21 +52,31 @@ def file_type(spark: SparkSession, path: str) -> str:
     raise ValueError(f"neither FASTA nor FASTQ: {path}")
 
 
+def file_type(spark: SparkSession, path: str) -> str:
+    first = spark.read.text(path).first()
+    return _kind(first.value if first else "", path)
+
+
 def read_reads(spark: SparkSession, path: str) -> DataFrame:
-    """Reads by position: two lines to a FASTA record, four to a FASTQ record; a cut-off record is an error."""
-    kind = file_type(spark, path)
-    size = 2 if kind == "fasta" else 4
+    """Reads by position: two lines to a FASTA record, four to a FASTQ record; a cut-off record is an error.
+
+    Of a folder, each file begins a record of its own, and all must be of one kind."""
     lines = numbered_lines(spark, path)
-    pick = lambda i: F.max(F.when(F.col("ord") % size == i, F.col("line")))
-    rows = lines.groupBy(F.floor(F.col("ord") / size).alias("rec")).agg(*(pick(i).alias(f"l{i}") for i in range(size)), F.count("*").alias("n"))
-    header = F.when(F.col("n") == size, F.substring("l0", 2, 1 << 30)).otherwise(F.raise_error(F.lit(f"cut-off record in {path}")).cast("string"))
+    marks = sorted(r.c for r in lines.where("n = 0").select(F.substring("line", 1, 1).alias("c")).distinct().limit(3).collect())
+    kinds = {_kind(c, path) for c in marks or [""]}
+    if len(kinds) > 1:
+        raise ValueError(f"both FASTA and FASTQ: {path}")
+    size = 2 if kinds == {"fasta"} else 4
+    pick = lambda i: F.max(F.when(F.col("n") % size == i, F.col("line")))
+    rows = lines.groupBy("file", F.floor(F.col("n") / size).alias("rec")).agg(F.min("ord").alias("first"), *(pick(i).alias(f"l{i}") for i in range(size)), F.count("*").alias("rows"))
+    header = F.when(F.col("rows") == size, F.substring("l0", 2, 1 << 30)).otherwise(F.raise_error(F.concat(F.lit("cut-off record in "), F.col("file"))).cast("string"))
     extra = [F.col("l2").alias("plus"), F.col("l3").alias("quality")] if size == 4 else [F.lit(None).cast("string").alias(c) for c in ("plus", "quality")]
-    return rows.select(F.col("rec").alias("ord"), header.alias("header"), F.col("l1").alias("sequence"), *extra)
+    return rows.select(F.floor(F.col("first") / size).alias("ord"), header.alias("header"), F.col("l1").alias("sequence"), *extra)
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line FASTA; blank lines are skipped, sequence lines trimmed and joined."""
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.monotonically_increasing_id().alias("ord"), F.regexp_replace("value", "^>", "").alias("rec")).where(F.trim("rec") != "")
+    """Multi-line FASTA; blank lines are skipped, sequence lines trimmed and joined; a folder's files come in order of their names."""
+    raw = _placed(spark.read.option("lineSep", "\n>").text(path)).select("ord", F.regexp_replace("value", "^>", "").alias("rec")).where(F.trim("rec") != "")
     lines = F.split("rec", "\r?\n")
     header = F.trim(F.get(lines, 0))
     body = F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.trim(x)), "")

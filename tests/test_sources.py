@@ -113,3 +113,40 @@ def test_streams(spark, tmp_path):
     assert {(r.read_length, r.n) for r in spark.table("h").collect()} == {(3, 2), (2, 1)}
     assert sorted(r.sequence for r in spark.table("f").collect()) == ["AC", "ACG"]
     assert [r.n for r in spark.table("w").collect()] == [3]
+
+
+def test_a_folder_is_read_in_name_order_whatever_the_splits(spark, tmp_path):
+    def record(f, i, size):
+        return f"@{f}{i}\n{'ACGT'[i % 4] * size}\n+\n{'I' * size}\n"
+
+    (tmp_path / "reads").mkdir()
+    for f, n, size in (("a", 5, 30), ("b", 3, 7), ("c", 40, 3)):
+        (tmp_path / "reads" / f"{f}.fq").write_text("".join(record(f, i, size) for i in range(n)))
+    with gzip.open(tmp_path / "reads" / "d.fq.gz", "wt") as f:
+        f.write("".join(record("d", i, 9) for i in range(6)))
+    (tmp_path / "fasta").mkdir()
+    (tmp_path / "fasta" / "x.fa").write_text("".join(f">x{i} d\nAC\n\n GT\n" for i in range(20)))
+    (tmp_path / "fasta" / "y.fa").write_text(">y0\nA\n")
+    (tmp_path / "sam").mkdir()
+    for f in "kl":
+        (tmp_path / "sam" / f"{f}.sam").write_text("@HD\n" + "".join(f"{f}{i}\t0\tr\t{i}\t9\t4M\t*\t0\t0\tACGT\tIIII\tNM:i:0\n" for i in range(30)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "90")
+    try:
+        rows = readers.read_reads(spark, str(tmp_path / "reads")).orderBy("ord").collect()
+        names = [f"{f}{i}" for f, n in (("a", 5), ("b", 3), ("c", 40), ("d", 6)) for i in range(n)]
+        assert [(r.ord, r.header) for r in rows] == list(enumerate(names))
+        assert all(r.sequence == "ACGT"[int(r.header[1:]) % 4] * len(r.quality) and r.plus == "+" and set(r.quality) == {"I"} for r in rows)
+        fasta = readers.read_fasta(spark, str(tmp_path / "fasta")).orderBy("ord").collect()
+        assert [(r.seq_id, r.sequence) for r in fasta] == [(f"x{i}", "ACGT") for i in range(20)] + [("y0", "A")]
+        sam = readers.read_sam(spark, str(tmp_path / "sam")).orderBy("ord").collect()
+        assert [r.qname for r in sam] == [f"{f}{i}" for f in "kl" for i in range(30)]
+        assert [r.ord for r in sam] == [*range(1, 31), *range(32, 62)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    (tmp_path / "reads" / "b.fq").write_text("@b0\nAC\n+\n")
+    with pytest.raises(Exception, match="cut-off record"):
+        readers.read_reads(spark, str(tmp_path / "reads")).collect()
+    (tmp_path / "reads" / "b.fq").write_text(">b0\nAC\n")
+    with pytest.raises(ValueError, match="both FASTA and FASTQ"):
+        readers.read_reads(spark, str(tmp_path / "reads"))
