@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import sequence as S
-from .operators import alignments, contigs, hits, pileup, reads, refindex, report, taxonomy
+from .operators import alignments, contigs, hits, pileup, reads, refindex, report, search, taxonomy
 from .sources import writers
 
 QUERIES: dict = {}
@@ -658,3 +658,18 @@ def structured_pileup(spark, sf):
     )
     references = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("seq_id"), F.lit("CGTA" * 16).alias("sequence"))
     return pileup.structured(rows, references)
+
+
+@query(f"""WITH db AS (SELECT CAST(sum(p_size) * 1000 AS BIGINT) AS letters, count(*) AS n FROM part),
+m AS (SELECT DISTINCT CAST(l_quantity AS BIGINT) * 10 AS m FROM lineitem),
+l AS (SELECT m, max(l) AS l FROM (SELECT m, letters, n, unnest(range(0, least(m - 1, (letters - 1) // n) + 1)) AS l FROM m, db)
+  WHERE l = 0 OR l <= {search.PROTEIN_STATS[3]}::DOUBLE + {search.PROTEIN_STATS[2]}::DOUBLE / {search.PROTEIN_STATS[0]}::DOUBLE * ln({search.PROTEIN_STATS[1]}::DOUBLE * (m - l) * (letters - n * l)) GROUP BY m),
+h AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) * 10 AS m, CAST(20 * l_linenumber + l_partkey % 60 AS DOUBLE) AS score FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(({search.PROTEIN_STATS[0]}::DOUBLE * score - ln({search.PROTEIN_STATS[1]}::DOUBLE)) / ln(2), 6) AS bitscore,
+  round(log10({search.PROTEIN_STATS[1]}::DOUBLE * (m - l) * (letters - n * l)) - {search.PROTEIN_STATS[0]}::DOUBLE * score / ln(10), 6) AS log_evalue FROM h JOIN l USING (m), db""")
+def search_statistics(spark, sf):
+    """Line items as protein hits of queries of ten letters a unit against the parts: bit scores and expectation values."""
+    db = table(spark, sf, "part").agg((F.sum("p_size") * 1000).alias("letters"), F.count("*").alias("n")).first()
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("long") * 10).alias("m"), (20 * F.col("l_linenumber") + F.col("l_partkey") % 60).cast("double").alias("score"))
+    out = search.with_statistics(rows, F.lit(db["letters"]), F.lit(db["n"]), True)
+    return out.select("l_orderkey", "l_linenumber", F.round("bitscore", 6).alias("bitscore"), F.round(F.log10("evalue"), 6).alias("log_evalue"))

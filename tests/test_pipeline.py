@@ -1,8 +1,10 @@
 """The cascade with a redundant reference, and whole runs by the command line."""
 
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sporelight import cli, schemas
 from sporelight.operators import contigs, hits, search
@@ -96,26 +98,111 @@ def test_circles_give_one_contig(spark):
     assert got[0][:120] in circle + circle or turned[:120] in circle + circle
 
 
-def test_batched_alignment_equals_single_ones():
+def _best_local(q, s, cell, first, more):
+    """Score of the best local alignment with affine gaps, by the whole three-state table."""
+    low, best = -(10**6), 0
+    above, down = [0] * (len(s) + 1), [low] * (len(s) + 1)
+    for a in q:
+        row, right = [0] * (len(s) + 1), low
+        for j, b in enumerate(s, 1):
+            down[j] = max(above[j] - first - more, down[j] - more)
+            right = max(row[j - 1] - first - more, right - more)
+            row[j] = max(0, above[j - 1] + cell(a, b), down[j], right)
+        above, best = row, max(best, *row)
+    return best
+
+
+def _cost(q, s, cell, first, more):
+    total, state = 0, ""
+    for a, b in zip(q, s, strict=True):
+        now = "q" if a == "-" else "s" if b == "-" else ""
+        total += -more - first * (now != state) if now else cell(a, b)
+        state = now
+    return total
+
+
+@pytest.mark.parametrize("protein", [False, True])
+def test_batched_alignment_equals_single_ones_and_the_whole_table(protein):
     rng = random.Random(2)
+    letters = "ARNDCQEGHILKMFPSTWYVX*" if protein else "ACGT"
     pairs = []
-    for _ in range(40):
-        s = genome(rng, rng.randint(20, 90))
+    for _ in range(60):
+        s = "".join(rng.choice(letters) for _ in range(rng.randint(20, 90)))
         at = rng.randint(0, 10)
         q = list(s[at : at + rng.randint(8, 60)])
         for _ in range(rng.randint(0, 4)):
             i = rng.randrange(len(q))
-            q[i] = rng.choice(["", "A", "C", "GT"])
+            q[i] = rng.choice(["", letters[0], letters[1], letters[2] * 2, letters[3] * 9])
         pairs.append(("".join(q) or "A", s, at))
-    for protein in (False, True):
-        got = search.local_alignments([p[0] for p in pairs], [p[1] for p in pairs], protein, 6, [p[2] for p in pairs])
+    table = search.protein_scores()
+    cell = lambda m, n: int(table[ord(m), ord(n)]) if protein else search.NUCLEOTIDE_MATCH if m == n else search.NUCLEOTIDE_MISMATCH
+    gap = search.PROTEIN_GAP if protein else search.NUCLEOTIDE_GAP
+    for band in (6, 200):
+        got = search.local_alignments([p[0] for p in pairs], [p[1] for p in pairs], protein, band, [p[2] for p in pairs])
         for (q, s, at), x in zip(pairs, got, strict=True):
-            assert x == search.local_alignment(q, s, protein, 6, at)
+            assert x == search.local_alignment(q, s, protein, band, at)
+            whole = _best_local(q, s, cell, *gap)
+            if x is None:
+                assert band < 200 or whole == 0
+                continue
             score, a, b, c, d, qt, st = x
             assert qt.replace("-", "") == q[a:b] and st.replace("-", "") == s[c:d]
-            table = search._protein_table()
-            cell = lambda m, n: -(5 if protein else 3) if "-" in (m, n) else (int(table[ord(m), ord(n)]) if protein else (1 if m == n else -2))
-            assert sum(map(cell, qt, st)) == score
+            assert _cost(qt, st, cell, *gap) == score <= whole
+            assert band < 200 or score == whole
+
+
+def test_a_band_grows_with_the_gaps():
+    rng = random.Random(3)
+    left, right = ("".join(rng.choice("ARNDCQEGHILKMFPSTWYV") for _ in range(80)) for _ in range(2))
+    gap = "G" * 60
+    score, a, b, c, d, q, s = search.local_alignment(left + right, left + gap + right, True, 4, 0)
+    assert (a, b, c, d) == (0, 160, 0, 220) and q.count("-") == 60
+    table = search.protein_scores()
+    assert score == sum(int(table[ord(x), ord(x)]) for x in left + right) - 11 - 60
+
+
+def test_matrix_and_neighbouring_words(spark):
+    table = search.protein_scores()
+    assert (table == table.T).all() and [int(table[ord(a), ord(b)]) for a, b in ("WW", "CC", "AR", "WG", "IV", "XA", "A*", "BZ")] == [11, 9, -1, -2, 3, -1, -4, -1]
+    near = {}
+    for r in search.neighbour_words(spark, 13).collect():
+        near.setdefault(r.kmer, set()).add(r.near)
+    letters = "ARNDCQEGHILKMFPSTWYV"
+    for word in ("WWW", "AAA", "PQG", "CHM"):
+        want = {x + y + z for x in letters for y in letters for z in letters if sum(int(table[ord(m), ord(n)]) for m, n in zip(word, x + y + z, strict=True)) >= 13}
+        assert near.get(word, set()) == want
+
+
+@pytest.mark.parametrize("protein", [False, True])
+def test_statistics_follow_the_closed_formula(spark, protein):
+    lam, k, alpha, beta = search.PROTEIN_STATS if protein else search.NUCLEOTIDE_STATS
+    rows = [(m, float(s)) for m in (1, 9, 33, 100, 4000) for s in (20, 50.5, 300)]
+    for letters, count in ((1, 1), (50_000, 40), (10**9, 10**6)):
+        out = search.with_statistics(spark.createDataFrame(rows, "m long, score double"), F.lit(letters), F.lit(count), protein).collect()
+        for r in out:
+            fits = [x for x in range(min(r.m - 1, (letters - 1) // count) + 1) if x == 0 or x <= beta + alpha / lam * math.log(k * (r.m - x) * (letters - count * x))]
+            space = (r.m - max(fits)) * (letters - count * max(fits))
+            assert r.evalue == pytest.approx(k * space * math.exp(-lam * r.score), rel=1e-6)
+            assert r.evalue == pytest.approx(space * 2.0**-r.bitscore, rel=1e-6)
+
+
+def test_two_hits_on_a_diagonal_seed_a_distant_protein(spark):
+    rng = random.Random(5)
+    codons = {}
+    for a in "TCAG":
+        for b in "TCAG":
+            for c in "TCAG":
+                codons.setdefault(search.translate(a + b + c), a + b + c)
+    protein = "".join(rng.choice("ARNDCQEGHILKMFPSTWYV") for _ in range(90))
+    alike = str.maketrans("ILKDEFYRQS", "VMREDYFKET")
+    gene = "".join(codons[x] for x in protein.translate(alike))
+    rows = spark.createDataFrame([(0, "q", "q", "AC" + gene)], "ord long, header string, seq_id string, sequence string")
+    subjects = spark.createDataFrame([(0, "p", "p", protein), (1, "z", "z", "".join(rng.sample(protein, 90)))], "ord long, header string, seq_id string, sequence string")
+    out = search.search(rows, subjects, True, 1e-5).collect()
+    assert [(r.sseqid, r.qstart, r.qend, r.sstart, r.send) for r in out] == [("p", 3, 272, 1, 90)]
+    table = search.protein_scores()
+    assert out[0].bitscore == pytest.approx((0.267 * sum(int(table[ord(x), ord(y)]) for x, y in zip(protein, protein.translate(alike), strict=True)) - math.log(0.041)) / math.log(2))
+    assert search.search(rows.withColumn("sequence", F.lit("ACGTA")), subjects, True).count() == 0
 
 
 @pytest.fixture(scope="module")
