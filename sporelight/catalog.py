@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import sequence as S
-from .operators import alignments, contigs, hits, pileup, reads, refindex, report, search, taxonomy
+from .operators import alignments, cluster, contigs, hits, pileup, reads, refindex, report, search, taxonomy
 from .sources import writers
 
 QUERIES: dict = {}
@@ -673,3 +673,45 @@ def search_statistics(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("long") * 10).alias("m"), (20 * F.col("l_linenumber") + F.col("l_partkey") % 60).cast("double").alias("score"))
     out = search.with_statistics(rows, F.lit(db["letters"]), F.lit(db["n"]), True)
     return out.select("l_orderkey", "l_linenumber", F.round("bitscore", 6).alias("bitscore"), F.round(F.log10("evalue"), 6).alias("log_evalue"))
+
+
+_SELF = """l AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_nationkey * 7 + s_suppkey % 5 AS length, s_suppkey AS place FROM supplier), n AS (SELECT count(*) AS n FROM supplier),
+f AS (SELECT l_orderkey * 8 + l_linenumber AS ord, CAST(l_suppkey AS VARCHAR) AS query, CAST(l_orderkey % n + 1 AS VARCHAR) AS subject, 100.0::DOUBLE - l_discount * 100 AS identity, 100.0::DOUBLE - l_tax * 100 AS coverage, l_extendedprice AS score FROM lineitem, n)"""
+
+
+@query(f"""WITH {_SELF}, s AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY query, subject ORDER BY score DESC, ord) = 1),
+t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, ord) <= 2),
+b AS (SELECT t.*, q.length < p.length OR q.length = p.length AND q.place > p.place AS shorter FROM t JOIN l q ON q.id = query JOIN l p ON p.id = subject WHERE query <> subject AND identity >= 93 AND coverage >= 95),
+g AS (SELECT CASE WHEN shorter THEN query ELSE subject END AS id, CASE WHEN shorter THEN subject ELSE query END AS partner, identity, score, ord FROM b)
+SELECT id, partner, identity FROM g QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, ord) = 1""")
+def self_search(spark, sf):
+    """Suppliers that a search of all against all would remove: a line item is a hit of its supplier in the one its order names."""
+    suppliers = table(spark, sf, "supplier")
+    n = suppliers.count()
+    found = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.col("l_suppkey").cast("string").alias("query"), (F.col("l_orderkey") % n + 1).cast("string").alias("subject"),
+        (F.lit(100.0) - F.col("l_discount") * 100).alias("identity"), (F.lit(100.0) - F.col("l_tax") * 100).alias("coverage"), F.col("l_extendedprice").alias("score"),
+    )
+    lengths = suppliers.select(F.col("s_suppkey").cast("string").alias("id"), (F.col("s_nationkey") * 7 + F.col("s_suppkey") % 5).alias("length"), F.col("s_suppkey").alias("place"))
+    return cluster.self_search_removals(found, lengths, 93.0, 95.0)
+
+
+@query("""WITH p AS (SELECT p_partkey AS ord, CAST(p_partkey AS VARCHAR) AS id, p_name AS description, CASE WHEN p_partkey % 3 = 0 THEN 'Unassigned' ELSE p_brand END AS category FROM part),
+x AS (SELECT ord, id, category, array_to_string(w[1:i], ' ') AS prefix, i FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM (SELECT *, string_split(lower(description), ' ') AS w FROM p))),
+v AS (SELECT prefix, category, count(*) AS n, min(ord) AS seen FROM x WHERE category <> 'Unassigned' GROUP BY 1, 2), a AS (SELECT prefix, sum(n) AS whole FROM v GROUP BY 1),
+e AS (SELECT prefix, string_agg(id, ',' ORDER BY ord) AS examples FROM (SELECT * FROM x WHERE category <> 'Unassigned' QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY ord) <= 5) GROUP BY 1),
+t AS (SELECT prefix, category, n FROM v QUALIFY row_number() OVER (PARTITION BY prefix ORDER BY n DESC, seen) = 1),
+d AS (SELECT x.id, x.prefix, t.category, t.n, round(t.n / whole * 100, 2) AS percent, examples FROM x JOIN t USING (prefix) JOIN a USING (prefix) JOIN e USING (prefix) WHERE x.category = 'Unassigned' QUALIFY row_number() OVER (PARTITION BY x.id ORDER BY i DESC) = 1),
+h AS (SELECT l_orderkey * 8 + l_linenumber AS ord, CAST(l_suppkey AS VARCHAR) AS query, CAST(l_partkey AS VARCHAR) AS subject, 100.0::DOUBLE - l_discount * 100 AS identity, CAST(l_quantity AS INT) - CAST(l_linenumber AS INT) - 1 AS match, l_extendedprice AS score, 'D' || l_suppkey % 8 AS division FROM lineitem WHERE l_partkey % 3 = 0),
+b AS (SELECT query, subject FROM (SELECT query, subject, max(score) AS s, min(ord) AS o FROM h GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY query ORDER BY s DESC, o) <= 40),
+k AS (SELECT subject AS id, list_reduce(list(struct_pack(division := division, query := query, match := match, identity := identity, score := score) ORDER BY ord), lambda x, y: CASE WHEN y.identity > x.identity AND y.match > x.match AND y.score > x.score THEN y ELSE x END) AS z FROM h SEMI JOIN b USING (query, subject) GROUP BY subject)
+SELECT p.id, p.description, d.prefix, d.category, d.n, d.percent, d.examples, z.division, z.query, z.match, z.identity, z.score FROM p LEFT JOIN d ON d.id = p.id LEFT JOIN k ON k.id = p.id WHERE p.category = 'Unassigned'""")
+def classified_by_classified(spark, sf):
+    """Every third part is unclassified; the others' brands vote by description, line items are hits of suppliers in parts."""
+    third = F.col("p_partkey") % 3 == 0
+    records = table(spark, sf, "part").select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("description"), F.when(third, "Unassigned").otherwise(F.col("p_brand")).alias("category"))
+    found = table(spark, sf, "lineitem").where("l_partkey % 3 = 0").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"), F.col("l_suppkey").cast("string").alias("query"), F.col("l_partkey").cast("string").alias("subject"), (F.lit(100.0) - F.col("l_discount") * 100).alias("identity"),
+        F.col("l_quantity").cast("int").alias("length"), F.col("l_linenumber").cast("int").alias("mismatches"), F.lit(1).alias("gaps"), F.col("l_extendedprice").alias("score"), F.concat(F.lit("D"), (F.col("l_suppkey") % 8).cast("string")).alias("division"),
+    )
+    return taxonomy.classify_by_classified(records, found, 40)

@@ -118,6 +118,20 @@ def _run_lengths(ops: list[str]) -> str:
     return "".join(out)
 
 
+def least_penalties(reads: np.ndarray, windows: np.ndarray, pad: int) -> np.ndarray:
+    """Fewest edits of each read inside its window (length + 2 * pad), without the alignments; an unknown base is never equal."""
+    n, length = reads.shape
+    width = 2 * pad + 1
+    far = np.int32(1 << 20)
+    best, slot = np.zeros((n, width), np.int32), np.arange(width, dtype=np.int32)
+    for i in range(length):
+        ref, base = windows[:, i : i + width], reads[:, i : i + 1]
+        now = np.where(ref == 0, far, best + ((ref != base) | ~_KNOWN[base]))
+        now[:, :-1] = np.minimum(now[:, :-1], best[:, 1:] + 1)
+        best = np.minimum.accumulate(now - slot, axis=1) + slot  # reference bases alone, any number of them
+    return best.min(axis=1)
+
+
 def extender(penalty: Penalty, keep: int):
     """Arrow batches of candidates to alignments: ``keep`` leading columns, then oriented, tile text, tile begin, diagonal.
 

@@ -184,8 +184,10 @@ def schemes_for(lengths: list[int], edits: int) -> tuple[tuple[int, int], ...]:
     return tuple(sorted({max([(k + w, k, w) for k, w in SCHEMES if k + w - 1 <= s], default=(s + 1, s, 1))[1:] for s in need}, key=lambda x: x[0] + x[1]))
 
 
-def read_seeds(reads: DataFrame, schemes, edits: int) -> DataFrame:
-    """Rows of ``reads`` (with ``oriented``) and the seeds of each: ``scheme, key, place``; a read uses the longest scheme that finds it surely."""
+def read_seeds(reads: DataFrame, schemes, edits: int, unchanged: str | None = None) -> DataFrame:
+    """Rows of ``reads`` (with ``oriented``) and the seeds of each: ``scheme, key, place``; a read uses the longest scheme that finds it surely.
+
+    ``unchanged`` names a column with the length of the stretch left unchanged, where it isn't that of ``edits`` edits."""
     schemes = tuple(schemes)
     names = [f.name for f in reads.schema.fields]
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -198,7 +200,7 @@ def read_seeds(reads: DataFrame, schemes, edits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = joined_bytes(batch.column(text))
-            room = np.maximum(np.diff(offsets) - edits, 0) // (edits + 1)
+            room = np.maximum(np.diff(offsets) - edits, 0) // (edits + 1) if unchanged is None else np.asarray(batch.column(names.index(unchanged)))
             scheme = np.searchsorted(ends, room, side="right") - 1
             for number, (k, window) in enumerate(schemes):
                 mine = np.flatnonzero(scheme == number)

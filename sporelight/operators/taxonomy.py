@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.sequence import canonical
 from ..store import written
@@ -94,15 +98,35 @@ def division_counts(pairs: DataFrame) -> DataFrame:
     return ranked.where("_r = 1").drop("_r")
 
 
-def best_by_subject(hits12: DataFrame) -> DataFrame:
-    """Best hit by subject in source order: another replaces it only if identity, match length and score are all greater."""
-    rows = F.array_sort(F.collect_list(F.struct("ord", "query", "identity", "length", "score")))
-
-    def fold(a, x):
-        return F.when((x["identity"] > a["identity"]) & (x["length"] > a["length"]) & (x["score"] > a["score"]), x).otherwise(a)
-
-    best = hits12.groupBy("subject").agg(rows.alias("r")).withColumn("x", F.aggregate(F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0))), F.get("r", 0), fold))
-    return best.select("subject", "x.query", "x.identity", "x.length", "x.score")
+def best_by_subject(hits12: DataFrame, *more: str) -> DataFrame:
+    """Best hit by subject in source order: another replaces it only if identity, match length and score are all greater.
+
+    Only rows above the subject's first one in all three can ever replace it; those are folded
+    in order as they stream by, one row held for each subject.  ``more``: further columns to keep."""
+    fields = ("query", "identity", "length", "score", *more)
+    kinds = {f.name: f.dataType for f in hits12.schema.fields}
+    first = hits12.groupBy("subject").agg(F.min_by(F.struct("ord", *fields), "ord").alias("f"))
+    above = (F.col("identity") > F.col("f.identity")) & (F.col("length") > F.col("f.length")) & (F.col("score") > F.col("f.score"))
+    able = hits12.join(first, "subject").where(above | (F.col("ord") == F.col("f.ord"))).select("subject", "ord", *fields)
+    # by a hash of the subject: a repartitioning by the join's own key would be left out of the plan, and the join's skew handling may part a subject
+    rows = able.repartition(F.xxhash64("subject")).sortWithinPartitions("subject", "ord").select("subject", *fields)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, schema = None, None
+        for batch in batches:
+            schema, done = batch.schema, []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if best is None or row[0] != best[0]:
+                    if best is not None:
+                        done.append(best)
+                    best = row
+                elif all(row[i] > best[i] for i in (2, 3, 4)):
+                    best = row
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], f.type) for i, f in enumerate(schema)], schema=schema)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(best, schema, strict=True)], schema=schema)
+
+    return rows.mapInArrow(fold, T.StructType([T.StructField(c, kinds[c]) for c in ("subject", *fields)]))
 
 
 def description_votes(unclassified: DataFrame, classified: DataFrame) -> DataFrame:
@@ -117,7 +141,29 @@ def description_votes(unclassified: DataFrame, classified: DataFrame) -> DataFra
     place = F.row_number().over(Window.partitionBy("prefix").orderBy("_k.ord"))
     few = theirs.withColumn("_r", place).where("_r <= 5").groupBy("prefix").agg(F.transform(F.array_sort(F.collect_list(F.struct("_k.ord", "_k.id"))), lambda x: x["id"]).alias("examples"))
     mine = prefixes(unclassified, "description", "id").join(top.join(few, "prefix"), "prefix")
-    return mine.groupBy("id").agg(F.max_by(F.struct("category", "share", "examples"), "words").alias("x")).select("id", "x.*")
+    return mine.groupBy("id").agg(F.max_by(F.struct("category", "share", "examples", "prefix", "n"), "words").alias("x")).select("id", "x.*")
+
+
+def top_hits(hits12: DataFrame, n: int = 5) -> DataFrame:
+    """Hits with a query's n best subjects (by their best score, then least ord), in source order."""
+    best = hits12.groupBy("query", "subject").agg(F.max("score").alias("_s"), F.min("ord").alias("_o"))
+    few = best.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("_s"), "_o"))).where(F.col("_r") <= n)
+    return hits12.join(few.select("query", "subject"), ["query", "subject"], "left_semi")
+
+
+def classify_by_classified(records: DataFrame, hits12: DataFrame, n: int = 5) -> DataFrame:
+    """What the classified records say about each unclassified one (``category`` Unassigned): by description and by search.
+
+    ``records``: ``ord, id, description, category``; ``hits12``: hits of classified queries in unclassified subjects, ``ord, query,
+    subject, identity, length, mismatches, gaps, score`` and the query's ``division``.  Gives ``id, description, prefix, category, n,
+    percent, examples`` (first five ids, comma-joined) and ``division, query, match, identity, score`` of the best hit among each
+    query's n best subjects; what is missing is null."""
+    known, open_ = records.where("category <> 'Unassigned'"), records.where("category = 'Unassigned'")
+    votes = description_votes(open_.select("id", "description"), known)
+    matched = top_hits(hits12, n).withColumn("length", F.col("length") - F.col("mismatches") - F.col("gaps"))
+    best = best_by_subject(matched, "division").select(F.col("subject").alias("id"), "division", "query", F.col("length").alias("match"), "identity", "score")
+    named = votes.select("id", "prefix", "category", "n", F.round(F.col("share") * 100, 2).alias("percent"), F.array_join("examples", ",").alias("examples"))
+    return open_.select("id", "description").join(named, "id", "left").join(best, "id", "left")
 
 
 def drop_exact(records: DataFrame, shortest: int = MIN_LENGTH, longest: int = MAX_LENGTH) -> DataFrame:
