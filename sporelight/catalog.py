@@ -115,11 +115,15 @@ def _supplier_groups(lineitem, contig):
     return summary, sup
 
 
-_GROUPS = """g AS (SELECT DISTINCT 's' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS id, l_partkey AS p FROM lineitem),
+def _groups(ratio: float, cover: float, length: int) -> str:
+    return f"""g AS (SELECT DISTINCT 's' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS id, l_partkey AS p FROM lineitem),
 n AS (SELECT id, count(*) AS size FROM g GROUP BY id), r AS (SELECT id, size, row_number() OVER (ORDER BY size DESC, size * 8 DESC, id) AS rank FROM n),
 sh AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM g a JOIN g b ON a.p = b.p JOIN r x ON x.id = a.id JOIN r y ON y.id = b.id WHERE x.rank < y.rank GROUP BY 1, 2),
-edges AS (SELECT a, b FROM sh JOIN n ON n.id = b WHERE (size - shared) / size <= 0.79 AND (size - shared) * 8 / 400 <= 10 AND (size - shared) * 8 <= 3000)"""
+edges AS (SELECT a, b FROM sh JOIN n ON n.id = b WHERE (size - shared) / size <= {ratio} AND (size - shared) * 8 / 400 <= {cover} AND (size - shared) * 8 <= {length})"""
+
+
 _PRUNING = {"ratio": 0.79, "cover": 10.0, "length": 3000}
+_GROUPS, _GROUPS_WHOLE = _groups(**_PRUNING), _groups(0.25, 0.5, 100)
 
 
 @query(f"WITH {_GROUPS} SELECT a, b FROM edges")
@@ -127,15 +131,19 @@ def prune_edges(spark, sf):
     return hits.redundancy_edges(*_supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey")), **_PRUNING).select("a", "b")
 
 
-@query()
+@query(f"WITH {_GROUPS_WHOLE} SELECT a, b FROM edges")
 def prune_edges_whole(spark, sf):
     """The same groups under the operator's own bounds, intervals in order of the contigs."""
     return hits.redundancy_edges(*_supplier_groups(table(spark, sf, "lineitem"), F.col("l_partkey")), mode="reference").select("a", "b")
 
 
-@query(f"""WITH RECURSIVE {_GROUPS}, before AS (SELECT b, list(a) AS a FROM edges GROUP BY b), f AS (SELECT rank, id, coalesce(a, []) AS a FROM r LEFT JOIN before ON b = id),
+def _kept(groups: str) -> str:
+    return f"""WITH RECURSIVE {groups}, before AS (SELECT b, list(a) AS a FROM edges GROUP BY b), f AS (SELECT rank, id, coalesce(a, []) AS a FROM r LEFT JOIN before ON b = id),
 walk AS (SELECT 0::BIGINT AS rank, []::VARCHAR[] AS kept UNION ALL SELECT f.rank, CASE WHEN list_has_any(kept, f.a) THEN kept ELSE list_append(kept, f.id) END FROM walk JOIN f ON f.rank = walk.rank + 1)
-SELECT unnest(kept) AS group_id FROM (SELECT kept FROM walk ORDER BY rank DESC LIMIT 1)""")
+SELECT unnest(kept) AS group_id FROM (SELECT kept FROM walk ORDER BY rank DESC LIMIT 1)"""
+
+
+@query(_kept(_GROUPS))
 def prune_kernel_wide(spark, sf):
     """Groups kept of those of ``prune_edges``."""
     from .store import written
@@ -144,7 +152,7 @@ def prune_kernel_wide(spark, sf):
     return hits.kernel(summary, written(hits.redundancy_edges(summary, sup, **_PRUNING), "edges")).select("group_id")
 
 
-@query()
+@query(_kept(_GROUPS_WHOLE))
 def prune_kernel(spark, sf):
     """Groups kept under the operator's own bounds."""
     from .store import written
@@ -184,12 +192,12 @@ def contained_contigs_anti(spark, sf):
     return contigs.drop_contained(docs.unionAll(table(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("ord"), F.col("text").alias("sequence")))).select("ord")
 
 
-@query()
+@query(SQL["contained_contigs_anti"])
 def contained_contigs_documents(spark, sf):
     return contained_contigs_anti(spark, sf)
 
 
-@query()
+@query("""SELECT kmer, count(*) AS n FROM (SELECT unnest(regexp_extract_all(substr(text, o), '(?s).{8}')) AS kmer FROM documents, (VALUES (1), (2), (3), (4), (5), (6), (7), (8)) AS v(o)) GROUP BY 1""")
 def kmer_spectrum_documents(spark, sf):
     """Words of eight in the documents as they stand, each strand by itself."""
     words = table(spark, sf, "documents").select(F.explode(S.kmers(F.col("text"), 8)).alias("w"))
@@ -371,12 +379,18 @@ def prefix_vote(spark, sf):
 
 
 _PROBE = "AND THE OF "
-_TRIMMED = f"""r AS (SELECT doc_id, lang, upper(replace(text, 'ß', 's')) AS s FROM documents), e AS (SELECT doc_id, lang, s, position('{_PROBE}' IN s) AS p, length(string_split_regex(s, '(?s){"|".join(_PROBE[:i] + "." + _PROBE[i + 1 :] for i in range(11))}')[1]) AS q FROM r),
+
+
+def _trimmed_sql(sharp: str) -> str:
+    return f"""r AS (SELECT doc_id, lang, upper(replace(text, 'ß', '{sharp}')) AS s FROM documents), e AS (SELECT doc_id, lang, s, position('{_PROBE}' IN s) AS p, length(string_split_regex(s, '(?s){"|".join(_PROBE[:i] + "." + _PROBE[i + 1 :] for i in range(11))}')[1]) AS q FROM r),
 h AS (SELECT doc_id, lang, s, CASE WHEN p > 0 THEN p - 1 ELSE q END AS p FROM e),
 t AS (SELECT doc_id, lang, p AS pos3, CASE WHEN p = 0 THEN 'null' WHEN p = length(s) THEN 'unmatch' ELSE 'match' END AS status3,
  CASE WHEN p = 0 OR p = length(s) THEN 'rejected' WHEN contains(substr(s, 1, p), 'N') THEN 'baseN' WHEN p < 15 THEN 'short' ELSE 'clean' END AS outcome FROM h)"""
 
 
+_TRIMMED, _TRIMMED_WHOLE = _trimmed_sql("s"), _trimmed_sql("ss")  # the capital of ß is SS
+
+
 def _trimmed(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("sample"), F.replace("text", F.lit("ß"), F.lit("s")).alias("sequence"))
     return reads.trim(docs, adapter3="and the of the")
@@ -394,7 +408,7 @@ def trim_report(spark, sf):
     return reads.trim_report(_trimmed(spark, sf))
 
 
-@query()
+@query(f"WITH {_TRIMMED_WHOLE} SELECT doc_id, CAST(pos3 AS BIGINT) AS pos3, status3, outcome FROM t")
 def adapter_trim_whole(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("sequence"))
     return reads.trim(docs, adapter3="and the of the").select("doc_id", F.col("pos3").cast("long").alias("pos3"), "status3", "outcome")
