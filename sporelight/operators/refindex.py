@@ -35,6 +35,7 @@ SCHEMES = ((6, 1), (8, 1), (11, 1), (11, 5), (15, 10), (21, 16))
 TILE = 4096
 REACH = 1024
 PLACES = 4096  # places of a key in one part
+SLICE = 1 << 19
 _MIX = 0x9E3779B97F4A7C15  # odd: multiplying by it is one to one modulo 2**62
 _ROOM = (1 << 62) - 1
 
@@ -87,6 +88,18 @@ def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about ``SLICE`` bytes of text (a longer row is alone), so that the arrays made of them stay small."""
+    for batch in batches:
+        ends = np.cumsum([len(x) if x else 0 for x in batch.column(text).to_pylist()])
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def tiles(references: DataFrame, tile: int = TILE, reach: int = REACH, lead: int = 64) -> DataFrame:
     """``seq_id, tile, begin, text``: each reference in tiles that own ``tile`` bases and show ``lead`` before and ``reach`` after them.
 
@@ -109,7 +122,7 @@ def tile_minimizers(tiled: DataFrame, schemes=SCHEMES, tile: int = TILE) -> Data
     schemes = tuple(schemes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches, 3):
             own = np.asarray(batch.column(1)) * tile
             begin = np.asarray(batch.column(2))
             data, offsets = joined_bytes(batch.column(3))
@@ -198,7 +211,7 @@ def read_seeds(reads: DataFrame, schemes, edits: int, unchanged: str | None = No
     ends = np.array([k + w - 1 for k, w in schemes])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches, text):
             data, offsets = joined_bytes(batch.column(text))
             room = np.maximum(np.diff(offsets) - edits, 0) // (edits + 1) if unchanged is None else np.asarray(batch.column(names.index(unchanged)))
             scheme = np.searchsorted(ends, room, side="right") - 1
