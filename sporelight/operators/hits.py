@@ -100,14 +100,18 @@ def covered_in_order(intervals: DataFrame, at: str, mode: str, *keys: str) -> Da
     """``covered_bases`` of each key's intervals (s, e) by ``mode``, taken in the order of the column ``at``."""
     if mode == "union":
         return covered_by(intervals.select(*keys, "s", "e"), *keys)
-    spans = F.transform(F.array_sort(F.collect_list(F.struct(at, "s", "e"))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    return intervals.groupBy(*keys).agg(spans.alias("_spans")).select(*keys, covered(F.col("_spans"), mode).alias("covered_bases"))
+    # a block's end never falls, so it is the greatest end so far: an interval beyond it begins a block, another one adds what it reaches further
+    before = Window.partitionBy(*keys).orderBy(at, "s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max("e").over(before)
+    begins = reach.isNull() | (F.col("s") > reach + 1)
+    more = F.when(begins, F.col("e") - F.col("s") + 1).otherwise(F.greatest(F.lit(0), F.col("e") - reach))
+    return intervals.select(*keys, more.cast("long").alias("_more")).groupBy(*keys).agg(F.sum("_more").alias("covered_bases"))
 
 
 def summarize(hits: DataFrame, depths: DataFrame, library_size: int, coverage: float = 0.1, depth: float = 5.0, normalized: float = 5.0, mode: str = "reference") -> DataFrame:
     """One row for each reference group of (filtered) hits.
 
-    ``mode``: how intervals add up, see :func:`covered`; ``union`` doesn't collect a group's intervals."""
+    ``mode``: how intervals add up, see :func:`covered`; neither collects a group's intervals."""
     low, high = interval()
     rows = hits.withColumn("group_id", group_id())
     best = best_by(rows, *GROUP, "contig_id").join(depths.select("contig_id", "total_depth"), "contig_id", "left")
@@ -135,7 +139,7 @@ def redundancy_edges(summary: DataFrame, supports: DataFrame, ratio: float = 0.2
 
     b's contigs beyond a's are few (at most ``ratio``) and cover little of b:
     their intervals, in order of their contigs, add up by ``mode`` (see
-    :func:`covered`; ``union`` collects no list).  With a ratio below 1 only pairs
+    :func:`covered`).  With a ratio below 1 only pairs
     that share a contig can meet it, so pairs come from that equi-join.  From 1 on
     (no use of it is known) a group that covers little by all its contigs is redundant
     beside any kept one that shares none: in union mode the first group in order,
