@@ -125,20 +125,25 @@ def learn(documents: DataFrame, *, text_col: str = "text", lang_col: str = "lang
 
 
 def _converge(like: np.ndarray, share: np.ndarray, starts: np.ndarray, count: np.ndarray) -> None:
-    """Expectation-maximisation of each row's proportions, in place, until none of a row's changes by ``TOLERANCE``; rows that have converged drop out."""
+    """Expectation-maximisation of each row's proportions, in place, until none of a row's changes by ``TOLERANCE``.
+
+    A row that has converged is left as it is, whatever its neighbours still do."""
     live, owner = np.arange(len(share)), np.repeat(np.arange(len(share)), count)
+    going = np.ones(len(live), bool)
     while True:
         joint = like * share[live][owner]
         joint /= joint.sum(1, keepdims=True)
         new = np.add.reduceat(joint, starts, axis=0) / count[:, None]
-        going = np.abs(new - share[live]).max(1) > TOLERANCE
-        share[live] = new
+        moves = np.abs(new - share[live]).max(1) > TOLERANCE
+        share[live[going]] = new[going]
+        going &= moves
         if not going.any():
             return
         if going.mean() < 0.7:
             kept = going[owner]
             like, count, live = like[kept], count[going], live[going]
             starts, owner = np.cumsum(count) - count, np.repeat(np.arange(len(live)), count)
+            going = np.ones(len(live), bool)
 
 
 def mixtures(score: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -378,3 +378,21 @@ def test_awkward_tables_through_the_stages(spark):
             assert out.columns == table.columns, name
             out.collect()
         assert P.STAGES[-1][1](spark, table, sf).columns[0] == "doc_id"
+
+
+def test_mixtures_do_not_depend_on_neighbours():
+    """Each row alone, all together, and shuffled together: the same doubles."""
+    rng = np.random.default_rng(8)
+    sizes = rng.integers(0, 120, 60)
+    rows = [np.minimum(rng.normal(0, 1.5, size=(n, 4)), 0).astype(np.float32) + np.float32(rng.normal(0, 0.3)) * np.eye(4, dtype=np.float32)[rng.integers(0, 4, n)] for n in sizes]
+
+    def together(order):
+        offsets = np.concatenate([[0], np.cumsum([len(rows[i]) for i in order])])
+        best, value = langid.mixtures(np.concatenate([rows[i] for i in order]), offsets)
+        return {i: (best[j].tolist(), value[j]) for j, i in enumerate(order)}
+
+    alone = {}
+    for i in range(len(rows)):
+        alone |= together([i])
+    assert together(list(range(len(rows)))) == alone
+    assert together(rng.permutation(len(rows)).tolist()) == alone
