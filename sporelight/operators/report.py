@@ -27,6 +27,11 @@ def accession_link(analysis: Column, group: Column, reference: Column) -> Column
     return F.concat(F.lit("https://www.ncbi.nlm.nih.gov/"), F.when(nucleotide, "nuccore/").otherwise("protein/"), F.when(nucleotide, reference).otherwise(group))
 
 
+def accession_label(analysis: Column) -> Column:
+    """What the id beside the link is: a reference's for nucleotide searches, a protein's else."""
+    return F.when(analysis == "blastn", "Reference ID").otherwise("Protein ID")
+
+
 def slug_text(text: str) -> str:
     """The anchor text of :func:`slug` for one value."""
     return "".join(c if c.isalnum() else "-" for c in text).strip("-") or "item"

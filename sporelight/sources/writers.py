@@ -50,6 +50,68 @@ def write_depths(depths: DataFrame, path: str) -> None:
     depths.orderBy("contig_id").select("contig_id", "contig_length", "covered_bases", F.round(coverage, 6).alias("contig_coverage"), "total_depth", F.round("mean_depth", 6).alias("mean_depth"), F.round("normalized_depth", 6).alias("normalized_depth")).write.mode("overwrite").csv(path, sep="\t", header=True)
 
 
+def write_info(records: DataFrame, path: str) -> None:
+    """The information table: id, length, genus, description, version, divisions and sources (comma-joined), in order of ``ord``."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    joined = [F.array_join(F.coalesce(F.col(c), F.array().cast("array<string>")), ",") for c in ("divisions", "source")]
+    line = F.concat_ws("\t", "id", F.length("sequence").cast("string"), text("genus"), text("description"), text("version"), *joined)
+    records.orderBy("ord").select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_manual_hosts(hosts: DataFrame, path: str) -> None:
+    """Host names (``host``) that no taxon was found for, each once, in order."""
+    hosts.where("host IS NOT NULL").select(F.col("host").alias("value")).distinct().orderBy("value").write.mode("overwrite").text(path)
+
+
+def genus_lines(pairs: DataFrame) -> DataFrame:
+    """``genus, value``: a line for each genus with ``division,number,share`` of its divisions, the usual one first (of equals the first by name), then by name."""
+    counts = pairs.groupBy("genus", "division").agg(F.count("*").alias("n"))
+    total = F.aggregate("all", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    best = F.array_max(F.transform("all", lambda x: x["n"]))
+    cell = lambda x: F.concat_ws(",", x["division"], x["n"].cast("string"), F.format_string("%.2f", x["n"] / F.col("total")))
+    rows = counts.groupBy("genus").agg(F.array_sort(F.collect_list(F.struct("division", "n"))).alias("all"))  # a few divisions
+    rows = rows.withColumns({"total": total, "first": F.get(F.filter("all", lambda x: x["n"] == best), 0)})
+    others = F.transform(F.filter("all", lambda x: x["division"] != F.col("first.division")), cell)
+    return rows.select("genus", F.concat_ws("\t", "genus", cell(F.col("first")), others).alias("value"))
+
+
+def write_manual_genera(pairs: DataFrame, path: str) -> None:
+    """:func:`genus_lines`, in order of the genus."""
+    genus_lines(pairs).orderBy("genus").select("value").write.mode("overwrite").text(path)
+
+
+def write_manual_descriptions(rows: DataFrame, path: str) -> None:
+    """Rows of ``taxonomy.classify_by_classified`` as lines for review: id, description, prefix, category, number, percent, examples, and the best hit.
+
+    ``NA-CAT`` stands for a missing category (four empty fields follow), ``NA-BLAST`` for a missing hit."""
+    text = lambda c: F.col(c).cast("string")
+    vote = F.when(F.col("category").isNull(), F.lit("NA-CAT\t\t\t\t")).otherwise(F.concat_ws("\t", "prefix", "category", text("n"), F.format_string("%.2f", "percent"), "examples"))
+    hit = F.when(F.col("query").isNull(), "NA-BLAST").otherwise(F.concat_ws("\t", "division", "query", text("match"), text("identity"), text("score")))
+    rows.orderBy("id").select(F.concat(F.col("id"), F.lit("\t"), F.coalesce("description", F.lit("")), F.lit("\t"), vote, F.lit("\t"), hit).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_cleaned(trimmed: DataFrame, path: str) -> None:
+    """Clean reads below ``path/sample=...``: FASTQ where a read has a quality, FASTA where not."""
+    body = F.concat(F.col("header"), F.lit("\n"), F.col("trimmed"))
+    fastq = F.concat(F.lit("@"), body, F.lit("\n"), F.coalesce("plus", F.lit("+")), F.lit("\n"), F.col("trimmed_quality"))
+    clean = trimmed.where("outcome = 'clean'").orderBy("sample", "ord")
+    clean.select("sample", F.coalesce(fastq, F.concat(F.lit(">"), body)).alias("value")).write.mode("overwrite").partitionBy("sample").text(path)
+
+
+def write_trim_report(report: DataFrame, path: str) -> None:
+    """A line for each sample with its counters (``reads.trim_report``)."""
+    report.orderBy("sample").write.mode("overwrite").csv(path, sep="\t", header=True)
+
+
+def write_size_table(table: DataFrame, path: str) -> None:
+    """Clean reads by length and sample (``reads.size_table``), with a heading for each sample."""
+    samples = [c for c in table.columns if c != "size"]
+    heading = "\t".join(["#Size", *(f"{c} (No. of reads)" for c in samples)])
+    lines = table.select(F.col("size").alias("_at"), F.concat_ws("\t", F.col("size").cast("string"), *(F.col(f"`{c}`").cast("string") for c in samples)).alias("value"))
+    first = table.sparkSession.createDataFrame([(-1, heading)], "_at int, value string")
+    first.unionByName(lines).orderBy("_at").select("value").write.mode("overwrite").text(path)
+
+
 def _ordered(hits: DataFrame) -> DataFrame:
     return hits.orderBy("contig_id", "hit_id", F.least("hit_start", "hit_end"), "query_start")
 
