@@ -155,7 +155,9 @@ def build(references: DataFrame, schemes=SCHEMES, tile: int = TILE, reach: int =
     tiled = written(tiles(references, tile, reach, lead), "tiles")
     found = tile_minimizers(tiled, schemes, tile)
     keys = written(found.groupBy("scheme", "key").agg(F.ceil(F.count("*") / PLACES).cast("int").alias("parts")), "keys")
-    spread = found.join(keys, ["scheme", "key"]).withColumn("part", F.pmod(F.xxhash64("seq_id", "at"), F.col("parts")).cast("int"))
+    frequent = written(keys.where("parts > 1"), "frequent-keys")  # at most a row for every PLACES places, so the places themselves needn't move
+    part = F.coalesce(F.pmod(F.xxhash64("seq_id", "at"), F.col("parts")), F.lit(0)).cast("int")
+    spread = found.join(frequent, ["scheme", "key"], "left").withColumn("part", part)
     return Index(keys, written(spread.select("scheme", "key", "part", "seq_id", "at"), "places"), tiled, schemes, tile, reach)
 
 
