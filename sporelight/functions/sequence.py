@@ -12,6 +12,16 @@ _DNA, _DNA_C = "ACGTacgt", "TGCAtgca"
 _IUPAC, _IUPAC_C = "ABCDGHMNRSTUVWXYabcdghmnrstuvwxy", "TVGHCDKNYSAABWXRtvghcdknysaabwxr"
 # Database tags that name the following part of an identifier, most trusted first.
 _TAGS = ("ref", "gb", "emb", "dbj", "sp", "tr")
+# Letters without a capital of one letter of their own (and those whose capital is newer than Unicode 15), and what SQL's upper makes of each.
+_WIDE = "".join(c for c in map(chr, range(0x80, 0x20000)) if len(c.upper()) > 1 and c != "ß") + "ƛɤ\u1c8a\ua7cd\ua7db" + "".join(map(chr, range(0x10D70, 0x10D86)))
+_WIDE_UPPER = "".join(c.title() if len(c.title()) == 1 and len(c.upper()) > 1 else c for c in _WIDE)
+
+
+def upper(s: Column) -> Column:
+    """Capitals, one letter for one: the built-in function makes SS of ß and two or three letters of some others, which changes lengths."""
+    plain = F.upper(F.replace(s, F.lit("ß"), F.lit("ẞ")))
+    single = F.transform(F.split(s, ""), lambda c: F.when(F.instr(F.lit(_WIDE), c) > 0, F.translate(c, _WIDE, _WIDE_UPPER)).otherwise(F.upper(F.replace(c, F.lit("ß"), F.lit("ẞ")))))
+    return F.when(s.rlike(f"[{_WIDE}]"), F.array_join(single, "")).otherwise(plain)
 
 
 def reverse_complement(s: Column) -> Column:

@@ -109,10 +109,10 @@ def without_duplicates(records: DataFrame, shortest: int = 100, longest: int = 4
 
     Out of the length limits (reason: the length), an exact copy or reverse complement of an earlier record (``Dup``), or
     the shorter of two that a search of the rest against itself finds alike (``Search``)."""
-    from ..functions.sequence import canonical
+    from ..functions.sequence import canonical, upper
 
     rows = records.withColumn("_n", F.coalesce(F.length("sequence"), F.lit(0)))
-    inside = rows.where(F.col("_n").between(shortest, longest)).withColumn("_key", F.sha2(canonical(F.upper("sequence")).cast("binary"), 256))
+    inside = rows.where(F.col("_n").between(shortest, longest)).withColumn("_key", F.sha2(canonical(upper(F.col("sequence"))).cast("binary"), 256))
     first = inside.groupBy("_key").agg(F.min("ord").alias("_first"))
     inside = written(inside.join(first, "_key").drop("_key"), "deduplicate")
     unique = inside.where("ord = _first")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import kmers, reverse_complement
+from ..functions.sequence import kmers, reverse_complement, upper
 from ..store import written
 from .alignments import with_place
 
@@ -65,7 +65,7 @@ def statistics(records: DataFrame) -> DataFrame:
 
 def kmer_counts(reads: DataFrame, k: int) -> DataFrame:
     """``kmer, n`` over both strands (a k-mer and its reverse complement are one, named by the lesser)."""
-    runs = reads.select(F.explode(F.regexp_extract_all(F.upper("sequence"), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("run"))
+    runs = reads.select(F.explode(F.regexp_extract_all(upper(F.col("sequence")), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("run"))
     words = runs.select(F.explode(kmers(F.col("run"), k)).alias("w")).select(F.col("w.kmer").alias("kmer"))
     return words.groupBy(F.least("kmer", reverse_complement(F.col("kmer"))).alias("kmer")).agg(F.count("*").alias("n"))
 

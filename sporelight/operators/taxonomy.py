@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.sequence import canonical
+from ..functions.sequence import canonical, upper
 from ..store import written
 
 # Division codes and names.
@@ -168,7 +168,7 @@ def classify_by_classified(records: DataFrame, hits12: DataFrame, n: int = 5) ->
 
 def drop_exact(records: DataFrame, shortest: int = MIN_LENGTH, longest: int = MAX_LENGTH) -> DataFrame:
     """First record of each sequence or its reverse complement, within the length limits."""
-    rows = records.where(F.length("sequence").between(shortest, longest)).withColumn("_key", canonical(F.upper("sequence")))
+    rows = records.where(F.length("sequence").between(shortest, longest)).withColumn("_key", canonical(upper(F.col("sequence"))))
     first = rows.groupBy(F.sha2("_key", 256).alias("k")).agg(F.min("ord").alias("ord"))
     return records.join(first.select("ord"), "ord", "left_semi")
 

@@ -88,3 +88,14 @@ def test_documents_are_counted_and_searched(spark, tmp_path):
     held = {i for i, s in rows if any((len(o) > len(s) or (len(o) == len(s) and j < i)) and (s in o or turn(s) in o) for j, o in rows)}
     assert {-1, -3} <= held and -2 not in held
     assert [r.ord for r in catalog.contained_contigs_documents(spark, str(tmp_path)).collect()] == sorted(i for i, _ in rows if i not in held)
+
+
+def test_capitals_of_several_letters(spark, tmp_path):
+    import duckdb
+
+    texts = ["ß" + "tzente in mit. Einau stauein. " * 4, "y" * 98 + "ß", "z" * 98 + "ŉ", "ﬁx ᾳ ß " * 20, "plain words " * 20, None, "", "ß" * 99]
+    _table(spark, tmp_path, "documents", list(enumerate(texts)), "doc_id long, text string")
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = sorted(r.ord for r in catalog.canonical_dedup(spark, str(tmp_path)).collect())
+    assert found == sorted(r[0] for r in db.sql(catalog.SQL["canonical_dedup"]).fetchall())
