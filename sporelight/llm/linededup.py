@@ -142,12 +142,14 @@ def _lines(text: Column) -> Column:
 
 
 def _fetched(documents: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``nid, line`` of the wanted places (k1, k2, pos, nid)."""
+    """``nid, line`` of the wanted places (k1, k2, pos, nid).
+
+    Never by broadcast: the planner takes places for as small as their file, which packs them well."""
     places = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "nid")).alias("places"))  # at most a document's lines
     texts = documents.where(F.col(f"`{text_col}`").isNotNull()).select(*_key(id_col, text_col), F.col(f"`{text_col}`").alias("text"))
     # the lines get a name, or the text would be split for each of the places
     picked = F.transform(F.array(_lines(F.col("text"))), lambda lines: F.transform("places", lambda p: F.struct(p["nid"].alias("nid"), F.get(lines, p["pos"]).alias("line"))))
-    return texts.join(places, ["k1", "k2"]).select(F.explode(F.get(picked, 0)).alias("w")).select("w.nid", "w.line")
+    return texts.join(places.hint("merge"), ["k1", "k2"]).select(F.explode(F.get(picked, 0)).alias("w")).select("w.nid", "w.line")
 
 
 def nodes(documents: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
@@ -177,10 +179,13 @@ def _near(pairs: DataFrame, texts: DataFrame, t: int) -> DataFrame:
     ends = [counts.select(*(F.col(c).alias(f"{c}_{e}") for c in counts.columns)) for e in "ab"]
     likely = pairs.join(ends[0], F.col("a") == F.col("nid_a")).join(ends[1], F.col("b") == F.col("nid_b"))
     likely = likely.where((F.abs(F.col("n_a") - F.col("n_b")) <= t) & (F.bit_count(F.col("counts_a").bitwiseXOR(F.col("counts_b"))) <= 2 * t)).select("a", "b")
-    # the characters are split before the joins: split in the filter, they would be for every step of the distance
-    chars = texts.select("nid", F.split("line", "").alias("chars"))
-    both = likely.join(chars.select(F.col("nid").alias("a"), F.col("chars").alias("ca")), "a").join(chars.select(F.col("nid").alias("b"), F.col("chars").alias("cb")), "b")
-    return both.where(edit_distance(F.col("ca"), F.col("cb"), t) <= t).select(F.col("b").alias("nid")).distinct()
+    # lines are joined as they are: split into characters, they are a hundred times what the planner reads off the file, and a broadcast of them fills the driver
+    text = lambda e: texts.select(F.col("nid").alias(e), F.col("line").alias(f"line_{e}")).hint("merge")
+    both = likely.join(text("a"), "a").join(text("b"), "b")
+    # the characters get a name: split in the filter, they would be for every step of the distance
+    chars = F.struct(*(F.split(f"line_{e}", "").alias(f"c{e}") for e in "ab"))
+    distance = F.get(F.transform(F.array(chars), lambda x: edit_distance(x["ca"], x["cb"], t)), 0)
+    return both.where(distance <= t).select(F.col("b").alias("nid")).distinct()
 
 
 def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,7 +210,7 @@ def kept_lines(documents: DataFrame, *, threshold: int = THRESHOLD, min_chars: i
     late = written(_near(pairs, texts, t), "near-rest")
     discard(block, hubs, texts)
     stay = lines.join(near.union(late), "nid", "left_anti").groupBy("k1", "k2").agg(F.collect_list("pos").alias("stay"))
-    return stay
+    return stay.hint("merge")
 
 
 def _rest(text: Column, stay: Column, min_chars: int) -> Column:

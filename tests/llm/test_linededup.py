@@ -98,3 +98,15 @@ def test_short_lines_are_compared_down_to_the_methods_bound(spark):
     got = {r.doc_id: r.text for r in L.dedup(spark.createDataFrame(documents, "doc_id long, text string")).collect()}
     assert got == _brute(documents, 2, 5)
     assert (got[1], got[2], got[3]) == ("Subscribe now\n1234", "1234\n12345", "")
+
+
+def test_lines_are_not_sent_through_the_driver(spark, tmp_path):
+    spark.createDataFrame([(0, "some line of text"), (1, "some line of test"), (2, "another line here")], "nid long, line string").write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t")).select("nid", "line", F.length("line").alias("n"), L.letter_counts(F.col("line")).alias("counts"))
+    near = L._near(spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long"), texts, 2)
+    assert [r.nid for r in near.collect()] == [1]
+    plan = near._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 2  # beside the joins of counts
+    docs = spark.createDataFrame([(0, "first line here\nsecond line here")], "doc_id long, text string")
+    places = spark.createDataFrame([], "k1 long, k2 long, pos int, nid long")
+    assert "BroadcastHashJoin" not in L._fetched(docs, places, "doc_id", "text")._jdf.queryExecution().sparkPlan().toString()
