@@ -99,3 +99,17 @@ def test_capitals_of_several_letters(spark, tmp_path):
     db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     found = sorted(r.ord for r in catalog.canonical_dedup(spark, str(tmp_path)).collect())
     assert found == sorted(r[0] for r in db.sql(catalog.SQL["canonical_dedup"]).fetchall())
+
+
+def test_shared_contigs_in_pieces(spark, monkeypatch):
+    from sporelight.operators import hits
+
+    monkeypatch.setattr(hits, "_PIECE", 4)
+    rng = random.Random(8)
+    groups = {r: {rng.randint(0, 30) for _ in range(rng.randint(1, 20))} | {99} for r in range(1, 40)}
+    mine = spark.createDataFrame([(k, r, str(c)) for k in ("blastn", "blastx") for r, cs in groups.items() for c in cs], "analysis string, rank int, contig_id string")
+    for ratio in (0.25, 0.79, 1.0):
+        want = {(a, b, len(groups[a] & groups[b])) for a in groups for b in groups if a < b and len(groups[b] - groups[a]) / len(groups[b]) <= ratio}
+        found = hits.shared_contigs(mine, ratio).collect()
+        for k in ("blastn", "blastx"):
+            assert sorted((r.rank_a, r.rank_b, r.shared) for r in found if r.analysis == k) == sorted(want)
