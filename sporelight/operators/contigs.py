@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +13,10 @@ from ..functions.sequence import kmers, reverse_complement, upper
 from ..store import written
 from .alignments import with_place
 
+#: letters of the longest stretch, and how many words of a size are told to the containers
+_STRETCH, _KNOWN = 4096, 20_000
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
 
 def combine(*parts: DataFrame | None) -> DataFrame:
     """All records, part after part; missing parts don't count. ``ord`` is renumbered."""
@@ -22,33 +30,99 @@ def combine(*parts: DataFrame | None) -> DataFrame:
     return with_place(rows, "_at").select(F.col("_place").alias("ord"), "header", "seq_id", "sequence")
 
 
+def _word_hashes(text: str, sizes: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the sizes the hashes of the text's words, a word and its reverse complement counting as one."""
+    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    other = x.copy()
+    for c, d in zip("ACGT", "TGCA"):
+        other[x == ord(c)] = ord(d)
+    forward, back, power = np.zeros(len(x), np.uint64), np.zeros(len(x), np.uint64), np.uint64(1)
+    for k in range(1, min(max(sizes), len(x)) + 1):
+        n = len(x) - k + 1
+        forward = forward[:n] * _BASE + x[k - 1 :]
+        back = back[:n] + other[k - 1 :] * power
+        power = np.uint64(int(power) * int(_BASE) % (1 << 64))
+        if k in sizes:
+            mixed = [(h ^ (h >> np.uint64(29))) * _MIX for h in (forward, back)]
+            yield k, np.minimum(*(h ^ (h >> np.uint64(32)) for h in mixed)).view(np.int64)
+
+
+def _size(n: int, k: int) -> int:
+    """What a record of n letters asks with: all of them if they are fewer than k, else a stretch of a power of two (of k at least)."""
+    return n if n < k else max(k, min(1 << n.bit_length() - 1, _STRETCH))
+
+
+def _asked(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """``ord, u`` to ``ord, n, size, h``: the least hash of the words in a record's first stretch."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        sizes = [_size(len(t), k) for t in texts]
+        least = [int(next(_word_hashes(t[:s], {min(s, k)}))[1].min()) for t, s in zip(texts, sizes)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int32()), pa.array(sizes, pa.int32()), pa.array(least, pa.int64())], names=["ord", "n", "size", "h"])
+
+
+def _offered(sizes: list[int], known: dict[int, np.ndarray], word: int):
+    """``ord, u`` to ``ord_b, n_b, size, h``: the least hashes of all stretches of the sizes; of the sizes in ``known``, those among its hashes."""
+    words = {min(s, word) for s in sizes}
+    likely = {}  # by the last 20 bits, before the hashes themselves are looked up
+    for s, hashes in known.items():
+        likely[s] = np.zeros(1 << 20, bool)
+        likely[s][hashes & (1 << 20) - 1] = True
+
+    def of(text: str) -> Iterator[tuple[int, np.ndarray]]:
+        for k, h in _word_hashes(text, words):
+            least, span = h, 1  # least of ``span`` words from each place
+            for size in [s for s in sizes if min(s, word) == k]:
+                width = size - k + 1
+                if len(h) < width:
+                    break
+                while 2 * span <= width:
+                    least, span = np.minimum(least[:-span], least[span:]), 2 * span
+                rest = width - span
+                found = np.minimum(least[: len(least) - rest], least[rest:])
+                found = found[np.append(True, found[1:] != found[:-1])]
+                if size in known:
+                    found = found[likely[size][found & (1 << 20) - 1]]
+                    found = found[known[size][np.minimum(np.searchsorted(known[size], found), len(known[size]) - 1)] == found]
+                yield size, np.unique(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ord_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                out = [(s, h) for s, h in of(text) if len(h)]
+                if out:
+                    h, size = np.concatenate([h for _, h in out]), np.repeat(np.array([s for s, _ in out], np.int32), [len(h) for _, h in out])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), ord_, np.int64)), pa.array(np.full(len(h), len(text), np.int32)), pa.array(size), pa.array(h)], names=["ord_b", "n_b", "size", "h"])
+
+    return run
+
+
 def drop_contained(records: DataFrame, k: int = 16) -> DataFrame:
     """Records that aren't, on either strand, part of a longer record (or of an equally long earlier one); empty ones go.
 
     Containment is transitive, so comparing with all longer records equals
-    comparing with kept ones.  Equal sequences meet by equality.  All k-mers of a
-    contained record occur in its container, either strand's counting as one: the
-    record asks for the one of least hash, which common passages rarely supply.
-    That equi-join moves numbers only; texts are fetched for the candidates it
-    leaves.  Records shorter than k are asked for by all their letters, in one
-    join for each such length."""
-    rows = records.where(F.length("sequence") > 0).withColumn("u", F.upper("sequence")).withColumn("rc", reverse_complement(F.col("u"))).withColumn("n", F.length("u"))
+    comparing with kept ones.  Equal sequences meet by equality.  A record's first
+    stretch (a power of two, at least half the record up to ``_STRETCH``) occurs in
+    its container, and so does the word of least hash in it, either strand's
+    counting as one; containers offer the least words of all their stretches of
+    that size, which are few.  Where few words are asked for, others aren't
+    offered.  That equi-join moves numbers only; texts are fetched for the
+    candidates it leaves, and searched.  Records shorter than k ask by all
+    their letters."""
+    rows = records.where(F.length("sequence") > 0).withColumn("u", upper(F.col("sequence"))).withColumn("rc", reverse_complement(F.col("u")))
     first = rows.groupBy(F.least("u", "rc").alias("key")).agg(F.min("ord").alias("ord"))
-    rows = rows.join(first.select("ord"), "ord", "left_semi")
-    sizes = sorted(r.k for r in rows.select(F.least("n", F.lit(k)).alias("k")).distinct().collect())  # at most k lengths
-    pairs = None
-    for size in sizes:
-        words = F.transform(kmers(F.col("u"), size), lambda w: F.least(w["kmer"], reverse_complement(w["kmer"])))
-        asked = F.array_min(F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w"))))["w"]
-        small = rows.where(F.least("n", F.lit(k)) == size).select("ord", "n", asked.alias("kmer"))
-        big = rows.where(F.col("n") > size).select(F.col("ord").alias("ord_b"), F.col("n").alias("n_b"), F.explode(F.array_distinct(words)).alias("kmer"))
-        met = small.join(big, "kmer").where(F.col("n_b") > F.col("n")).select("ord", "ord_b")
-        pairs = met if pairs is None else pairs.union(met)
-    if pairs is None:
-        return rows.select(*records.columns)
+    rows = written(rows.join(first.select("ord"), "ord", "left_semi"), "contained-rows")
+    texts = rows.select(F.col("ord").cast("long").alias("ord"), "u")
+    asked = written(texts.mapInArrow(lambda batches: _asked(batches, k), "ord long, n int, size int, h long"), "contained-asked")
+    counts = {r["size"]: r["n"] for r in asked.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most 25 sizes
+    known: dict[int, list[int]] = {s: [] for s, n in counts.items() if n <= _KNOWN}
+    for r in asked.where(F.col("size").isin(list(known))).select("size", "h").distinct().collect() if known else []:
+        known[r["size"]].append(r.h)
+    offered = texts.mapInArrow(_offered(sorted(counts), {s: np.array(sorted(h), np.int64) for s, h in known.items()}, k), "ord_b long, n_b int, size int, h long")
+    pairs = written(asked.join(offered, ["size", "h"]).where("n_b > n").select("ord", "ord_b").distinct(), "contained-pairs")
     inside = F.col("u_b").contains(F.col("u")) | F.col("u_b").contains(F.col("rc"))
-    texts = pairs.join(rows.select(F.col("ord").alias("ord_b"), F.col("u").alias("u_b")), "ord_b").join(rows.select("ord", "u", "rc"), "ord")
-    return rows.join(texts.where(inside).select("ord").distinct(), "ord", "left_anti").select(*records.columns).orderBy("ord")
+    both = pairs.join(rows.select(F.col("ord").alias("ord_b"), F.col("u").alias("u_b")).hint("merge"), "ord_b").join(rows.select("ord", "u", "rc").hint("merge"), "ord")
+    return rows.join(both.where(inside).select("ord").distinct(), "ord", "left_anti").select(*records.columns).orderBy("ord")
 
 
 def statistics(records: DataFrame) -> DataFrame:

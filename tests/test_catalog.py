@@ -113,3 +113,17 @@ def test_shared_contigs_in_pieces(spark, monkeypatch):
         found = hits.shared_contigs(mine, ratio).collect()
         for k in ("blastn", "blastx"):
             assert sorted((r.rank_a, r.rank_b, r.shared) for r in found if r.analysis == k) == sorted(want)
+
+
+def test_containment_by_stretches(spark):
+    from sporelight.operators import contigs
+
+    rng = random.Random(3)
+    long = "".join(rng.choice("ACGTN") for _ in range(9000))
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    texts = [long, *(f(long[at : at + n]) for n in (1, 5, 15, 16, 17, 31, 32, 700, 5000, 8999) for at in (0, 1) for f in (str, turn)), *("".join(rng.choice("ACGT") for _ in range(n)) for n in (15, 16, 40, 5000)), "qq aßb qq", "assb"]
+    up = [t.replace("ß", "ẞ").upper() for t in texts]
+    inside = lambda i, j: (len(up[j]) > len(up[i]) or (len(up[j]) == len(up[i]) and j < i)) and (up[i] in up[j] or turn(up[i]) in up[j])
+    want = [i for i in range(len(up)) if not any(inside(i, j) for j in range(len(up)))]
+    found = contigs.drop_contained(spark.createDataFrame(list(enumerate(texts)), "ord long, sequence string"))
+    assert [r.ord for r in found.collect()] == want
