@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,6 +138,50 @@ def statistics(records: DataFrame) -> DataFrame:
     return sums.crossJoin(half).na.fill(0.0)  # one row by one row
 
 
+def _words(k: int, letters: int = 1 << 21):
+    """Arrow batches of texts to ``kmer, n``: words counted by slices of texts."""
+
+    def counted(texts: list[str]) -> tuple[list[str], np.ndarray]:
+        x = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        seen = np.unique(x)
+        bits = max(1, int(len(seen) - 1).bit_length())
+        if bits * k > 64 or (len(seen) and seen[0] == 0):  # too many letters for one number, or one that ends a numpy text
+            plain = Counter(t[i : i + k] for t in texts for i in range(len(t) - k + 1))
+            return list(plain), np.array(list(plain.values()), np.int64)
+        codes = np.zeros(int(seen[-1]) + 1, np.uint64)
+        codes[seen] = np.arange(len(seen), dtype=np.uint64)
+        codes, n = codes[x], len(x) - k + 1
+        packed = np.zeros(n, np.uint64)
+        for j in range(k):
+            packed = (packed << np.uint64(bits)) | codes[j : j + n]
+        ends = np.cumsum([len(t) for t in texts])
+        left = np.repeat(ends, [len(t) for t in texts])[:n] - np.arange(n)  # letters to the end of the text
+        words, counts = np.unique(packed[left >= k], return_counts=True)
+        shifts = np.arange(k - 1, -1, -1, dtype=np.uint64) * np.uint64(bits)
+        at = (words[:, None] >> shifts) & np.uint64((1 << bits) - 1)
+        return np.ascontiguousarray(seen[at.astype(np.int64)]).view(f"<U{k}").ravel().tolist(), counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some, size = [], 0
+            texts = [t for t in batch.column(0).to_pylist() if t is not None and len(t) >= k]
+            for i, t in enumerate(texts):
+                some.append(t)
+                size += len(t)
+                if i == len(texts) - 1 or size >= letters:
+                    words, counts = counted(some)
+                    for lo in range(0, len(words), 1 << 17):
+                        yield pa.RecordBatch.from_arrays([pa.array(words[lo : lo + (1 << 17)], pa.string()), pa.array(counts[lo : lo + (1 << 17)], pa.int64())], names=["kmer", "n"])
+                    some, size = [], 0
+
+    return run
+
+
+def word_counts(texts: DataFrame, k: int) -> DataFrame:
+    """``kmer, n``: words of k letters as they stand; a task sends a word once for each slice of its texts."""
+    return texts.mapInArrow(_words(k), "kmer string, n long").groupBy("kmer").agg(F.sum("n").alias("n"))
+
+
 def kmer_counts(reads: DataFrame, k: int) -> DataFrame:
     """``kmer, n`` over both strands (a k-mer and its reverse complement are one, named by the lesser)."""
     runs = reads.select(F.explode(F.regexp_extract_all(upper(F.col("sequence")), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("run"))

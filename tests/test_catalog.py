@@ -127,3 +127,14 @@ def test_containment_by_stretches(spark):
     want = [i for i in range(len(up)) if not any(inside(i, j) for j in range(len(up)))]
     found = contigs.drop_contained(spark.createDataFrame(list(enumerate(texts)), "ord long, sequence string"))
     assert [r.ord for r in found.collect()] == want
+
+
+def test_words_of_texts_in_slices(spark):
+    from sporelight.operators import contigs
+
+    rng = random.Random(4)
+    texts = [None, "", "short", "exactly8", "nul\0" * 4, "".join(map(chr, range(0x4E00, 0x4E00 + 700))), *("".join(rng.choice("ab ßé😀") for _ in range(rng.randint(0, 300))) for _ in range(60))]
+    for k in (1, 8):
+        want = collections.Counter(t[i : i + k] for t in texts if t for i in range(len(t) - k + 1))
+        found = contigs.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"), k).collect()
+        assert {r.kmer: r.n for r in found} == dict(want) and len(found) == len(want)
