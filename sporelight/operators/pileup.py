@@ -2,23 +2,119 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..store import discard, written
 from . import refindex
 from .alignments import with_place
 
 
-def runs_of(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
-    """Adds ``_run``: a number that is constant along consecutive rows of one key (unique together with the key)."""
-    placed = with_place(df, order)
-    return placed.withColumn("_run", F.col("_place") - F.row_number().over(Window.partitionBy(key).orderBy("_place"))).drop("_place")
+def _starts(ref: pa.Array, follows: np.ndarray) -> np.ndarray:
+    """Where stretches of one reference begin, if ``follows`` tells which rows but the first go on with the row before."""
+    code = np.asarray(ref.dictionary_encode("encode").indices)
+    return np.concatenate([[0], np.flatnonzero((code[1:] != code[:-1]) | ~follows) + 1])
+
+
+def _steps(column: pa.Array) -> np.ndarray:
+    """Differences of neighbours in a column of whole numbers; a null follows nothing."""
+    return np.diff(column.cast(pa.int64()).fill_null(-(1 << 61)).to_numpy(zero_copy_only=False))
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """``ord, ref_id, first, last, n, known, total, text``: rows (``ord, ref_id, pos, depth, base``) that follow each other where they lie, ``ord`` and ``pos`` growing by one.
+
+    No other row can come between such rows, so only stretches need be sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at, ref, pos, depth, base = batch.columns
+                begin = _starts(ref, (_steps(at) == 1) & (_steps(pos) == 1))
+                end = np.append(begin[1:], batch.num_rows)
+                add = lambda x: pa.array(np.add.reduceat(x.cast(pa.int64()).to_numpy(zero_copy_only=False), begin))  # noqa: B023, E731
+                base = pa.concat_arrays([base.cast(pa.string())])
+                _, ends, letters = base.buffers()
+                ends = np.frombuffer(ends, np.int32)[np.append(begin, batch.num_rows) + base.offset]
+                text = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends.tobytes()), letters or pa.py_buffer(b""))
+                first = pa.array(begin)
+                yield pa.RecordBatch.from_arrays([at.take(first), ref.take(first), pos.take(first), pos.take(pa.array(end - 1)), pa.array(end - begin), add(depth.is_valid()), add(depth.fill_null(0)), text], names=["ord", "ref_id", "first", "last", "n", "known", "total", "text"])
+
+    rows = rows.select(F.col("ord").cast("long"), "ref_id", F.col("pos").cast("long"), F.col("depth").cast("long"), F.coalesce("base", F.lit("")).alias("base"))
+    return rows.mapInArrow(run, "ord long, ref_id string, first long, last long, n long, known long, total long, text string")
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """``_first, _last, _n, ref_id`` and the other columns as lists: rows of one reference that follow each other where they lie, ``ord`` growing."""
+    others = [f for f in rows.schema.fields if f.name != "ref_id"]
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("_first", "_last", "_n")), rows.schema["ref_id"], *(T.StructField(f.name, T.ArrayType(f.dataType)) for f in others)])
+    names = [f.name for f in others]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at, ref = batch.column("ord").cast(pa.int64()), batch.column("ref_id")
+                begin = _starts(ref, _steps(at) > 0)
+                ends = np.append(begin, batch.num_rows)
+                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column(c)) for c in names]
+                first = pa.array(begin)
+                yield pa.RecordBatch.from_arrays([at.take(first), at.take(pa.array(ends[1:] - 1)), pa.array(np.diff(ends)), ref.take(first), *lists], names=["_first", "_last", "_n", "ref_id", *names])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _laid(stretches: DataFrame, first: str, last: str, n: str) -> tuple[DataFrame, bool]:
+    """Adds ``_before``, how many rows come before a stretch in the whole order; and whether each stretch ends before the next begins.
+
+    Stretches are sorted by range; a row for each partition goes to the driver."""
+    i, j, k = (stretches.columns.index(c) for c in (first, last, n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, reach = 0, np.iinfo(np.int64).min
+        for batch in batches:
+            if batch.num_rows:
+                end, size = np.asarray(batch.column(j)), np.asarray(batch.column(k))
+                reached = np.maximum.accumulate(np.append(reach, end))
+                total = rows + np.cumsum(size)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total - size), pa.array(np.asarray(batch.column(i)) <= reached[:-1])], names=[*batch.schema.names, "_before", "_late"])
+                rows, reach = int(total[-1]), reached[-1]
+
+    schema = T.StructType([*stretches.schema.fields, T.StructField("_before", T.LongType()), T.StructField("_late", T.BooleanType())])
+    laid = written(stretches.repartitionByRange(first).sortWithinPartitions(first).mapInArrow(run, schema).withColumn("_part", F.spark_partition_id()), "laid")
+    facts = laid.groupBy("_part").agg(F.max(F.col("_before") + F.col(n)).alias("rows"), F.min(first).alias("first"), F.max(last).alias("last"), F.bool_or("_late").alias("late")).collect()
+    before, total, reach, apart = [], 0, None, True
+    for part in sorted(facts, key=lambda x: x["_part"]):
+        apart &= not part["late"] and (reach is None or part["first"] > reach)
+        before.append((part["_part"], total))
+        total, reach = total + part["rows"], part["last"]
+    table = laid.sparkSession.createDataFrame(before or [(0, 0)], "_part int, _rows long")
+    return laid.join(F.broadcast(table), "_part").withColumn("_before", F.col("_before") + F.col("_rows")).drop("_part", "_rows", "_late"), apart
 
 
 def filter_coverage(pileup: DataFrame, lengths: DataFrame, share: float = 0.3) -> DataFrame:
-    """Rows of references' runs with more rows than ``share`` of the reference's length (``ref_id, length``; 0 if unknown)."""
-    rows = runs_of(pileup, "ref_id").withColumn("_n", F.count("*").over(Window.partitionBy("ref_id", "_run")))
-    return rows.join(lengths, "ref_id", "left").where(F.col("_n") > F.coalesce("length", F.lit(0)) * share).select(*pileup.columns)
+    """Rows of references' runs with more rows than ``share`` of the reference's length (``ref_id, length``; 0 if unknown).
+
+    Rows stay packed as they lie; only stretches of them are sorted and counted. Where rows of different
+    places lie mixed, they are sorted first."""
+    packed = written(_packed(pileup), "packed")
+    ends = ("_first", "_last", "_n")
+    laid, apart = _laid(packed.select(*ends, "ref_id"), *ends)
+    if not apart:
+        discard(packed, laid)
+        packed = written(_packed(pileup.repartitionByRange("ord").sortWithinPartitions("ord")), "packed")
+        laid, _ = _laid(packed.select(*ends, "ref_id"), *ends)
+    # along a run of one reference, a stretch's place among all rows and among the reference's own grow alike
+    own = F.sum("_n").over(Window.partitionBy("ref_id").orderBy("_before").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    runs = laid.withColumn("_run", F.col("_before") - own)
+    counted = runs.withColumn("_rows", F.sum("_n").over(Window.partitionBy("ref_id", "_run")))
+    kept = counted.join(lengths, "ref_id", "left").where(F.col("_rows") > F.coalesce("length", F.lit(0)) * share)
+    rows = packed.join(kept.select("_first"), "_first", "left_semi")
+    return rows.select("ref_id", F.inline(F.arrays_zip(*(c for c in pileup.columns if c != "ref_id")))).select(*pileup.columns)
 
 
 def mark_counts(rows: DataFrame, marks: str = "bases") -> tuple[DataFrame, dict[str, Column]]:
@@ -72,18 +168,30 @@ def contigs(pileup: DataFrame, lengths: DataFrame, min_length: int = 40, min_dep
     Rows beyond the reference's length are skipped (but not the very first row);
     length counts positions; the last run's depth must exceed the cutoff, the
     others' must reach it; the header names the run's last position."""
-    first = pileup.agg(F.min("ord")).first()[0]
-    rows = pileup.join(lengths, "ref_id", "left").where((F.col("ord") == F.lit(first)) | (F.col("pos") <= F.coalesce("length", F.lit(0))))
+    reach = written(pileup.groupBy("ref_id").agg(F.min("ord").alias("_first"), F.max("pos").alias("_reach")), "reach")
+    first = reach.agg(F.min("_first")).first()[0]
+    beyond = reach.join(lengths, "ref_id", "left").select("ref_id", F.coalesce("length", F.lit(0)).alias("length")).where(F.col("_reach") > F.col("length"))
+    rows = pileup.where((F.col("ord") == F.lit(first)) | F.col("pos").isNotNull())
+    if not beyond.isEmpty():  # else no row need meet its length
+        length = F.coalesce("_length", "pos")
+        over = beyond.select(F.col("ref_id").alias("_id"), F.col("length").alias("_length"))
+        rows = rows.join(over, F.col("ref_id").eqNullSafe(F.col("_id")), "left").where((F.col("ord") == F.lit(first)) | (F.col("pos") <= length)).drop("_id", "_length")
     rows, counts = mark_counts(rows)
-    rows = with_place(rows.select("ord", "ref_id", "pos", "depth", consensus_base(F.col("ref_base"), F.col("depth"), counts).alias("base")), "ord")
+    stretches = written(_folded(rows.select("ord", "ref_id", "pos", "depth", consensus_base(F.col("ref_base"), F.col("depth"), counts).alias("base"))), "stretches")
+    laid, _ = _laid(stretches.withColumn("_end", F.col("ord") + F.col("n") - 1), "ord", "_end", "n")
     # along a run of one reference, position and place grow alike
-    rows = rows.withColumn("_run", F.col("_place") - F.col("pos"))
-    rows = rows.withColumn("_own", F.col("_place") - F.row_number().over(Window.partitionBy("ref_id", "_run").orderBy("_place")))
-    runs = rows.groupBy("ref_id", "_run", "_own").agg(F.min("_place").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n"), F.sum("depth").alias("total"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "base"))), lambda x: x["base"]), "").alias("sequence"))
+    laid = laid.withColumn("_run", F.col("_before") - F.col("first"))
+    own = F.sum("n").over(Window.partitionBy("ref_id", "_run").orderBy("_before").rowsBetween(Window.unboundedPreceding, 0))
+    runs = laid.withColumn("_own", F.col("_before") - own + F.col("n")).groupBy("ref_id", "_run", "_own").agg(
+        F.min("_before").alias("_at"), F.max("last").alias("last"), F.sum("n").alias("n"), F.when(F.sum("known") > 0, F.sum("total")).alias("total"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", "text"))), lambda x: x["text"]), "").alias("sequence")
+    ).withColumnRenamed("_at", "first")
+    runs = written(runs, "runs")
+    discard(reach, stretches, laid)
     end = runs.agg(F.max("first")).first()[0]
     mean = F.col("total") / F.col("n")
     good = runs.where((F.col("n") > min_length) & F.when(F.col("first") == F.lit(end), mean > min_depth).otherwise(mean >= min_depth))
     named = with_place(good, "first").withColumn("seq_id", F.concat(F.lit(prefix), (F.col("_place") + 1).cast("string")))
+    discard(runs)
     return named.select(F.col("_place").alias("ord"), F.concat_ws(" ", "seq_id", "ref_id", F.col("last").cast("string")).alias("header"), "seq_id", "sequence")
 
 
