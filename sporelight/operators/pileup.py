@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,23 +216,94 @@ def _operations(alignments: DataFrame) -> DataFrame:
 
 def columns_of(alignments: DataFrame) -> DataFrame:
     """``rname, pos, base, starts, ends`` for each aligned or deleted ('*') position of each alignment (CIGAR M, =, X, D, N, I, S, H)."""
-    cells = _operations(alignments).where("b.op <> 'I'").select("*", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("i"))
+    cells = _operations(alignments).where("b.op <> 'I' AND b.n > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("i"))
     base = F.when(F.col("b.op") == "D", "*").otherwise(F.upper(F.substring(F.col("seq"), F.col("b.q") + F.col("i") + 1, 1)))
     at = F.col("b.r") + F.col("i")
     return cells.select("rname", (F.col("pos") + at).alias("pos"), base.alias("base"), (at == 0).alias("starts"), (at == F.col("reach") - 1).alias("ends"))
 
 
+def _cells(cigar: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Of a CIGAR (M, =, X, D, N, I, S, H, P): offsets on reference and read (-1: deleted) of each position, and each insertion's offsets and length; the last offset is followed by the alignment's reach."""
+    r = q = 0
+    at, of, inserted = [], [], []
+    for n, op in ((int(n), op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)):
+        if op in "M=XD":
+            at += range(r, r + n)
+            of += range(q, q + n) if op != "D" else [-1] * n
+        elif op == "I":
+            inserted.append((r, q, n))
+        r += n if op in "M=XDN" else 0
+        q += n if op in "M=XIS" else 0
+    return np.array([*at, r], np.int64), np.array(of, np.int64), inserted
+
+
+def _by_cigar(batch: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, tuple]]:
+    """The rows of each CIGAR of a batch with its cells; a batch has few of them."""
+    codes = batch.column(column).dictionary_encode()
+    number = np.asarray(codes.indices.fill_null(-1))
+    order = np.argsort(number, kind="stable")
+    ends = np.searchsorted(number[order], np.arange(len(codes.dictionary) + 1))
+    for i, cigar in enumerate(codes.dictionary.to_pylist()):
+        yield order[ends[i] : ends[i + 1]], _cells(cigar)
+
+
+#: Which of A, C, G, T, N a byte is; 5 is a deletion, 6 anything else.
+_KIND = np.full(256, 6, np.int64)
+for _i, _c in enumerate("ACGTN"):
+    _KIND[ord(_c)] = _KIND[ord(_c.lower())] = _i
+_COUNTED = ("a", "c", "g", "t", "n", "deleted")
+
+
+def _tallied(alignments: DataFrame) -> DataFrame:
+    """Counts of :func:`depth_by_position` as far as each batch of alignments reaches."""
+    names = ["rname", "pos", "depth", *_COUNTED, "starts", "ends"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names_of = batch.column(0).dictionary_encode()
+            name, pos = np.asarray(names_of.indices).astype(np.int64), np.asarray(batch.column(1)).astype(np.int64)
+            data, offsets = refindex.joined_bytes(pc.replace_substring_regex(batch.column(3), r"[^\x00-\x7F]", "?"))
+            data, size = np.append(data, np.uint8(0)), np.diff(offsets)  # the last byte stands for what is beyond a read
+            place, kind, edge = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for rows, (at, of, _) in _by_cigar(batch, 2):
+                at, reach = at[:-1], at[-1]
+                inside = (of >= 0) & (of < size[rows, None])
+                seen = _KIND[data[np.where(inside, offsets[rows, None] + of, len(data) - 1)]]
+                place.append(((name[rows, None] << 40) + pos[rows, None] + at + (1 << 39)).ravel())
+                kind.append(np.where(of < 0, 5, seen).ravel())
+                edge.append(np.tile((at == 0) + 2 * (at == reach - 1), len(rows)))
+            place, group = np.unique(np.concatenate(place), return_inverse=True)
+            kind, edge, n = np.concatenate(kind), np.concatenate(edge), len(place)
+            if n:
+                table = np.bincount(group * 7 + kind, minlength=7 * n).reshape(n, 7)
+                edges = np.bincount(group * 4 + edge, minlength=4 * n).reshape(n, 4)
+                columns = [table.sum(1), *(table[:, i] for i in range(6)), edges[:, 1] + edges[:, 3], edges[:, 2] + edges[:, 3]]
+                yield pa.RecordBatch.from_arrays([names_of.dictionary.take(pa.array(place >> 40)), pa.array((place & ((1 << 40) - 1)) - (1 << 39), pa.int32()), *(pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns)], names=names)
+
+    rows = alignments.where("rname IS NOT NULL AND pos IS NOT NULL AND cigar IS NOT NULL")
+    return rows.select("rname", F.col("pos").cast("int"), "cigar", F.coalesce("seq", F.lit("")).alias("seq")).mapInArrow(run, "rname string, pos int, " + ", ".join(f"{c} long" for c in names[2:]))
+
+
 def insertions_of(alignments: DataFrame) -> DataFrame:
     """``rname, pos, bases, first`` of each insertion, at the position before it; ``first`` orders the alignments (those before any position have none)."""
-    found = _operations(alignments).where("b.op = 'I' AND b.r > 0")
-    bases = F.upper(F.substring(F.col("seq"), F.col("b.q") + 1, F.col("b.n")))
-    return found.select("rname", (F.col("pos") + F.col("b.r") - 1).alias("pos"), bases.alias("bases"), F.struct("pos", "qname", "flag").alias("first"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, (_, _, inserted) in _by_cigar(batch, 2):
+                own = batch.take(pa.array(rows))
+                for r, q, n in inserted:
+                    if r > 0:
+                        pos = own.column(1)
+                        yield pa.RecordBatch.from_arrays([own.column(0), pc.add(pos, pa.scalar(r - 1, pos.type)), pc.utf8_upper(pc.utf8_slice_codeunits(own.column(3), q, q + n)), pos, own.column(4), own.column(5)], names=["rname", "pos", "bases", "start", "qname", "flag"])
+
+    named = [F.col(c) if c in alignments.columns else F.lit("").alias(c) for c in ("qname", "flag")]
+    found = alignments.where(F.instr("cigar", "I") > 0).select("rname", F.col("pos").cast("int"), "cigar", "seq", *named).mapInArrow(run, "rname string, pos int, bases string, start int, qname string, flag string")
+    return found.select("rname", "pos", "bases", F.struct(F.col("start").alias("pos"), "qname", "flag").alias("first"))
 
 
 def depth_by_position(alignments: DataFrame) -> DataFrame:
-    """``rname, pos, depth`` with counts of A, C, G, T, N, deletions, read starts and ends; sums combine map-side, so deep references don't skew."""
-    is_ = lambda b: F.count_if(F.col("base") == b)
-    return columns_of(alignments).groupBy("rname", "pos").agg(F.count("*").alias("depth"), *(is_(b).alias(b.lower()) for b in "ACGTN"), is_("*").alias("deleted"), F.count_if("starts").alias("starts"), F.count_if("ends").alias("ends"))
+    """``rname, pos, depth`` with counts of A, C, G, T, N, deletions, read starts and ends: aligned or deleted positions are added up batch by batch, so deep references don't skew."""
+    return _tallied(alignments).groupBy("rname", "pos").agg(*(F.sum(c).alias(c) for c in ("depth", *_COUNTED, "starts", "ends")))
 
 
 def insertions_by_position(alignments: DataFrame) -> DataFrame:

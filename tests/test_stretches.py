@@ -84,3 +84,21 @@ def test_no_row_of_an_ordered_pileup_is_sent(spark):
     assert sorted(len(r.sequence) for r in found) == [5000] * 4 and sent < n / 10
     kept, sent = _sent(spark, lambda: pileup.filter_coverage(rows, lengths, 0.5).count())
     assert kept == n and sent < n / 10
+
+
+def test_depths_are_counted_by_batches(spark):
+    rows = [("q1", "r", 3, "2M0D3M", "ACGTN"), ("q2", "r", 3, "1S2M1D1M2N1M9H", "GACTC"), ("q3", "r", 5, "4M", "a"), ("q4", "r", 1, "2M", None), ("q5", "r", 1, None, "AC"), ("q6", None, 1, "1M", "A"), ("q7", "é", 2, "2M1I", "éGT")]
+    df = spark.createDataFrame(rows, "qname string, rname string, pos int, cigar string, seq string")
+    found = pileup.depth_by_position(df)
+    got = {(r.rname, r.pos): tuple(r)[2:] for r in found.collect()}
+    want = {}
+    for r in pileup.columns_of(df.where("rname IS NOT NULL")).collect():
+        n = want.setdefault((r.rname, r.pos), [0] * 9)
+        n[0] += 1
+        if r.base and r.base in "ACGTN*":
+            n["ACGTN*".index(r.base) + 1] += 1
+        n[7] += r.starts
+        n[8] += r.ends
+    assert got == {k: tuple(v) for k, v in want.items()} and got["r", 5] == (3, 1, 0, 1, 0, 0, 1, 1, 0)
+    assert "Generate" not in found._jdf.queryExecution().toString()  # no row for each position of each read
+    assert [(r.pos, r.bases) for r in pileup.insertions_of(df).collect()] == [(3, "T")]
