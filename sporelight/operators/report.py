@@ -101,12 +101,17 @@ def ticks(length: int) -> list[int]:
 
 
 def alignment_order(hits: DataFrame) -> DataFrame:
-    """Hits by reference interval and contig with their anchor and the neighbours' anchors."""
+    """Hits by reference interval and contig with their anchor and the neighbours' anchors.
+
+    Each group is sorted once, and by numbers alone: a neighbour's anchor is made from its number, so no text is kept in a window."""
     low, high = interval()
     by = Window.partitionBy("group_id").orderBy(low, high, "contig_id", "ord")
-    rows = hits.withColumn("group_id", group_id()).withColumn("number", F.row_number().over(by))
-    rows = rows.withColumn("anchor", F.concat_ws("-", F.lit("alignment"), slug(F.col("group_id")), F.col("number").cast("string")))
-    return rows.withColumn("previous", F.lag("anchor").over(by)).withColumn("next", F.lead("anchor").over(by))
+    rows = hits.withColumn("group_id", group_id()).withColumns({"number": F.row_number().over(by), "_more": F.lead(F.lit(True)).over(by)})
+    rows = rows.withColumn("_name", F.concat_ws("-", F.lit("alignment"), slug(F.col("group_id"))))
+    anchor = lambda n: F.concat("_name", F.lit("-"), n.cast("string"))
+    number = F.col("number")
+    rows = rows.withColumns({"anchor": anchor(number), "previous": F.when(number > 1, anchor(number - 1)), "next": F.when(F.col("_more"), anchor(number + 1))})
+    return rows.drop("_more", "_name")
 
 
 def alignment_segments(hits: DataFrame, width: int = LINE_WIDTH) -> DataFrame:

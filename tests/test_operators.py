@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sporelight import schemas
 from sporelight.functions import sequence as S
-from sporelight.operators import alignments, cluster, contigs, hits, pileup, reads, search, taxonomy
+from sporelight.operators import alignments, cluster, contigs, hits, pileup, reads, report, search, taxonomy
 from sporelight.store import written
 
 
@@ -356,3 +356,21 @@ def test_taxonomy(spark):
     assert out == {"r1": ("somevirus", ["Plants"], ["ICTV"]), "r2": ("somevirus", ["Plants"], ["ICTV"]), "r3": ("NA", ["Unassigned"], ["NA"]), "r4": ("somevirus", ["Plants", "Vertebrates"], ["ICTV", "genbank"])}
     h = spark.createDataFrame([(0, "q1", "s", 90.0, 50, 0.0, 100.0), (1, "q2", "s", 95.0, 40, 0.0, 200.0), (2, "q3", "s", 91.0, 51, 0.0, 101.0)], "ord long, query string, subject string, identity double, length int, evalue double, score double")
     assert [r.query for r in taxonomy.best_by_subject(h).collect()] == ["q3"]
+
+
+def test_alignment_order_sorts_once_and_keeps_no_anchor(spark):
+    rng = random.Random(3)
+    rows = [dict(reference_id=rng.choice(["a|1", "b", "--", None]), contig_id=rng.choice(["c1", "c2", "c10"]), hit_start=rng.randint(1, 4), hit_end=rng.randint(1, 4)) for _ in range(60)] + [dict(reference_id="alone", contig_id="c1", hit_start=1, hit_end=1)]
+    want = {}
+    for group in {r["reference_id"] for r in rows}:
+        name = "alignment" if group is None else "alignment-" + {"a|1": "a-1", "--": "item"}.get(group, group)
+        own = sorted((min(r["hit_start"], r["hit_end"]), max(r["hit_start"], r["hit_end"]), r["contig_id"], i) for i, r in enumerate(rows) if r["reference_id"] == group)
+        for n, (*_, i) in enumerate(own, 1):
+            want[i] = (n, f"{name}-{n}", f"{name}-{n - 1}" if n > 1 else None, f"{name}-{n + 1}" if n < len(own) else None)
+    frame = hit_frame(spark, rows)
+    found = report.alignment_order(frame)
+    assert {r.ord: (r.number, r.anchor, r.previous, r.next) for r in found.collect()} == want
+    assert found.columns == [*frame.columns, "group_id", "number", "anchor", "previous", "next"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "anchor" not in windows[0]
