@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,15 +18,60 @@ _IUPAC, _IUPAC_C = "ABCDGHMNRSTUVWXYabcdghmnrstuvwxy", "TVGHCDKNYSAABWXRtvghcdkn
 # Database tags that name the following part of an identifier, most trusted first.
 _TAGS = ("ref", "gb", "emb", "dbj", "sp", "tr")
 # Letters without a capital of one letter of their own (and those whose capital is newer than Unicode 15), and what SQL's upper makes of each.
-_WIDE = "".join(c for c in map(chr, range(0x80, 0x20000)) if len(c.upper()) > 1 and c != "ß") + "ƛɤ\u1c8a\ua7cd\ua7db" + "".join(map(chr, range(0x10D70, 0x10D86)))
+_NEWER = "ƛɤ\u1c8a\ua7cd\ua7db" + "".join(map(chr, range(0x10D70, 0x10D86)))
+_WIDE = "".join(c for c in map(chr, range(0x80, 0x20000)) if len(c.upper()) > 1 and c != "ß") + _NEWER
 _WIDE_UPPER = "".join(c.title() if len(c.title()) == 1 and len(c.upper()) > 1 else c for c in _WIDE)
 
 
 def upper(s: Column) -> Column:
-    """Capitals, one letter for one: the built-in function makes SS of ß and two or three letters of some others, which changes lengths."""
+    """Capitals, one letter for one: the built-in function makes SS of ß and two or three letters of some others, which changes lengths.
+
+    Texts that have such letters are those the built-in function lengthens; a search for one of a hundred letters would cost more than all the rest."""
     plain = F.upper(F.replace(s, F.lit("ß"), F.lit("ẞ")))
     single = F.transform(F.split(s, ""), lambda c: F.when(F.instr(F.lit(_WIDE), c) > 0, F.translate(c, _WIDE, _WIDE_UPPER)).otherwise(F.upper(F.replace(c, F.lit("ß"), F.lit("ẞ")))))
-    return F.when(s.rlike(f"[{_WIDE}]"), F.array_join(single, "")).otherwise(plain)
+    return F.when((F.length(plain) != F.length(s)) | s.rlike(f"[{_NEWER[:5]}{_NEWER[5]}-{_NEWER[-1]}]"), F.array_join(single, "")).otherwise(plain)
+
+
+@functools.cache
+def _capitals() -> np.ndarray:
+    """What ``upper`` makes of each letter, by code point; from 0x20000 on no letter has a capital."""
+    wide = dict(zip(_WIDE, _WIDE_UPPER)) | {"ß": "ẞ"}
+    return np.array([ord(wide.get(c) or c.upper()) for c in map(chr, range(0x20000))], np.uint32)
+
+
+@functools.cache
+def _complements(iupac: bool) -> np.ndarray:
+    table = np.arange(0x20000, dtype=np.uint32)
+    for c, d in zip(*((_IUPAC, _IUPAC_C) if iupac else (_DNA, _DNA_C))):
+        table[ord(c)] = ord(d)
+    return table
+
+
+def _looked_up(table: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return table[x] if not len(x) or x.max() < len(table) else np.where(x < len(table), table[np.minimum(x, len(table) - 1)], x)
+
+
+def upper_codes(text: str) -> np.ndarray:
+    """Code points of what ``upper`` makes of a text, outside Spark's expressions."""
+    return _looked_up(_capitals(), np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
+
+
+def canonical_digest(u: np.ndarray, iupac: bool = True) -> bytes:
+    """SHA-256 of the lesser of a text and its reverse complement, given the code points of its capitals."""
+    rc = _looked_up(_complements(iupac), u)[::-1]
+    differ = u != rc
+    at = int(differ.argmax()) if len(u) else 0
+    return hashlib.sha256((rc if len(u) and differ[at] and rc[at] < u[at] else u).tobytes()).digest()
+
+
+@F.arrow_udf(T.StringType())
+def upper_reverse_complement(s: pa.Array) -> pa.Array:
+    """``iupac_reverse_complement(upper(s))``, letters looked up by batches of texts (Arrow)."""
+
+    def of(text: str | None) -> str | None:
+        return None if text is None else _looked_up(_complements(True), upper_codes(text))[::-1].tobytes().decode("utf-32-le", "surrogatepass")
+
+    return pa.array([of(t.as_py()) for t in s], pa.string())
 
 
 def reverse_complement(s: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.sequence import canonical, upper
+from ..functions.sequence import canonical_digest, upper_codes
 from ..store import written
 
 # Division codes and names.
@@ -167,9 +167,19 @@ def classify_by_classified(records: DataFrame, hits12: DataFrame, n: int = 5) ->
 
 
 def drop_exact(records: DataFrame, shortest: int = MIN_LENGTH, longest: int = MAX_LENGTH) -> DataFrame:
-    """First record of each sequence or its reverse complement, within the length limits."""
-    rows = records.where(F.length("sequence").between(shortest, longest)).withColumn("_key", canonical(upper(F.col("sequence"))))
-    first = rows.groupBy(F.sha2("_key", 256).alias("k")).agg(F.min("ord").alias("ord"))
+    """First record of each sequence or its reverse complement, within the length limits.
+
+    Capitals, complements and digests are made where the texts lie (Arrow); only digests cross the network."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                found = [canonical_digest(upper_codes(t)) if t is not None and shortest <= len(t) <= longest else None for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["ord", "k"])
+
+    kind = T.StructType([T.StructField("ord", records.schema["ord"].dataType), T.StructField("k", T.BinaryType())])
+    first = records.select("ord", "sequence").mapInArrow(keys, kind).where("k IS NOT NULL").groupBy("k").agg(F.min("ord").alias("ord"))
     return records.join(first.select("ord"), "ord", "left_semi")
 
 
