@@ -56,6 +56,11 @@ def upper_codes(text: str) -> np.ndarray:
     return _looked_up(_capitals(), np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
 
 
+def complement_codes(u: np.ndarray) -> np.ndarray:
+    """Complements of code points over ACGT."""
+    return _looked_up(_complements(False), u)
+
+
 def canonical_digest(u: np.ndarray, iupac: bool = True) -> bytes:
     """SHA-256 of the lesser of a text and its reverse complement, given the code points of its capitals."""
     rc = _looked_up(_complements(iupac), u)[::-1]

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import functools
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.sequence import kmers, reverse_complement, upper
-from ..store import written
+from ..functions.sequence import canonical_digest, complement_codes, kmers, reverse_complement, upper, upper_codes
+from ..store import discard, written
 from .alignments import with_place
 
-#: letters of the longest stretch, and how many words of a size are told to the containers
-_STRETCH, _KNOWN = 4096, 20_000
+#: letters of the longest stretch; bits of the largest filter of asked words (64 MB), and its probes; positions compared at once
+_STRETCH, _FILTER_BITS, _PROBES, _AT_ONCE = 4096, 1 << 29, 4, 1 << 18
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -31,69 +34,178 @@ def combine(*parts: DataFrame | None) -> DataFrame:
     return with_place(rows, "_at").select(F.col("_place").alias("ord"), "header", "seq_id", "sequence")
 
 
-def _word_hashes(text: str, sizes: set[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """For each of the sizes the hashes of the text's words, a word and its reverse complement counting as one."""
-    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    other = x.copy()
-    for c, d in zip("ACGT", "TGCA"):
-        other[x == ord(c)] = ord(d)
-    forward, back, power = np.zeros(len(x), np.uint64), np.zeros(len(x), np.uint64), np.uint64(1)
-    for k in range(1, min(max(sizes), len(x)) + 1):
-        n = len(x) - k + 1
-        forward = forward[:n] * _BASE + x[k - 1 :]
-        back = back[:n] + other[k - 1 :] * power
-        power = np.uint64(int(power) * int(_BASE) % (1 << 64))
-        if k in sizes:
-            mixed = [(h ^ (h >> np.uint64(29))) * _MIX for h in (forward, back)]
-            yield k, np.minimum(*(h ^ (h >> np.uint64(32)) for h in mixed)).view(np.int64)
+@functools.lru_cache(2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, n of each."""
+    out = []
+    for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+        x = np.full(n, np.uint64(base))
+        x[0] = 1
+        out.append(np.cumprod(x))
+    return tuple(out)
+
+
+def _hashes(x: np.ndarray) -> Callable[..., np.ndarray]:
+    """A function of k (and of places, else all of them) to the hashes of a text's words of k letters, a word and its reverse complement counting as one."""
+    up, down = _powers(1 << max(12, len(x).bit_length()))
+    forward, back = np.zeros(len(x) + 1, np.uint64), np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(x * down[: len(x)], out=forward[1:])
+    np.cumsum(complement_codes(x) * up[: len(x)], out=back[1:])
+
+    def of(k, at: np.ndarray | None = None) -> np.ndarray:
+        if at is None:
+            n = len(x) - k + 1
+            both = (forward[k:] - forward[:n]) * up[k - 1 : len(x)], (back[k:] - back[:n]) * down[:n]
+        else:
+            both = (forward[at + k] - forward[at]) * up[at + k - 1], (back[at + k] - back[at]) * down[at]
+        mixed = [(h ^ (h >> np.uint64(29))) * _MIX for h in both]
+        return np.minimum(*(h ^ (h >> np.uint64(32)) for h in mixed)).view(np.int64)
+
+    return of
 
 
 def _size(n: int, k: int) -> int:
-    """What a record of n letters asks with: all of them if they are fewer than k, else a stretch of a power of two (of k at least)."""
-    return n if n < k else max(k, min(1 << n.bit_length() - 1, _STRETCH))
-
-
-def _asked(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """``ord, u`` to ``ord, n, size, h``: the least hash of the words in a record's first stretch."""
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        sizes = [_size(len(t), k) for t in texts]
-        least = [int(next(_word_hashes(t[:s], {min(s, k)}))[1].min()) for t, s in zip(texts, sizes)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int32()), pa.array(sizes, pa.int32()), pa.array(least, pa.int64())], names=["ord", "n", "size", "h"])
-
-
-def _offered(sizes: list[int], known: dict[int, np.ndarray], word: int):
-    """``ord, u`` to ``ord_b, n_b, size, h``: the least hashes of all stretches of the sizes; of the sizes in ``known``, those among its hashes."""
-    words = {min(s, word) for s in sizes}
-    likely = {}  # by the last 20 bits, before the hashes themselves are looked up
-    for s, hashes in known.items():
-        likely[s] = np.zeros(1 << 20, bool)
-        likely[s][hashes & (1 << 20) - 1] = True
-
-    def of(text: str) -> Iterator[tuple[int, np.ndarray]]:
-        for k, h in _word_hashes(text, words):
-            least, span = h, 1  # least of ``span`` words from each place
-            for size in [s for s in sizes if min(s, word) == k]:
-                width = size - k + 1
-                if len(h) < width:
+    """Letters of the stretches that a record of n letters asks by: all if they are fewer than k, else a power of two (k at least) that goes 8 to 15 times into it, up to ``_STRETCH``."""
+    return n if n < k else max(k, min(1 << max(n.bit_length() - 4, 0), _STRETCH))
+
+
+def _asked(k: int, of_sequence: int):
+    """Records with ``_n`` letters, hash ``_h`` and digest ``_k`` of either strand, and what they ask by: ``_size`` and the place and hash of the least word of each stretch."""
+
+    def asks(x: np.ndarray, of) -> tuple[np.ndarray, np.ndarray]:
+        size = _size(len(x), k)
+        words = of(min(size, k))
+        starts = np.append(np.arange(0, len(x) - size, size), len(x) - size)
+        at = starts + np.lib.stride_tricks.sliding_window_view(words, size - min(size, k) + 1)[starts].argmin(axis=1)
+        h, first = np.unique(words[at], return_index=True)
+        return h, at[first]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1024):
+                batch = whole.slice(lo, 1024)
+                n, h, key, asked = [], [], [], []
+                for text in batch.column(of_sequence).to_pylist():
+                    x = upper_codes(text)
+                    of = _hashes(x)
+                    n.append(len(x))
+                    h.append(int(of(len(x))[0]))
+                    key.append(canonical_digest(x, iupac=False))
+                    asked.append(asks(x, of))
+                ends = np.append(0, np.cumsum([len(a) for a, _ in asked]))
+                words = pa.StructArray.from_arrays([pa.array(np.concatenate([a for a, _ in asked])), pa.array(np.concatenate([o for _, o in asked]).astype(np.int32))], names=["h", "o"])
+                more = [pa.array(n, pa.int32()), pa.array(h, pa.int64()), pa.array(key, pa.binary()), pa.array([_size(i, k) for i in n], pa.int32()), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "_n", "_h", "_k", "_size", "_asks"])
+
+    return run
+
+
+def _places(h: np.ndarray, size: int, bits: int) -> Iterator[np.ndarray]:
+    """Where a filter of so many bits keeps the words of a size."""
+    x = (h.view(np.uint64) ^ np.uint64(size * 0x9E3779B1)) * _MIX
+    x = (x ^ (x >> np.uint64(32))) * _BASE
+    x ^= x >> np.uint64(29)
+    step = (x >> np.uint64(33)) | np.uint64(1)
+    for _ in range(_PROBES):
+        yield (x & np.uint64(bits - 1)).astype(np.int64)
+        x = x + step
+
+
+def _filter_of(words: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of the ``size, h`` of n rows, 16 bits for each up to ``_FILTER_BITS``; parts of it are made in a few tasks and fetched one by one."""
+    bits = min(max(1 << (16 * n).bit_length(), 1 << 16), _FILTER_BITS)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(bits >> 3, np.uint8)
+        for batch in batches:
+            sizes, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for s in np.unique(sizes):
+                for at in _places(h[sizes == s], int(s), bits):
+                    np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(own, 1)], pa.binary())], names=["bits"])
+
+    out = np.zeros(bits >> 3, np.uint8)
+    for row in words.select("size", "h").coalesce(4).mapInArrow(part, "bits binary").toLocalIterator():
+        out |= np.frombuffer(zlib.decompress(row.bits), np.uint8)
+    return out
+
+
+def _offered(sizes: list[int], known: np.ndarray, k: int):
+    """``ord, sequence`` to ``ord_b, n_b, size, h``: the least hashes of all stretches of the sizes that are in the filter."""
+    words = sorted({min(s, k) for s in sizes})
+
+    def of(x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        hashes = _hashes(x)
+        for word in words:
+            if len(x) < word:
+                break
+            least, span = hashes(word), 1  # least of ``span`` words from each place
+            for size in [s for s in sizes if min(s, k) == word]:
+                width = size - word + 1
+                if len(x) < size:
                     break
                 while 2 * span <= width:
                     least, span = np.minimum(least[:-span], least[span:]), 2 * span
                 rest = width - span
                 found = np.minimum(least[: len(least) - rest], least[rest:])
                 found = found[np.append(True, found[1:] != found[:-1])]
-                if size in known:
-                    found = found[likely[size][found & (1 << 20) - 1]]
-                    found = found[known[size][np.minimum(np.searchsorted(known[size], found), len(known[size]) - 1)] == found]
+                for i in range(_PROBES):
+                    at = next(p for j, p in enumerate(_places(found, size, 8 * len(known))) if j == i)
+                    found = found[(known[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
                 yield size, np.unique(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ord_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                out = [(s, h) for s, h in of(text) if len(h)]
-                if out:
-                    h, size = np.concatenate([h for _, h in out]), np.repeat(np.array([s for s, _ in out], np.int32), [len(h) for _, h in out])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), ord_, np.int64)), pa.array(np.full(len(h), len(text), np.int32)), pa.array(size), pa.array(h)], names=["ord_b", "n_b", "size", "h"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1024):
+                batch = whole.slice(lo, 1024)
+                ords, n, size, hashes = [], [], [], []
+                for ord_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    x = upper_codes(text)
+                    for s, h in of(x):
+                        ords.append(np.full(len(h), ord_, np.int64))
+                        n.append(np.full(len(h), len(x), np.int32))
+                        size.append(np.full(len(h), s, np.int32))
+                        hashes.append(h)
+                if ords:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ords, n, size, hashes)], names=["ord_b", "n_b", "size", "h"])
+
+    return run
+
+
+def _inside(k: int):
+    """``sequence`` and the candidates ``c`` for it to the ``ord`` of those that it holds: around each place of the candidate's word its hash is compared, then its digest."""
+
+    def held(x: np.ndarray, n: np.ndarray, size: np.ndarray, h: np.ndarray, o: np.ndarray, whole: np.ndarray, keys: list[bytes]) -> set[int]:
+        of, found = _hashes(x), set()
+        for word in np.unique(np.minimum(size, k)).tolist():
+            mine = np.flatnonzero(np.minimum(size, k) == word)
+            words = of(word)
+            order = np.argsort(words, kind="stable")
+            lo, hi = (np.searchsorted(words[order], h[mine], side) for side in ("left", "right"))
+            ends = np.cumsum(hi - lo)
+            for piece in range(0, int(ends[-1]), _AT_ONCE):  # a word may be at every place of a text
+                place = np.arange(piece, min(piece + _AT_ONCE, int(ends[-1])))
+                i = np.searchsorted(ends, place, "right")
+                p, c = order[hi[i] - (ends[i] - place)], mine[i]
+                for start in (p - o[c], p - (n[c] - word - o[c])):
+                    able = (start >= 0) & (start + n[c] <= len(x))
+                    s, own = start[able], c[able]
+                    same = of(n[own], s) == whole[own]
+                    for j, at in zip(own[same].tolist(), s[same].tolist()):
+                        if j not in found and canonical_digest(x[at : at + n[j]], iupac=False) == keys[j]:
+                            found.add(j)
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                batch = whole.slice(lo, 256)
+                out = []
+                for text, c in zip(batch.column(0), batch.column(1)):
+                    cols = [c.values.field(i) for i in range(7)]
+                    ords, n, size, h, o, hashes = (x.to_numpy() for x in cols[:6])
+                    out.append(ords[sorted(held(upper_codes(text.as_py()), n.astype(np.int64), size, h, o.astype(np.int64), hashes, cols[6].to_pylist()))])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["ord"])
 
     return run
 
@@ -102,28 +214,31 @@ def drop_contained(records: DataFrame, k: int = 16) -> DataFrame:
     """Records that aren't, on either strand, part of a longer record (or of an equally long earlier one); empty ones go.
 
     Containment is transitive, so comparing with all longer records equals
-    comparing with kept ones.  Equal sequences meet by equality.  A record's first
-    stretch (a power of two, at least half the record up to ``_STRETCH``) occurs in
-    its container, and so does the word of least hash in it, either strand's
-    counting as one; containers offer the least words of all their stretches of
-    that size, which are few.  Where few words are asked for, others aren't
-    offered.  That equi-join moves numbers only; texts are fetched for the
-    candidates it leaves, and searched.  Records shorter than k ask by all
-    their letters."""
-    rows = records.where(F.length("sequence") > 0).withColumn("u", upper(F.col("sequence"))).withColumn("rc", reverse_complement(F.col("u")))
-    first = rows.groupBy(F.least("u", "rc").alias("key")).agg(F.min("ord").alias("ord"))
-    rows = written(rows.join(first.select("ord"), "ord", "left_semi"), "contained-rows")
-    texts = rows.select(F.col("ord").cast("long").alias("ord"), "u")
-    asked = written(texts.mapInArrow(lambda batches: _asked(batches, k), "ord long, n int, size int, h long"), "contained-asked")
-    counts = {r["size"]: r["n"] for r in asked.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most 25 sizes
-    known: dict[int, list[int]] = {s: [] for s, n in counts.items() if n <= _KNOWN}
-    for r in asked.where(F.col("size").isin(list(known))).select("size", "h").distinct().collect() if known else []:
-        known[r["size"]].append(r.h)
-    offered = texts.mapInArrow(_offered(sorted(counts), {s: np.array(sorted(h), np.int64) for s, h in known.items()}, k), "ord_b long, n_b int, size int, h long")
-    pairs = written(asked.join(offered, ["size", "h"]).where("n_b > n").select("ord", "ord_b").distinct(), "contained-pairs")
-    inside = F.col("u_b").contains(F.col("u")) | F.col("u_b").contains(F.col("rc"))
-    both = pairs.join(rows.select(F.col("ord").alias("ord_b"), F.col("u").alias("u_b")).hint("merge"), "ord_b").join(rows.select("ord", "u", "rc").hint("merge"), "ord")
-    return rows.join(both.where(inside).select("ord").distinct(), "ord", "left_anti").select(*records.columns).orderBy("ord")
+    comparing with kept ones.  Equal sequences meet by their digests.  A record is cut
+    into stretches of a power of two; all of them occur in its container, and so do
+    the words of least hash in them, either strand's counting as one.  Containers
+    offer the least words of all their stretches of that size, those that a filter
+    of the asked ones lets through; a record then asks by the word that the fewest
+    offer, so text that many records share brings no pairs where there is other text
+    beside it.  That equi-join moves numbers only.  A container's text meets the list of
+    its candidates once, whatever their number, and is compared with them by
+    a hash and by the SHA-256 digest.  Records shorter than k ask by all their letters."""
+    kind = T.StructType([*records.schema.fields, *T._parse_datatype_string("_n int, _h long, _k binary, _size int, _asks array<struct<h long, o int>>").fields])
+    rows = written(records.where(F.length("sequence") > 0).mapInArrow(_asked(k, records.columns.index("sequence")), kind), "contained-rows")
+    texts = rows.select(F.col("ord").cast("long").alias("ord"), "sequence")
+    asked = rows.select(F.col("ord").cast("long").alias("ord"), F.col("_size").alias("size"), F.explode("_asks").alias("a")).select("ord", "size", "a.h", "a.o")
+    first = rows.groupBy("_k").agg(F.min("ord").cast("long").alias("ord"), F.min("_n").alias("n"), F.min("_h").alias("whole"))
+    sizes = sorted(r[0] for r in rows.select("_size").distinct().collect())  # k and ten more at most
+    known = _filter_of(asked, asked.count())
+    offered = written(texts.mapInArrow(_offered(sizes, known, k), "ord_b long, n_b int, size int, h long"), "contained-offered")
+    counts = offered.groupBy("size", "h").agg(F.count("*").alias("c"), F.max("n_b").alias("longest"))
+    rarest = asked.join(counts, ["size", "h"]).groupBy("ord").agg(F.min(F.struct("c", "size", "h", "o")).alias("a"), F.min("longest").alias("longest"))
+    asking = rarest.join(first, "ord").where("longest > n").select("ord", "n", "a.size", "a.h", "a.o", "whole", F.col("_k").alias("key"))
+    pairs = asking.join(offered, ["size", "h"]).where("n_b > n").groupBy("ord_b").agg(F.collect_list(F.struct("ord", "n", "size", "h", "o", "whole", "key")).alias("c"))
+    found = texts.join(pairs, F.col("ord") == F.col("ord_b")).select("sequence", "c").mapInArrow(_inside(k), "ord long")
+    held = written(found.distinct(), "contained-found")
+    discard(offered)
+    return rows.join(first.select("ord").join(held, "ord", "left_anti"), "ord", "left_semi").select(*records.columns).orderBy("ord")
 
 
 def statistics(records: DataFrame) -> DataFrame:

@@ -156,3 +156,40 @@ def test_capitals_of_every_letter_without_a_search_for_rare_ones(spark, tmp_path
     for out in (catalog.canonical_dedup(spark, str(tmp_path)), docs.select("u")):  # a class of 130 letters, searched letter by letter, took nine tenths of the time
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert "RLIKE" not in plan.upper() or "ŉ" not in plan.split("RLIKE", 1)[1].split("]", 1)[0]
+
+
+def test_shared_beginnings_bring_no_pairs_of_texts(spark):
+    from sporelight.operators import contigs
+
+    rng = random.Random(11)
+    some = lambda n: "".join(rng.choice("acgtefhé😀") for _ in range(n))
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    head = some(3000)
+    texts = [head + some(1000 + i) for i in range(80)]
+    texts += [texts[5][10:3990], turn(texts[6].upper()[700:3500]), texts[7], head[100:200], "z" * 300, "z" * 200, "zy" * 20, "x" + "zy" * 50, texts[9][:3500] + "q"]
+    up = [t.upper() for t in texts]
+    inside = lambda i, j: (len(up[j]) > len(up[i]) or (len(up[j]) == len(up[i]) and j < i)) and (up[i] in up[j] or turn(up[i]) in up[j])
+    want = [i for i in range(len(up)) if not any(inside(i, j) for j in range(len(up)))]
+    store, tracker = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().dagScheduler()
+    first = tracker.nextStageId()
+    found = contigs.drop_contained(spark.createDataFrame(list(enumerate(texts)), "ord long, sequence string"))
+    assert [r.ord for r in found.collect()] == want and len(want) == 83
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    sent = 0
+    for i in range(first, tracker.nextStageId()):
+        try:
+            sent += store.lastStageAttempt(i).shuffleWriteBytes()
+        except Exception:  # a stage that never ran
+            pass
+    assert sent < 2 * sum(len(t.encode()) for t in texts)
+
+
+def test_places_of_a_word_in_pieces(spark, monkeypatch):
+    from sporelight.operators import contigs
+
+    monkeypatch.setattr(contigs, "_AT_ONCE", 3)
+    texts = ["ab" * 40 + "c", "ba" * 30 + "c", "ab" * 30, "b" * 50, "a" + "b" * 50 + "ab", "", "x", "yxy", "abab" * 5 + "x"]
+    inside = lambda i, j: (len(texts[j]) > len(texts[i]) or (len(texts[j]) == len(texts[i]) and j < i)) and texts[i] in texts[j]
+    want = [i for i in range(len(texts)) if texts[i] and not any(inside(i, j) for j in range(len(texts)))]
+    for k in (4, 16):
+        assert [r.ord for r in contigs.drop_contained(spark.createDataFrame(list(enumerate(texts)), "ord long, sequence string"), k).collect()] == want
