@@ -19,6 +19,8 @@ from .alignments import with_place
 
 #: letters of the longest stretch; bits of the largest filter of asked words (64 MB), and its probes; positions compared at once
 _STRETCH, _FILTER_BITS, _PROBES, _AT_ONCE = 4096, 1 << 29, 4, 1 << 18
+#: letters of texts that are hashed together
+_TOGETHER = 1 << 16
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -100,15 +102,24 @@ def _asked(k: int, of_sequence: int):
     return run
 
 
-def _places(h: np.ndarray, size: int, bits: int) -> Iterator[np.ndarray]:
-    """Where a filter of so many bits keeps the words of a size."""
+def _mixed(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First place of a filter for the words of a size, and the step to the next ones (both to be masked)."""
     x = (h.view(np.uint64) ^ np.uint64(size * 0x9E3779B1)) * _MIX
     x = (x ^ (x >> np.uint64(32))) * _BASE
     x ^= x >> np.uint64(29)
-    step = (x >> np.uint64(33)) | np.uint64(1)
+    return x, (x >> np.uint64(33)) | np.uint64(1)
+
+
+def _let_through(h: np.ndarray, size: int, known: np.ndarray) -> np.ndarray:
+    """Which of the words of a size are in the filter."""
+    mask, (x, step) = np.uint64(8 * len(known) - 1), _mixed(h, size)
+    left = np.arange(len(h))
     for _ in range(_PROBES):
-        yield (x & np.uint64(bits - 1)).astype(np.int64)
-        x = x + step
+        at = (x & mask).astype(np.int64)
+        ok = np.flatnonzero((known[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+        left, step = left[ok], step[ok]
+        x = x[ok] + step
+    return left
 
 
 def _filter_of(words: DataFrame, n: int) -> np.ndarray:
@@ -120,8 +131,11 @@ def _filter_of(words: DataFrame, n: int) -> np.ndarray:
         for batch in batches:
             sizes, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for s in np.unique(sizes):
-                for at in _places(h[sizes == s], int(s), bits):
+                x, step = _mixed(h[sizes == s], int(s))
+                for _ in range(_PROBES):
+                    at = (x & np.uint64(bits - 1)).astype(np.int64)
                     np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
+                    x = x + step
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(own, 1)], pa.binary())], names=["bits"])
 
     out = np.zeros(bits >> 3, np.uint8)
@@ -131,43 +145,48 @@ def _filter_of(words: DataFrame, n: int) -> np.ndarray:
 
 
 def _offered(sizes: list[int], known: np.ndarray, k: int):
-    """``ord, sequence`` to ``ord_b, n_b, size, h``: the least hashes of all stretches of the sizes that are in the filter."""
+    """``ord, sequence`` to ``ord_b, n_b, size, h``: the least hashes of all stretches of the sizes that are in the filter; texts are hashed end to end, ``_TOGETHER`` letters at once."""
     words = sorted({min(s, k) for s in sizes})
 
-    def of(x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        hashes = _hashes(x)
+    def of(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each size the numbers of texts and their hashes."""
+        lengths = np.array([len(t) for t in texts])
+        x, ends = upper_codes("".join(texts)), np.cumsum(lengths)
+        hashes, starts, longest = _hashes(x), ends - lengths, int(lengths.max())
         for word in words:
-            if len(x) < word:
+            if longest < word:
                 break
-            least, span = hashes(word), 1  # least of ``span`` words from each place
+            least, span = hashes(word), 1  # least of ``span`` words from each place; those beyond a text's end are left out below
             for size in [s for s in sizes if min(s, k) == word]:
                 width = size - word + 1
-                if len(x) < size:
+                if longest < size:
                     break
                 while 2 * span <= width:
                     least, span = np.minimum(least[:-span], least[span:]), 2 * span
                 rest = width - span
-                found = np.minimum(least[: len(least) - rest], least[rest:])
-                found = found[np.append(True, found[1:] != found[:-1])]
-                for i in range(_PROBES):
-                    at = next(p for j, p in enumerate(_places(found, size, 8 * len(known))) if j == i)
-                    found = found[(known[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-                yield size, np.unique(found)
+                found = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+                new = np.append(True, found[1:] != found[:-1])
+                new[starts[starts < len(new)]] = True
+                at = np.flatnonzero(new)
+                at = at[_let_through(found[at], size, known)]
+                text = np.searchsorted(ends, at, "right")
+                inside = at + size <= ends[text]
+                text, h = text[inside], found[at[inside]]
+                order = np.lexsort((h, text))
+                text, h = text[order], h[order]
+                once = np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(h)]
+                yield size, text[once], h[once]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
                 batch = whole.slice(lo, 1024)
-                ords, n, size, hashes = [], [], [], []
-                for ord_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    x = upper_codes(text)
-                    for s, h in of(x):
-                        ords.append(np.full(len(h), ord_, np.int64))
-                        n.append(np.full(len(h), len(x), np.int32))
-                        size.append(np.full(len(h), s, np.int32))
-                        hashes.append(h)
-                if ords:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (ords, n, size, hashes)], names=["ord_b", "n_b", "size", "h"])
+                ords, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+                lengths = np.array([len(t) for t in texts])
+                cut = np.flatnonzero(np.diff(np.cumsum(lengths) // _TOGETHER)) + 1
+                out = [(ords[i:j][text], lengths[i:j][text].astype(np.int32), np.full(len(h), size, np.int32), h) for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(texts)]) for size, text, h in of(texts[i:j])]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["ord_b", "n_b", "size", "h"])
 
     return run
 
